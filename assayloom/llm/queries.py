@@ -38,6 +38,12 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.phrase_index import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.llm.ring_shards import assign
 
