@@ -19,6 +19,16 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.pii_weak import KINDS, find, fit, spelled
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find(docs, fit(docs))
+    of = lambda k: F.filter("base", lambda x: x["kind"] == k)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    return found.select("doc_id", *counts, sha256_hex(spelled("base")).alias("base_sha256"), spelled("spans").alias("spans"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.llm.chat_format import format_chats, read_chats
 
