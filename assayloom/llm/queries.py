@@ -54,6 +54,14 @@ def op7_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from assayloom.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2048)
+
+
 def op9_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.llm.ring_shards import assign
 
