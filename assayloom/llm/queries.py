@@ -19,6 +19,13 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.toxicity import held_out, toxicity
+
+    scored = toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.llm.pii_weak import KINDS, find, fit, spelled
 
