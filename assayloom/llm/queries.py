@@ -19,6 +19,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.suffix_dedup import without_repeats
+
+    return without_repeats(table(spark, sf_dir, "documents")).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.llm.toxicity import held_out, toxicity
 
