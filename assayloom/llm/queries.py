@@ -19,6 +19,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.jaccard_join import groups
+
+    return groups(table(spark, sf_dir, "documents"), words=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.llm.suffix_dedup import without_repeats
 
