@@ -50,3 +50,8 @@ def utf8(text: Column) -> Column:
 
 def sha256_hex(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
+
+
+def small(df: DataFrame, most: int) -> DataFrame:
+    """`df` with a broadcast hint if it has at most `most` rows, counted here; beyond that the join shuffles."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -2,8 +2,8 @@
 
 The training texts are the indexed side: postings (term, doc_id, pos), stored as a table. Test windows are looked up from
 their rarest terms: each posting is shifted by its term's offset in the item, so the terms of one occurrence meet on one
-diagonal (item, document, shift). A diagonal that holds every rarest term of a window is a candidate; the words of its
-document then decide, so matches are exact. Terms that a third of all postings hold are never looked up while a window
+diagonal (item, document, shift). A diagonal that holds as many terms as a window looks up is a candidate for it; the
+words of its document then decide, so matches are exact. Terms that a third of all postings hold are never looked up while a window
 has rarer ones, and if a window has none, its postings still lie spread over documents.
 
 Defined results: a null text has no words; an item without words has no window; an item of fewer than `n` words is one
@@ -16,12 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import ascii_lower, sha256_hex, written
+from assayloom.llm.common import ascii_lower, sha256_hex, small, written
 
 #: What stands between words: all of ASCII but digits and lower-case letters.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Up to so many ids (8 bytes each) of candidate documents are broadcast; beyond, the join shuffles.
 BROADCAST_IDS = 500_000
+#: And so many terms of the test items, with their places.
+BROADCAST_TERMS = 200_000
 
 
 def words(text: Column) -> Column:
@@ -58,31 +60,29 @@ def rarest(windows: DataFrame, counts: DataFrame, r: int) -> DataFrame:
 def match(docs: DataFrame, items: DataFrame, n: int = 10, r: int = 3, slop: int = 8, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Exact phrase hits (doc_id, item_id, start, len) and proximity matches (doc_id, item_id).
 
-    A proximity match is an item of which at least `share` of the looked-up terms stand in a document in the item's
-    order, displaced against one another by fewer than `slop` words.
+    A proximity match is an item of which at least `share` of the looked-up terms stand in a document, in runs of two or
+    more that keep the item's spacing, the runs displaced against one another by fewer than 2 * `slop` words.
     """
     texts = docs.select("doc_id", words(F.col("text")).alias("words"))
     windows = test_windows(items, n)
-    counts = term_counts(texts, windows.select(F.explode("terms").alias("term")).distinct())
+    vocabulary = written(windows.select(F.explode("terms").alias("term")).distinct(), "vocabulary")
+    counts = term_counts(texts, small(vocabulary, BROADCAST_TERMS))
     wanted = written(rarest(windows, counts, r), "wanted-windows")
-    places = wanted.select("item_id", F.explode("need").alias("x")).select("item_id", "x.ipos", "x.term").distinct()
-    index = written(postings(texts, places.select("term").distinct()), "postings")
-    on_item = index.join(places, "term").select("item_id", "doc_id", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"))
-    diagonals = on_item.groupBy("item_id", "doc_id", "shift").agg(F.collect_set("ipos").alias("found"))
-    need = wanted.select("item_id", "w", "terms", F.transform("need", lambda x: x["ipos"]).alias("need"))
-    least = need.groupBy("item_id").agg(F.min(F.size("need")).alias("least"))
-    strong = diagonals.join(least, "item_id").filter(F.size("found") >= F.col("least"))
-    candidates = strong.join(need, "item_id").filter(F.size(F.array_except("need", "found")) == 0)
-    candidates = written(candidates.select("doc_id", "item_id", (F.col("shift") + F.col("w")).alias("start"), "terms").filter("start >= 0"), "candidates")
-    ids = candidates.select("doc_id").distinct()
-    few = candidates.count() <= BROADCAST_IDS
-    held = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    exact = held.join(candidates, "doc_id").filter(F.slice("words", F.col("start") + 1, F.size("terms")) == F.col("terms"))
+    places = written(wanted.select("item_id", F.explode("need").alias("x")).select("item_id", "x.ipos", "x.term").distinct(), "places")
+    index = written(postings(texts, small(places.select("term").distinct(), BROADCAST_TERMS)), "postings")
+    on_item = index.join(small(places, BROADCAST_TERMS), "term").select("item_id", "doc_id", (F.col("pos") - F.col("ipos")).alias("shift"))
+    need = wanted.select("item_id", "w", "terms", F.size("need").alias("need"))
+    wants = need.groupBy("item_id").agg(F.min("need").alias("least")).join(places.groupBy("item_id").agg(F.count("*").alias("total")), "item_id")
+    diagonals = on_item.groupBy("item_id", "doc_id", "shift").agg(F.count("*").alias("n"))
+    runs = written(diagonals.join(small(wants, BROADCAST_TERMS), "item_id").filter((F.col("n") >= F.least("least", F.lit(2)))), "runs")
+    strong = runs.join(need, "item_id").filter("n >= need").select("doc_id", "item_id", (F.col("shift") + F.col("w")).alias("start"), "terms").filter("start >= 0")
+    ids = small(runs.filter("n >= least").select("doc_id").distinct(), BROADCAST_IDS)
+    held = texts.join(ids, "doc_id", "left_semi")
+    exact = held.join(strong, "doc_id").filter(F.slice("words", F.col("start") + 1, F.size("terms")) == F.col("terms"))
     hits = exact.select("doc_id", "item_id", "start", F.size("terms").alias("len")).distinct()
-    total = places.groupBy("item_id").agg(F.countDistinct("ipos").alias("total"))
     lane = F.floor(F.col("shift") / F.lit(slop))
-    lanes = on_item.select("item_id", "doc_id", "ipos", F.explode(F.array(lane, lane + 1)).alias("lane")).distinct()
-    near = lanes.groupBy("item_id", "doc_id", "lane").agg(F.count("*").alias("n")).filter("n > 1").join(total, "item_id").filter(F.col("n") >= F.ceil(F.col("total") * share))
+    lanes = runs.select("item_id", "doc_id", "total", "n", F.explode(F.array(lane, lane + 1)).alias("lane"))
+    near = lanes.groupBy("item_id", "doc_id", "total", "lane").agg(F.sum("n").alias("n")).filter(F.col("n") >= F.ceil(F.col("total") * share))
     return hits, near.select("doc_id", "item_id").distinct()
 
 
@@ -110,4 +110,5 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10, near: bool = T
 def decontaminated(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
     """The rows of docs without any exact window of a test item."""
     exact, _ = match(docs, items, n)
-    return docs.join(exact.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    gone = written(exact.select("doc_id").distinct(), "contaminated")
+    return docs.join(small(gone, BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
