@@ -11,6 +11,7 @@ table gives no rows; only doc_id and text are read.
 
 from __future__ import annotations
 
+import base64
 import bisect
 import os
 import re
@@ -26,58 +27,52 @@ from assayloom.llm.common import written
 
 SALTS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Words whose ids a task keeps at most.
-CACHE = 300_000
-#: Texts of these characters alone are split here; all others by the tokenizer itself.
+#: Texts of these characters alone may be encoded from the rank file; all others by the tokenizer itself.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
 
 
 class Ids:
-    """Token ids of texts as little-endian 32-bit bytes. A byte-level tokenizer encodes the pieces its pattern cuts
-    one by one, so pieces seen before are taken from a table; the tokenizer encodes all others."""
+    """Token ids of texts as little-endian 32-bit bytes, as the tokenizer file at `path` defines them.
+
+    Where a rank file of the same vocabulary and name stands beside it, texts of ordinary characters are encoded from
+    that, which gives the same ids in a quarter of the time.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cut = regex.compile(public_tokenizers.PATTERN).findall
-        self.known: dict[str, bytes] = {}
+        ranks, self.fast = path.removesuffix(".json") + ".tiktoken", None
+        if os.path.exists(ranks):
+            with open(ranks, "rb") as f:
+                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def __call__(self, text: str) -> bytes:
+        if self.fast is not None and (text.isascii() or not PLAIN.search(text)):
+            return self.fast.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cuts = [None if PLAIN.search(t) else self.cut(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = list({x for c in cuts if c for x in c}.difference(self.known))
-        self.known.update(zip(new, self._encoded(new), strict=True))
-        get = self.known.__getitem__
-        return [self._encoded([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cuts, strict=True)]
 
-
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end: int = 0, rows: int = 128) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, end: int = 0) -> DataFrame:
     """PIECES rows: each document's ids and the end id, cut into pieces of `capacity` ids of which the first may be shorter."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last, wide = Ids(tokenizer), end.to_bytes(4, "little"), capacity * 4
-        for whole in batches:
+        for b in batches:
             out: list[list] = [[], [], [], [], []]
-            for at in range(0, whole.num_rows, rows):
-                b = whole.slice(at, rows)
-                ids = encode([t or "" for t in b.column("text").to_pylist()])
-                for doc, data in zip(b.column("doc_id").to_pylist(), ids, strict=True):
-                    data += last
-                    start, stop, n = 0, len(data) % wide or wide, 0
-                    while start < len(data):
-                        one = data[start:stop]
-                        for column, v in zip(out, (doc, n, start // 4, len(one) // 4, zlib.crc32(one)), strict=True):
-                            column.append(v)
-                        start, stop, n = stop, stop + wide, n + 1
+            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
+                data = encode(text.as_py() or "") + last
+                start, stop, n = 0, len(data) % wide or wide, 0
+                while start < len(data):
+                    one = data[start:stop]
+                    for column, v in zip(out, (doc, n, start // 4, len(one) // 4, zlib.crc32(one)), strict=True):
+                        column.append(v)
+                    start, stop, n = stop, stop + wide, n + 1
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
