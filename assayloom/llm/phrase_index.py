@@ -31,10 +31,14 @@ def words(text: Column) -> Column:
 
 
 def test_windows(items: DataFrame, n: int) -> DataFrame:
-    """(item_id, text) -> item_id, w, terms: every window of n consecutive words, or the whole of a shorter item."""
+    """(item_id, text) -> item_id, item, w, terms: every window of n consecutive words, or the whole of a shorter item.
+
+    item tells rows of one item_id with different texts apart.
+    """
     split = items.select("item_id", words(F.col("text")).alias("all")).filter(F.size("all") > 0).distinct()
-    at = split.select("item_id", "all", F.explode(F.sequence(F.lit(0), F.greatest(F.size("all") - n, F.lit(0)))).alias("w"))
-    return at.select("item_id", "w", F.slice("all", F.col("w") + 1, F.lit(n)).alias("terms"))
+    split = split.withColumn("item", F.xxhash64("item_id", "all"))
+    at = split.select("item_id", "item", "all", F.explode(F.sequence(F.lit(0), F.greatest(F.size("all") - n, F.lit(0)))).alias("w"))
+    return at.select("item_id", "item", "w", F.slice("all", F.col("w") + 1, F.lit(n)).alias("terms"))
 
 
 def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -49,12 +53,12 @@ def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
 
 
 def rarest(windows: DataFrame, counts: DataFrame, r: int) -> DataFrame:
-    """item_id, w, terms, need: the item positions of the window's r rarest terms. Windows with an unseen term go."""
-    each = windows.select("item_id", "w", F.size("terms").alias("k"), F.posexplode("terms").alias("off", "term")).join(counts, "term")
-    group = Window.partitionBy("item_id", "w")
+    """item_id, item, w, terms, need: the item positions of the window's r rarest terms. Windows with an unseen term go."""
+    each = windows.select("item", "w", F.size("terms").alias("k"), F.posexplode("terms").alias("off", "term")).join(counts, "term")
+    group = Window.partitionBy("item", "w")
     ranked = each.withColumn("rank", F.row_number().over(group.orderBy("n", "off"))).withColumn("seen", F.count("*").over(group)).filter("seen = k AND rank <= %d" % r)
-    need = ranked.groupBy("item_id", "w").agg(F.collect_list(F.struct((F.col("w") + F.col("off")).alias("ipos"), "term")).alias("need"))
-    return windows.distinct().join(need, ["item_id", "w"])
+    need = ranked.groupBy("item", "w").agg(F.collect_list(F.struct((F.col("w") + F.col("off")).alias("ipos"), "term")).alias("need"))
+    return windows.join(need, ["item", "w"])
 
 
 def match(docs: DataFrame, items: DataFrame, n: int = 10, r: int = 3, slop: int = 8, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -68,21 +72,21 @@ def match(docs: DataFrame, items: DataFrame, n: int = 10, r: int = 3, slop: int
     vocabulary = written(windows.select(F.explode("terms").alias("term")).distinct(), "vocabulary")
     counts = term_counts(texts, small(vocabulary, BROADCAST_TERMS))
     wanted = written(rarest(windows, counts, r), "wanted-windows")
-    places = written(wanted.select("item_id", F.explode("need").alias("x")).select("item_id", "x.ipos", "x.term").distinct(), "places")
+    places = written(wanted.select("item", F.explode("need").alias("x")).select("item", "x.ipos", "x.term").distinct(), "places")
     index = written(postings(texts, small(places.select("term").distinct(), BROADCAST_TERMS)), "postings")
-    on_item = index.join(small(places, BROADCAST_TERMS), "term").select("item_id", "doc_id", (F.col("pos") - F.col("ipos")).alias("shift"))
-    need = wanted.select("item_id", "w", "terms", F.size("need").alias("need"))
-    wants = need.groupBy("item_id").agg(F.min("need").alias("least")).join(places.groupBy("item_id").agg(F.count("*").alias("total")), "item_id")
-    diagonals = on_item.groupBy("item_id", "doc_id", "shift").agg(F.count("*").alias("n"))
-    runs = written(diagonals.join(small(wants, BROADCAST_TERMS), "item_id").filter((F.col("n") >= F.least("least", F.lit(2)))), "runs")
-    strong = runs.join(need, "item_id").filter("n >= need").select("doc_id", "item_id", (F.col("shift") + F.col("w")).alias("start"), "terms").filter("start >= 0")
+    on_item = index.join(small(places, BROADCAST_TERMS), "term").select("item", "doc_id", (F.col("pos") - F.col("ipos")).alias("shift"))
+    need = wanted.select("item", "item_id", "w", "terms", F.size("need").alias("need"))
+    wants = need.groupBy("item").agg(F.min("need").alias("least"), F.first("item_id").alias("item_id")).join(places.groupBy("item").agg(F.count("*").alias("total")), "item")
+    diagonals = on_item.groupBy("item", "doc_id", "shift").agg(F.count("*").alias("n"))
+    runs = written(diagonals.join(small(wants, BROADCAST_TERMS), "item").filter((F.col("n") >= F.least("least", F.lit(2)))), "runs")
+    strong = runs.drop("item_id").join(need, "item").filter("n >= need").select("doc_id", "item_id", (F.col("shift") + F.col("w")).alias("start"), "terms").filter("start >= 0")
     ids = small(runs.filter("n >= least").select("doc_id").distinct(), BROADCAST_IDS)
     held = texts.join(ids, "doc_id", "left_semi")
     exact = held.join(strong, "doc_id").filter(F.slice("words", F.col("start") + 1, F.size("terms")) == F.col("terms"))
     hits = exact.select("doc_id", "item_id", "start", F.size("terms").alias("len")).distinct()
     lane = F.floor(F.col("shift") / F.lit(slop))
-    lanes = runs.select("item_id", "doc_id", "total", "n", F.explode(F.array(lane, lane + 1)).alias("lane"))
-    near = lanes.groupBy("item_id", "doc_id", "total", "lane").agg(F.sum("n").alias("n")).filter(F.col("n") >= F.ceil(F.col("total") * share))
+    lanes = runs.select("item_id", "item", "doc_id", "total", "n", F.explode(F.array(lane, lane + 1)).alias("lane"))
+    near = lanes.groupBy("item_id", "item", "doc_id", "total", "lane").agg(F.sum("n").alias("n")).filter(F.col("n") >= F.ceil(F.col("total") * share))
     return hits, near.select("doc_id", "item_id").distinct()
 
 
