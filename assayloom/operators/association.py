@@ -217,3 +217,48 @@ def effect_interval(fits: DataFrame, sds: float = 3.0, p: Column | None = None)
     kept = with_scalars(fits, limits).filter(F.abs(F.col("beta") - F.col("_m")) <= F.col("_s") * sds).drop("_m", "_s")
     n = kept.agg(F.count("*").alias("_n"))
     return with_scalars(kept, n).withColumns({"ci_low": F.col("beta") - 1.96 * F.col("se"), "ci_high": F.col("beta") + 1.96 * F.col("se"), "bonferroni": F.lit(0.05) / F.col("_n")}).drop("_n")
+
+
+def variation(long: DataFrame, *by: str, absolute: bool = True) -> DataFrame:
+    """by, n, cv: sd over the (absolute) mean."""
+    mean = F.avg("value")
+    return long.groupBy(*by).agg(F.count("value").alias("n"), F.try_divide(F.stddev_samp("value"), F.abs(mean) if absolute else mean).alias("cv"))
+
+
+def outliers_by_group(flagged: DataFrame, groups: DataFrame, top: int = 40) -> DataFrame:
+    """feature, grp, n, pct: for the `top` features with most flagged cells (sample, feature), their samples' groups."""
+    best = flagged.groupBy("feature").agg(F.count("*").alias("_t")).orderBy(F.desc("_t"), "feature").limit(top)
+    rows = flagged.join(F.broadcast(best), "feature").join(groups, "sample", "left")
+    return rows.groupBy("feature", "_t", "grp").agg(F.count("*").alias("n")).withColumn("pct", 100 * F.col("n") / F.col("_t")).drop("_t")
+
+
+def effect_reduction(before: DataFrame, after: DataFrame, *columns: str) -> DataFrame:
+    """effect, before, after, pct_reduction: mean absolute effects of two effect tables."""
+    mean = lambda df, name: df.agg(*[F.avg(F.abs(c)).alias(c) for c in columns]).unpivot([], list(columns), "effect", name)
+    out = mean(before, "before").join(mean(after, "after"), "effect")
+    return out.withColumn("pct_reduction", F.try_divide((F.col("before") - F.col("after")) * 100, "before"))
+
+
+def component_effects(long: DataFrame, scores: DataFrame) -> DataFrame:
+    """pc, feature, r: every feature's correlation with every component (sample, pc, score)."""
+    return long.join(scores, "sample").groupBy("pc", "feature").agg(F.corr("value", "score").alias("r"))
+
+
+def correlation_test(long: DataFrame, covariate: str, top: int = 10) -> DataFrame:
+    """feature, n, r, p, neg_log10_p, label (most positive or negative `top`), p from r by the t distribution."""
+    agg = long.groupBy("feature").agg(F.count(F.when(F.col(covariate).isNotNull(), F.col("value"))).alias("n"), F.corr("value", covariate).alias("r"))
+
+    def p_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            r, n = b["r"].to_numpy(float), b["n"].to_numpy(float)
+            t = r * np.sqrt((n - 2) / np.maximum(1 - r * r, 1e-300))
+            yield b.assign(p=t_two_sided(t, np.maximum(n - 2, 1)))
+
+    out = agg.filter("r IS NOT NULL AND n > 2").mapInPandas(p_of, f"feature {dict(long.dtypes)['feature']}, n long, r double, p double")
+    up, down = F.row_number().over(Window.orderBy(F.desc("r"))), F.row_number().over(Window.orderBy("r"))  # a row a feature
+    return out.withColumn("neg_log10_p", -F.log10(F.col("p") + 1e-300)).withColumn("label", F.when((up <= top) & (F.col("r") > 0), "positive").when((down <= top) & (F.col("r") < 0), "negative"))
+
+
+def value_on_z(rows: DataFrame, value: str, z: str) -> DataFrame:
+    """n, slope, r2 of z on value."""
+    return rows.agg(F.regr_count(z, value).alias("n"), F.regr_slope(z, value).alias("slope"), F.regr_r2(z, value).alias("r2"))

@@ -188,3 +188,61 @@ def model_zoo(vectors: DataFrame, label: str, trees: int = 50, seed: int = 42) -
         out = out.unionByName(s)
     mean = out.groupBy("sample", label).agg(F.avg("score").alias("score")).select("sample", label, F.lit("ensemble").alias("model"), "score")
     return out.unionByName(mean)
+
+
+def mean_imputed(train: DataFrame, rows: DataFrame) -> DataFrame:
+    """`rows` (feature, value) with missing values as the training rows' feature mean, 0 where there is none."""
+    means = train.groupBy("feature").agg(F.avg("value").alias("_mean"))
+    return rows.join(means, "feature", "left").withColumn("value", F.coalesce("value", "_mean", F.lit(0.0))).drop("_mean")
+
+
+def standardised(train: DataFrame, rows: DataFrame) -> DataFrame:
+    """`rows` centred and scaled by the training rows' feature mean and sd; an sd of 0 or none counts as 1."""
+    facts = train.groupBy("feature").agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s"))
+    sd = F.when(F.coalesce(F.col("_s"), F.lit(0.0)) > 0, F.col("_s")).otherwise(1.0)
+    return rows.join(facts, "feature").withColumn("value", (F.col("value") - F.col("_m")) / sd).drop("_m", "_s")
+
+
+def lasso_features(vectors: DataFrame, label: str, names: list[str], strength: float) -> list[str]:
+    """Names of the features that a lasso of the given strength leaves with a weight."""
+    from pyspark.ml.classification import LogisticRegression
+
+    weights = LogisticRegression(labelCol=label, elasticNetParam=1.0, regParam=strength).fit(vectors).coefficients.toArray()
+    return [n for n, w in zip(names, weights, strict=True) if w]
+
+
+def selection_frequency(chosen: DataFrame, cohorts: int, least: float = 0.5) -> DataFrame:
+    """feature, n, frequency of features that at least that share of the cohorts chose; rows are (cohort, feature)."""
+    out = chosen.distinct().groupBy("feature").agg(F.count("*").alias("n")).withColumn("frequency", F.col("n") / cohorts)
+    return out.filter(F.col("frequency") >= least)
+
+
+def best_model(scores: DataFrame, main: str) -> str:
+    """The model of the largest AUC in (model, label, score); ties go to `main`, then by name."""
+    from assayloom.operators.association import rank_sum
+
+    names = [r[0] for r in scores.select("model").distinct().collect()]  # a handful
+    auc = {n: rank_sum(scores.filter(F.col("model") == n).withColumn("label", F.col("label") == 1), "score", "label").head()["auc"] for n in names}
+    return max(sorted(auc), key=lambda n: (auc[n], n == main))
+
+
+def evidence(p: Column) -> tuple[Column, Column]:
+    """How sure a probability is, from 0 to 1, and whether that is high."""
+    sure = F.abs(p - 0.5) * 2
+    return sure, sure > 0.95
+
+
+def trained_k(scored: DataFrame, value: str, label: str) -> DataFrame:
+    """k, k_mad: how many sd (or MADs) over the clean rows' centre the best cut by Youden's J lies."""
+    cut = youden(scored, value, label).select(F.col("threshold").alias("_c"))
+    clean = scored.filter(F.col(label) == 0)
+    from assayloom.functions.stats import center_and_mad
+
+    facts = clean.agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"))
+    out = with_scalars(with_scalars(cut, facts), center_and_mad(clean, value))
+    return out.select(F.try_divide(F.col("_c") - F.col("_m"), "_s").alias("k"), F.try_divide(F.col("_c") - F.col("median"), "mad").alias("k_mad"))
+
+
+def importance(weights: DataFrame, top: int = 20) -> DataFrame:
+    """The `top` rows of (feature, weight) by size."""
+    return weights.withColumn("size", F.abs("weight")).orderBy(F.desc("size"), "feature").limit(top)
