@@ -145,12 +145,12 @@ def pair_distance(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("person").agg(F.sqrt(F.sum((F.col("x") - F.col("y")) * (F.col("x") - F.col("y")))).alias("distance"))
 
 
-def cross_distances(queries: DataFrame, references: DataFrame) -> DataFrame:
+def cross_distances(queries: DataFrame, references: DataFrame, *within: str) -> DataFrame:
     """query, reference, d2 of two long tables (person, feature, value): joined on the feature and summed, a block product.
-    Both sides are the bridge people, a few tens to hundreds by design."""
-    q = queries.select(F.col("person").alias("query"), "feature", F.col("value").alias("_q"))
-    r = references.select(F.col("person").alias("reference"), "feature", F.col("value").alias("_r"))
-    return q.join(r, "feature").groupBy("query", "reference").agg(F.sum((F.col("_q") - F.col("_r")) * (F.col("_q") - F.col("_r"))).alias("d2"))
+    Both sides are the bridge people, a few tens to hundreds by design; `within` keeps pairs of one group."""
+    q = queries.select(F.col("person").alias("query"), *within, "feature", F.col("value").alias("_q"))
+    r = references.select(F.col("person").alias("reference"), *within, "feature", F.col("value").alias("_r"))
+    return q.join(r, [*within, "feature"]).groupBy("query", "reference").agg(F.sum((F.col("_q") - F.col("_r")) * (F.col("_q") - F.col("_r"))).alias("d2"))
 
 
 def true_pair_rank(distances: DataFrame) -> DataFrame:

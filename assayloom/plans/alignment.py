@@ -47,10 +47,10 @@ def genetic_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(h.genetic_distance(s, ["a", "b"]), "distance")
 
 
-@query(f"""WITH {M}, r AS (SELECT sample, feature, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0::DOUBLE AS r FROM m WHERE feature < 8)
+@query(f"""WITH {M}, r AS (SELECT sample, feature, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0::DOUBLE AS r FROM m)
     SELECT a.feature AS f1, b.feature AS f2, count(*) AS n, round(corr(a.r, b.r), 6) AS rho FROM r a JOIN r b USING (sample) WHERE a.feature < b.feature GROUP BY ALL""")
 def spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(h.spearman(matrix(spark, sf_dir).filter("feature < 8")), "rho")
+    return rounded(h.spearman(matrix(spark, sf_dir)), "rho")
 
 
 @query(f"""WITH {PAIRS}, d AS (SELECT avg(x) - avg(y) AS d FROM p GROUP BY feature) SELECT count(d) AS n, round(avg(abs(d)), 6) AS mean_abs, round(median(abs(d)), 6) AS median_abs, round(stddev_samp(abs(d)), 6) AS sd_abs, round(avg(d) * sqrt(count(d)) / stddev_samp(d), 5) AS t FROM d""")
@@ -100,7 +100,7 @@ def mahalanobis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(None)
 def shapiro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return h.shapiro_w(matrix(spark, sf_dir).filter("feature < 10"), "value", "feature")
+    return h.shapiro_w(matrix(spark, sf_dir), "value", "feature")
 
 
 @query(None)
@@ -109,7 +109,7 @@ def error_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.error_shift(c, "c_acctbal", "category")
 
 
-@query(f"""WITH {M}, f AS (SELECT DISTINCT feature FROM m WHERE feature < 8), s AS (SELECT sample, count(*) FILTER (abs(value) > 0.25) AS hits, max(abs(value)) AS top FROM m GROUP BY 1)
+@query(f"""WITH {M}, s AS (SELECT sample, count(*) FILTER (abs(value) > 0.25) AS hits, max(abs(value)) AS top FROM m GROUP BY 1)
     SELECT sample, hits, round(top, 6) AS top FROM s ORDER BY hits DESC, sample LIMIT 20""")
 def top_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = matrix(spark, sf_dir).groupBy("sample").agg(F.count_if(F.abs("value") > 0.25).alias("hits"), F.max(F.abs("value")).alias("top"))

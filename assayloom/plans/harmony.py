@@ -134,14 +134,13 @@ def irn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, "value")
 
 
-@query(f"""WITH {IRN}, v AS (SELECT sample, feature, round({qnorm_sql('p')}, 6) AS value FROM r WHERE feature < 4 AND sample % 10 > 0)
-    SELECT sample AS "FID", sample AS "IID", coalesce(max(value) FILTER (feature = 0), -9) AS "0", coalesce(max(value) FILTER (feature = 1), -9) AS "1", coalesce(max(value) FILTER (feature = 2), -9) AS "2",
-           coalesce(max(value) FILTER (feature = 3 AND sample % 7 > 0), -9) AS "3" FROM v GROUP BY sample""")
+@query(f"""WITH {IRN}, v AS (SELECT sample, feature, round({qnorm_sql('p')}, 6) AS value FROM r)
+    SELECT sample AS "FID", sample AS "IID", {', '.join(f'coalesce(max(value) FILTER (feature = {i} AND (sample + feature) % 17 > 0), -9) AS "{i}"' for i in range(64))} FROM v GROUP BY sample""")
 def plink_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.sources.tables import plink_table
 
-    rows = irn(spark, sf_dir).filter("feature < 4 AND sample % 10 > 0 AND (feature < 3 OR sample % 7 > 0)")
-    return plink_table(rows, features=[0, 1, 2, 3])
+    rows = irn(spark, sf_dir).withColumn("value", F.when((F.col("sample") + F.col("feature")) % 17 > 0, F.col("value")))
+    return plink_table(rows, features=list(range(64)))
 
 
 def _spread(name: str) -> str:
@@ -170,14 +169,14 @@ def pc_assoc_r2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(r_squared_by(matrix(spark, sf_dir), "value", "grp", "feature"), "r2")
 
 
-PAIRS = f"{M}, p AS (SELECT x.sample AS person, x.feature, x.value AS x, y.value AS y FROM m x JOIN m y ON y.feature = x.feature AND y.sample = x.sample + 1 WHERE x.sample % 10 = 0)"
+PAIRS = f"{M}, p AS (SELECT x.sample AS person, x.grp, x.feature, x.value AS x, y.value AS y FROM m x JOIN m y ON y.feature = x.feature AND y.sample = x.sample + 1)"
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth sample beside the next one: stand-ins for people measured in two batches."""
+    """Every sample beside the next one: stand-ins for people measured in two batches."""
     m = matrix(spark, sf_dir)
     y = m.select((F.col("sample") - 1).alias("person"), "feature", F.col("value").alias("y"))
-    return m.filter("sample % 10 = 0").select(F.col("sample").alias("person"), "feature", F.col("value").alias("x")).join(y, ["person", "feature"])
+    return m.select(F.col("sample").alias("person"), "grp", "feature", F.col("value").alias("x")).join(y, ["person", "feature"])
 
 
 @query(f"""WITH {PAIRS} SELECT person, count(*) AS n, round(2 * covar_samp(x, y) / (var_samp(x) + var_samp(y)), 6) AS icc,
@@ -191,12 +190,12 @@ def pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(a.pair_distance(pairs(spark, sf_dir)), "distance")
 
 
-@query(f"""WITH {PAIRS}, d AS (SELECT q.person AS query, r.person AS reference, sum((q.x - r.y) * (q.x - r.y)) AS d2 FROM p q JOIN p r ON q.feature = r.feature GROUP BY ALL),
+@query(f"""WITH {PAIRS}, d AS (SELECT q.person AS query, r.person AS reference, sum((q.x - r.y) * (q.x - r.y)) AS d2 FROM p q JOIN p r ON q.feature = r.feature AND q.grp = r.grp GROUP BY ALL),
     k AS (SELECT *, rank() OVER (PARTITION BY query ORDER BY d2)::INT AS rank, min(sqrt(d2)) FILTER (query <> reference) OVER (PARTITION BY query) AS other FROM d)
     SELECT query, rank, round(sqrt(d2) - other, 6) AS margin FROM k WHERE query = reference""")
 def true_pair_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pairs(spark, sf_dir)
-    d = a.cross_distances(p.select("person", "feature", F.col("x").alias("value")), p.select("person", "feature", F.col("y").alias("value")))
+    d = a.cross_distances(p.select("person", "grp", "feature", F.col("x").alias("value")), p.select("person", "grp", "feature", F.col("y").alias("value")), "grp")
     return rounded(a.true_pair_rank(d), "margin")
 
 
@@ -225,12 +224,12 @@ def distribution_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(a.moments(matrix(spark, sf_dir), "value", "feature"), "mean", "sd", "skew", "kurt", "kurt_plain")
 
 
-@query(f"""WITH {M}, s AS (SELECT sample, grp % 2 AS g, max(value) FILTER (feature = 0) AS a, max(value) FILTER (feature = 1) AS b FROM m WHERE sample < 300 GROUP BY ALL),
+@query(f"""WITH {M}, s AS (SELECT sample, grp % 2 AS g, max(value) FILTER (feature = 0) AS a, max(value) FILTER (feature = 1) AS b FROM m GROUP BY ALL),
     d AS (SELECT p.sample AS s, p.g AS own, q.g AS other, avg(sqrt((p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b))) AS d FROM s p JOIN s q ON p.sample <> q.sample GROUP BY ALL),
     k AS (SELECT s, max(d) FILTER (own = other) AS a, min(d) FILTER (own <> other) AS b FROM d GROUP BY 1)
     SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM k""")
 def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = matrix(spark, sf_dir).filter("sample < 300")
+    m = matrix(spark, sf_dir)
     s = m.groupBy("sample", (F.col("grp") % 2).alias("g")).agg(*[F.max(F.when(F.col("feature") == i, F.col("value"))).alias(c) for i, c in enumerate("ab")])
     return rounded(a.silhouette(s, ["a", "b"], "g"), "silhouette")
 

@@ -75,11 +75,11 @@ ZS = f"""{M}, z AS (SELECT sample, feature, CASE WHEN count(value) OVER w < 3 OR
         THEN (value - avg(value) OVER w) / stddev_samp(value) OVER w ELSE 0 END AS z FROM m WINDOW w AS (PARTITION BY feature))"""
 
 
-@query(f"WITH {ZS} SELECT sample, feature, round(z, 6) AS z FROM z WHERE feature < 8")
+@query(f"WITH {ZS} SELECT sample, feature, round(z, 6) AS z FROM z")
 def zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.functions.stats import zscore as z
 
-    return rounded(matrix(spark, sf_dir).filter("feature < 8").select("sample", "feature", z("value", "feature").alias("z")), "z")
+    return rounded(matrix(spark, sf_dir).select("sample", "feature", z("value", "feature").alias("z")), "z")
 
 
 @query(f"""WITH {ZS}, f AS (SELECT count(DISTINCT feature) AS f FROM m)

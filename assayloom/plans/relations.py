@@ -191,9 +191,9 @@ GZ = f"""{GENO}, d AS (SELECT sample, variant, 2 - dosage AS dosage, value, beta
     s AS (SELECT *, residual / nullif(stddev_samp(residual) OVER (PARTITION BY variant), 0) AS std_residual FROM z)"""
 
 
-@query(f"WITH {GZ} SELECT sample, variant, dosage, round(z, 6) AS z, round(std_residual, 6) AS std_residual FROM s WHERE variant < 8")
+@query(f"WITH {GZ} SELECT sample, variant, dosage, round(z, 6) AS z, round(std_residual, 6) AS std_residual FROM s")
 def genotype_z(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = genetics.genotype_z(genotypes(spark, sf_dir).filter("variant < 8"))
+    out = genetics.genotype_z(genotypes(spark, sf_dir))
     return rounded(out.select("sample", "variant", "dosage", "z", "std_residual"), "z", "std_residual")
 
 
@@ -263,20 +263,20 @@ def unrelated_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.agg(F.count("*").alias("pairs_left")).crossJoin(gone.agg((F.count("*") > 0).alias("some_removed")))
 
 
-CORR = f"{M}, x AS (SELECT sample, feature, value FROM m WHERE feature < 16)"
+CORR = f"{M}, x AS (SELECT sample, feature, value FROM m)"
 
 
 @query(f"WITH {CORR} SELECT a.feature AS f1, b.feature AS f2, count(*) AS n, round(corr(a.value, b.value), 6) AS r FROM x a JOIN x b USING (sample) WHERE a.feature < b.feature GROUP BY ALL")
 def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(genetics.correlations(matrix(spark, sf_dir).filter("feature < 16")), "r")
+    return rounded(genetics.correlations(matrix(spark, sf_dir)), "r")
 
 
 @query(f"""WITH RECURSIVE {CORR}, c AS (SELECT a.feature AS f1, b.feature AS f2, corr(a.value, b.value) AS r FROM x a JOIN x b USING (sample) WHERE a.feature < b.feature GROUP BY ALL),
-    k AS (SELECT f1 AS a, f2 AS b FROM c WHERE abs(r) > 0.1 UNION SELECT f2, f1 FROM c WHERE abs(r) > 0.1 UNION SELECT DISTINCT feature, feature FROM x),
+    k AS (SELECT f1 AS a, f2 AS b FROM c WHERE abs(r) > 0.15 UNION SELECT f2, f1 FROM c WHERE abs(r) > 0.15 UNION SELECT DISTINCT feature, feature FROM x),
     r AS (SELECT a AS feature, a AS seen FROM k UNION SELECT r.feature, k.b FROM r JOIN k ON r.seen = k.a), g AS (SELECT feature, min(seen) AS root FROM r GROUP BY 1)
     SELECT feature, dense_rank() OVER (ORDER BY root)::INT AS group_id FROM g""")
 def corr_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return genetics.correlation_groups(matrix(spark, sf_dir).filter("feature < 16"), least=0.1)
+    return genetics.correlation_groups(matrix(spark, sf_dir), least=0.15)
 
 
 SCORED = "s AS (SELECT doc_id, (doc_id * 7919 % 10007) / 10007.0::DOUBLE * 0.7 + quality * 0.3 AS score, quality AS label FROM labels)"
