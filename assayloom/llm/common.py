@@ -35,6 +35,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Have Spark hand texts to Python in batches of so many rows, so that a batch of long texts stays small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; every other character as it is."""
     return F.translate(text, UPPER, UPPER.lower())

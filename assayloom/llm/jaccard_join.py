@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import small, text_or_empty, written
+from assayloom.llm.common import short_batches, small, text_or_empty, written
 from assayloom.llm.components import Forest, components
 from assayloom.llm.suffix_dedup import POWERS, chunks, mixed, sums_of, texts_of
 
@@ -40,6 +40,8 @@ BROADCAST_HASHES, BROADCAST_ROWS = 4_000_000, 500_000
 FEW = 32
 #: Shingles in a chunk of a block.
 BLOCK = 1_000_000
+#: Hashes that a task counts before it hands them on.
+LOT = 1_000_000
 NO_ID = -(1 << 63)
 
 SPACE = np.zeros(256, bool)
@@ -112,10 +114,17 @@ def screen_counts(texts: DataFrame, words: int, screen: Screen) -> DataFrame:
     """h, n: in how many texts each shown shingle is."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kept = [h[screen.shown(starts, h)] for _, starts, h in sets_of(b, words)]
+        def counted(kept: list[np.ndarray]) -> pa.RecordBatch:
             h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *kept]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+        kept: list[np.ndarray] = []
+        for b in batches:
+            kept += [h[screen.shown(starts, h)] for _, starts, h in sets_of(b, words)]
+            if sum(map(len, kept)) > LOT:  # enough for repeats to meet here
+                yield counted(kept)
+                kept = []
+        yield counted(kept)
 
     return texts.select("text").mapInArrow(work, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
@@ -155,7 +164,8 @@ def shared_by_join(texts: DataFrame, words: int, screen: Screen, hashes: DataFra
                 at = pa.array(np.repeat(rows, np.diff(starts))[kept])
                 yield pa.RecordBatch.from_arrays([b.column("id").take(at), b.column("mark").take(at), pa.array(h[kept].view(np.int64))], names=["id", "mark", "h"])
 
-    rows = texts.mapInArrow(work, "id long, mark long, h long").distinct()
+    # repeated rows count twice here, which keeps more of them for the exact steps that follow and loses none
+    rows = texts.mapInArrow(work, "id long, mark long, h long")
     return rows.join(hashes, "h", "left_semi").groupBy("id", "mark").agg(F.count("*").alias("shared"))
 
 
@@ -291,6 +301,7 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, block_size: int =
     which connect all that links connect.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     body = text_or_empty(F.col("text"))
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(body).alias("mark"), body.alias("text"))
     screen = Screen(percent)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import written
+from assayloom.llm.common import short_batches, written
 
 SALTS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -205,6 +205,7 @@ def ranked(df: DataFrame) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece."""
+    short_batches(docs.sparkSession)
     cut = written(pieces(docs, tokenizer, capacity), "pieces")
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
     patterns = reduced(counts, capacity)

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayloom.llm.common import short_batches
+
 P = (1 << 31) - 1
 BASES = (1_000_003, 2_038_074_743 % P)
 SPAN, SHORT, FEW, KEEP = 12, 4, 64, 64
@@ -165,4 +167,5 @@ def prints(docs: DataFrame, rows_a_range: int = 5000) -> DataFrame:
                 held = None if tail else (at, doc, text, arrays, own)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types.types, strict=True)], schema=types)
 
+    short_batches(docs.sparkSession)
     return with_next(docs, rows_a_range).mapInArrow(work, SCHEMA)

@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import text_or_empty, written
+from assayloom.llm.common import short_batches, text_or_empty, written
 
 LENGTH, WINDOW, GRAM = 200, 150, 16
 REACH, HEAD = LENGTH - WINDOW + 1, 40
@@ -41,6 +41,8 @@ BROADCAST_HASHES = 4_000_000
 #: Contexts of a group that a merge holds at once; bytes of contexts a range should have; texts looked at for its bounds.
 GROUP, RANGE_BYTES, BOUNDS_FROM = 50_000, 12 << 20, 1000
 CHUNK = 1 << 19
+#: Hashes that a task counts, and contexts of a run that it sorts, before it hands them on.
+LOT, RUN = 1_000_000, 40_000
 
 _SEED = np.random.default_rng(20_240_607)
 BYTE = _SEED.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -122,10 +124,17 @@ def anchor_hashes(texts: DataFrame) -> DataFrame:
     """h, n: the hash of REACH bytes at each anchor, and how often it stands in the texts, 2 standing for more."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [anchors(np.frombuffer(data, np.uint8), ends)[2] for _, data, ends in chunks(texts_of(b))]
+        def counted(found: list[np.ndarray]) -> pa.RecordBatch:
             h, n = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["h", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+        found: list[np.ndarray] = []
+        for b in batches:
+            found += [anchors(np.frombuffer(data, np.uint8), ends)[2] for _, data, ends in chunks(texts_of(b))]
+            if sum(map(len, found)) > LOT:
+                yield counted(found)
+                found = []
+        yield counted(found)
 
     return texts.select("text").mapInArrow(work, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
@@ -356,19 +365,26 @@ def bounds(texts: DataFrame, parts: int) -> list[bytes]:
 
 
 def sorted_runs(texts: DataFrame, shared: Broadcast) -> DataFrame:
-    """part, run: of each batch of texts the front-coded sorted run of every range. shared: (Repeated, bounds)."""
+    """part, run: the front-coded sorted runs of every range, of RUN contexts or more. shared: (Repeated, bounds)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated, cuts = shared.value
-        for b in batches:
-            found: dict[tuple[bytes, bytes], int] = {}
-            for _, _, before, after in repeated.of(b):
-                found[after, before] = found.get((after, before), 0) + 1
+
+        def dealt(found: dict[tuple[bytes, bytes], int]) -> pa.RecordBatch:
             parts: list[list] = [[] for _ in range(len(cuts) + 1)]
             for (after, before), n in sorted(found.items()):
                 parts[bisect.bisect_right(cuts, after[:HEAD])].append((after, before, n))
             full = [p for p, x in enumerate(parts) if x]
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([front_coded(parts[p]) for p in full], pa.binary())], names=["part", "run"])
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([front_coded(parts[p]) for p in full], pa.binary())], names=["part", "run"])
+
+        found: dict[tuple[bytes, bytes], int] = {}
+        for b in batches:
+            for _, _, before, after in repeated.of(b):
+                found[after, before] = found.get((after, before), 0) + 1
+            if len(found) > RUN:
+                yield dealt(found)
+                found = {}
+        yield dealt(found)
 
     return texts.mapInArrow(work, "part int, run binary")
 
@@ -416,6 +432,7 @@ def oversized_ranges(rows: DataFrame) -> DataFrame:
 def removed_ranges(docs: DataFrame, broadcast: int = BROADCAST_HASHES) -> tuple[DataFrame, DataFrame]:
     """(texts, ranges): texts are rows (id, mark, text), ranges rows (id, mark, spans array<struct<start,end>>)."""
     spark = docs.sparkSession
+    short_batches(spark)
     body = text_or_empty(F.col("text"))
     texts = docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64(body).alias("mark"), body.alias("text"))
     hashes = written(anchor_hashes(texts).filter("n > 1"), "anchor-hashes")
@@ -434,6 +451,7 @@ def removed_ranges(docs: DataFrame, broadcast: int = BROADCAST_HASHES) -> tuple[
     result = written(merge_ranges(runs.repartition(parts, "part")), "context-ranges")
     settled = result.filter("strings IS NULL").select("k1", "k2", "least", "most")
     ranges = settled.unionByName(oversized_ranges(result)).groupBy("k1", "k2").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    ranges = written(ranges, "ranges")  # so that the join below has nothing but its two shuffles, and a hot context can be split
     span = F.struct((F.col("place") - F.col("most")).alias("start"), (F.col("place") - F.col("least") + LENGTH).alias("end"))
     hits = occurrences(known, shared).join(ranges, ["k1", "k2"])
     return texts, hits.select("id", "mark", span.alias("span")).groupBy("id", "mark").agg(F.sort_array(F.collect_set("span")).alias("spans"))

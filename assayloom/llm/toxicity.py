@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import written
+from assayloom.llm.common import short_batches, written
 
 #: Signs and the letters they may stand for (fixed values).
 LOOKS = {
@@ -35,7 +35,7 @@ EDGE = ".,;:!?\"'()[]{}<>|&#%/\\*+-_=~^`$@"
 APART = re.compile(r"(?<![^\W_])[^\W_](?:[\s.\-_*]{1,2}[^\W_](?![^\W_])){2,}")
 #: Log probabilities of the channel: a sign for a letter, a dropped mark, a repeated letter as one or as two, any letter for a star, a word end between letters set apart.
 SIGN, DROP, ONE, TWO, STAR, END = -1.0, -0.7, -0.7, -1.2, -3.5, -1.5
-READINGS, CACHE = 3, 200_000
+READINGS, CACHE = 3, 60_000
 #: Beginnings of words count as features of their own: compounds of one stem share it.
 PREFIXES, BEGINS = (3, 4, 5, 6, 7), "^"
 THRICE, LETTERS_ONLY = re.compile(r"(.)\1\1"), re.compile(r"[^\W\d_]+")
@@ -215,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, most_rows: int =
 
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(model)
-        for b in batches:
+        for b in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):  # a row has thousands of features
             words = [sorted(decoder.features(t or "")) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("toxic").cast(pa.int32()), pa.array(words, pa.list_(pa.string()))], names=["doc_id", "toxic", "words"])
 
@@ -260,5 +260,6 @@ def score(docs: DataFrame, model: np.ndarray, weights: dict[str, float], bias: f
 
 def toxicity(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> DataFrame:
     """`docs` with score: the language model over all of `docs`, the weights from the labelled rows among them."""
+    short_batches(docs.sparkSession)
     model = log_model(model_counts(docs))
     return score(docs, model, *fit(docs, labels, model, most_rows))
