@@ -295,9 +295,9 @@ def chunk_pairs(placed: DataFrame, block_size: int) -> DataFrame:
 
 
 def groups(docs: DataFrame, words: int = 5, percent: int = 80, block_size: int = BLOCK, broadcast: int = BROADCAST_HASHES) -> DataFrame:
-    """doc_id, mark, n_shingles, component_id, n_links for each row of docs; mark is a hash of the text.
+    """doc_id, mark, n_shingles, component_id, n_tree_links for each row of docs; mark is a hash of the text.
 
-    component_id is the least doc_id that links reach. n_links counts the links the search recorded at the row's class,
+    component_id is the least doc_id that links reach. n_tree_links is not the number of links: it counts those the search recorded at the row's class,
     which connect all that links connect.
     """
     spark = docs.sparkSession
@@ -327,10 +327,10 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, block_size: int =
     tasks = sets.select("node", "shingles").join(pairs, "node").repartition("block", "low", "high").sortWithinPartitions("block", "low", "high", "chunk", "node")
     links = written(block_links(tasks, percent), "links")
     found = components(links)
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_tree_links"))
     named = classes.select("k1", "k2", F.col("id").alias("node")).join(found, "node", "left").join(ends, "node", "left")
-    class_of = named.select("k1", "k2", F.coalesce("root", "node").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    class_of = named.select("k1", "k2", F.coalesce("root", "node").alias("component_id"), F.coalesce("n_tree_links", F.lit(0)).alias("n_tree_links"))
     out = each.join(class_of, ["k1", "k2"], "left")
     own = F.when(F.col("id") != NO_ID, F.col("id"))
     linked = F.when(F.col("n") > 0, F.col("component_id"))
-    return out.select(own.alias("doc_id"), "mark", F.col("n").alias("n_shingles"), F.coalesce(linked, own).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select(own.alias("doc_id"), "mark", F.col("n").alias("n_shingles"), F.coalesce(linked, own).alias("component_id"), F.coalesce("n_tree_links", F.lit(0)).cast("long").alias("n_tree_links"))

@@ -22,7 +22,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assayloom.llm.jaccard_join import groups
 
-    return groups(table(spark, sf_dir, "documents"), words=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_links")
+    return groups(table(spark, sf_dir, "documents"), words=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_tree_links")
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
