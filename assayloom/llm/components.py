@@ -54,7 +54,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     """(node, root): every node of an edge but the roots, with the least node of its component.
 
     A round is a large star (every node's larger neighbours go to its least neighbour) and a small star (its smaller ones
-    do); rounds grow with the logarithm of the nodes. Loops and repeated edges don't matter. Rows that a hub has are
+    do); rounds grow with the logarithm of the nodes, and running out of them is an error. Loops and repeated edges don't matter. Rows that a hub has are
     aggregated before the shuffle, and the joins back are ones that adaptive execution may split.
     """
     now = written(local_stars(edges.filter(F.col(a) != F.col(b)), a, b).distinct(), "edges")
@@ -70,4 +70,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         first = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(first, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(first.select("u", F.col("m").alias("v")))
         now = written(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct(), "edges")
+    else:
+        raise RuntimeError(f"components are not stable after {most_rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
