@@ -64,8 +64,9 @@ def rarest(windows: DataFrame, counts: DataFrame, r: int) -> DataFrame:
 def match(docs: DataFrame, items: DataFrame, n: int = 10, r: int = 3, slop: int = 8, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Exact phrase hits (doc_id, item_id, start, len) and proximity matches (doc_id, item_id).
 
-    A proximity match is an item of which at least `share` of the looked-up terms stand in a document, in runs of two or
-    more that keep the item's spacing, the runs displaced against one another by fewer than 2 * `slop` words.
+    A proximity match is an item of which at least `share` of the looked-up places (each counts once) stand in a document,
+    displaced against one another by fewer than 2 * `slop` words (in two neighbouring lanes of `slop` shifts). A place
+    counts if it stands in the item's order with another one there, so a text read backwards is none.
     """
     texts = docs.select("doc_id", words(F.col("text")).alias("words"))
     windows = test_windows(items, n)
@@ -74,19 +75,27 @@ def match(docs: DataFrame, items: DataFrame, n: int = 10, r: int = 3, slop: int
     wanted = written(rarest(windows, counts, r), "wanted-windows")
     places = written(wanted.select("item", F.explode("need").alias("x")).select("item", "x.ipos", "x.term").distinct(), "places")
     index = written(postings(texts, small(places.select("term").distinct(), BROADCAST_TERMS)), "postings")
-    on_item = index.join(small(places, BROADCAST_TERMS), "term").select("item", "doc_id", (F.col("pos") - F.col("ipos")).alias("shift"))
+    on_item = index.join(small(places, BROADCAST_TERMS), "term").select("item", "doc_id", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"))
     need = wanted.select("item", "item_id", "w", "terms", F.size("need").alias("need"))
     wants = need.groupBy("item").agg(F.min("need").alias("least"), F.first("item_id").alias("item_id")).join(places.groupBy("item").agg(F.count("*").alias("total")), "item")
-    diagonals = on_item.groupBy("item", "doc_id", "shift").agg(F.count("*").alias("n"))
-    runs = written(diagonals.join(small(wants, BROADCAST_TERMS), "item").filter((F.col("n") >= F.least("least", F.lit(2)))), "runs")
-    strong = runs.drop("item_id").join(need, "item").filter("n >= need").select("doc_id", "item_id", (F.col("shift") + F.col("w")).alias("start"), "terms").filter("start >= 0")
-    ids = small(runs.filter("n >= least").select("doc_id").distinct(), BROADCAST_IDS)
+    wants = small(written(wants.withColumn("enough", F.ceil(F.col("total") * share)), "wants"), BROADCAST_TERMS)
+    lane = F.floor(F.col("shift") / F.lit(slop))
+    # an occurrence lies in one lane, and of two lanes that hold enough together one holds half: no other pair can match
+    counted = on_item.groupBy("item", "doc_id", lane.alias("lane")).agg(F.count("*").alias("n")).join(wants, "item")
+    pairs = written(counted.filter(F.col("n") >= F.least("least", F.ceil(F.col("enough") / 2))).select("item", "doc_id").distinct(), "pairs")
+    placed = written(on_item.join(small(pairs, BROADCAST_IDS), ["item", "doc_id"], "left_semi"), "placed")
+    diagonals = placed.groupBy("item", "doc_id", "shift").agg(F.count("*").alias("n")).join(wants.select("item", "least"), "item")
+    runs = written(diagonals.filter("n >= least").drop("least"), "runs")
+    strong = runs.join(need, "item").filter("n >= need").select("doc_id", "item_id", (F.col("shift") + F.col("w")).alias("start"), "terms").filter("start >= 0")
+    ids = small(runs.select("doc_id").distinct(), BROADCAST_IDS)
     held = texts.join(ids, "doc_id", "left_semi")
     exact = held.join(strong, "doc_id").filter(F.slice("words", F.col("start") + 1, F.size("terms")) == F.col("terms"))
     hits = exact.select("doc_id", "item_id", "start", F.size("terms").alias("len")).distinct()
-    lane = F.floor(F.col("shift") / F.lit(slop))
-    lanes = runs.select("item_id", "item", "doc_id", "total", "n", F.explode(F.array(lane, lane + 1)).alias("lane"))
-    near = lanes.groupBy("item_id", "item", "doc_id", "total", "lane").agg(F.sum("n").alias("n")).filter(F.col("n") >= F.ceil(F.col("total") * share))
+    lanes = placed.select("item", "doc_id", "ipos", (F.col("ipos") + F.col("shift")).alias("pos"), F.explode(F.array(lane, lane + 1)).alias("lane")).join(wants.select("item", "enough"), "item")
+    by_place = Window.partitionBy("item", "doc_id", "lane").orderBy("ipos")
+    first, last = F.min("pos").over(by_place.rangeBetween(Window.unboundedPreceding, -1)), F.max("pos").over(by_place.rangeBetween(1, Window.unboundedFollowing))
+    ordered = lanes.withColumns({"first": first, "last": last}).filter("enough = 1 OR first < pos OR last > pos")
+    near = ordered.groupBy("item", "doc_id", "lane").agg(F.countDistinct("ipos").alias("n"), F.first("enough").alias("enough")).filter("n >= enough").join(wants, "item")
     return hits, near.select("doc_id", "item_id").distinct()
 
 

@@ -68,6 +68,17 @@ def test_proximity(spark):
     assert got == {1: (True, 1), 2: (False, 1), 3: (False, 0), 4: (False, 0)}
 
 
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_proximity_counts_places_once(spark, monkeypatch, limit):
+    monkeypatch.setattr(p, "BROADCAST_IDS", limit)
+    item = "aa bb cc"  # three looked-up places, all needed
+    texts = [(1, item), (2, "aa bb extra cc"), (3, "aa x bb y cc"), (4, "aa bb x aa bb"), (5, "aa bb" + " x" * 30 + " cc"), (6, "cc bb"), (7, "cc bb aa")]
+    texts += [(10 + k, "x " * k + "aa bb extra cc") for k in range(9)]  # also across the lanes' bounds
+    docs, items = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r["doc_id"]: r["n_near"] for r in p.contamination(docs, items).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 0, 5: 0, 6: 0, 7: 0} | {10 + k: 1 for k in range(9)}
+
+
 def test_decontaminated_and_empty(tables, spark):
     docs, items, rows, plain = tables
     kept = p.decontaminated(docs, items)
