@@ -115,9 +115,9 @@ def neighbours(scores: DataFrame, columns: list[str], k: int) -> DataFrame:
 
 
 def kbet_acceptance(scores: DataFrame, columns: list[str], batch: str, k: int = 25, alpha: float = 0.05) -> DataFrame:
-    """acceptance: 1 - share of samples whose neighbourhood's batch counts differ from the whole by a chi-squared test."""
+    """acceptance over the k nearest samples, a tenth of them at most: 1 - share of samples whose neighbourhood's batch counts differ from the whole by a chi-squared test."""
     share = scores.groupBy(batch).agg(F.count("*").alias("n")).withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
-    near = neighbours(scores, columns, k).join(scores.select(F.col("sample").alias("t"), F.col(batch).alias("b")), "t")
+    near = neighbours(scores, columns, min(k, scores.count() // 10)).join(scores.select(F.col("sample").alias("t"), F.col(batch).alias("b")), "t")
     counts = near.groupBy("s").pivot("b", [r[0] for r in share.select(batch).orderBy(batch).collect()]).count().fillna(0)
     shares = {str(r[batch]): r["share"] for r in share.collect()}
     size = sum((F.col(f"`{b}`") for b in shares), F.lit(0))

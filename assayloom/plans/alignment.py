@@ -83,12 +83,12 @@ def kbet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(None)
 def lisi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return h.lisi(_scores(spark, sf_dir), ["a", "b"], "batch", perplexity=10.0)
+    return h.lisi(_scores(spark, sf_dir), ["a", "b"], "batch")
 
 
 @query(None)
 def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return h.bootstrap_median(association.pair_distance(pairs(spark, sf_dir)), "distance", resamples=2000)
+    return h.bootstrap_median(association.pair_distance(pairs(spark, sf_dir)), "distance")
 
 
 @query(None)

@@ -70,6 +70,24 @@ def test_mixed_batches_score_well(spark):
     assert h.lisi(mixed, ["a", "b"], "batch", 10.0).head()[0] > 1.7 and h.lisi(apart, ["a", "b"], "batch", 10.0).head()[0] < 1.05
 
 
+def test_kbet_takes_a_tenth_of_few_samples(spark, monkeypatch):
+    asked, near = [], h.neighbours
+    monkeypatch.setattr(h, "neighbours", lambda scores, columns, k: asked.append(k) or near(scores, columns, k))
+    rows = spark.createDataFrame([(i, i % 2, float(i), 0.0) for i in range(60)], "sample int, batch int, a double, b double")
+    assert h.kbet_acceptance(rows, ["a", "b"], "batch").head()[0] is not None and asked == [6]
+
+
+def test_alignment_queries_keep_the_defaults(monkeypatch):
+    from assayloom.plans import alignment
+
+    monkeypatch.setattr(alignment, "_scores", lambda *a: None)
+    monkeypatch.setattr(alignment, "pairs", lambda *a: None)
+    monkeypatch.setattr(alignment.association, "pair_distance", lambda p: None)
+    for name, operator in (("lisi", "lisi"), ("bootstrap_ci", "bootstrap_median"), ("kbet", "kbet_acceptance")):
+        monkeypatch.setattr(h, operator, lambda *a, **k: k)
+        assert getattr(alignment, name)(None, "") == {}
+
+
 def test_shapiro_and_bootstrap(spark):
     x = [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236]  # W = 0.79 in the literature
     w = h.shapiro_w(spark.createDataFrame([("g", float(v)) for v in x], "g string, v double"), "v", "g").head()["w"]
