@@ -9,8 +9,9 @@ slack = n - ceil(percent * n / 100) of its shingles with any partner. In this or
 3. The shingles of what is left are counted, and each class shows the slack + 1 rarest of its shingles: two classes that
    link share one. Connected components over them are blocks that no link leaves.
 4. Each block is searched through inverted lists: for a set the short lists are merged and counted, and the sets found
-   often enough there are probed in the long lists by binary search, until the overlap is reached or can't be. Two classes
-   known to be connected aren't compared again. A block of more than BLOCK shingles is cut into chunks, and every pair of
+   often enough there are probed in the long lists by binary search, until the overlap is reached or can't be. Every pair
+   that can link is decided, and links are summed at each class, not stored; the pairs kept for step 5 are those that
+   connect. Time is quadratic in a group of different near copies. A block of more than BLOCK shingles is cut into chunks, and every pair of
    chunks is a task of its own, so a task holds 2 * BLOCK shingles at most.
 5. Connected components of the links.
 
@@ -181,8 +182,9 @@ def set_rows(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(work, "node long, n long, shingles array<long>")
 
 
-def search(nodes: np.ndarray, chunk: np.ndarray, starts: np.ndarray, h: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links between sets that connect all that links connect. chunk: 0 or 1; if there are both, only pairs across count.
+def search(nodes: np.ndarray, chunk: np.ndarray, starts: np.ndarray, h: np.ndarray, percent: int, weight: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links between sets that connect all that links connect, and for each set the weights of all sets that it links with.
+    chunk: 0 or 1; if there are both, only pairs across count.
 
     Sets are taken by size, each against the smaller ones before it. Of its n inverted lists the longest are left out of
     the merge: a partner is in T of the lists, so it is in T - long at least of the short ones.
@@ -200,7 +202,7 @@ def search(nodes: np.ndarray, chunk: np.ndarray, starts: np.ndarray, h: np.ndarr
     keys = np.sort(token.astype(np.int64) << bits | owner)  # all inverted lists, one after another
     begin = np.searchsorted(keys >> bits, np.arange(token.max(initial=-1) + 2))
     posting = keys & ((1 << bits) - 1)
-    forest, links = Forest(m), []
+    forest, links, linked = Forest(m), [], np.zeros(m, np.int64)
     for q in range(m):
         at = order[q]
         own = token[starts[at] : starts[at + 1]]
@@ -225,8 +227,6 @@ def search(nodes: np.ndarray, chunk: np.ndarray, starts: np.ndarray, h: np.ndarr
         found, seen = found[fits], seen[fits]
         for i in np.argsort(-seen, kind="stable"):
             b = int(found[i])
-            if forest.find(b) == forest.find(q):
-                continue
             need = -(-percent * int(size[q] + size[b]) // (100 + percent)) - int(seen[i])
             if need > len(longs):
                 continue
@@ -238,36 +238,43 @@ def search(nodes: np.ndarray, chunk: np.ndarray, starts: np.ndarray, h: np.ndarr
                 if hit >= need or hit + len(longs) - part - len(probe) < need:
                     break
             if hit >= need:
-                forest.join(q, b)
-                links.append((int(nodes[order[b]]), int(nodes[at])))
-    return links
+                linked[at] += weight[order[b]]
+                linked[order[b]] += weight[at]
+                if forest.join(q, b):
+                    links.append((int(nodes[order[b]]), int(nodes[at])))
+    return links, linked
 
 
 def block_links(rows: DataFrame, percent: int) -> DataFrame:
-    """a, b of rows (block, low, high, chunk, node, shingles): links found in each pair of chunks."""
+    """a, b, n of rows (block, low, high, chunk, node, weight, shingles), from each pair of chunks: links that connect (n is
+    null), and for each node a with links the rows it links with there, n (b is null)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solved(held: list) -> pa.RecordBatch:
+        def solved(task: tuple, held: list) -> pa.RecordBatch:
             nodes = np.array([x[0] for x in held], np.int64)
             side = np.array([x[1] for x in held], np.int64)
             starts = np.concatenate([[0], np.cumsum([len(x[2]) for x in held])])
-            links = search(nodes, side, starts, np.concatenate([x[2] for x in held]), percent) if len(held) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+            weight = np.array([x[3] for x in held], np.int64)
+            some = len(held) > 1 and (task[1] == task[2] or 0 < side.sum() < len(side))  # a large set can leave the next chunk empty
+            links, linked = search(nodes, side, starts, np.concatenate([x[2] for x in held]), percent, weight) if some else ([], np.zeros(len(held), np.int64))
+            some = np.flatnonzero(linked)
+            a, b, n = [*(x[0] for x in links), *nodes[some].tolist()], [*(x[1] for x in links), *[None] * len(some)], [*[None] * len(links), *linked[some].tolist()]
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, n)], names=["a", "b", "n"])
 
         task, held = None, []
         for b in batches:
             sets, ends = b.column("shingles"), b.column("shingles").offsets.to_numpy()
             flat = sets.values.to_numpy()
-            for i, key in enumerate(zip(*(b.column(c).to_pylist() for c in ("block", "low", "high", "chunk", "node")), strict=True)):
+            for i, key in enumerate(zip(*(b.column(c).to_pylist() for c in ("block", "low", "high", "chunk", "node", "weight")), strict=True)):
                 if key[:3] != task and held:
-                    yield solved(held)
+                    yield solved(task, held)
                     held = []
                 task = key[:3]
-                held.append((key[4], int(key[3] != key[1]), flat[ends[i] : ends[i + 1]].copy()))
+                held.append((key[4], int(key[3] != key[1]), flat[ends[i] : ends[i + 1]].copy(), key[5]))
         if held:
-            yield solved(held)
+            yield solved(task, held)
 
-    return rows.mapInArrow(work, "a long, b long")
+    return rows.mapInArrow(work, "a long, b long, n long")
 
 
 def blocks(sets: DataFrame, percent: int) -> DataFrame:
@@ -295,10 +302,10 @@ def chunk_pairs(placed: DataFrame, block_size: int) -> DataFrame:
 
 
 def groups(docs: DataFrame, words: int = 5, percent: int = 80, block_size: int = BLOCK, broadcast: int = BROADCAST_HASHES) -> DataFrame:
-    """doc_id, mark, n_shingles, component_id, n_tree_links for each row of docs; mark is a hash of the text.
+    """doc_id, mark, n_shingles, component_id, n_links for each row of docs; mark is a hash of the text.
 
-    component_id is the least doc_id that links reach. n_tree_links is not the number of links: it counts those the search recorded at the row's class,
-    which connect all that links connect.
+    component_id is the least doc_id that links reach. n_links is the number of other rows that the row links with, those of
+    its own class among them; rows of a null doc_id count in classes that have a doc_id.
     """
     spark = docs.sparkSession
     short_batches(spark)
@@ -318,19 +325,21 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, block_size: int =
     likely = each.filter((F.col("n") > 0) & (F.col("shared") >= F.col("tested") - spare))
     # a class goes by the least id among its rows; of rows with that id the least mark gives the text
     least = likely.filter(F.col("id") != NO_ID).groupBy("k1", "k2").agg(F.min(F.struct("id", "mark")).alias("at"))
-    classes = written(least.select("k1", "k2", "at.*"), "classes")
+    members = likely.groupBy("k1", "k2").agg(F.count("*").alias("weight"))
+    classes = written(least.select("k1", "k2", "at.*").join(members, ["k1", "k2"]), "classes")
     chosen = small(classes.select("id", "mark"), BROADCAST_ROWS)
     picked = texts.join(chosen, ["id", "mark"], "left_semi").select(F.col("id").alias("node"), "text").dropDuplicates(["node"])
     sets = written(set_rows(picked, words), "sets")
     where = written(blocks(sets, percent), "blocks")
     pairs = chunk_pairs(where.join(sets.select("node", "n"), "node"), block_size)
-    tasks = sets.select("node", "shingles").join(pairs, "node").repartition("block", "low", "high").sortWithinPartitions("block", "low", "high", "chunk", "node")
-    links = written(block_links(tasks, percent), "links")
-    found = components(links)
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_tree_links"))
-    named = classes.select("k1", "k2", F.col("id").alias("node")).join(found, "node", "left").join(ends, "node", "left")
-    class_of = named.select("k1", "k2", F.coalesce("root", "node").alias("component_id"), F.coalesce("n_tree_links", F.lit(0)).alias("n_tree_links"))
+    weights = classes.groupBy(F.col("id").alias("node")).agg(F.max(F.struct(-F.col("mark"), "weight"))["weight"].alias("weight"))
+    tasks = sets.select("node", "shingles").join(pairs, "node").join(weights, "node").repartition("block", "low", "high").sortWithinPartitions("block", "low", "high", "chunk", "node")
+    solved = written(block_links(tasks, percent), "links")
+    found = components(solved.filter("n IS NULL").select("a", "b"))
+    ends = solved.filter("n IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_other"))
+    named = classes.select("k1", "k2", "weight", F.col("id").alias("node")).join(found, "node", "left").join(ends, "node", "left")
+    class_of = named.select("k1", "k2", F.coalesce("root", "node").alias("component_id"), (F.col("weight") - 1 + F.coalesce("n_other", F.lit(0))).alias("n_links"))
     out = each.join(class_of, ["k1", "k2"], "left")
     own = F.when(F.col("id") != NO_ID, F.col("id"))
     linked = F.when(F.col("n") > 0, F.col("component_id"))
-    return out.select(own.alias("doc_id"), "mark", F.col("n").alias("n_shingles"), F.coalesce(linked, own).alias("component_id"), F.coalesce("n_tree_links", F.lit(0)).cast("long").alias("n_tree_links"))
+    return out.select(own.alias("doc_id"), "mark", F.col("n").alias("n_shingles"), F.coalesce(linked, own).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

@@ -40,6 +40,16 @@ def test_against_brute_force(docs, plain, words, percent, k):
     assert found(docs, words, percent, **k) == brute(plain, words, percent)
 
 
+@pytest.mark.parametrize("k", [{}, {"block_size": 60}, {"block_size": 20}])
+def test_counts_every_link(spark, k):
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(w if i else f"z{j}" for i, w in enumerate(base)) for j in range(6)]  # a clique of different near copies
+    texts += [texts[0], texts[0].upper(), "alone in its words here", " ".join(base[:30])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in groups(df, 4, 85, **k).collect()}
+    assert got == {i: (0, 7) for i in range(8)} | {8: (8, 0), 9: (9, 0)}
+
+
 def test_every_row_comes_back(docs, none, nulls):
     assert groups(docs).count() == docs.count()
     assert groups(none).count() == 0
