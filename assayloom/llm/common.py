@@ -49,6 +49,17 @@ def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+def keyed(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """doc_id, id, mark, text of each row, a null text as the empty one, and with `whole` all its columns as the struct row.
+
+    Rows with one id and mark are rows of one doc_id (or of a null one) and one text; neither of the two is ever null, so
+    they can be joined on. Names of the input's columns can't clash with an operator's while they are in the struct.
+    """
+    body = text_or_empty(F.col("text"))
+    own = [F.col("doc_id"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.xxhash64(body, F.col("doc_id").isNull()).alias("mark"), body.alias("text")]
+    return docs.select(*own, *[F.struct(*docs.columns).alias("row")] * whole)
+
+
 def utf8(text: Column) -> Column:
     return F.encode(text_or_empty(text), "UTF-8")
 
