@@ -1,7 +1,9 @@
 """The corpus pipeline: toxic documents go, one document of each group of near copies stays, documents with benchmark
 passages go, personal data is replaced, and what is left is packed into training sequences.
 
-Every stage takes all its predecessor kept, and all but the last return the columns of its input in their order.
+Every stage takes all its predecessor kept, and all but the last return the columns of its input in their order. Further
+columns go along, also those whose names operators use; nulls, ties, repeated rows and empty tables are defined at each
+stage and its operator.
 """
 
 from __future__ import annotations
@@ -9,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import small, table, text_or_empty, written
-from assayloom.llm.jaccard_join import BROADCAST_ROWS, NO_ID, groups
+from assayloom.llm.common import keyed, small, table, written
+from assayloom.llm.jaccard_join import BROADCAST_ROWS, groups
 from assayloom.llm.packing import pack
 from assayloom.llm.phrase_index import decontaminated
 from assayloom.llm.pii_weak import find, fit, redact
@@ -23,28 +25,36 @@ def whole(docs: DataFrame) -> DataFrame:
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows scored under 0.5 stay. A null or empty text has the base score; rows of one text score alike and go together."""
     scored = toxicity(whole(docs), table(spark, sf_dir, "labels"))
     return scored.filter("score < 0.5").select("_row.*")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity 0.8 or more; the least doc_id of a group stays, and of repeated rows one."""
-    found = written(groups(docs, words=5, percent=80).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("mark").alias("_mark"), "doc_id", "component_id"), "near-copies")
-    gone = found.filter("component_id IS NOT NULL AND NOT component_id <=> doc_id").select("_id", "_mark").distinct()
-    keyed = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(NO_ID)), "_mark": F.xxhash64(text_or_empty(F.col("text")))})
-    kept = keyed.join(small(gone, BROADCAST_ROWS), ["_id", "_mark"], "left_anti")
-    if not found.filter(F.col("_id") != NO_ID).groupBy("_id", "_mark").count().filter("count > 1").isEmpty():
-        named = F.col("_id") != NO_ID
-        kept = kept.filter(named).dropDuplicates(["_id", "_mark"]).unionByName(kept.filter(~named))
-    return kept.select(*docs.columns)
+    """Five-word shingles, similarity 0.8 or more; of a group the row of the least doc_id stays (a null one comes last, ties
+    go by a hash of the text), and of repeated rows one. Rows without words are in no group and all stay."""
+    found = written(groups(docs, words=5, percent=80).filter("component IS NOT NULL"), "near-copies")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "id", "mark")
+    least = found.groupBy("component").agg(F.min(order).alias("least"), F.count("*").alias("rows")).filter("rows > 1")
+    grouped = found.join(small(least, BROADCAST_ROWS), "component").withColumn("stays", F.col("least") == order)
+    keys = written(grouped.groupBy("id", "mark").agg(F.max("stays").alias("stays"), F.count("*").alias("rows")), "near-copy-keys")
+    rows = keyed(docs, whole=True)
+    kept = rows.join(small(keys.filter("NOT stays").select("id", "mark"), BROADCAST_ROWS), ["id", "mark"], "left_anti")
+    repeated = keys.filter("stays AND rows > 1").select("id", "mark")
+    if not repeated.isEmpty():
+        repeated = small(repeated, BROADCAST_ROWS)
+        one = kept.join(repeated, ["id", "mark"], "left_semi").dropDuplicates(["id", "mark"])
+        kept = kept.join(repeated, ["id", "mark"], "left_anti").unionByName(one)
+    return kept.select("row.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with ten consecutive words of a benchmark item (all words of a shorter item) go, whatever their doc_id."""
     return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data become <KIND>; n_chars follows the text."""
+    """Spans of personal data become <KIND>; n_chars follows the text. A null text stays null, an empty one empty."""
     found = find(whole(docs), fit(docs))
     text = F.when(F.col("text").isNotNull(), redact(F.col("text"), "spans"))
     clean = found.select("_row", text.alias("_clean"))
@@ -53,6 +63,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens in their sequences; a null text is empty, repeated rows are documents of their own."""
     import public_tokenizers
 
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048)
