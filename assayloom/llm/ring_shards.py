@@ -5,8 +5,12 @@ goes to the first virtual node clockwise; where that shard is full it continues
 shard exceeds its capacity. Only the counts of the CELLS positions reach the driver, and only the plan made from them
 (at most CELLS + shards * 2 rows, whatever the input) is broadcast.
 
+Rows get their places by rank within a ring position. Ranks come from sums: a position's rows are counted by a hash of
+their order columns and a part of equal rows, sums over salts of that hash give every count its first rank, and only equal
+rows of one part are numbered one by one. So a key that a third of all rows have, null or not, is spread over tasks.
+
 Defined results: a null key has a position of its own like any other, repeated rows each take a place, an empty table
-gives no rows, further columns of the input stay out of the way (names here start with an underscore).
+gives no rows, further columns of the input go along whatever their names; columns named shard or slot are replaced.
 """
 
 from __future__ import annotations
@@ -17,8 +21,12 @@ import zlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayloom.llm.common import written
+
 CELL_BITS = 14
 CELLS = 1 << CELL_BITS
+#: Tasks that a ring position's rows may be spread over, and that equal rows may.
+SALTS, PARTS = 256, 64
 
 
 def ring(shards: int, vnodes: int) -> list[tuple[int, int]]:
@@ -64,19 +72,33 @@ def plan(counts: dict[int, int], shards: int, vnodes: int, slack: float) -> list
     return out
 
 
+def ranks(rows: DataFrame) -> DataFrame:
+    """rows (cell, hash, part, ...) with rank, from 0 in each cell, by hash and, among equal ones, by part."""
+    salt = F.pmod(F.shiftright("hash", 40), F.lit(SALTS)).alias("salt")
+    counted = written(rows.groupBy("cell", salt, "hash", "part").agg(F.count("*").alias("n")), "ring-counts")
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    sums = counted.groupBy("cell", "salt").agg(F.sum("n").alias("n"))
+    base = sums.select("cell", "salt", F.coalesce(F.sum("n").over(before("cell").orderBy("salt")), F.lit(0)).alias("base"))
+    within = counted.select("cell", "salt", "hash", "part", F.coalesce(F.sum("n").over(before("cell", "salt").orderBy("hash", "part")), F.lit(0)).alias("within"))
+    first = within.join(base, ["cell", "salt"]).select("cell", "hash", "part", (F.col("base") + F.col("within")).alias("first"))
+    own = F.row_number().over(Window.partitionBy("cell", "hash", "part").orderBy("hash"))
+    return rows.withColumn("own", own).join(first, ["cell", "hash", "part"]).withColumn("rank", F.col("first") + F.col("own") - 1).drop("own", "first")
+
+
 def assign(df: DataFrame, key: Column, order: list[Column], shards: int, vnodes: int = 64, slack: float = 0.05) -> DataFrame:
     """`df` with shard and slot (gapless from 0 in each shard).
 
     slack: a shard takes at most (1 + slack) / shards of the rows; at 0 counts are at most one apart. Within a ring
-    position rows rank by their hash and then by `order`, which ought to tell rows apart that differ.
+    position rows rank by a hash of key and `order`, which ought to tell rows apart that differ.
     """
-    placed = df.withColumn("_hash", F.xxhash64(key)).withColumn("_cell", F.shiftrightunsigned("_hash", 64 - CELL_BITS).cast("int"))
-    counts = {r["_cell"]: r["count"] for r in placed.groupBy("_cell").count().collect()}  # at most CELLS rows
-    rows = plan(counts, shards, vnodes, slack)
     spark = df.sparkSession
-    segments = spark.createDataFrame(rows, "_cell int, _from long, _to long, shard int, _slot long")
-    rank = F.row_number().over(Window.partitionBy("_cell").orderBy("_hash", *order)).cast("long") - 1
-    ranked = placed.withColumn("_rank", rank)
-    on = (ranked["_cell"] == segments["_cell"]) & (ranked["_rank"] >= segments["_from"]) & (ranked["_rank"] < segments["_to"])
-    out = ranked.join(F.broadcast(segments), on).withColumn("slot", F.col("_slot") + F.col("_rank") - F.col("_from"))
-    return out.select(*[ranked[c] for c in df.columns], "shard", "slot")
+    cell = F.shiftrightunsigned(F.xxhash64(key), 64 - CELL_BITS).cast("int").alias("cell")
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(PARTS)).cast("int").alias("part")
+    placed = written(df.select(F.struct(*df.columns).alias("row"), cell, F.xxhash64(key, *order).alias("hash"), part), "ring-rows")
+    counts = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}  # at most CELLS rows
+    rows = plan(counts, shards, vnodes, slack)
+    segments = spark.createDataFrame(rows, "at int, start long, stop long, shard int, base long")
+    on = (F.col("cell") == F.col("at")) & (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("stop"))
+    out = ranks(placed).join(F.broadcast(segments), on)
+    kept = [F.col("row")[c].alias(c) for c in df.columns if c not in ("shard", "slot")]
+    return out.select(*kept, "shard", (F.col("base") + F.col("rank") - F.col("start")).alias("slot"))

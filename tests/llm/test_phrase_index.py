@@ -30,7 +30,7 @@ def brute(rows, items, n=10):
                     hit.update(range(k, k + size))
         joined = ",".join(sorted(map(str, found)))
         out.append((d, len(w), len(hit), len(found), hashlib.sha256(joined.encode()).hexdigest(), bool(hit)))
-    return sorted(out)
+    return sorted(out, key=str)
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +47,9 @@ def tables(spark):
         cut = r.randrange(len(w))
         rows.append((i, r.choice([f"{b}, {a.upper()}! {b}", f"{a}\n{a} {a}", " ".join(w[cut:]), f"{' '.join(w[:cut])} oops {' '.join(w[cut:])}"])))
     rows += [(200, None), (201, ""), (202, "w1 " * 3000)] + rows[80:83]
-    docs = spark.createDataFrame([(*x, "t", 1) for x in rows], "doc_id long, text string, term string, n long")
+    # null ids, ids of several texts, texts of several ids
+    rows += [(None, t) for _, t in rows[78:100:3]] + [(7, t) for _, t in rows[75:100:4]] + [(500 + i, rows[81][1]) for i in range(30)] + [(-(1 << 63), rows[82][1])]
+    docs = spark.createDataFrame([(*x, "t", 1, 5, ["x"]) for x in rows], "doc_id long, text string, term string, n long, mark long, words array<string>")
     return docs, spark.createDataFrame(items, "item_id long, text string"), rows, items
 
 
@@ -57,7 +59,7 @@ def test_against_brute_force(tables, monkeypatch, limit):
     monkeypatch.setattr(p, "BROADCAST_IDS", limit)
     monkeypatch.setattr(p, "BROADCAST_TERMS", limit)
     got = p.contamination(docs, items)
-    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got.collect()) == brute(rows, plain)
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got.collect()), key=str) == brute(rows, plain)
 
 
 def test_proximity(spark):
@@ -83,8 +85,14 @@ def test_decontaminated_and_empty(tables, spark):
     docs, items, rows, plain = tables
     kept = p.decontaminated(docs, items)
     assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(x[0] for x in brute(rows, plain) if not x[5])
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((x[0] for x in brute(rows, plain) if not x[5]), key=str)
+    assert {(r["term"], r["n"], r["mark"], r["words"][0]) for r in kept.collect()} == {("t", 1, 5, "x")}
     assert p.contamination(docs.filter("false"), items).count() == 0
     assert {r["n_hit"] for r in p.contamination(docs, items.filter("false")).collect()} == {0}
+    item = "one two three four five six seven eight nine ten eleven"
+    mixed = spark.createDataFrame([(None, item), (7, item), (7, "clean text of four")], "doc_id long, text string")
+    one = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"]) for r in p.contamination(mixed, one).collect()), key=str) == [(7, 11, 11), (7, 4, 0), (None, 11, 11)]
+    assert [tuple(r) for r in p.decontaminated(mixed, one).collect()] == [(7, "clean text of four")]
     lost = p.contamination(spark.createDataFrame([(None, None), (None, "w1 w2")], docs.select("doc_id", "text").schema), items).collect()
     assert sorted(r["n_words"] for r in lost) == [0, 2]
