@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import text_or_empty
+from assayloom.llm.common import scanned, text_or_empty
 
 #: Role -> opening and closing control string. Any other role is a [ROLE] block that carries its name.
 MARKS = {"user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>"), "system": ("[SYS]", "[/SYS]")}
@@ -56,55 +56,37 @@ def format_chats(turns: DataFrame) -> DataFrame:
         .groupBy("conv_id")
         .agg(F.sort_array(F.collect_list("t")).alias("turns"))
     )
-    block = "struct<role:string,texts:array<string>>"
-    # adjacent turns of one role go to the block that is last so far
-    merged = F.aggregate(
-        "turns",
-        F.lit(None).cast(f"struct<done:array<{block}>,last:{block}>"),
-        lambda acc, t: F.when(
-            acc["last"]["role"] == t["role"],
-            F.struct(acc["done"].alias("done"), F.struct(t["role"].alias("role"), F.concat(acc["last"]["texts"], F.array(escape(t["text"]))).alias("texts")).alias("last")),
-        ).otherwise(
-            F.struct(
-                F.when(acc["last"].isNull(), F.array().cast(f"array<{block}>")).otherwise(F.concat(F.coalesce(acc["done"], F.array().cast(f"array<{block}>")), F.array(acc["last"]))).alias("done"),
-                F.struct(t["role"].alias("role"), F.array(escape(t["text"])).alias("texts")).alias("last"),
-            )
-        ),
-        lambda acc: F.when(acc["last"].isNull(), F.array().cast(f"array<{block}>")).otherwise(F.concat(acc["done"], F.array(acc["last"]))),
+    # the aggregation over the turns finds where a block of one role starts; the next turn tells where it ends
+    head = "struct<role:string,text:string,first:boolean>"
+    marked = scanned(
+        F.col("turns"),
+        F.lit(None).cast("string"),
+        lambda role, t: t["role"],
+        lambda role, t: F.array(F.struct(t["role"].alias("role"), t["text"].alias("text"), (~role.eqNullSafe(t["role"])).alias("first")).cast(head)),
+        f"array<{head}>",
     )
-    blocks = ordered.select("conv_id", merged.alias("blocks"))
-    join = f" {NEXT} "
-    # each block as a list of pieces; a piece that counts for the loss is marked
-    piece = lambda s, loss: F.struct(s.alias("s"), F.lit(loss).alias("loss"))
-    pieces = F.flatten(
-        F.transform(
-            "blocks",
-            lambda b: F.concat(
-                F.array(piece(_open(b["role"]), False)),
-                F.flatten(
-                    F.transform(
-                        b["texts"],
-                        lambda s, i: F.concat(
-                            F.when(i > 0, F.array(piece(F.lit(join), False))).otherwise(F.array().cast("array<struct<s:string,loss:boolean>>")),
-                            F.array(F.struct(s.alias("s"), (b["role"] == "assistant").alias("loss"))),
-                        ),
-                    )
-                ),
-                F.array(piece(_close(b["role"]), False)),
-            ),
+    merged = ordered.select("conv_id", marked.alias("turns"))
+    # each turn as pieces: what opens it, its text, what closes it; a piece that counts for the loss is marked
+    piece = lambda s, loss: F.struct(s.alias("s"), loss.alias("loss"))
+
+    def pieces(t: Column, i: Column) -> Column:
+        after = F.get(F.col("turns"), i + 1)
+        return F.array(
+            piece(F.when(t["first"], _open(t["role"])).otherwise(F.lit(f" {NEXT} ")), F.lit(False)),
+            piece(escape(t["text"]), t["role"] == "assistant"),
+            piece(F.when(after.isNull() | after["first"], _close(t["role"])).otherwise(F.lit("")), F.lit(False)),
         )
+
+    cut = merged.select("conv_id", F.flatten(F.transform("turns", pieces)).alias("pieces"))
+    place = "struct<start:int,end:int>"
+    spans = scanned(
+        F.col("pieces"),
+        F.lit(0),
+        lambda at, p: at + F.length(p["s"]),
+        lambda at, p: F.when(p["loss"], F.array(F.struct(at.alias("start"), (at + F.length(p["s"])).alias("end")).cast(place))).otherwise(F.array().cast(f"array<{place}>")),
+        f"array<{place}>",
     )
-    span = "array<struct<start:int,end:int>>"
-    spans = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).alias("at"), F.array().cast(span).alias("spans")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["s"])).alias("at"),
-            F.when(p["loss"], F.concat(acc["spans"], F.array(F.struct(acc["at"].alias("start"), (acc["at"] + F.length(p["s"])).alias("end"))))).otherwise(acc["spans"]).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
-    return blocks.select("conv_id", pieces.alias("pieces")).select("conv_id", F.concat_ws("", F.transform("pieces", lambda p: p["s"])).alias("formatted"), spans.alias("loss_spans"))
+    return cut.select("conv_id", F.array_join(F.transform("pieces", lambda p: p["s"]), "").alias("formatted"), spans.alias("loss_spans"))
 
 
 def read_chats(formatted: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,26 @@ def sha256_hex(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+def scanned(items: Column, state: Column, advance: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], kind: str, block: int = 256) -> Column:
+    """What `emit(state, item)` gives for the items of an array one after another, all arrays joined; kind is their type.
+
+    The state starts as `state` and goes on by `advance(state, item)`. Results gather in blocks, so that arrays of many
+    thousand items take time in proportion: an aggregate that adds to one array copies it at every step.
+    """
+    none = F.array().cast(kind)
+
+    def one(acc: Column, x: Column) -> Column:
+        return F.struct(advance(acc["state"], x).alias("state"), F.concat(acc["out"], emit(acc["state"], x)).alias("out"))
+
+    def many(acc: Column, part: Column) -> Column:
+        done = F.aggregate(part, F.struct(acc["state"].alias("state"), none.alias("out")), one)
+        return F.struct(done["state"].alias("state"), F.concat(acc["out"], F.array(done["out"])).alias("out"))
+
+    parts = F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(1), F.size(items), F.lit(block)), lambda at: F.slice(items, at, F.lit(block))))
+    start = F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+    return F.coalesce(F.flatten(F.aggregate(parts, start, many)["out"]), none)
+
+
 def small(df: DataFrame, most: int) -> DataFrame:
     """`df` with a broadcast hint if it has at most `most` rows, counted here; beyond that the join shuffles."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

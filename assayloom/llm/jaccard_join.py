@@ -12,7 +12,8 @@ slack = n - ceil(percent * n / 100) of its shingles with any partner. In this or
    count that share no shown shingle of a lower hash.
 4. A block or part of more than `block_size` shingles is cut by length and, within a length, by a hash into chunks; sets
    that link differ by one length step at most, and every pair of such chunks is a task of its own, so a task holds about
-   2 * block_size shingles.
+   2 * block_size shingles. One of many small sets is cut as well, into at most SPREAD chunks, so that its pairs, which grow
+   with the square of its sets, are the work of many tasks.
 5. Each task is searched through inverted lists (see `search`). Every pair that can link is decided; links are summed at
    each class, not stored, and the pairs kept for step 6 are those that connect.
 6. Connected components of the links.
@@ -45,6 +46,8 @@ BROADCAST_HASHES, BROADCAST_ROWS = 4_000_000, 500_000
 FEW = 32
 #: Shingles in a chunk of a block, and in a block that stays one.
 BLOCK, GIANT = 1_000_000, 64_000_000
+#: Sets from which a block is cut into chunks of so many, and the most chunks of a length step that are made for that.
+ROWS, SPREAD = 64, 24
 #: Shingles of more classes than this are joined by broadcast, so that no task gets all rows of one.
 HOT = 200
 #: Hashes that a task counts before it hands them on.
@@ -386,9 +389,11 @@ def tasks(placed: DataFrame, percent: int, block_size: int) -> DataFrame:
     step) are all that is needed, and only blocks of several chunks are in the table that comes of them.
     """
     step = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / max(1, percent - 1))).cast("int")
-    by_step = placed.groupBy("block", "part", step.alias("step")).agg(F.sum("n").alias("n"))
-    entry = F.struct("step", F.ceil(F.col("n") / block_size).cast("int").alias("cuts"))
-    cut = by_step.groupBy("block", "part").agg(F.sum("n").alias("total"), F.collect_list(entry).alias("steps")).filter(F.col("total") > block_size).drop("total")
+    by_step = placed.groupBy("block", "part", step.alias("step")).agg(F.sum("n").alias("n"), F.count("*").alias("sets"))
+    cuts = F.greatest(F.ceil(F.col("n") / block_size), F.least(F.ceil(F.col("sets") / ROWS), F.lit(SPREAD)))
+    entry = F.struct("step", cuts.cast("int").alias("cuts"))
+    cut = by_step.groupBy("block", "part").agg(F.sum("n").alias("n"), F.sum("sets").alias("sets"), F.collect_list(entry).alias("steps"))
+    cut = cut.filter((F.col("n") > block_size) | (F.col("sets") > ROWS)).drop("n", "sets")
     rows = placed.join(small(cut, BROADCAST_ROWS), ["block", "part"], "left").withColumn("step", step)
     name = lambda s, k: s.cast("long") * (1 << 32) + k
 

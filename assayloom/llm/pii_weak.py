@@ -1,13 +1,15 @@
 """Personal data by weak supervision, in DataFrame operations.
 
-Regex, gazetteer and context labelers vote on every candidate span. The votes of the whole corpus are counted by pattern
-(a few hundred at most, whatever the input), expectation-maximisation estimates from these counts how reliable each
-labeler is, and a logistic span classifier is fitted to the resulting posteriors, weighted by the counts. The classifier
-then decides on candidates beside the base spans; base spans always stay. No text is shuffled: one scan counts votes, one
-scan applies the classifier.
+Candidates are the base spans and wider forms (spelled-out signs, other marks, no plus) beside them. Labelers of five kinds
+vote on each: the strict form, the arithmetic (checksum, ranges, digits), gazetteers, cue words before, and what borders on
+it. Votes of the whole corpus are counted by pattern, expectation-maximisation estimates from these counts how reliable
+each labeler is, and a logistic span classifier is fitted to the resulting posteriors; it sees the votes by kind and also
+the span itself and its surroundings (length, marks, neighbours). It then decides on the candidates that aren't base spans;
+those always stay. No text is shuffled: one scan writes the candidates of every row, fit and decision read those.
 
 Positions are code points, end exclusive. Defined results: a null text is empty and has no spans; repeated rows each get
-their spans; with no candidates at all nothing is fitted and only base spans come out; no other column is read.
+their spans; with no candidates at all nothing is fitted and only base spans come out; other columns go along whatever
+their names, but for base and spans, which are replaced. Time grows in proportion to the matches of a text.
 """
 
 from __future__ import annotations
@@ -16,9 +18,12 @@ import math
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assayloom.llm.common import scanned, written
+
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns. Runs are possessive and a match starts at a run's start or where the last match ended, which
 #: changes no match but keeps a very long run linear.
@@ -42,14 +47,31 @@ NEEDS = {
     "card": lambda t: t.rlike(r"[0-9][ ./-]?[0-9]"),
     "phone": lambda t: t.contains("+") | t.rlike(r"[0-9]{4}"),
 }
-#: Gazetteers and cue words (fixed values).
-SUFFIXES = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu")
-ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)"
-RESERVED = r"^(?:0|127|255)\."
-AREA = r"^(?:\+[1-9]|\(?[2-9])"
-CUES = {"email": r"(?:e-?mail|mail|contact|write|courriel|correo)", "ip": r"(?:\bip\b|address|host|server)", "card": r"(?:card|visa|karte|carte|tarjeta)", "phone": r"(?:tel|phone|call|fax|mobile|handy)"}
-AGAINST = r"(?:order|version|isbn|invoice|serial|\bid\b|\bno\.)"
-LABELERS = ("regex", "valid", "gazetteer", "context", "border")
+#: The strict form of each kind, for a labeler.
+FORM = {
+    "email": r"^[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*(?:@| ?[\[(]at[\])] ?)(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.| ?[\[(]dot[\])] ?))+[A-Za-z]{2,24}$",
+    "ip": r"^(?:0|[1-9][0-9]{0,2})(?:\[?\.\]?(?:0|[1-9][0-9]{0,2})){3}$",
+    "card": r"^(?:[0-9]{13,19}|[0-9]{4}([ ./-]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[0-9]{3}[ -]?[0-9]{6}[ -]?[0-9]{5})$",
+    "phone": r"^(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}$",
+}
+#: Gazetteers and cue words (fixed values). Two letters at the end of a domain are a country.
+SUFFIXES = (
+    "com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "name", "pro", "aero", "coop", "museum", "jobs", "mobi", "travel", "cat", "tel", "asia", "post",
+    "xyz", "online", "site", "shop", "store", "app", "dev", "cloud", "blog", "tech", "email", "live", "news", "agency", "digital", "world", "life", "today", "space",
+)
+#: Card issuers: first four digits from and to, numbers of digits.
+ISSUERS = (
+    (4000, 4999, (13, 16, 19)), (5100, 5599, (16,)), (2221, 2720, (16,)), (3400, 3499, (15,)), (3700, 3799, (15,)), (6011, 6011, (16, 19)), (6440, 6599, (16, 19)),
+    (3528, 3589, (16, 17, 18, 19)), (3000, 3059, (14, 16, 19)), (3600, 3699, (14, 16, 19)), (3800, 3999, (14, 16, 19)), (6200, 6299, (16, 17, 18, 19)), (5000, 5099, (12, 13, 14, 15, 16, 17, 18, 19)), (5600, 5899, (12, 13, 14, 15, 16, 17, 18, 19)),
+)
+#: Address blocks that name no host, and the calling codes of countries or an area code with its exchange.
+RESERVED = r"^(?:0|127|255|2(?:2[4-9]|3[0-9]|4[0-9]|5[0-5]))\."
+CALLING = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|2[1-689][0-9]|3[578][0-9]|42[013]|5[09][0-9]|6[789][0-9]|8[0578][0-9]|9[679][0-9])|^\(?[2-9][0-9]{2}\)?[ .-][2-9]"
+CUES = {"email": r"(?:e-?mail|mail|contact|write|courriel|correo|to)", "ip": r"(?:\bip\b|address|host|server|from)", "card": r"(?:card|visa|karte|carte|tarjeta|pay)", "phone": r"(?:tel|phone|call|fax|mobile|handy|ring)"}
+AGAINST = r"(?:order|version|isbn|invoice|serial|release|build|\bv|\bid\b|\bno\.?)"
+LABELERS = ("form", "valid", "gazetteer", "cue", "border")
+#: What the classifier sees of a span besides: length, marks, what stands before and after; four values each.
+SEEN = ("length", "marks", "before", "after")
 BEFORE = 24
 
 
@@ -94,20 +116,13 @@ def matches(df: DataFrame, text: str, patterns: dict[str, str], prefix: str) ->
     found = df.withColumns({f"_m_{k}": F.when(NEEDS[k](F.col(text)), F.regexp_extract_all(text, F.lit(p), F.lit(0))).otherwise(empty) for k, p in patterns.items()})
     # what stands between the matches gives their places; texts without a match are not scanned again
     cut = found.withColumns({f"_g_{k}": F.when(F.size(f"_m_{k}") > 0, F.split(text, p, -1)) for k, p in patterns.items()})
-    none = F.array().cast(f"array<{SPAN}>")
 
     def placed(k: str) -> Column:
         steps = F.transform(f"_m_{k}", lambda x, i: F.struct(F.length(F.get(F.col(f"_g_{k}"), i)).alias("gap"), x.alias("s")))
-        walk = F.aggregate(
-            steps,
-            F.struct(F.lit(0).alias("at"), none.alias("out")),
-            lambda acc, x: F.struct(
-                (acc["at"] + x["gap"] + F.length(x["s"])).alias("at"),
-                F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + F.length(x["s"])).alias("end"), x["s"].alias("s")))).alias("out"),
-            ),
-            lambda acc: acc["out"],
-        )
-        return F.when(F.size(f"_m_{k}") > 0, walk).otherwise(none)
+        start = lambda at, x: at + x["gap"]
+        end = lambda at, x: at + x["gap"] + F.length(x["s"])
+        span = lambda at, x: F.array(F.struct(start(at, x).alias("start"), end(at, x).alias("end"), x["s"].alias("s")))
+        return scanned(steps, F.lit(0), end, span, f"array<{SPAN}>")
 
     out = cut.withColumns({f"{prefix}{k}": placed(k) for k in patterns})
     return out.drop(*[f"_{x}_{k}" for x in "mg" for k in patterns])
@@ -119,22 +134,37 @@ def base_spans(df: DataFrame, text: str = "_text") -> DataFrame:
     return out.withColumns({f"base_{k}": F.filter(f"base_{k}", passing(k)) for k in KINDS if k != "email"})
 
 
-def votes(kind: str, s: Column, before: Column, after: Column, base: Column) -> dict[str, Column]:
-    """Each labeler's vote: 1 for, -1 against, 0 none."""
+def votes(kind: str, s: Column, before: Column, after: Column, suffixes: tuple[str, ...]) -> list[Column]:
+    """Each labeler's vote, in the order of LABELERS: 1 for, -1 against, 0 none."""
     sign = lambda c: F.when(c, 1).otherwise(-1)
-    cue = F.when(before.rlike(f"(?i){CUES[kind]}[^a-z0-9]*$"), 1).when(before.rlike(f"(?i){AGAINST}[^a-z0-9]*$"), -1).otherwise(0)
     clean = F.regexp_replace(s, r"[\[\]]", "")
+    number = digits(s)
+    issued = [F.substring(number, 1, 4).cast("int").between(low, high) & F.length(number).isin(*sizes) for low, high, sizes in ISSUERS]
+    suffix = F.lower(F.regexp_extract(s, r"([A-Za-z0-9-]+)$", 1))
+    arithmetic = {"email": F.length(suffix).between(2, 24) & ~suffix.rlike("[0-9]"), "ip": octets(clean), "card": passes("card", s), "phone": passes("phone", s)}[kind]
     listed = {
-        "email": sign(F.lower(F.regexp_extract(s, r"([A-Za-z0-9-]+)$", 1)).isin(*SUFFIXES)),
-        "ip": sign(~clean.rlike(RESERVED)),
-        "card": sign(digits(s).rlike(ISSUERS)),
-        "phone": sign(s.rlike(AREA)),
+        "email": suffix.isin(*suffixes) | suffix.rlike("^[a-z]{2}$"),
+        "ip": ~clean.rlike(RESERVED),
+        "card": reduce(lambda a, b: a | b, issued),
+        "phone": s.rlike(CALLING),
     }[kind]
-    return {"regex": sign(base), "valid": sign(passes(kind, clean)), "gazetteer": listed, "context": cue, "border": sign(~before.rlike(r"[A-Za-z0-9]$") & ~after.rlike(r"^[A-Za-z0-9@]"))}
+    cue = F.when(before.rlike(f"(?i){CUES[kind]}[^A-Za-z0-9]*$"), 1).when(before.rlike(f"(?i){AGAINST}[^A-Za-z0-9]*$"), -1).otherwise(0)
+    return [sign(s.rlike(FORM[kind])), sign(arithmetic), sign(listed), cue, sign(~before.rlike(r"[A-Za-z0-9]$") & ~after.rlike(r"^[A-Za-z0-9@]"))]
+
+
+def looks(s: Column, before: Column, after: Column) -> list[Column]:
+    """What SEEN names, each a number from 0 to 3."""
+    n = F.length(s)
+    side = lambda c: F.when(c.rlike(r"[A-Za-z]"), 1).when(c.rlike("[0-9]"), 2).when(c.rlike(r"[^\s]"), 3).otherwise(0)
+    marks = F.when(s.rlike(r"[\[\]()]"), 3).when(s.contains(" "), 2).when(s.rlike("[./-]"), 1).otherwise(0)
+    return [F.when(n < 12, 0).when(n < 16, 1).when(n < 20, 2).otherwise(3), marks, side(F.right(before, F.lit(1))), side(after)]
 
 
-def candidates(df: DataFrame, text: str = "_text") -> DataFrame:
-    """`df` with base_<kind> and cand: array<struct<kind,start,end,base,v array<int>>>, base spans and wider ones that meet none of them."""
+CANDIDATE = "struct<kind:int,start:int,end:int,base:boolean,v:array<int>,x:array<int>>"
+
+
+def candidates(df: DataFrame, text: str = "_text", suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+    """`df` with base_<kind> and cand (an array of CANDIDATE): base spans, and wider ones that meet none of them."""
     out = matches(base_spans(df, text), text, WIDE, "wide_")
 
     def apart(x: Column) -> Column:
@@ -146,8 +176,8 @@ def candidates(df: DataFrame, text: str = "_text") -> DataFrame:
             low = F.greatest(x["start"] - BEFORE, F.lit(0))
             before = F.substring(F.col(text), low + 1, x["start"] - low)
             after = F.substring(F.col(text), x["end"] + 1, F.lit(1))
-            v = votes(kind, x["s"], before, after, F.lit(base))
-            return F.struct(F.lit(number).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), F.lit(base).alias("base"), F.array(*[v[n].cast("int") for n in LABELERS]).alias("v"))
+            v, seen = votes(kind, x["s"], before, after, suffixes), looks(x["s"], before, after)
+            return F.struct(F.lit(number).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), F.lit(base).alias("base"), F.array(*v).alias("v"), F.array(*seen).alias("x")).cast(CANDIDATE)
 
         return one
 
@@ -157,6 +187,12 @@ def candidates(df: DataFrame, text: str = "_text") -> DataFrame:
     return out.withColumn("cand", F.concat(*spans)).drop(*[f"wide_{k}" for k in KINDS])
 
 
+def label(docs: DataFrame, text: str = "text", keep: list[str] | None = None, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+    """row (a struct of the columns in `keep`, or of all) and cand of every row, written, so that texts are scanned once."""
+    rows = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    return written(candidates(rows, suffixes=suffixes).select("row", "cand"), "candidates")
+
+
 def expectation_maximisation(counts: dict[tuple, int], rounds: int = 50) -> tuple[dict[tuple, float], dict]:
     """Posterior that a span is personal data for each (kind, votes), and the labelers' reliabilities.
 
@@ -181,51 +217,63 @@ def expectation_maximisation(counts: dict[tuple, int], rounds: int = 50) -> tupl
     return post, rates
 
 
-def features(p: tuple) -> list[float]:
-    return [float(p[0] == k) for k in range(len(KINDS))] + [float(v == s) for v in p[1] for s in (-1, 1)]
+Pattern = tuple[int, tuple[int, ...], tuple[int, ...]]  # kind, votes, what is seen of the span
+
+
+def places(p: Pattern) -> list[int]:
+    """Which weights count for a pattern: its kind's own, one for each vote by kind, one for each thing seen."""
+    k, v, x = p
+    votes_at = len(KINDS)
+    seen_at = votes_at + len(KINDS) * len(LABELERS) * 3
+    return [k, *(votes_at + (k * len(LABELERS) + i) * 3 + s + 1 for i, s in enumerate(v)), *(seen_at + i * 4 + s for i, s in enumerate(x))]
 
 
-def span_classifier(counts: dict[tuple, int], post: dict[tuple, float], rounds: int = 300, penalty: float = 1e-3) -> list[float]:
-    """Weights of a logistic model of the posteriors, by gradient steps on the counted patterns."""
-    rows = [(features(p), n, post[p]) for p, n in counts.items()]
-    weights = [0.0] * (len(KINDS) + 2 * len(LABELERS))
-    total = sum(math.sqrt(n) for _, n, _ in rows) or 1.0
-    for _ in range(rounds if rows else 0):
-        step = [penalty * w for w in weights]
-        for x, n, y in rows:
-            z = sum(a * b for a, b in zip(x, weights, strict=True))
-            g = math.sqrt(n) / total * (1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) - y)
-            step = [s + g * a for s, a in zip(step, x, strict=True)]
-        weights = [w - 1.5 * s for w, s in zip(weights, step, strict=True)]
-    return weights
+WEIGHTS = len(KINDS) + len(KINDS) * len(LABELERS) * 3 + len(SEEN) * 4
 
 
-def fit(docs: DataFrame, text: str = "text") -> list[float]:
-    """The span classifier's weights, from the votes on all candidates of `docs`."""
-    each = candidates(docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text"))).select(F.explode("cand").alias("c"))
-    counted = each.groupBy(F.col("c.kind").alias("kind"), F.col("c.v").alias("v")).count().collect()  # at most 4 * 3^5 rows
-    counts = {(r["kind"], tuple(r["v"])): r["count"] for r in counted}
-    return span_classifier(counts, expectation_maximisation(counts)[0])
+def span_classifier(counts: dict[Pattern, int], post: dict[tuple, float], rounds: int = 400, penalty: float = 1e-3) -> list[float]:
+    """Weights of a logistic model of the posteriors (by kind and votes), by gradient steps on the counted patterns."""
+    if not counts:
+        return [0.0] * WEIGHTS
+    at = np.array([places(p) for p in counts])
+    n = np.sqrt(np.array([*counts.values()], float))
+    y = np.array([post[p[:2]] for p in counts])
+    w = np.zeros(WEIGHTS)
+    for _ in range(rounds):
+        g = n / n.sum() * (1 / (1 + np.exp(-np.clip(w[at].sum(1), -30, 30))) - y)
+        w -= 1.0 * (np.bincount(at.ravel(), np.repeat(g, at.shape[1]), WEIGHTS) + penalty * w)
+    return w.tolist()
 
 
-def find(docs: DataFrame, weights: list[float], text: str = "text") -> DataFrame:
-    """`docs` with base and spans: array<struct<start,kind,end>> in order, kind a number as in KINDS."""
-    judged = candidates(docs.withColumn("_text", F.coalesce(F.col(text), F.lit(""))))
+def fit(labelled: DataFrame) -> list[float]:
+    """The span classifier's weights, from all candidates of `label` rows."""
+    each = labelled.select(F.explode("cand").alias("c"))
+    # at most 4 kinds, 3^5 votes and 4^4 looks
+    counted = each.groupBy(F.col("c.kind").alias("kind"), F.col("c.v").alias("v"), F.col("c.x").alias("x")).count().collect()
+    counts = {(r["kind"], tuple(r["v"]), tuple(r["x"])): r["count"] for r in sorted(counted)}
+    patterns: dict[tuple, int] = {}
+    for p, n in counts.items():
+        patterns[p[:2]] = patterns.get(p[:2], 0) + n
+    return span_classifier(counts, expectation_maximisation(patterns)[0])
+
+
+def find(labelled: DataFrame, weights: list[float]) -> DataFrame:
+    """The rows of `label` rows with base and spans: array<struct<start,kind,end>> in order, kind a number as in KINDS."""
+    w = F.array(*map(F.lit, weights))
 
     def score(c: Column) -> Column:
-        out = reduce(lambda a, b: a + b, [F.when(c["kind"] == k, weights[k]).otherwise(0.0) for k in range(len(KINDS))])
-        for i in range(len(LABELERS)):
-            down, up = weights[len(KINDS) + 2 * i : len(KINDS) + 2 * i + 2]
-            out = out + F.when(F.get(c["v"], F.lit(i)) == -1, down).when(F.get(c["v"], F.lit(i)) == 1, up).otherwise(0.0)
-        return out
+        votes_at, seen_at = len(KINDS), len(KINDS) + len(KINDS) * len(LABELERS) * 3
+        by_vote = [F.get(w, (c["kind"] * len(LABELERS) + i) * 3 + F.get(c["v"], F.lit(i)) + (votes_at + 1)) for i in range(len(LABELERS))]
+        by_look = [F.get(w, F.get(c["x"], F.lit(i)) + (seen_at + i * 4)) for i in range(len(SEEN))]
+        return reduce(lambda a, b: a + b, [F.get(w, c["kind"]), *by_vote, *by_look])
 
     plain = lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))
-    return judged.withColumns(
-        {
-            "base": F.sort_array(F.transform(F.filter("cand", lambda c: c["base"]), plain)),
-            "spans": F.sort_array(F.transform(F.filter("cand", lambda c: c["base"] | (score(c) > 0)), plain)),
-        }
-    ).drop("cand", "_text", *[f"base_{k}" for k in KINDS])
+    kept = [F.col("row")[c].alias(c) for c in labelled.schema["row"].dataType.names if c not in ("base", "spans")]
+    return labelled.select(
+        *kept,
+        F.sort_array(F.transform(F.filter("cand", lambda c: c["base"]), plain)).alias("base"),
+        F.sort_array(F.transform(F.filter("cand", lambda c: c["base"] | (score(c) > 0)), plain)).alias("spans"),
+    )
 
 
 def spelled(spans: str) -> Column:
@@ -237,13 +285,13 @@ def spelled(spans: str) -> Column:
 def redact(text: Column, spans: str) -> Column:
     """The text with every span replaced by <KIND>; of spans that overlap, the earlier one stands for both."""
     name = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    kept = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, x: F.struct(
-            F.greatest(acc["at"], x["end"]).alias("at"),
-            F.when(x["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), F.get(name, x["kind"])))).alias("out"),
-        ),
-        lambda acc: F.concat_ws("", acc["out"], F.array(F.substring(text, acc["at"] + 1, F.length(text)))),
+    none = F.array().cast("array<string>")
+    parts = scanned(
+        F.col(spans),
+        F.lit(0),
+        lambda at, x: F.greatest(at, x["end"]),
+        lambda at, x: F.when(x["start"] < at, none).otherwise(F.array(F.substring(text, at + 1, x["start"] - at), F.get(name, x["kind"]))),
+        "array<string>",
     )
-    return F.when(F.size(spans) > 0, kept).otherwise(text)
+    rest = F.substring(text, F.array_max(F.transform(spans, lambda x: x["end"])) + 1, F.length(text))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(text)

@@ -39,13 +39,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from assayloom.llm.pii_weak import KINDS, find, fit, spelled
+    from assayloom.llm.pii_weak import KINDS, find, fit, label, spelled
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find(docs, fit(docs))
+    labelled = label(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    found = find(labelled, fit(labelled))
     of = lambda k: F.filter("base", lambda x: x["kind"] == k)
     counts = [F.size(of(k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
-    return found.select("doc_id", *counts, sha256_hex(spelled("base")).alias("base_sha256"), spelled("spans").alias("spans"))
+    return found.select("doc_id", *counts, sha256_hex(spelled("base")).alias("base_sha256"), spelled("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

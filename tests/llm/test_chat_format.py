@@ -41,3 +41,9 @@ def test_merge_and_mask(spark):
 
 def test_empty(spark):
     assert format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_thousands_of_turns(spark):
+    """Time in proportion to the turns, of one role or of changing ones."""
+    rows = [(1, i, "user", f"a{i}") for i in range(20_000)] + [(2, i, ROLES[i % 4], f"b{i}") for i in range(20_000)]
+    check(spark, rows)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -31,8 +32,13 @@ def base(text):
 
 
 def spans(spark, texts):
-    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, cand string")
-    got = p.find(df.drop("cand"), p.fit(df))
+    names = ("cand", "base", "spans", "_text", "row", "base_ip", "wide_ip", "_m_ip")
+    df = spark.createDataFrame([(i, t, *["x"] * len(names)) for i, t in enumerate(texts)], "doc_id long, text string, " + ", ".join(f"{c} string" for c in names))
+    labelled = p.label(df)
+    got = p.find(labelled, p.fit(labelled))
+    assert sorted(got.columns) == sorted(["doc_id", "text", *names])
+    kept = [c for c in names if c not in ("base", "spans")]
+    assert {tuple(r) for r in got.select(*kept).distinct().collect()} == {("x",) * len(kept)}
     rows = got.select("doc_id", p.spelled("base").alias("b"), p.spelled("spans").alias("s"), sha256_hex(p.spelled("base")).alias("h")).collect()
     return {r["doc_id"]: r for r in rows}
 
@@ -57,8 +63,8 @@ def test_reliabilities_and_classifier():
     post, rates = p.expectation_maximisation(counts)
     assert post[0, (1, 1, 1, 1, 1)] > 0.99 and post[0, (-1, -1, -1, 0, -1)] < 0.01
     assert rates[0, 1, 1, 1] > 0.9 > 0.1 > rates[0, 1, 1, 0]  # the second labeler is reliable
-    weights = p.span_classifier(counts, post)
-    score = lambda v: sum(a * b for a, b in zip(p.features((0, v)), weights, strict=True))
+    weights = p.span_classifier({(*k, (1, 1, 0, 0)): n for k, n in counts.items()}, post)
+    score = lambda v: sum(weights[i] for i in p.places((0, v, (1, 1, 0, 0))))
     assert score((1, 1, 1, 0, 1)) > 0 > score((-1, -1, -1, 0, -1))
     assert p.expectation_maximisation({}) == ({}, {})
 
@@ -66,7 +72,8 @@ def test_reliabilities_and_classifier():
 def test_extra_spans_and_redaction(spark):
     texts = ["mail jo@site.com or call +1 212 555 0187"] * 40 + ["call 212-555-0187 now"] * 10
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = p.find(df, p.fit(df)).select("doc_id", "text", "base", "spans", p.redact(F.col("text"), "spans").alias("r")).collect()
+    labelled = p.label(df)
+    got = p.find(labelled, p.fit(labelled)).select("doc_id", "text", "base", "spans", p.redact(F.col("text"), "spans").alias("r")).collect()
     assert {r["r"] for r in got if r["doc_id"] < 40} == {"mail <EMAIL> or call <PHONE>"}
     assert {r["r"] for r in got if r["doc_id"] >= 40} == {"call <PHONE> now"} and not any(r["base"] for r in got if r["doc_id"] >= 40)
 
@@ -74,4 +81,42 @@ def test_extra_spans_and_redaction(spark):
 @pytest.mark.parametrize("rows", [[], [(None, None)]])
 def test_empty(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert [r["spans"] for r in p.find(df, p.fit(df)).collect()] == [[]] * len(rows)
+    labelled = p.label(df)
+    assert [r["spans"] for r in p.find(labelled, p.fit(labelled)).collect()] == [[]] * len(rows)
+
+
+def test_added_spans_on_planted_data(spark):
+    """Spans beside the base ones: obfuscated personal data is found, look-alikes are left alone."""
+    r = random.Random(5)
+    word = lambda: r.choice(["walk", "stone", "river", "green", "paper"])
+    d = lambda n: "".join(r.choice("23456789") for _ in range(n))
+
+    def card():
+        x = "4" + d(14)
+        return x + next(c for c in "0123456789" if luhn(x + c))
+
+    rows, planted = [], {}
+    for i in range(600):
+        kind, c = i % 8, card()
+        one, cue, real = [
+            (f"{word()} [at] {word()}.com", "mail", True), (f"{word()}@{word()}.org", "write to", True), (f"({d(3)}) {d(3)}-{d(4)}", "call", True), (f"{c[:4]}.{c[4:8]}.{c[8:12]}.{c[12:]}", "card", True),
+            (f"10[.]{r.randrange(9)}[.]{r.randrange(99)}[.]{r.randrange(1, 99)}", "host", True), (f"1{d(3)}.{d(4)}.{d(4)}.{d(4)}", "serial", False), (f"{r.randrange(300, 900)}[.]{d(2)}[.]1[.]2", "version", False), (f"{d(3)}.{d(3)}.{d(4)}x", "order", False),
+        ][kind]
+        if kind == 5 and luhn(re.sub("[^0-9]", "", one)):
+            continue
+        before = f"{word()} {word()} {cue} "
+        rows.append((i, f"{before}{one} {word()}"))
+        planted[i] = (len(before), len(before) + len(one), real)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labelled = p.label(df)
+    got = {x["doc_id"]: [(s["start"], s["end"]) for s in x["spans"]] for x in p.find(labelled, p.fit(labelled)).collect()}
+    true = [i for i, (_, _, real) in planted.items() if real]
+    caught = sum((planted[i][0], planted[i][1]) in got[i] for i in true)
+    wrong = sum(bool(got[i]) for i, (_, _, real) in planted.items() if not real)
+    print(f"recall {caught / len(true):.3f}, precision {caught / (caught + wrong):.3f}")
+    assert caught / len(true) >= 0.9 and caught / (caught + wrong) >= 0.9
+
+
+def test_many_matches_in_one_text(spark):
+    texts = ["1.2.3.4 " * 20_000]
+    assert spans(spark, texts)[0]["b"] == base(texts[0])
