@@ -15,7 +15,7 @@ from assayloom.llm.common import keyed, small, table, written
 from assayloom.llm.jaccard_join import BROADCAST_ROWS, groups
 from assayloom.llm.packing import pack
 from assayloom.llm.phrase_index import decontaminated
-from assayloom.llm.pii_weak import find, fit, redact
+from assayloom.llm.pii_weak import find, fit, label, redact
 from assayloom.llm.toxicity import toxicity
 
 
@@ -55,9 +55,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data become <KIND>; n_chars follows the text. A null text stays null, an empty one empty."""
-    found = find(whole(docs), fit(docs))
+    labelled = label(whole(docs))
     text = F.when(F.col("text").isNotNull(), redact(F.col("text"), "spans"))
-    clean = found.select("_row", text.alias("_clean"))
+    clean = find(labelled, fit(labelled)).select("_row", text.alias("_clean"))
     new = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
     return clean.select(*[new[c].alias(c) if c in new else F.col("_row")[c].alias(c) for c in docs.columns])
 
