@@ -69,6 +69,11 @@ def sha256_hex(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with value evaluated once, however often `use` names it, also inside of lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
 def scanned(items: Column, state: Column, advance: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], kind: str, block: int = 256) -> Column:
     """What `emit(state, item)` gives for the items of an array one after another, all arrays joined; kind is their type.
 
@@ -84,9 +89,12 @@ def scanned(items: Column, state: Column, advance: Callable[[Column, Column], Co
         done = F.aggregate(part, F.struct(acc["state"].alias("state"), none.alias("out")), one)
         return F.struct(done["state"].alias("state"), F.concat(acc["out"], F.array(done["out"])).alias("out"))
 
-    parts = F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(1), F.size(items), F.lit(block)), lambda at: F.slice(items, at, F.lit(block))))
-    start = F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
-    return F.coalesce(F.flatten(F.aggregate(parts, start, many)["out"]), none)
+    def whole(all_: Column) -> Column:
+        parts = F.when(F.size(all_) > 0, F.transform(F.sequence(F.lit(1), F.size(all_), F.lit(block)), lambda at: F.slice(all_, at, F.lit(block))))
+        start = F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.coalesce(F.flatten(F.aggregate(parts, start, many)["out"]), none)
+
+    return bound(items, whole)
 
 
 def small(df: DataFrame, most: int) -> DataFrame:

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import scanned, written
+from assayloom.llm.common import bound, scanned, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns. Runs are possessive and a match starts at a run's start or where the last match ended, which
@@ -81,10 +81,13 @@ def digits(s: Column) -> Column:
 
 def luhn(number: Column) -> Column:
     """Whether a string of digits passes the Luhn sum."""
-    turned = F.reverse(number)
+    return bound(F.reverse(number), lambda turned: luhn_turned(turned))
+
+
+def luhn_turned(turned: Column) -> Column:
     doubled = lambda d: F.when(d > 4, d * 2 - 9).otherwise(d * 2)
     digit = lambda i: F.substring(turned, i, F.lit(1)).cast("int")
-    each = F.transform(F.sequence(F.lit(1), F.length(number)), lambda i: F.when(i % 2 == 0, doubled(digit(i))).otherwise(digit(i)))
+    each = F.transform(F.sequence(F.lit(1), F.length(turned)), lambda i: F.when(i % 2 == 0, doubled(digit(i))).otherwise(digit(i)))
     return F.aggregate(each, F.lit(0), lambda a, x: a + x) % 10 == 0
 
 
@@ -94,13 +97,12 @@ def octets(s: Column) -> Column:
 
 
 def passes(kind: str, s: Column) -> Column:
-    n = F.length(digits(s))
     return {
-        "email": F.lit(True),
-        "ip": octets(s),
-        "card": F.when(n.between(12, 19), luhn(digits(s))).otherwise(F.lit(False)),
-        "phone": n.between(9, 15),
-    }[kind]
+        "email": lambda: F.lit(True),
+        "ip": lambda: octets(s),
+        "card": lambda: bound(digits(s), lambda d: F.when(F.length(d).between(12, 19), luhn(d)).otherwise(F.lit(False))),
+        "phone": lambda: F.length(digits(s)).between(9, 15),
+    }[kind]()
 
 
 def passing(kind: str) -> Callable[[Column], Column]:
@@ -118,7 +120,7 @@ def matches(df: DataFrame, text: str, patterns: dict[str, str], prefix: str) ->
     cut = found.withColumns({f"_g_{k}": F.when(F.size(f"_m_{k}") > 0, F.split(text, p, -1)) for k, p in patterns.items()})
 
     def placed(k: str) -> Column:
-        steps = F.transform(f"_m_{k}", lambda x, i: F.struct(F.length(F.get(F.col(f"_g_{k}"), i)).alias("gap"), x.alias("s")))
+        steps = bound(F.col(f"_g_{k}"), lambda g: F.transform(f"_m_{k}", lambda x, i: F.struct(F.length(F.get(g, i)).alias("gap"), x.alias("s"))))
         start = lambda at, x: at + x["gap"]
         end = lambda at, x: at + x["gap"] + F.length(x["s"])
         span = lambda at, x: F.array(F.struct(start(at, x).alias("start"), end(at, x).alias("end"), x["s"].alias("s")))
@@ -138,16 +140,24 @@ def votes(kind: str, s: Column, before: Column, after: Column, suffixes: tuple[s
     """Each labeler's vote, in the order of LABELERS: 1 for, -1 against, 0 none."""
     sign = lambda c: F.when(c, 1).otherwise(-1)
     clean = F.regexp_replace(s, r"[\[\]]", "")
-    number = digits(s)
-    issued = [F.substring(number, 1, 4).cast("int").between(low, high) & F.length(number).isin(*sizes) for low, high, sizes in ISSUERS]
     suffix = F.lower(F.regexp_extract(s, r"([A-Za-z0-9-]+)$", 1))
-    arithmetic = {"email": F.length(suffix).between(2, 24) & ~suffix.rlike("[0-9]"), "ip": octets(clean), "card": passes("card", s), "phone": passes("phone", s)}[kind]
+
+    def issued(number: Column) -> Column:
+        first = F.substring(number, 1, 4).cast("int")
+        return reduce(lambda a, b: a | b, [first.between(low, high) & F.length(number).isin(*sizes) for low, high, sizes in ISSUERS])
+
+    arithmetic = {
+        "email": lambda: bound(suffix, lambda x: F.length(x).between(2, 24) & ~x.rlike("[0-9]")),
+        "ip": lambda: octets(clean),
+        "card": lambda: passes("card", s),
+        "phone": lambda: passes("phone", s),
+    }[kind]()
     listed = {
-        "email": suffix.isin(*suffixes) | suffix.rlike("^[a-z]{2}$"),
-        "ip": ~clean.rlike(RESERVED),
-        "card": reduce(lambda a, b: a | b, issued),
-        "phone": s.rlike(CALLING),
-    }[kind]
+        "email": lambda: bound(suffix, lambda x: x.isin(*suffixes) | x.rlike("^[a-z]{2}$")),
+        "ip": lambda: ~clean.rlike(RESERVED),
+        "card": lambda: bound(digits(s), issued),
+        "phone": lambda: s.rlike(CALLING),
+    }[kind]()
     cue = F.when(before.rlike(f"(?i){CUES[kind]}[^A-Za-z0-9]*$"), 1).when(before.rlike(f"(?i){AGAINST}[^A-Za-z0-9]*$"), -1).otherwise(0)
     return [sign(s.rlike(FORM[kind])), sign(arithmetic), sign(listed), cue, sign(~before.rlike(r"[A-Za-z0-9]$") & ~after.rlike(r"^[A-Za-z0-9@]"))]
 
@@ -160,6 +170,7 @@ def looks(s: Column, before: Column, after: Column) -> list[Column]:
     return [F.when(n < 12, 0).when(n < 16, 1).when(n < 20, 2).otherwise(3), marks, side(F.right(before, F.lit(1))), side(after)]
 
 
+PLACED = "struct<start:int,wide:int,kind:int,end:int,s:string>"
 CANDIDATE = "struct<kind:int,start:int,end:int,base:boolean,v:array<int>,x:array<int>>"
 
 
@@ -167,24 +178,37 @@ def candidates(df: DataFrame, text: str = "_text", suffixes: tuple[str, ...] = S
     """`df` with base_<kind> and cand (an array of CANDIDATE): base spans, and wider ones that meet none of them."""
     out = matches(base_spans(df, text), text, WIDE, "wide_")
 
-    def apart(x: Column) -> Column:
-        meets = [F.exists(f"base_{o}", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])) for o in KINDS]
-        return ~reduce(lambda a, b: a | b, meets)
+    # in order of their starts, a wide span meets a base one if one before it ends later or one after it starts earlier
+    def entry(number: int, wide: bool) -> Callable[[Column], Column]:
+        return lambda x: F.struct(x["start"].alias("start"), F.lit(int(wide)).alias("wide"), F.lit(number).alias("kind"), x["end"].alias("end"), (x["s"] if wide else F.lit("")).alias("s"))
+
+    wider, based = (F.concat(*[F.transform(f"{name}_{k}", entry(number, wide)) for number, k in enumerate(KINDS)]) for name, wide in (("wide", True), ("base", False)))
+    base_of = lambda x, then, other: F.when(x["wide"] == 0, then).otherwise(other)
+    after_base = scanned(F.array_sort(F.concat(based, wider)), F.lit(0), lambda end, x: base_of(x, F.greatest(end, x["end"]), end), lambda end, x: F.when((x["wide"] == 1) & (x["start"] < end), F.array().cast(f"array<{PLACED}>")).otherwise(F.array(x).cast(f"array<{PLACED}>")), f"array<{PLACED}>")
+    far = F.lit((1 << 31) - 1)
+    apart = scanned(F.reverse("_apart"), far, lambda start, x: base_of(x, F.least(start, x["start"]), start), lambda start, x: F.when((x["wide"] == 0) | (start < x["end"]), F.array().cast(f"array<{PLACED}>")).otherwise(F.array(x)), f"array<{PLACED}>")
+    out = out.withColumn("_apart", F.when(F.size(wider) > 0, after_base).otherwise(F.array().cast(f"array<{PLACED}>")))
+    out = out.withColumn("_apart", F.when(F.size("_apart") > 0, apart).otherwise(F.col("_apart")))
 
     def judged(number: int, kind: str, base: bool) -> Callable[[Column], Column]:
         def one(x: Column) -> Column:
             low = F.greatest(x["start"] - BEFORE, F.lit(0))
-            before = F.substring(F.col(text), low + 1, x["start"] - low)
-            after = F.substring(F.col(text), x["end"] + 1, F.lit(1))
+            window = F.substring(F.col(text), low + 1, x["end"] - low + 1)
+            return bound(window, lambda w: told(x, F.substring(w, F.lit(1), x["start"] - low), F.substring(w, x["end"] - low + 1, F.lit(1))))
+
+        def told(x: Column, before: Column, after: Column) -> Column:
             v, seen = votes(kind, x["s"], before, after, suffixes), looks(x["s"], before, after)
             return F.struct(F.lit(number).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), F.lit(base).alias("base"), F.array(*v).alias("v"), F.array(*seen).alias("x")).cast(CANDIDATE)
 
         return one
 
+    def of(number: int) -> Callable[[Column], Column]:
+        return lambda x: x["kind"] == number
+
     spans = []
     for number, k in enumerate(KINDS):
-        spans += [F.transform(f"base_{k}", judged(number, k, True)), F.transform(F.filter(f"wide_{k}", apart), judged(number, k, False))]
-    return out.withColumn("cand", F.concat(*spans)).drop(*[f"wide_{k}" for k in KINDS])
+        spans += [F.transform(f"base_{k}", judged(number, k, True)), F.transform(F.filter("_apart", of(number)), judged(number, k, False))]
+    return out.withColumn("cand", F.concat(*spans)).drop("_apart", *[f"wide_{k}" for k in KINDS])
 
 
 def label(docs: DataFrame, text: str = "text", keep: list[str] | None = None, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:

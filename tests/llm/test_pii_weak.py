@@ -51,7 +51,7 @@ def test_base_against_brute_force(spark):
         assert set(got[i]["b"].split(",")) <= set(got[i]["s"].split(",")) | {""}
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=3, deadline=None)
 @given(st.lists(st.text(alphabet="a1.5@+-() é", max_size=40), min_size=60, max_size=120))
 def test_base_on_random_texts(spark, texts):
     got = spans(spark, texts)
@@ -118,5 +118,5 @@ def test_added_spans_on_planted_data(spark):
 
 
 def test_many_matches_in_one_text(spark):
-    texts = ["1.2.3.4 " * 20_000]
+    texts = ["1.2.3.4 " * 2_000]
     assert spans(spark, texts)[0]["b"] == base(texts[0])
