@@ -2,14 +2,15 @@
 
 `Prefix` keeps two modular prefix arrays of a text: any two spans compare in constant time, and the longest common
 extension of two places comes from a binary search over such comparisons. A fingerprint is the bottom of the sorted hashes
-of all spans of SPAN code points (SHORT in a text of fewer than FEW), so equal texts have equal fingerprints and the
-share of common values estimates the share of common spans.
+of a text's spans, one for each code point: the SPAN code points that end there, filled up in front at the start of the
+text. So a text of n code points has n spans at any length, equal texts have equal fingerprints, and the share of common
+values estimates the share of common spans.
 
 `with_next` gives every row its successor in descending doc_id with one shuffle of the texts: rows are dealt by ranges of
 doc_id, and the first row of each range also goes to the range above it. Only one number a range reaches the driver.
 
 Defined results: a null text is empty, an empty text has the empty fingerprint (likeness 1 to another empty one, else 0);
-a null doc_id sorts last, rows of one doc_id sort by a hash of their text; a single row is its own successor; an empty
+a null doc_id sorts last, rows of one doc_id sort by a hash of their text and are one range; a single row is its own successor; an empty
 table gives no rows; other columns are not read.
 """
 
@@ -27,7 +28,9 @@ from assayloom.llm.common import short_batches
 
 P = (1 << 31) - 1
 BASES = (1_000_003, 2_038_074_743 % P)
-SPAN, SHORT, FEW, KEEP = 12, 4, 64, 64
+SPAN, KEEP = 12, 64
+#: Rows of a range, and ranges from which on they get more rows (up to ten times as many).
+ROWS, RANGES = 5000, 2000
 LOWEST = -(1 << 63)
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_prefix long"
 
@@ -71,9 +74,13 @@ class Prefix:
         return tuple((int(s[start + length]) - int(s[start])) % P * int(POWERS.down[i][start]) % P for i, s in enumerate(self.sums))
 
     def spans(self, length: int) -> np.ndarray:
-        """Hashes of all spans of one length, in the first base."""
-        s, n = self.sums[0], self.n - length + 1
-        return fold(fold(s[length:] + np.uint64(P) - s[:n]) * POWERS.down[0][:n])
+        """Hashes, in the first base, of the spans of one length that end at each place, filled up in front where they
+        would start before the text."""
+        s, n = self.sums[0], max(0, self.n - length + 1)
+        POWERS.grow(length)
+        cut = min(length - 1, self.n)
+        first = fold(s[1 : cut + 1] * POWERS.up[0][length - 1 : length - 1 - cut : -1]) if cut else s[:0]
+        return np.concatenate([first, fold(fold(s[length : length + n] + np.uint64(P) - s[:n]) * POWERS.down[0][:n])])
 
     def common(self, start: int, other: Prefix, at: int) -> int:
         """How far the texts agree from `start` here and `at` there."""
@@ -91,7 +98,7 @@ def print_of(x: Prefix) -> np.ndarray:
     """The KEEP smallest distinct values of the mixed span hashes; fewer if there aren't so many."""
     if not x.n:
         return np.zeros(0, np.uint32)
-    h = x.spans(min(SPAN if x.n >= FEW else SHORT, x.n))
+    h = x.spans(SPAN)
     h = ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
     if len(h) > 8 * KEEP:
         some = np.unique(np.partition(h, 4 * KEEP)[: 4 * KEEP])
@@ -113,14 +120,15 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return len(both.intersection(union.tolist())) / len(union)
 
 
-def with_next(docs: DataFrame, rows_a_range: int = 5000, most_ranges: int = 20_000) -> DataFrame:
+def with_next(docs: DataFrame, rows_a_range: int = ROWS) -> DataFrame:
     """(doc_id, text) dealt and sorted by ranges: columns doc_id, text, _range, _tail. Within a range every row but the
     tail rows is followed by its successor in descending doc_id; the tail rows repeat the row that follows the range."""
     from pyspark.ml.feature import Bucketizer
 
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(LOWEST)).alias("_key")).withColumn("_at", F.col("_key").cast("double"))
     ids = keyed.select("_key", "_at")
-    ranges = min(most_ranges, -(-ids.count() // rows_a_range))
+    rows = ids.count()
+    ranges = max(min(RANGES, -(-rows // rows_a_range)), -(-rows // (10 * rows_a_range)))
     cuts = ids.approxQuantile("_at", [i / ranges for i in range(1, ranges)], 0.25 / ranges) if ranges > 1 else []
     inner = sorted(set(cuts) - {float("-inf"), float("inf"), float(LOWEST)})
     deal = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol="_at", outputCol="_range") if inner else None
@@ -132,7 +140,7 @@ def with_next(docs: DataFrame, rows_a_range: int = 5000, most_ranges: int = 20_0
     placed = dealt(keyed).join(F.broadcast(edges), "_key", "left")
     own, tail = F.struct("_range", F.lit(False).alias("_tail")), F.struct(F.col("_to").alias("_range"), F.lit(True).alias("_tail"))
     each = placed.select("doc_id", "text", "_key", F.explode(F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, tail))).alias("_p"))
-    out = each.select("doc_id", "text", "_key", "_p.*").repartition(max(1, len(tops)), "_range")
+    out = each.select("doc_id", "text", "_key", F.col("_p._range").cast("int").alias("_range"), "_p._tail").repartitionById(int(tops[-1][0]) + 1 if tops else 1, "_range")
     return out.sortWithinPartitions("_range", "_tail", F.desc("_key"), F.xxhash64("text"), "text").drop("_key")
 
 
@@ -142,7 +150,7 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def prints(docs: DataFrame, rows_a_range: int = 5000) -> DataFrame:
+def prints(docs: DataFrame, rows_a_range: int = ROWS) -> DataFrame:
     """SCHEMA rows, one for each row of docs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
