@@ -20,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    A temporary folder of this machine stands in only where the session names no folder, as in tests.
+    A temporary folder of this machine stands in only where a local session names no folder, as in tests.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.gettempdir() + "/assayloom-shared"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
