@@ -124,6 +124,8 @@ def component_labels(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         labels = new.select("node", "label")
         if not changed:
             break
+    else:
+        raise RuntimeError(f"components are not stable after {most_rounds} rounds")
     return labels.withColumnRenamed("label", "component")
 
 

@@ -202,21 +202,38 @@ def variance_decomposition(long: DataFrame, first: str, second: str) -> DataFram
     return m.select("feature", "n", ss1.alias("first_share"), ss2.alias("second_share"), (1 - F.coalesce(ss1, F.lit(0.0)) - F.coalesce(ss2, F.lit(0.0))).alias("residual_share"))
 
 
-#: Targets of the alignment measures (fixed values): name, comparison, bound.
-TARGETS = (("icc", ">", 0.9), ("ccc", ">", 0.9), ("rank1", ">", 0.9), ("kbet", ">", 0.8), ("lisi", ">", 1.8), ("noise_ratio", "<", 2.0), ("p", "<", 0.05))
+#: The measures of the KPI table in order, with their targets (fixed values).
+TARGETS = (
+    ("euclidean", "decrease"), ("mahalanobis", "decrease"), ("whitened", "decrease"), ("log_ratio", "negative"), ("log_ratio_low", "negative"), ("log_ratio_high", "<0"), ("excludes_zero", "1 (TRUE)"),
+    ("noise_floor", "reference"), ("noise_ratio", "~1.0"), ("icc", ">0.9"), ("ccc", ">0.9"), ("rank1", ">0.9"), ("median_rank", "1"), ("silhouette", "decrease toward 0"), ("kbet", ">0.8"), ("lisi", "close to 2.0"),
+    ("batch_auc", "toward 0.5"), ("label_accuracy", "stable"), ("batch_variance", "decrease"), ("label_variance", "stable (not drop >20%)"), ("flagged_bridges", "0 ideal"), ("poor_features", "0 ideal"), ("p", "<0.05"),
+)
+#: Measure -> side, bound for PASS, bound for WARN (none: FAIL beyond the first).
+BANDS = {"noise_ratio": ("<", 2.0, 3.0), "icc": (">", 0.9, 0.7), "ccc": (">", 0.9, 0.7), "rank1": (">", 0.9, 0.7), "kbet": (">", 0.8, 0.5), "lisi": (">", 1.8, 1.5), "p": ("<", 0.05, None)}
+
+
+def verdict(name: str, pre: Column, post: Column) -> Column:
+    """PASS, WARN or FAIL of a measure; null where it has no rule, or where a comparison lacks a side."""
+    if dict(TARGETS).get(name) == "decrease" and name != "batch_variance":
+        return F.when(post < pre, "PASS").when(post >= pre, "FAIL")
+    if name == "excludes_zero":
+        return F.when(post == 1, "PASS").when(post.isNotNull(), "FAIL")
+    if name not in BANDS:
+        return F.lit(None).cast("string")
+    side, good, fair = BANDS[name]
+    within = lambda bound: F.coalesce(post < bound if side == "<" else post > bound, F.lit(False))
+    out = F.when(within(good), "PASS")
+    return (out if fair is None else out.when(within(fair), "WARN")).otherwise("FAIL")
 
 
 def kpi_table(before: dict[str, float | None], after: dict[str, float | None], spark) -> DataFrame:  # noqa: ANN001
-    """metric, pre, post, target, pass (PASS, WARN where it got no worse, FAIL); scalars of other operators."""
-    goals = {n: (op, b) for n, op, b in TARGETS}
-    rows = []
-    for name in dict.fromkeys([*before, *after]):
-        x, y = before.get(name), after.get(name)
-        op, bound = goals.get(name, (None, None))
-        met = None if op is None or y is None else y > bound if op == ">" else y < bound
-        better = x is None or (met is not None and (y >= x if op == ">" else y <= x))
-        rows.append((name, x, y, None if op is None else f"{op} {bound}", None if met is None else "PASS" if met else "WARN" if better else "FAIL"))
-    return spark.createDataFrame(rows, "metric string, pre double, post double, target string, pass string")
+    """metric, pre, post, target, pass of all TARGETS in order, then of other names; scalars of other operators."""
+    goals = dict(TARGETS)
+    names = dict.fromkeys([*goals, *before, *after])
+    as_double = lambda x: None if x is None else float(x)
+    rows = spark.createDataFrame([(i, n, as_double(before.get(n)), as_double(after.get(n)), goals.get(n)) for i, n in enumerate(names)], "at int, metric string, pre double, post double, target string")
+    judged = reduce(lambda acc, n: acc.when(F.col("metric") == n, verdict(n, F.col("pre"), F.col("post"))), names, F.when(F.lit(False), F.lit(None).cast("string")))
+    return rows.withColumn("pass", judged).orderBy("at").drop("at")
 
 
 def shapiro_w(rows: DataFrame, value: str, *by: str) -> DataFrame:

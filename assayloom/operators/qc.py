@@ -19,13 +19,17 @@ def sample_missingness(long: DataFrame, most: float = 0.10) -> DataFrame:
 
 
 def plate_stats(rows: DataFrame, plate: str = "plate", k: float = 5.0) -> DataFrame:
-    """Per plate: samples, mean, sd, median, missing rate, and whether its mean lies over k MADs from the plates' median."""
+    """Per plate: samples, mean, sd, median, missing rate, and whether its mean lies over k MADs from the plates' median.
+
+    With a boolean column `failed` (the cell's sample failed QC) also qc_fail_rate, its share."""
+    failed = [F.avg(F.coalesce(F.col("failed"), F.lit(False)).cast("int")).alias("qc_fail_rate")] if "failed" in rows.columns else []
     stats = rows.groupBy(plate).agg(
         F.countDistinct("sample").alias("n_samples"),
         F.avg("value").alias("mean_value"),
         F.stddev_samp("value").alias("sd_value"),
         F.median("value").alias("median_value"),
         F.avg(F.col("value").isNull().cast("int")).alias("missing_rate"),
+        *failed,
     )
     return beyond_mad(stats, "mean_value", k, "outlier")
 
@@ -49,10 +53,14 @@ def processing_outliers(rows: DataFrame, start: str, end: str, most_hours: float
     return beyond_mad(kept, "hours", k, "outlier")
 
 
-def sample_technical_stats(long: DataFrame, mean_mads: float = 5.0, sd_mads: float = 4.0, missing: float = 0.05) -> DataFrame:
-    """Per sample: n, mean, sd, missing rate; flags for mean (both sides), sd (above) and missing values, and their union."""
+def sample_technical_stats(long: DataFrame, mean_mads: float = 5.0, sd_mads: float = 4.0, missing: float = 0.05, failing: float = 0.3) -> DataFrame:
+    """Per sample: n, mean, sd, missing rate; flags for mean (both sides), sd (above) and missing values, and their union.
+
+    With a boolean column `failed` (sample or assay failed QC in that cell) also qc_fail_rate, and qc_outlier where that is
+    over `failing`; it is a fourth ground to be an outlier."""
+    failed = [F.avg(F.coalesce(F.col("failed"), F.lit(False)).cast("int")).alias("qc_fail_rate")] if "failed" in long.columns else []
     features = long.agg(F.countDistinct("feature").alias("_f"))
-    stats = long.groupBy("sample").agg(F.countDistinct(F.when(F.col("value").isNotNull(), F.col("feature"))).alias("n_features"), F.avg("value").alias("mean_value"), F.stddev_samp("value").alias("sd_value"))
+    stats = long.groupBy("sample").agg(F.countDistinct(F.when(F.col("value").isNotNull(), F.col("feature"))).alias("n_features"), F.avg("value").alias("mean_value"), F.stddev_samp("value").alias("sd_value"), *failed)
     stats = with_scalars(stats, features).withColumn("missing_rate", 1 - F.col("n_features") / F.col("_f")).drop("_f")
     on_mean = center_and_mad(stats, "mean_value").select(F.col("median").alias("_m"), F.col("mad").alias("_mm"))
     on_sd = center_and_mad(stats, "sd_value").select(F.col("median").alias("_s"), F.col("mad").alias("_sm"))
@@ -63,7 +71,10 @@ def sample_technical_stats(long: DataFrame, mean_mads: float = 5.0, sd_mads: flo
             "missing_outlier": F.col("missing_rate") > missing,
         }
     )
-    return out.withColumn("is_outlier", F.col("mean_outlier") | F.col("sd_outlier") | F.col("missing_outlier")).drop("_m", "_mm", "_s", "_sm")
+    flags = ["mean_outlier", "sd_outlier", "missing_outlier"]
+    if failed:
+        out, flags = out.withColumn("qc_outlier", F.col("qc_fail_rate") > failing), [*flags, "qc_outlier"]
+    return out.withColumn("is_outlier", reduce(lambda a, b: a | b, map(F.col, flags))).drop("_m", "_mm", "_s", "_sm")
 
 
 def zscore_outliers(long: DataFrame, z: float = 4.0, share: float = 0.10) -> DataFrame:

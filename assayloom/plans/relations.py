@@ -133,9 +133,9 @@ def set_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").filter("c_acctbal > 9000").select(F.col("c_nationkey").alias("k")).intersect(table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k")))
 
 
-@query("SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 25")
+@query("SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity >= 50")
 def set_except(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")).subtract(table(spark, sf_dir, "lineitem").filter("l_quantity > 25").select(F.col("l_partkey").alias("k")))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")).subtract(table(spark, sf_dir, "lineitem").filter("l_quantity >= 50").select(F.col("l_partkey").alias("k")))
 
 
 @query("SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
@@ -272,11 +272,11 @@ def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE {CORR}, c AS (SELECT a.feature AS f1, b.feature AS f2, corr(a.value, b.value) AS r FROM x a JOIN x b USING (sample) WHERE a.feature < b.feature GROUP BY ALL),
-    k AS (SELECT f1 AS a, f2 AS b FROM c WHERE abs(r) > 0.15 UNION SELECT f2, f1 FROM c WHERE abs(r) > 0.15 UNION SELECT DISTINCT feature, feature FROM x),
+    k AS (SELECT f1 AS a, f2 AS b FROM c WHERE abs(r) > 0.1 UNION SELECT f2, f1 FROM c WHERE abs(r) > 0.1 UNION SELECT DISTINCT feature, feature FROM x),
     r AS (SELECT a AS feature, a AS seen FROM k UNION SELECT r.feature, k.b FROM r JOIN k ON r.seen = k.a), g AS (SELECT feature, min(seen) AS root FROM r GROUP BY 1)
     SELECT feature, dense_rank() OVER (ORDER BY root)::INT AS group_id FROM g""")
 def corr_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return genetics.correlation_groups(matrix(spark, sf_dir), least=0.15)
+    return genetics.correlation_groups(matrix(spark, sf_dir), least=0.1)
 
 
 SCORED = "s AS (SELECT doc_id, (doc_id * 7919 % 10007) / 10007.0::DOUBLE * 0.7 + quality * 0.3 AS score, quality AS label FROM labels)"
@@ -345,12 +345,11 @@ def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prediction.stratified_folds(scored(spark, sf_dir), "doc_id", "label", 5)
 
 
-@query("SELECT quality AS label, ((row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1) % 5 + 1)::INT AS fold, doc_id * 0 AS z FROM labels QUALIFY false")
-def fold_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classes whose folds differ by more than one row: none."""
-    sizes = folds(spark, sf_dir).groupBy("label", "fold").count()
-    uneven = sizes.groupBy("label").agg((F.max("count") - F.min("count")).alias("z"), F.min("fold").alias("fold")).filter("z > 1")
-    return uneven.select("label", F.col("fold").cast("int").alias("fold"), "z")
+@query("""WITH c AS (SELECT quality AS label, count(*) AS rows FROM labels GROUP BY 1)
+    SELECT label, fold, ((rows + 5 - fold) // 5)::BIGINT AS n FROM c, (SELECT unnest([1, 2, 3, 4, 5]) AS fold) WHERE rows >= fold""")
+def fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each class in each fold: as even as they can be, the first folds taking what is left over."""
+    return folds(spark, sf_dir).groupBy("label", F.col("fold").cast("int").alias("fold")).agg(F.count("*").alias("n"))
 
 
 @query(None)

@@ -6,6 +6,7 @@ written; `only`, `first` and `last` pick steps as a rerun needs them.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -63,6 +64,10 @@ def ranks(t: Tables, s: tables.Settings) -> Tables:
 STEPS: tuple[tuple[str, Step], ...] = (("load", load), ("technical", technical), ("zscore", extremes), ("flags", flags), ("scale", scale), ("people", people), ("ranks", ranks))
 
 
+class MissingTable(ValueError):
+    """A step lacks a table that it needs."""
+
+
 @dataclass
 class StudyPlan:
     settings: tables.Settings = field(default_factory=tables.Settings)
@@ -86,12 +91,13 @@ class StudyPlan:
                 try:
                     have |= step(have, self.settings)
                 except KeyError as e:
-                    raise ValueError(f"step {name} needs the table {e.args[0]}") from e
+                    raise MissingTable(f"step {name} needs the table {e.args[0]}") from e
         return have
 
 
 def several(plan: StudyPlan, batches: dict[str, Tables], reference: str, union: bool = True, least_features: int = 100) -> dict[str, Tables]:
-    """Every batch through the plan, the reference first; a batch that lacks a table is left out, the reference may not.
+    """Every batch through the plan, the reference first; a batch that lacks a table is left out with a warning, the reference may
+    not. Any other error ends the run.
 
     With `union`, the result `all` has the people of all batches on common features, later batches taking precedence.
     """
@@ -100,8 +106,8 @@ def several(plan: StudyPlan, batches: dict[str, Tables], reference: str, union:
         if name != reference:
             try:
                 out[name] = plan.run(batches[name])
-            except ValueError:
-                continue
+            except MissingTable as e:
+                warnings.warn(f"batch {name} is left out: {e}", stacklevel=2)
     if union and len(out) > 1:
         merged = None
         for name in out:

@@ -110,16 +110,16 @@ def metadata(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumnRenamed(sample_column(df), "sample")
 
 
-def bridging(spark: SparkSession, path: str, person: str = "FINNGENID", pattern: str = "^FG") -> DataFrame:
+def bridging(spark: SparkSession, path: str, person: str, pattern: str) -> DataFrame:
     """People with boolean in_* flags, those whose id fits `pattern`."""
     df = scan(spark, path)
     return df.select(first_column(df, person).alias("person"), *[to_bool(F.col(c)).alias(c) for c in df.columns if c.startswith("in_")]).filter(F.col("person").rlike(pattern))
 
 
-def id_map(spark: SparkSession, path: str, pattern: str = "^FG") -> DataFrame:
-    """sample, person of a map with aliases, without nulls and ids that don't fit."""
+def id_map(spark: SparkSession, path: str, samples: tuple[str, ...], people: tuple[str, ...], pattern: str) -> DataFrame:
+    """sample, person of a map whose columns go by one of these names, without nulls and ids that don't fit."""
     df = scan(spark, path)
-    return df.select(first_column(df, "PSEUDO_ID", "SAMPLE_ID").alias("sample"), first_column(df, "FGID", "FINNGENID").alias("person")).dropna().filter(F.col("person").rlike(pattern))
+    return df.select(first_column(df, *samples).alias("sample"), first_column(df, *people).alias("person")).dropna().filter(F.col("person").rlike(pattern))
 
 
 def kinship_edges(spark: SparkSession, path: str) -> DataFrame:

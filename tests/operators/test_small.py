@@ -169,8 +169,8 @@ def test_sources_round_trip(spark, tmp_path):
     assert [tuple(r) for r in tables.to_long(rows).collect()] == [("a", "f", 2.0)]
     (tmp_path / "k.csv").write_text("ID1;ID2;Kinship\nx;y;0.2\n")
     assert [tuple(r) for r in tables.kinship_edges(spark, f"{tmp_path}/k.csv").collect()] == [("x", "y", 0.2)]
-    (tmp_path / "b.tsv").write_text("FINNGENID\tin_Batch_00\tin_Batch_01\nFG1\tT\tFALSE\nX1\tT\tT\n")
-    assert [tuple(r) for r in tables.bridging(spark, f"{tmp_path}/b.tsv").collect()] == [("FG1", True, False)]
+    (tmp_path / "b.tsv").write_text("PERSON\tin_Batch_00\tin_Batch_01\nP1\tT\tFALSE\nX1\tT\tT\n")
+    assert [tuple(r) for r in tables.bridging(spark, f"{tmp_path}/b.tsv", "PERSON", "^P").collect()] == [("P1", True, False)]
     raw = spark.createDataFrame([("1", "1", 0, 2)], "FID string, IID string, chr1_5_A_G_G int, chr2_7_C_T_T int")
     assert sorted((r["variant"], r["dosage"]) for r in tables.genotypes_long(raw).collect()) == [("chr1_5_A_G", 0), ("chr2_7_C_T", 2)]
     plink = tables.plink_table(long(spark, [("a", "f", 1.0), ("b", "f", None)]), ["f"])

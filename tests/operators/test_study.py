@@ -33,7 +33,8 @@ def test_one_batch_and_steps(spark, tmp_path):
 
 
 def test_several_batches(spark):
-    made = several(StudyPlan(), {"one": batch(spark, "a"), "two": batch(spark, "b", 2.0), "broken": {}}, "one", least_features=5)
+    with pytest.warns(UserWarning, match="broken is left out"):
+        made = several(StudyPlan(), {"one": batch(spark, "a"), "two": batch(spark, "b", 2.0), "broken": {}}, "one", least_features=5)
     assert made.keys() == {"one", "two", "all"}
     people = [r["person"] for r in made["all"]["persons"].select("person").distinct().collect()]
     assert len(people) == len(set(people)) and "p1" in people
@@ -100,4 +101,5 @@ def test_far_candidates_and_kpi(spark):
     d = spark.createDataFrame([(i, float(i)) for i in range(10)], "sample int, distance double")
     assert sorted(r["sample"] for r in h.far_candidates(d).collect()) == [7, 8, 9]
     kpi = {r["metric"]: r["pass"] for r in h.kpi_table({"icc": 0.5, "noise_ratio": 3.0, "other": 1.0}, {"icc": 0.95, "noise_ratio": 2.5, "other": 2.0, "lisi": 1.0}, spark).collect()}
-    assert kpi == {"icc": "PASS", "noise_ratio": "WARN", "other": None, "lisi": "WARN"}
+    assert list(kpi)[:2] == ["euclidean", "mahalanobis"] and len(kpi) == len(h.TARGETS) + 1
+    assert {n: kpi[n] for n in ("icc", "noise_ratio", "other", "lisi", "p", "euclidean")} == {"icc": "PASS", "noise_ratio": "WARN", "other": None, "lisi": "FAIL", "p": "FAIL", "euclidean": None}

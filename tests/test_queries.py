@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from assayloom.plans import alignment, harmony, quality, registry, relations, tables  # noqa: F401
+from assayloom.plans import alignment, harmony, people, quality, registry, relations, tables  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
