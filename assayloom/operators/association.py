@@ -162,10 +162,47 @@ def true_pair_rank(distances: DataFrame) -> DataFrame:
 
 
 def concordance(pairs: DataFrame, least: int = 5) -> DataFrame:
-    """feature, n, cor, mse, mae, r2 over pairs x, y."""
+    """feature, n, cor, mse, mae, r2 over pairs x, y; r2 is the share of y's variance that x itself, unfitted, explains."""
     d = F.col("x") - F.col("y")
-    agg = pairs.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("feature").agg(F.count("*").alias("n"), F.corr("x", "y").alias("cor"), F.avg(d * d).alias("mse"), F.avg(F.abs(d)).alias("mae"))
-    return agg.filter(F.col("n") >= least).withColumn("r2", F.col("cor") * F.col("cor"))
+    agg = pairs.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("feature").agg(F.count("*").alias("n"), F.corr("x", "y").alias("cor"), F.avg(d * d).alias("mse"), F.avg(F.abs(d)).alias("mae"), F.var_pop("y").alias("_vy"))
+    return agg.filter(F.col("n") >= least).withColumn("r2", 1 - F.try_divide("mse", "_vy")).drop("_vy")
+
+
+def concordance_change(before: DataFrame, after: DataFrame, least: int = 5, worst_r2: float = 0.5) -> DataFrame:
+    """feature, cor, mse, mae and r2 before (_pre) and after (_post), mse_reduction, poorly_harmonised: the error grew or r2
+    after is under `worst_r2`."""
+    names = ("cor", "mse", "mae", "r2")
+    side = lambda df, tail: concordance(df, least).select("feature", *[F.col(c).alias(f"{c}_{tail}") for c in names])
+    out = side(before, "pre").join(side(after, "post"), "feature", "full")
+    reduction = F.try_divide(F.col("mse_pre") - F.col("mse_post"), "mse_pre")
+    poor = F.coalesce(reduction < 0, F.lit(False)) | F.coalesce(F.col("r2_post") < worst_r2, F.lit(False))
+    return out.withColumns({"mse_reduction": reduction, "poorly_harmonised": poor})
+
+
+def bridge_flags(pairs: DataFrame, distance: str = "distance", ratio: str = "ratio", k: float = 1.5, most: float = 3.0) -> DataFrame:
+    """`pairs` with outlier_distance (over Q3 + k * IQR), outlier_noise (noise ratio over `most`) and outlier, either."""
+    out = iqr_outliers(pairs, distance, k).withColumnRenamed("is_outlier", "outlier_distance").withColumn("outlier_noise", F.col(ratio) > most)
+    return out.withColumn("outlier", F.coalesce("outlier_distance", F.lit(False)) | F.coalesce("outlier_noise", F.lit(False)))
+
+
+def stage_summary(before: DataFrame, after: DataFrame, samples: int | None = None, seed: int = 42) -> DataFrame:
+    """stage, mean, median, sd, iqr to two places before and after a step; with `samples`, over that many samples in a hash
+    order of their ids, the same ones in both."""
+    if samples is not None:
+        chosen = before.select("sample").distinct().orderBy(F.xxhash64("sample", F.lit(seed)), "sample").limit(samples)
+        before, after = (df.join(F.broadcast(chosen), "sample", "left_semi") for df in (before, after))
+    both = before.select(F.lit("Before").alias("stage"), "value").unionByName(after.select(F.lit("After").alias("stage"), "value"))
+    facts = {"mean": F.avg("value"), "median": F.median("value"), "sd": F.stddev_samp("value"), "iqr": F.percentile("value", F.lit(0.75)) - F.percentile("value", F.lit(0.25))}
+    return both.groupBy("stage").agg(*[F.round(c, 2).alias(n) for n, c in facts.items()])
+
+
+def effect_comparison(fits: DataFrame, weights: DataFrame, top: int = 50) -> DataFrame:
+    """feature, beta, its 95% interval, and mean and 2.5/97.5% points over folds of another model's weight, for the `top`
+    features by p. fits: feature, beta, se, p; weights: fold, feature, weight."""
+    best = fits.orderBy("p", "feature").limit(top)
+    folds = weights.join(F.broadcast(best.select("feature")), "feature", "left_semi").groupBy("feature").agg(F.avg("weight").alias("other_mean"), F.percentile("weight", F.lit(0.025)).alias("other_low"), F.percentile("weight", F.lit(0.975)).alias("other_high"))
+    interval = {"beta_low": F.col("beta") - 1.96 * F.col("se"), "beta_high": F.col("beta") + 1.96 * F.col("se")}
+    return best.withColumns(interval).select("feature", "beta", "beta_low", "beta_high").join(folds, "feature", "left")
 
 
 def iqr_outliers(rows: DataFrame, value: str, k: float = 1.5) -> DataFrame:

@@ -273,6 +273,16 @@ def genetic_distance(scores: DataFrame, columns: list[str]) -> DataFrame:
     return with_scalars(scores, mid).select("sample", F.sqrt(reduce(lambda a, b: a + b, [g * g for g in gaps])).alias("distance"))
 
 
+def genetic_pair_distance(scores: DataFrame, columns: list[str], pairs: DataFrame) -> DataFrame:
+    """a, b, distance of the asked pairs (a, b) of samples; missing scores as the median. Only pairs that a caller suspects
+    are measured, so nothing grows with the square of the samples; pairs of unknown samples are left out."""
+    mid = scores.agg(*[F.median(c).alias(f"_{c}") for c in columns])
+    filled = with_scalars(scores, mid).select("sample", F.array(*[F.coalesce(F.col(c), F.col(f"_{c}")) for c in columns]).alias("_p"))
+    side = lambda name: filled.select(F.col("sample").alias(name), F.col("_p").alias(f"_{name}"))
+    gap = F.aggregate(F.zip_with("_a", "_b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", F.sqrt(gap).alias("distance"))
+
+
 def far_candidates(distances: DataFrame, percentile: float = 0.9, least: int = 3, floor: float = 0.5) -> DataFrame:
     """Rows at or over a percentile of the distance, which comes down by a tenth, not under `floor`, while too few are."""
     steps = [percentile - 0.1 * i for i in range(10) if percentile - 0.1 * i >= floor - 1e-9]

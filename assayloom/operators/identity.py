@@ -107,3 +107,13 @@ def quintile(value: str) -> Column:
     cuts = F.percentile(value, F.array(*[F.lit(q) for q in (0.2, 0.4, 0.6, 0.8)])).over(w)
     over = F.size(F.filter(cuts, lambda c: F.col(value) > c))
     return F.when(F.col(value).isNotNull(), F.concat(F.lit("Q"), (over + 1).cast("string")))
+
+
+def person_components(scores: DataFrame, people: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Every row of scores (a row a person) with the columns of the person's least sample in `people` (null: no sample) and
+    is_outlier: whether any sample of the person is flagged."""
+    rest = [c for c in people.columns if c not in ("person", "sample")]
+    one = people.groupBy("person").agg(F.min_by(F.struct("sample", *rest), "sample").alias("_one")).select("person", *[F.col("_one")[c].alias(c) for c in ("sample", *rest)])
+    bad = people.join(flagged.select("sample"), "sample", "left_semi").select("person").distinct().withColumn("_bad", F.lit(True))
+    out = scores.join(one, "person", "left").join(bad, "person", "left")
+    return out.withColumn("is_outlier", F.coalesce("_bad", F.lit(False))).drop("_bad")

@@ -60,6 +60,28 @@ def batch_median_shift(both: DataFrame, reference: object, clamp: float = 3.0) -
     return both.join(offsets, ["batch", "feature"], "left").withColumn("value", F.col("value") - F.coalesce("_off", F.lit(0.0))).drop("_off")
 
 
+def bridge_quality(long: DataFrame, bridges: DataFrame, max_missing: float = 0.2) -> DataFrame:
+    """sample, missing_rate, mean, sd, high_quality of the bridge samples in the matrix; absent cells count as missing."""
+    features = long.agg(F.countDistinct("feature").alias("_all"))
+    own = long.join(bridges.select("sample").distinct(), "sample", "left_semi")
+    facts = own.groupBy("sample").agg(F.count("value").alias("_n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
+    rate = 1 - F.col("_n") / F.col("_all")
+    return with_scalars(facts, features).select("sample", rate.alias("missing_rate"), "mean", "sd", (rate < max_missing).alias("high_quality"))
+
+
+def bridge_scale(long: DataFrame, bridges: DataFrame, method: str = "median", max_missing: float = 0.2, low: float = 0.1, high: float = 10.0, least: int = 10) -> DataFrame:
+    """value times factor: the median (or mean) over features of the bridges' feature medians (means) over the feature's
+    own, 1 where undefined, clamped. Raises under `least` bridge samples of enough quality."""
+    good = bridge_quality(long, bridges, max_missing).filter("high_quality").select("sample")
+    if (n := good.count()) < least:
+        raise ValueError(f"{n} bridge samples of enough quality; {least} are needed")
+    center = {"median": F.median, "mean": F.avg}[method]
+    own = long.join(good, "sample", "left_semi").groupBy("feature").agg(center("value").alias("_own"))
+    factor = F.coalesce(F.try_divide("_all", "_own"), F.lit(1.0))
+    factors = with_scalars(own, own.agg(center("_own").alias("_all"))).select("feature", F.least(F.greatest(factor, F.lit(low)), F.lit(high)).alias("factor"))
+    return long.join(factors, "feature", "left").withColumn("factor", F.coalesce("factor", F.lit(1.0))).withColumn("value", F.col("value") * F.col("factor"))
+
+
 def quantile_normalize(long: DataFrame, points: int = 101, log2: bool = False) -> DataFrame:
     """Each value becomes the features' mean quantile at its rank / (n + 1), by linear interpolation on `points` points."""
     grid = [i / (points - 1) for i in range(points)]
@@ -123,12 +145,15 @@ def covariates_residualise(long: DataFrame, covariates: list[str], least: int =
     return long.join(fits, "feature", "left").withColumn("value", F.when(whole & (F.col("_n") >= least), F.col("value") - shift).otherwise(F.col("value"))).drop("_n", "_beta", "_mean")
 
 
-def combat(long: DataFrame, rounds: int = 100, tolerance: float = 1e-6) -> DataFrame:
-    """Empirical-Bayes location and scale (batch, sample, feature, value): standardise by the grand mean and pooled sd,
-    shrink each batch's location and scale towards their common priors, transform back.
+def combat(long: DataFrame, rounds: int = 100, tolerance: float = 1e-6, log2: bool = False) -> DataFrame:
+    """Empirical-Bayes location and scale (batch, sample, feature, value): fill missing values with the feature's mean,
+    standardise by the grand mean and pooled sd, shrink each batch's location and scale towards their common priors,
+    transform back; `log2` gives log2(value + 1), null where that has no value.
 
     Means and variances are Spark aggregates; what a batch iterates over is one row a feature.
     """
+    means = long.groupBy("feature").agg(F.avg("value").alias("_mean"))
+    long = long.join(means, "feature").withColumn("value", F.coalesce("value", "_mean")).drop("_mean")
     cells = long.groupBy("batch", "feature").agg(F.count("value").alias("n"), F.avg("value").alias("m"), F.sum(F.col("value") * F.col("value")).alias("q"))
     w = over("feature")
     n = F.sum("n").over(w)
@@ -158,7 +183,8 @@ def combat(long: DataFrame, rounds: int = 100, tolerance: float = 1e-6) -> DataF
     fits = priors.groupBy("batch").applyInPandas(shrink, f"batch {batch_kind}, feature {kind}, _g double, _d double, _grand double, _pooled double")
     z = (F.col("value") - F.col("_grand")) / F.col("_pooled")
     value = (z - F.col("_g")) / F.sqrt("_d") * F.col("_pooled") + F.col("_grand")
-    return long.join(fits, ["batch", "feature"], "left").withColumn("value", F.coalesce(value, F.col("value"))).drop("_g", "_d", "_grand", "_pooled")
+    value = F.coalesce(value, F.col("value"))
+    return long.join(fits, ["batch", "feature"], "left").withColumn("value", F.when(value > -1, F.log2(value + 1)) if log2 else value).drop("_g", "_d", "_grand", "_pooled")
 
 
 def spread_reduction(before: DataFrame, after: DataFrame) -> DataFrame:

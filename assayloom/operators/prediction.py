@@ -35,6 +35,19 @@ def precision_recall(scored: DataFrame, score: str = "score", label: str = "labe
     return c.select("threshold", F.try_divide("tp", F.col("tp") + F.col("fp")).alias("precision"), F.try_divide("tp", F.col("tp") + F.col("fn")).alias("recall"))
 
 
+def pr_auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """pr_auc: the area under precision by recall; between two thresholds false positives grow in proportion to true ones,
+    so the area of a step has a closed form."""
+    down = Window.orderBy(F.desc("threshold"))
+    c = confusion_curve(scored, score, label)
+    steps = c.withColumns({"_t": F.lag("tp", 1, 0).over(down), "_f": F.lag("fp", 1, 0).over(down)}).filter(F.col("tp") > F.col("_t"))
+    rise = 1 + (F.col("fp") - F.col("_f")) / (F.col("tp") - F.col("_t"))
+    start = F.col("_f") - (rise - 1) * F.col("_t")
+    bend = F.when(F.col("_t") + F.col("_f") > 0, start / (rise * rise) * F.ln((F.col("tp") + F.col("fp")) / (F.col("_t") + F.col("_f")))).otherwise(0.0)
+    area = (F.col("tp") - F.col("_t")) / rise - bend
+    return steps.agg((F.sum(area) / F.max(F.col("tp") + F.col("fn"))).alias("pr_auc"))
+
+
 def youden(scored: DataFrame, score: str = "score", label: str = "label", step: float = 0.01) -> DataFrame:
     """The threshold, from a grid 0.05 to 0.95 and the scores themselves, with the largest J; ties by F1, then the least."""
     spark = scored.sparkSession
@@ -151,6 +164,11 @@ def probability(c: str) -> Column:
 
 def elastic_net_cv(vectors: DataFrame, label: str, alphas: list[float], lambdas: list[float], folds: int = 5, seed: int = 42) -> DataFrame:
     """sample, label, fold, score: out-of-fold probabilities of the model whose mean AUC over inner folds is best."""
+    return elastic_net_folds(vectors, label, alphas, lambdas, folds, seed)[0]
+
+
+def elastic_net_folds(vectors: DataFrame, label: str, alphas: list[float], lambdas: list[float], folds: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """The scores of `elastic_net_cv`, and fold, at (place in the vector), weight of every outer fold's model."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -159,12 +177,59 @@ def elastic_net_cv(vectors: DataFrame, label: str, alphas: list[float], lambdas:
     lr = LogisticRegression(labelCol=label, weightCol="weight", standardization=False, maxIter=100)
     grid = ParamGridBuilder().addGrid(lr.elasticNetParam, alphas).addGrid(lr.regParam, lambdas).build()
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol=label), numFolds=3, seed=seed, parallelism=4)
-    out = None
+    out, weights = None, []
     for k in range(1, folds + 1):
         model = cv.fit(rows.filter(F.col("fold") != k)).bestModel
+        weights += [(k, i, float(w)) for i, w in enumerate(model.coefficients.toArray())]
         held = model.transform(rows.filter(F.col("fold") == k)).select("sample", label, "fold", probability("probability").alias("score"))
         out = held if out is None else out.unionByName(held)
-    return out
+    return out, vectors.sparkSession.createDataFrame(weights, "fold int, at int, weight double")
+
+
+def top_features(fits: DataFrame, most: int = 20, least: int = 5) -> list:
+    """The features of the `most` least p among the significant ones (feature, p, significant); none under `least`."""
+    names = [r["feature"] for r in fits.filter("significant").orderBy("p", "feature").limit(most).collect()]
+    return names if len(names) >= least else []
+
+
+def top_predictor(long: DataFrame, people: DataFrame, label: str, names: list, covariates: tuple[str, ...] = ("age", "bmi", "smoking")) -> DataFrame:
+    """sample, label, probability, predicted (1 from 0.5), mismatch of an unpenalised logistic model on some features and
+    covariates, fitted to complete labelled rows. people: sample, label (0/1 or null), covariates. Samples with a gap have
+    null predictions; without names there is no model, and all are null."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    if not names:
+        seen = people.select("sample", label).join(long.select("sample").distinct(), "sample", "left_semi")
+        return seen.select("sample", label, F.lit(None).cast("double").alias("probability"), F.lit(None).cast("int").alias("predicted"), F.lit(False).alias("mismatch"))
+    cells = long.select("sample", "feature", F.when(F.col("feature").isin(names), F.col("value")).alias("value"))
+    values = F.sort_array(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("feature", "value"))))
+    wide = cells.groupBy("sample").agg(F.transform(values, lambda x: x["value"]).alias("_v"))
+    rows = people.select("sample", F.col(label).alias("_y"), *covariates).join(wide, "sample")
+    ready = F.size("_v") == len(names)
+    for c in covariates:
+        ready = ready & F.col(c).isNotNull()
+    whole = rows.filter(ready).select("sample", F.col("_y").alias(label), array_to_vector(F.concat("_v", F.array(*[F.col(c).cast("double") for c in covariates]).cast("array<double>"))).alias("features"))
+    rows = rows.select("sample", F.col("_y").alias(label))
+    model = LogisticRegression(labelCol=label, regParam=0.0, maxIter=200, tol=1e-10).fit(whole.filter(F.col(label).isNotNull()))
+    fitted = model.transform(whole).select("sample", probability("probability").alias("probability"))
+    predicted = (F.col("probability") >= 0.5).cast("int")
+    return rows.select("sample", label).join(fitted, "sample", "left").withColumns({"predicted": predicted, "mismatch": F.coalesce(predicted != F.col(label), F.lit(False))})
+
+
+def label_accuracy(long: DataFrame, people: DataFrame, label: str, names: list, least_batch: int = 50, least: int = 100) -> DataFrame:
+    """accuracy on its own rows of a logistic model of the label on the features `names`, over all batches together; null
+    where a batch has under `least_batch` labelled samples or one class, or under `least` complete rows are left.
+    people: sample, batch, label."""
+    known = people.filter(F.col(label).isNotNull())
+    full = long.filter(F.col("feature").isin(names) & F.col("value").isNotNull()).groupBy("sample").agg(F.count("*").alias("_n")).filter(F.col("_n") == len(names)).select("sample")
+    seen = known.join(long.select("sample").distinct(), "sample", "left_semi").join(full.withColumn("_f", F.lit(True)), "sample", "left")
+    per = seen.groupBy("batch").agg(F.count("*").alias("n"), F.count("_f").alias("whole"), F.count_distinct(F.when(F.col("_f"), F.col(label))).alias("classes"))
+    facts = per.agg(F.min("n").alias("n"), F.min("classes").alias("classes"), F.sum("whole").alias("whole")).head()
+    if facts["n"] is None or facts["n"] < least_batch or facts["classes"] < 2 or facts["whole"] < least:
+        return long.sparkSession.createDataFrame([(None,)], "accuracy double")
+    fitted = top_predictor(long, known.select("sample", label), label, names, ())
+    return fitted.filter("predicted IS NOT NULL").agg(F.avg((F.col("predicted") == F.col(label)).cast("int")).alias("accuracy"))
 
 
 def model_zoo(vectors: DataFrame, label: str, trees: int = 50, seed: int = 42) -> DataFrame:

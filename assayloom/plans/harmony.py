@@ -200,7 +200,7 @@ def true_pair_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(a.true_pair_rank(d), "margin")
 
 
-@query(f"WITH {PAIRS} SELECT feature, count(*) AS n, round(corr(x, y), 6) AS cor, round(avg((x - y) * (x - y)), 6) AS mse, round(avg(abs(x - y)), 6) AS mae, round(corr(x, y) * corr(x, y), 6) AS r2 FROM p GROUP BY 1 HAVING count(*) >= 5")
+@query(f"WITH {PAIRS} SELECT feature, count(*) AS n, round(corr(x, y), 6) AS cor, round(avg((x - y) * (x - y)), 6) AS mse, round(avg(abs(x - y)), 6) AS mae, round(1 - avg((x - y) * (x - y)) / var_pop(y), 6) AS r2 FROM p GROUP BY 1 HAVING count(*) >= 5")
 def protein_concordance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(a.concordance(pairs(spark, sf_dir)), "cor", "mse", "mae", "r2")
 

@@ -397,8 +397,8 @@ def quintiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", identity.quintile("p_retailprice").alias("quintile"))
 
 
-@query("""SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean_value, round(median(value), 6) AS median_value, round(stddev_samp(value), 6) AS sd_value, min(value) AS min_value, max(value) AS max_value FROM events GROUP BY 1""")
+@query("""SELECT event_type, count(value) AS n, round(1 - count(value) / count(*), 6) AS missing_rate, round(avg(value), 6) AS mean_value, round(median(value), 6) AS median_value, round(stddev_samp(value), 6) AS sd_value, min(value) AS min_value, max(value) AS max_value FROM events GROUP BY 1""")
 def feature_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = "value"
-    agg = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.avg(v).alias("mean_value"), F.median(v).alias("median_value"), F.stddev_samp(v).alias("sd_value"), F.min(v).alias("min_value"), F.max(v).alias("max_value"))
-    return rounded(agg, "mean_value", "median_value", "sd_value")
+    agg = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(v).alias("n"), (1 - F.count(v) / F.count("*")).alias("missing_rate"), F.avg(v).alias("mean_value"), F.median(v).alias("median_value"), F.stddev_samp(v).alias("sd_value"), F.min(v).alias("min_value"), F.max(v).alias("max_value"))
+    return rounded(agg, "missing_rate", "mean_value", "median_value", "sd_value")
