@@ -1,7 +1,8 @@
 """A study from measurements to export as lazy plans (survey J2, J4-J7): every batch is a partition of one table.
 
-`StudyPlan` names the steps in order; each takes the tables made so far and adds its own. Nothing runs until a table is
-written; `only`, `first` and `last` pick steps as a rerun needs them.
+`StudyPlan` names the steps in order; each takes the tables made so far and adds its own. Other tables run as they
+are written; `only`, `first` and `last` pick
+steps as a rerun needs them; tables of `SETTLED` are computed once, as their step is reached. Steps of `NEEDS` run only where their side tables are given.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayloom.functions.stats import inverse_normal
-from assayloom.operators import identity, normalize, qc
+from assayloom.operators import association, genetics, identity, normalize, pca, qc
 from assayloom.sources import tables
 
 Tables = dict[str, DataFrame]
@@ -38,6 +39,22 @@ def extremes(t: Tables, s: tables.Settings) -> Tables:
     return {"zscore_stats": out, "zscore": out.filter("is_outlier").select("sample")}
 
 
+def components(t: Tables, s: tables.Settings) -> Tables:
+    """Samples outside the cascade over four components, row median and row IQR."""
+    scores = pca.pca(t["long"], 4).scores
+    names = ("pc1", "pc2", "pc3", "pc4")
+    wide = scores.groupBy("sample").agg(*[F.max(F.when(F.col("pc") == i, F.col("score"))).alias(c) for i, c in enumerate(names, 1)])
+    out = qc.outlier_cascade(wide, t["long"], names, s.pca_sd)
+    return {"components": wide, "pca_stats": out, "pca": out.filter("is_outlier").select("sample")}
+
+
+def genotype(t: Tables, s: tables.Settings) -> Tables:
+    """Samples whose values don't go with their dosages (genotypes: sample, feature, variant, dosage, beta)."""
+    rows = t["long"].join(t["genotypes"], ["sample", "feature"])
+    out = genetics.genotype_flags(genetics.genotype_sample_stats(genetics.genotype_z(rows)))
+    return {"genotype_stats": out, "genotype": out.filter("is_outlier").select("sample")}
+
+
 def flags(t: Tables, s: tables.Settings) -> Tables:
     """All flags side by side, and the matrix without flagged samples. Lists that are absent count as empty."""
     samples = t["measurements"].select("sample").distinct()
@@ -50,18 +67,60 @@ def scale(t: Tables, s: tables.Settings) -> Tables:
     return {"normal": normalize.median_scale(t["clean"]).drop("factor")}
 
 
+def bridge(t: Tables, s: tables.Settings) -> Tables:
+    """The batch moved onto the reference batch (reference: person, feature, value) by the people in both."""
+    own = identity.add_person(t["normal"], t["mapping"]).filter("person IS NOT NULL").select("person", "feature", "value")
+    factors = normalize.bridge_factors(t["reference"], own, s.least_bridges)
+    return {"unbridged": t["normal"], "normal": normalize.bridge_additive(t["normal"], factors)}
+
+
+def agreement(t: Tables, s: tables.Settings) -> Tables:
+    """How people in both batches agree with the reference: by person after the shift, by feature before and after."""
+    ref = t["reference"].select("person", "feature", F.col("value").alias("x"))
+
+    def pairs(long: DataFrame) -> DataFrame:
+        return ref.join(identity.add_person(long, t["mapping"]).select("person", "feature", F.col("value").alias("y")), ["person", "feature"])
+
+    before, after = pairs(t["unbridged"]), pairs(t["normal"])
+    return {"agreement": association.pair_agreement(after, 3), "feature_agreement": association.concordance_change(before, after)}
+
+
+def adjust(t: Tables, s: tables.Settings) -> Tables:
+    """Values without what the covariates (sample and numeric columns) explain."""
+    names = [c for c in t["covariates"].columns if c != "sample"]
+    out = normalize.covariates_residualise(t["normal"].join(t["covariates"], "sample", "left"), names)
+    return {"normal": out.drop(*names)}
+
+
 def people(t: Tables, s: tables.Settings) -> Tables:
     """One sample a person, under the person's id."""
     first = identity.first_sample_per_person(t["mapping"].join(t["normal"].select("sample").distinct(), "sample", "left_semi"))
     return {"persons": t["normal"].join(first, "sample").select("person", "feature", "value")}
 
 
+def kinship(t: Tables, s: tables.Settings) -> Tables:
+    """Related people (edges: id1, id2, kinship) go until no pair is left, those with most relatives first."""
+    known = t["persons"].select(F.col("person").alias("id")).distinct()
+    missing = known.join(t["mapping"].join(t["quality"], "sample").groupBy(F.col("person").alias("id")).agg(F.min("missing_rate").alias("missing_rate")), "id", "left")
+    edges = genetics.related_pairs(t["edges"], s.kinship)
+    edges = edges.join(known.withColumnRenamed("id", "id1"), "id1", "left_semi").join(known.withColumnRenamed("id", "id2"), "id2", "left_semi").select("id1", "id2")
+    gone = genetics.greedy_unrelated(edges, missing.select("id", F.coalesce("missing_rate", F.lit(0.0)).alias("missing_rate"), F.col("id").alias("ordinal")))
+    return {"related": gone, "persons": t["persons"].join(gone.withColumnRenamed("id", "person"), "person", "left_anti")}
+
+
 def ranks(t: Tables, s: tables.Settings) -> Tables:
     out = t["persons"].select(F.col("person").alias("sample"), "feature", inverse_normal("value", "feature").alias("value"))
     return {"ranked": out}
 
 
-STEPS: tuple[tuple[str, Step], ...] = (("load", load), ("technical", technical), ("zscore", extremes), ("flags", flags), ("scale", scale), ("people", people), ("ranks", ranks))
+STEPS: tuple[tuple[str, Step], ...] = (
+    ("load", load), ("pca", components), ("technical", technical), ("zscore", extremes), ("genotype", genotype), ("flags", flags), ("scale", scale),
+    ("bridge", bridge), ("agreement", agreement), ("covariates", adjust), ("people", people), ("kinship", kinship), ("ranks", ranks),
+)
+#: Tables that several later steps read: computed once, in the session's checkpoint folder.
+SETTLED = {"long", "pca", "technical", "zscore", "genotype", "clean", "normal", "persons", "related"}
+#: Steps that run only where the table is given.
+NEEDS = {"genotype": "genotypes", "bridge": "reference", "agreement": "reference", "covariates": "covariates", "kinship": "edges"}
 
 
 class MissingTable(ValueError):
@@ -84,20 +143,21 @@ class StudyPlan:
         return names[names.index(first) if first else 0 : names.index(last) + 1 if last else len(names)]
 
     def run(self, given: Tables, only: str | None = None, first: str | None = None, last: str | None = None) -> Tables:
-        """The given tables and those of the chosen steps; a step whose inputs are absent says which."""
+        """The given tables and those of the chosen steps; a step whose inputs are absent says which. A step of `NEEDS` without
+        its side table is passed over, unless `only` asks for it."""
         wanted, have = self.chosen(only, first, last), dict(given)
         for name, step in self.steps:
-            if name in wanted:
+            if name in wanted and (only or NEEDS.get(name) is None or NEEDS[name] in have):
                 try:
-                    have |= step(have, self.settings)
+                    have |= {n: genetics.settled(df) if n in SETTLED else df for n, df in step(have, self.settings).items()}
                 except KeyError as e:
                     raise MissingTable(f"step {name} needs the table {e.args[0]}") from e
         return have
 
 
-def several(plan: StudyPlan, batches: dict[str, Tables], reference: str, union: bool = True, least_features: int = 100) -> dict[str, Tables]:
+def several(plan: StudyPlan, batches: dict[str, Tables], reference: str, union: bool = True, least_features: int = 100, bridged: bool = False) -> dict[str, Tables]:
     """Every batch through the plan, the reference first; a batch that lacks a table is left out with a warning, the reference may
-    not. Any other error ends the run.
+    not. Any other error ends the run. With `bridged`, the others are moved onto the reference batch's people.
 
     With `union`, the result `all` has the people of all batches on common features, later batches taking precedence.
     """
@@ -105,7 +165,7 @@ def several(plan: StudyPlan, batches: dict[str, Tables], reference: str, union:
     for name in batches:
         if name != reference:
             try:
-                out[name] = plan.run(batches[name])
+                out[name] = plan.run(batches[name] | ({"reference": out[reference]["persons"]} if bridged and batches[name] else {}))
             except MissingTable as e:
                 warnings.warn(f"batch {name} is left out: {e}", stacklevel=2)
     if union and len(out) > 1:

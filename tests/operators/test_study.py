@@ -42,6 +42,39 @@ def test_several_batches(spark):
     assert all(abs(two[r["person"], r["feature"]] - r["value"]) < 1e-12 for r in made["all"]["persons"].filter("person = 'p1'").collect())
 
 
+def test_all_steps(spark):
+    """From raw tables to ranks: dosages, covariates, relatives and a shifted second batch."""
+    r = np.random.default_rng(7)
+
+    def one(prefix, shift):
+        n, rows, geno = 24, [], []
+        for i in range(n):
+            for k in range(12):
+                dosage = (i * 5 + k) % 3
+                rows.append((f"{prefix}{i}", f"f{k}", float(r.normal(10 + shift + 3 * (i % 2) * (k < 3), 0.5) + dosage)))
+                geno.append((f"{prefix}{i}", f"f{k}", f"v{k}", dosage, 1.0))
+        make = spark.createDataFrame
+        return {
+            "measurements": make(rows, "sample string, feature string, value double"),
+            "mapping": make([(f"{prefix}{i}", f"p{i}") for i in range(n)], "sample string, person string"),
+            "genotypes": make(geno, "sample string, feature string, variant string, dosage int, beta double"),
+            "covariates": make([(f"{prefix}{i}", float(20 + i % 7)) for i in range(n)], "sample string, age double"),
+            "edges": make([("p2", "p4", 0.25), ("p2", "p6", 0.25), ("p10", "p12", 0.01)], "id1 string, id2 string, kinship double"),
+        }
+
+    made = several(StudyPlan(), {"one": one("a", 0.0), "two": one("b", 2.0)}, "one", least_features=5, bridged=True)
+    first, second = made["one"], made["two"]
+    assert "agreement" not in first
+    assert first["genotype_stats"].count() == 24 and first["components"].count() == 24
+    assert [x["id"] for x in first["related"].collect()] == ["p2"]
+    people = {x["person"] for x in first["persons"].select("person").distinct().collect()}
+    assert "p2" not in people and {"p4", "p6", "p10", "p12"} <= people
+    change = second["feature_agreement"].collect()
+    assert len(change) == 12 and all(x["mse_post"] < x["mse_pre"] for x in change)
+    ranked = first["ranked"].groupBy("feature").avg("value").collect()
+    assert len(ranked) == 12 and all(abs(x[1]) < 1e-6 for x in ranked)
+
+
 def test_stream_of_plates(spark, tmp_path):
     plates = spark.createDataFrame([(float(x),) for x in (9, 10, 11, 10, 9.5)], "mean_value double")
     limits = frozen_limits(plates)
