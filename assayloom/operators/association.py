@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayloom.functions.stats import avg_rank, benjamini_hochberg, over, welch_t, with_scalars
+from assayloom.functions.blocks import block_pairs, distances, ranked_values
+from assayloom.functions.stats import benjamini_hochberg, over, welch_t, with_scalars
 
 
 def t_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
@@ -122,9 +123,10 @@ def ks_alignment(rows: DataFrame, value: str, flag: str, *by: str) -> DataFrame:
 
 def rank_sum(rows: DataFrame, value: str, flag: str) -> DataFrame:
     """n1, n0, auc, z: rank-sum of the flagged rows against the others, ties averaged."""
-    ranked = rows.filter(F.col(value).isNotNull() & F.col(flag).isNotNull()).withColumn("_r", avg_rank(value))
-    n1, n0 = F.count_if(F.col(flag)), F.count_if(~F.col(flag))
-    out = ranked.agg(n1.alias("n1"), n0.alias("n0"), F.sum(F.when(F.col(flag), F.col("_r"))).alias("_s"))
+    known = rows.filter(F.col(flag).isNotNull()).select(F.col(value).alias("value"), F.col(flag).alias("flag"))
+    out = ranked_values(known, "value", yes=F.count_if("flag")).agg(
+        F.coalesce(F.sum("yes"), F.lit(0)).alias("n1"), F.coalesce(F.sum(F.col("n") - F.col("yes")), F.lit(0)).alias("n0"), F.sum(F.col("yes") * F.col("rank")).alias("_s")
+    )
     u = F.col("_s") - F.col("n1") * (F.col("n1") + 1) / 2
     pairs = F.col("n1") * F.col("n0")
     z = F.try_divide(u - pairs / 2, F.sqrt(pairs * (F.col("n1") + F.col("n0") + 1) / 12))
@@ -222,14 +224,22 @@ def moments(rows: DataFrame, value: str, *by: str) -> DataFrame:
 
 
 def silhouette(scores: DataFrame, columns: list[str], label: str) -> DataFrame:
-    """Mean silhouette: each sample's mean distances to the labels' members, summed over blocks of samples.
+    """Mean silhouette: each sample's mean distances to the labels' members, summed over pairs of blocks of samples; a sample
+    alone in its label counts 0, one without a label or score isn't counted.
 
-    Pairs are never kept: they are aggregated to (sample, label) as they are made. The score table is one row a sample.
+    Pairs are never kept: a task gives sums by sample and label. The score table is one row a sample.
     """
-    a = scores.select(F.col("sample").alias("s"), F.col(label).alias("own"), *[F.col(c).alias(f"a_{c}") for c in columns])
-    b = scores.select(F.col("sample").alias("t"), F.col(label).alias("other"), *[F.col(c).alias(f"b_{c}") for c in columns])
-    d = F.sqrt(sum(((F.col(f"a_{c}") - F.col(f"b_{c}")) * (F.col(f"a_{c}") - F.col(f"b_{c}")) for c in columns), F.lit(0.0)))
-    near = a.join(b, F.col("s") != F.col("t")).groupBy("s", "own", "other").agg(F.avg(d).alias("d"))
+    kinds = dict(scores.dtypes)
+
+    def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        others = a["sample"].to_numpy()[:, None] != b["sample"].to_numpy()[None]
+        d = distances(a, b, columns) * others
+        parts = [pd.DataFrame({"s": a["sample"], "own": a["label"], "other": name, "d": d[:, at].sum(1), "n": others[:, at].sum(1)}) for name, at in b.groupby("label").indices.items()]
+        return pd.concat(parts) if parts else pd.DataFrame({c: [] for c in ("s", "own", "other", "d", "n")})
+
+    rows = scores.select("sample", F.col(label).alias("label"), *columns).dropna()
+    pairs = block_pairs(rows, sums, f"s {kinds['sample']}, own {kinds[label]}, other {kinds[label]}, d double, n long")
+    near = pairs.groupBy("s", "own", "other").agg((F.try_divide(F.sum("d"), F.sum("n"))).alias("d"))
     per = near.groupBy("s").agg(F.max(F.when(F.col("own") == F.col("other"), F.col("d"))).alias("a"), F.min(F.when(F.col("own") != F.col("other"), F.col("d"))).alias("b"))
     return per.agg(F.avg(F.when(F.col("a").isNull(), 0.0).otherwise(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")))).alias("silhouette"))
 

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayloom.functions.blocks import block_pairs, distances, ranked_values
 from assayloom.functions.stats import MAD_SCALE, avg_rank, benjamini_hochberg, center_and_mad, over, with_scalars
 
 
@@ -75,8 +76,8 @@ def bootstrap_median(rows: DataFrame, value: str, resamples: int = 10_000, seed:
 def signed_rank(pairs: DataFrame, before: str, after: str) -> DataFrame:
     """n, v, z, p (one-sided: after less than before) by the normal approximation with continuity; zeros are dropped."""
     d = pairs.select((F.col(after) - F.col(before)).alias("d")).filter("d <> 0").withColumn("a", F.abs("d"))
-    ranked = d.withColumn("r", avg_rank("a"))
-    out = ranked.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.when(F.col("d") > 0, F.col("r"))), F.lit(0.0)).alias("v"))
+    ranked = ranked_values(d, "a", up=F.count_if(F.col("d") > 0))
+    out = ranked.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("up") * F.col("rank")), F.lit(0.0)).alias("v"))
     n = F.col("n")
     z = F.try_divide(F.col("v") - n * (n + 1) / 4 + 0.5, F.sqrt(n * (n + 1) * (2 * n + 1) / 24))
     return out.withColumn("z", z).withColumn("p", normal_cdf(F.col("z")))
@@ -91,27 +92,21 @@ def normal_cdf(z: Column) -> Column:
 
 
 def neighbours(scores: DataFrame, columns: list[str], k: int) -> DataFrame:
-    """s, t, d, rank: the k nearest samples of every sample. The score table has a row a sample (thousands); it is dealt by
-    sample and each task ranks its own samples against all rows, block by block."""
-    ids = scores.select("sample", *columns).toPandas() if scores.count() <= 50_000 else None
-    if ids is None:
-        a = scores.select(F.col("sample").alias("s"), *[F.col(c).alias(f"a_{c}") for c in columns])
-        b = scores.select(F.col("sample").alias("t"), *[F.col(c).alias(f"b_{c}") for c in columns])
-        d = F.sqrt(sum(((F.col(f"a_{c}") - F.col(f"b_{c}")) * (F.col(f"a_{c}") - F.col(f"b_{c}")) for c in columns), F.lit(0.0)))
-        w = Window.partitionBy("s").orderBy("d", "t")
-        return a.join(b, F.col("s") != F.col("t")).select("s", "t", d.alias("d")).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    table, names = ids[columns].to_numpy(float), ids["sample"].to_numpy()
-
-    def nearest(batches):  # noqa: ANN001, ANN202
-        for b in batches:
-            d = np.sqrt(((b[columns].to_numpy(float)[:, None] - table[None]) ** 2).sum(-1))
-            d[b["sample"].to_numpy()[:, None] == names[None]] = np.inf
-            near = np.argsort(d, axis=1, kind="stable")[:, : min(k, len(names) - 1)]
-            for i, s in enumerate(b["sample"]):
-                yield pd.DataFrame({"s": s, "t": names[near[i]], "d": d[i, near[i]], "rank": np.arange(1, len(near[i]) + 1)})
-
+    """s, t, d, rank: the k nearest samples of every sample by distance, ties by sample id. Pairs of blocks of samples each
+    give their k nearest, and the nearest of those are taken; samples with a missing score have and are none."""
     kind = dict(scores.dtypes)["sample"]
-    return scores.select("sample", *columns).mapInPandas(nearest, f"s {kind}, t {kind}, d double, rank int")
+
+    def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("sample", kind="stable")
+        names, own = b["sample"].to_numpy(), a["sample"].to_numpy()
+        d = distances(a, b, columns)
+        d[own[:, None] == names[None]] = np.inf
+        near = np.argsort(d, axis=1, kind="stable")[:, :k]
+        out = pd.DataFrame({"s": np.repeat(own, near.shape[1]), "t": names[near].ravel(), "d": np.take_along_axis(d, near, 1).ravel()})
+        return out[np.isfinite(out["d"])]
+
+    found = block_pairs(scores.select("sample", *columns).dropna(), nearest, f"s {kind}, t {kind}, d double")
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("s").orderBy("d", "t"))).filter(F.col("rank") <= k)
 
 
 def kbet_acceptance(scores: DataFrame, columns: list[str], batch: str, k: int = 25, alpha: float = 0.05) -> DataFrame:
@@ -342,8 +337,10 @@ def paired_shift(pairs: DataFrame) -> DataFrame:
 
 def kruskal(rows: DataFrame, value: str, group: str) -> DataFrame:
     """h, df: the rank test over groups, ties averaged (without a correction for them)."""
-    ranked = rows.filter(F.col(value).isNotNull()).withColumn("_r", avg_rank(value))
-    g = ranked.groupBy(group).agg(F.sum("_r").alias("s"), F.count("*").alias("n"))
+    cells = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("value"), F.col(group).alias("group")).agg(F.count("*").alias("k"))
+    known = rows.select(F.col(value).alias("value"))
+    ranked = cells.join(ranked_values(known, "value").select("value", "rank"), "value")
+    g = ranked.groupBy("group").agg(F.sum(F.col("rank") * F.col("k")).alias("s"), F.sum("k").alias("n"))
     total = F.sum("n")
     return g.agg((12 / (total * (total + 1)) * F.sum(F.col("s") * F.col("s") / F.col("n")) - 3 * (total + 1)).alias("h"), (F.count("*") - 1).alias("df"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayloom.functions.blocks import running
 from assayloom.functions.stats import avg_rank, with_scalars
 
 
@@ -22,11 +23,16 @@ def class_weights(rows: DataFrame, label: str) -> DataFrame:
 
 def confusion_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """threshold, tp, fp, fn, tn at every distinct score, rows with score >= threshold being positive."""
-    steps = scored.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) != 1).alias("_n"))
-    down = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return _curve(scored, score, label).drop("_p", "_n")
+
+
+def _curve(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """`confusion_curve` with _p and _n, the positives and negatives of exactly that score."""
+    steps = scored.groupBy(F.col(score).alias("threshold")).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) != 1).alias("_n"))
     total = steps.agg(F.sum("_p").alias("_tp"), F.sum("_n").alias("_tn"))
-    out = with_scalars(steps.withColumns({"tp": F.sum("_p").over(down), "fp": F.sum("_n").over(down)}), total)
-    return out.select(F.col(score).alias("threshold"), "tp", "fp", (F.col("_tp") - F.col("tp")).alias("fn"), (F.col("_tn") - F.col("fp")).alias("tn"))
+    out = with_scalars(running(steps, "threshold", "_p", "_n", descending=True), total)
+    tp, fp = F.col("run__p"), F.col("run__n")
+    return out.select("threshold", tp.alias("tp"), fp.alias("fp"), (F.col("_tp") - tp).alias("fn"), (F.col("_tn") - fp).alias("tn"), "_p", "_n")
 
 
 def precision_recall(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -38,9 +44,7 @@ def precision_recall(scored: DataFrame, score: str = "score", label: str = "labe
 def pr_auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """pr_auc: the area under precision by recall; between two thresholds false positives grow in proportion to true ones,
     so the area of a step has a closed form."""
-    down = Window.orderBy(F.desc("threshold"))
-    c = confusion_curve(scored, score, label)
-    steps = c.withColumns({"_t": F.lag("tp", 1, 0).over(down), "_f": F.lag("fp", 1, 0).over(down)}).filter(F.col("tp") > F.col("_t"))
+    steps = _curve(scored, score, label).withColumns({"_t": F.col("tp") - F.col("_p"), "_f": F.col("fp") - F.col("_n")}).filter(F.col("_p") > 0)
     rise = 1 + (F.col("fp") - F.col("_f")) / (F.col("tp") - F.col("_t"))
     start = F.col("_f") - (rise - 1) * F.col("_t")
     bend = F.when(F.col("_t") + F.col("_f") > 0, start / (rise * rise) * F.ln((F.col("tp") + F.col("fp")) / (F.col("_t") + F.col("_f")))).otherwise(0.0)
@@ -53,13 +57,11 @@ def youden(scored: DataFrame, score: str = "score", label: str = "label", step:
     spark = scored.sparkSession
     n = round(0.9 / step)
     grid = spark.range(n + 1).select(F.round(F.lit(0.05) + F.col("id") * step, 4).alias("threshold"))
-    cells = scored.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) != 1).alias("_n"))
-    points = grid.unionByName(cells.select(F.col(score).alias("threshold"))).distinct()
+    cells = scored.groupBy(F.col(score).alias("threshold")).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) != 1).alias("_n"))
     # scores and thresholds on one line: what stands at or above a threshold is a running sum
-    line = points.select("threshold", F.lit(0).cast("long").alias("_p"), F.lit(0).cast("long").alias("_n"), F.lit(True).alias("_t")).unionByName(cells.select(F.col(score).alias("threshold"), "_p", "_n", F.lit(False).alias("_t")))
-    down = Window.orderBy(F.desc("threshold")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    line = cells.unionByName(grid.withColumns({"_p": F.lit(0).cast("long"), "_n": F.lit(0).cast("long")})).groupBy("threshold").agg(F.sum("_p").alias("_p"), F.sum("_n").alias("_n"))
     total = cells.agg(F.sum("_p").alias("_tp"), F.sum("_n").alias("_tn"))
-    at = with_scalars(line.withColumns({"tp": F.sum("_p").over(down), "fp": F.sum("_n").over(down)}).filter("_t"), total)
+    at = with_scalars(running(line, "threshold", "_p", "_n", descending=True).withColumnsRenamed({"run__p": "tp", "run__n": "fp"}), total)
     j = F.try_divide("tp", "_tp") + 1 - F.try_divide("fp", "_tn") - 1
     f1 = F.try_divide(2 * F.col("tp"), F.col("tp") + F.col("fp") + F.col("_tp"))
     return at.select("threshold", F.round(j, 12).alias("j"), F.round(f1, 12).alias("f1")).orderBy(F.desc_nulls_last("j"), F.desc_nulls_last("f1"), "threshold").limit(1)

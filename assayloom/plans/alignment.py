@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assayloom.operators import association
 from assayloom.operators import harmonisation as h
+from assayloom.operators.pca import pca
 from assayloom.plans.harmony import COV, PAIRS, SCAN, pairs, with_covariates
 from assayloom.plans.registry import M, matrix, query, rounded, table
 
@@ -72,18 +73,24 @@ def age_association(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(h.age_association(fits), "p", "r2", "p_bonferroni", "p_bh")
 
 
+AXES = ["pc1", "pc2", "pc3", "pc4"]
+
+
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matrix(spark, sf_dir).groupBy("sample", (F.col("grp") % 2).alias("batch")).agg(*[F.max(F.when(F.col("feature") == i, F.col("value"))).alias(c) for i, c in enumerate("ab")])
+    """sample, batch and the scores of the whole matrix on its first components."""
+    m = matrix(spark, sf_dir)
+    wide = pca(m, len(AXES)).scores.groupBy("sample").agg(*[F.max(F.when(F.col("pc") == i, F.col("score"))).alias(c) for i, c in enumerate(AXES, 1)])
+    return wide.join(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("sample"), (F.col("label") % 2).alias("batch")), "sample")
 
 
 @query(None)
 def kbet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return h.kbet_acceptance(_scores(spark, sf_dir), ["a", "b"], "batch")
+    return h.kbet_acceptance(_scores(spark, sf_dir), AXES, "batch")
 
 
 @query(None)
 def lisi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return h.lisi(_scores(spark, sf_dir), ["a", "b"], "batch")
+    return h.lisi(_scores(spark, sf_dir), AXES, "batch")
 
 
 @query(None)
@@ -93,9 +100,10 @@ def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(None)
 def mahalanobis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pairs(spark, sf_dir).filter("feature < 4").withColumnRenamed("feature", "pc")
-    scores = matrix(spark, sf_dir).filter("feature < 4").select("sample", F.col("feature").alias("pc"), F.col("value").alias("score"))
-    return h.mahalanobis_distance(rows, scores)
+    """Pairs on the components of the whole matrix, under the covariance of all samples' scores."""
+    basis, both = pca(matrix(spark, sf_dir), 10), pairs(spark, sf_dir)
+    side = lambda c: association.project(both.select(F.col("person").alias("sample"), "feature", F.col(c).alias("value")), basis.loadings).select(F.col("sample").alias("person"), "pc", F.col("score").alias(c))
+    return h.mahalanobis_distance(side("x").join(side("y"), ["person", "pc"]), basis.scores)
 
 
 @query(None)

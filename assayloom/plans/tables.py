@@ -51,10 +51,10 @@ def outliers_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(association.outliers_by_group(flagged, groups, 10), "pct")
 
 
-@query(f"""WITH {M}, s AS (SELECT sample, feature AS pc, value AS score FROM m WHERE feature < 3) SELECT pc, m.feature, round(corr(value, score), 6) AS r FROM m JOIN s USING (sample) GROUP BY ALL""")
+@query(f"""WITH {M}, s AS (SELECT sample, feature % 3 AS pc, sum(value) AS score FROM m GROUP BY ALL) SELECT pc, m.feature, round(corr(value, score), 6) AS r FROM m JOIN s USING (sample) GROUP BY ALL""")
 def component_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = matrix(spark, sf_dir)
-    scores = m.filter("feature < 3").select("sample", F.col("feature").alias("pc"), F.col("value").alias("score"))
+    scores = m.groupBy("sample", (F.col("feature") % 3).alias("pc")).agg(F.sum("value").alias("score"))
     return rounded(association.component_effects(m, scores), "r")
 
 
