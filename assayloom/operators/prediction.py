@@ -158,6 +158,18 @@ def wide_vectors(long: DataFrame, *keep: str) -> DataFrame:
     return rows.select("sample", *keep, array_to_vector("_v").alias("features"))
 
 
+def complete_vectors(long: DataFrame) -> DataFrame:
+    """sample, features: every feature of the table in order, a missing value or absent row as the feature's median, 0 where
+    it has none. The features with their medians are one row that goes to all tasks, a number or two a feature."""
+    from pyspark.ml.functions import array_to_vector
+
+    medians = long.groupBy("feature").agg(F.coalesce(F.median("value"), F.lit(0.0)).alias("m"))
+    every = medians.agg(F.sort_array(F.collect_list(F.struct("feature", "m"))).alias("_f"))
+    own = long.groupBy("sample").agg(F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("_v"))
+    filled = F.transform("_f", lambda f: F.coalesce(F.try_element_at("_v", f["feature"]), f["m"]))
+    return with_scalars(own, every).select("sample", array_to_vector(filled).alias("features"))
+
+
 def probability(c: str) -> Column:
     from pyspark.ml.functions import vector_to_array
 

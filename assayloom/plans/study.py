@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayloom.functions.stats import inverse_normal
-from assayloom.operators import association, genetics, identity, normalize, pca, qc
+from assayloom.operators import association, genetics, identity, normalize, pca, prediction, qc
 from assayloom.sources import tables
 
 Tables = dict[str, DataFrame]
@@ -48,13 +48,57 @@ def components(t: Tables, s: tables.Settings) -> Tables:
     return {"components": wide, "pca_stats": out, "pca": out.filter("is_outlier").select("sample")}
 
 
+def label_check(t: Tables, s: tables.Settings) -> Tables:
+    """Samples whose recorded label (labels: sample, label 0/1 or null) the out-of-fold elastic net contradicts."""
+    known = t["labels"].filter("label IS NOT NULL").select("sample", "label")
+    vectors = prediction.complete_vectors(t["long"]).join(known, "sample")
+    scored = genetics.settled(prediction.elastic_net_cv(vectors, "label", list(s.alphas), list(s.strengths), s.folds))
+    out = prediction.mismatch(scored, "score", "label", prediction.youden(scored).head()["threshold"])
+    return {"label_stats": out, "label": out.filter("outlier").select("sample")}
+
+
+def _moved(long: DataFrame, errors: DataFrame) -> DataFrame:
+    """Measurements under the samples that errors (sample, source) give them to."""
+    to = errors.select(F.col("source").alias("sample"), F.col("sample").alias("_to"))
+    return long.join(to, "sample").drop("sample").withColumnRenamed("_to", "sample")
+
+
+def _consistency(long: DataFrame, genotypes: DataFrame) -> DataFrame:
+    return genetics.genotype_sample_stats(genetics.genotype_z(long.join(genotypes, ["sample", "feature"])))
+
+
+def training(t: Tables, s: tables.Settings) -> Tables:
+    """How many sd the genotype cut-off lies over the mean, from samples whose measurements were passed round (training:
+    sample, feature, variant, dosage, beta)."""
+    people = t["long"].join(t["training"], ["sample", "feature"]).select("sample").distinct().withColumn("label", F.lit(0))
+    errors = genetics.settled(prediction.inject_errors(people, s.injected).filter("category < 2"))
+    stats = _consistency(_moved(t["long"], errors), t["training"]).join(errors.select("sample", F.col("category").alias("label")), "sample")
+    return {"trained": prediction.trained_k(genetics.settled(stats.filter("mean_abs_z IS NOT NULL")), "mean_abs_z", "label")}
+
+
+def _cut(t: Tables) -> float:
+    """The trained number of sd, or 4 where none was trained or it isn't over the mean."""
+    k = t["trained"].head()["k"] if "trained" in t else None
+    return k if k is not None and k > 0 else 4.0
+
+
 def genotype(t: Tables, s: tables.Settings) -> Tables:
     """Samples whose values don't go with their dosages (genotypes: sample, feature, variant, dosage, beta)."""
-    rows = t["long"].join(t["genotypes"], ["sample", "feature"])
-    out = genetics.genotype_flags(genetics.genotype_sample_stats(genetics.genotype_z(rows)))
+    out = genetics.genotype_flags(_consistency(t["long"], t["genotypes"]), _cut(t))
     return {"genotype_stats": out, "genotype": out.filter("is_outlier").select("sample")}
 
 
+def provenance(t: Tables, s: tables.Settings) -> Tables:
+    """How many injected errors the two checks find: swaps within a label, flipped labels, swaps across labels, by category;
+    category 0 gives the false alarms."""
+    people = t["label_stats"].select("sample", "label")
+    errors = genetics.settled(prediction.inject_errors(people, s.injected))
+    by_value = genetics.genotype_flags(_consistency(_moved(t["long"], errors), t["genotypes"]), _cut(t)).filter("is_outlier").select("sample")
+    scores = t["label_stats"].select(F.col("sample").alias("source"), "score")
+    by_label = errors.join(scores, "source").filter((F.col("score") >= 0.5).cast("int") != F.col("new_label")).select("sample")
+    return {"injected": errors, "provenance": prediction.detection_metrics(errors.select("sample", "category"), by_value.unionByName(by_label))}
+
+
 def flags(t: Tables, s: tables.Settings) -> Tables:
     """All flags side by side, and the matrix without flagged samples. Lists that are absent count as empty."""
     samples = t["measurements"].select("sample").distinct()
@@ -114,13 +158,16 @@ def ranks(t: Tables, s: tables.Settings) -> Tables:
 
 
 STEPS: tuple[tuple[str, Step], ...] = (
-    ("load", load), ("pca", components), ("technical", technical), ("zscore", extremes), ("genotype", genotype), ("flags", flags), ("scale", scale),
-    ("bridge", bridge), ("agreement", agreement), ("covariates", adjust), ("people", people), ("kinship", kinship), ("ranks", ranks),
+    ("load", load), ("pca", components), ("technical", technical), ("zscore", extremes), ("label", label_check),
+    ("training", training), ("genotype", genotype), ("provenance", provenance), ("flags", flags), ("scale", scale), ("bridge", bridge), ("agreement", agreement), ("covariates", adjust), ("people", people), ("kinship", kinship), ("ranks", ranks),
 )
 #: Tables that several later steps read: computed once, in the session's checkpoint folder.
-SETTLED = {"long", "pca", "technical", "zscore", "genotype", "clean", "normal", "persons", "related"}
-#: Steps that run only where the table is given.
-NEEDS = {"genotype": "genotypes", "bridge": "reference", "agreement": "reference", "covariates": "covariates", "kinship": "edges"}
+SETTLED = {"long", "pca", "technical", "zscore", "label", "trained", "genotype", "clean", "normal", "persons", "related"}
+#: Steps that run only where the tables are given.
+NEEDS = {
+    "label": ("labels",), "training": ("training",), "genotype": ("genotypes",), "provenance": ("genotypes", "labels"), "bridge": ("reference",),
+    "agreement": ("reference",), "covariates": ("covariates",), "kinship": ("edges",),
+}
 
 
 class MissingTable(ValueError):
@@ -144,10 +191,10 @@ class StudyPlan:
 
     def run(self, given: Tables, only: str | None = None, first: str | None = None, last: str | None = None) -> Tables:
         """The given tables and those of the chosen steps; a step whose inputs are absent says which. A step of `NEEDS` without
-        its side table is passed over, unless `only` asks for it."""
+        its side tables is passed over, unless `only` asks for it."""
         wanted, have = self.chosen(only, first, last), dict(given)
         for name, step in self.steps:
-            if name in wanted and (only or NEEDS.get(name) is None or NEEDS[name] in have):
+            if name in wanted and (only or all(n in have for n in NEEDS.get(name, ()))):
                 try:
                     have |= {n: genetics.settled(df) if n in SETTLED else df for n, df in step(have, self.settings).items()}
                 except KeyError as e:

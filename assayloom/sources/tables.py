@@ -29,6 +29,10 @@ class Settings:
     technical_missing: float = 0.05
     least_bridges: int = 10
     kinship: float = 0.0884
+    alphas: tuple[float, ...] = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
+    strengths: tuple[float, ...] = (0.001, 0.01, 0.1)
+    folds: int = 5
+    injected: int = 50
     extra: dict = field(default_factory=dict)
 
     @classmethod

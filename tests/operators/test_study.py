@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayloom.operators import harmonisation as h
+from assayloom.operators.prediction import complete_vectors
 from assayloom.plans.study import StudyPlan, save, several
 from assayloom.sources.tables import Settings
 from assayloom.streaming.plates import frozen_limits, plate_windows
@@ -62,7 +63,16 @@ def test_all_steps(spark):
             "edges": make([("p2", "p4", 0.25), ("p2", "p6", 0.25), ("p10", "p12", 0.01)], "id1 string, id2 string, kinship double"),
         }
 
-    made = several(StudyPlan(), {"one": one("a", 0.0), "two": one("b", 2.0)}, "one", least_features=5, bridged=True)
+    plan = StudyPlan(Settings.of({"alphas": (0.5,), "strengths": (0.01,), "folds": 2, "injected": 3}))
+    given = one("a", 0.0)
+    labels = spark.createDataFrame([(f"a{i}", i % 2 if i != 9 else 0) for i in range(23)] + [("a23", None), ("gone", 1)], "sample string, label int")
+    t = plan.run(given | {"labels": labels, "training": given["genotypes"]}, last="flags")
+    assert [x["sample"] for x in t["label_stats"].filter("strict_mismatch").collect()] == ["a9"] and t["label_stats"].count() == 23
+    assert {x["sample"] for x in t["flags"].filter("label = 1").collect()} >= {"a9"} and t["trained"].count() == 1
+    found = {x["category"]: (x["n"], x["detected"]) for x in t["provenance"].collect()}
+    assert {c: n for c, (n, _) in found.items()} == {0: 5, 1: 6, 2: 6, 3: 6} and found[2][1] >= 5 and found[3][1] >= 5
+
+    made = several(StudyPlan(), {"one": given, "two": one("b", 2.0)}, "one", least_features=5, bridged=True)
     first, second = made["one"], made["two"]
     assert "agreement" not in first
     assert first["genotype_stats"].count() == 24 and first["components"].count() == 24
@@ -75,6 +85,12 @@ def test_all_steps(spark):
     assert len(ranked) == 12 and all(abs(x[1]) < 1e-6 for x in ranked)
 
 
+def test_vectors_fill_gaps_and_absent_rows(spark):
+    rows = [("a", "f1", 1.0), ("a", "f2", 4.0), ("b", "f1", 3.0), ("c", "f2", None), ("c", "f3", None)]
+    got = {r["sample"]: list(r["features"]) for r in complete_vectors(spark.createDataFrame(rows, "sample string, feature string, value double")).collect()}
+    assert got == {"a": [1.0, 4.0, 0.0], "b": [3.0, 4.0, 0.0], "c": [2.0, 4.0, 0.0]}
+
+
 def test_stream_of_plates(spark, tmp_path):
     plates = spark.createDataFrame([(float(x),) for x in (9, 10, 11, 10, 9.5)], "mean_value double")
     limits = frozen_limits(plates)
