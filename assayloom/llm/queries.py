@@ -96,6 +96,29 @@ def op10_prefix_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prints(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from assayloom.llm.bpe import decoded, encoded
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    back = decoded(encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids"), path)
+    spelled = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), sha256_hex(spelled).alias("ids_sha256"), sha256_hex(F.col("decoded")).alias("decoded_sha256"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.resampling import resampled
+
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.llm.filter_audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
@@ -125,4 +148,32 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                sum(length(esc) + marks)::BIGINT AS formatted_chars
         FROM s GROUP BY conv_id""",
+    "op13_filter_audit": r"""
+        WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS least FROM t),
+        l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+        m AS (
+            SELECT part, (len(words) < 50)::INT + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INT
+                 + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::INT
+                 + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * (w.doc_id > least)::INT AS mask,
+                 coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+            FROM w LEFT JOIN l USING (doc_id)),
+        v AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+        f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS f(f, bit)),
+        o AS (
+            SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+        s AS (SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before FROM o, range(1, 6) AS r(step)),
+        c AS (
+            SELECT part, filter_order, step, bit,
+                   coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+                   coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS removed,
+                   coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before > 0), 0)::BIGINT AS redundant,
+                   coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(good) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+                   coalesce(sum(toxic) FILTER (mask & bit > 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost
+            FROM v, s GROUP BY part, filter_order, step, bit)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+        FROM c""",
 }
