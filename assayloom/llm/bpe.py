@@ -4,7 +4,7 @@ A piece of text (what the file's pre-tokenizer gives) starts as one symbol a cha
 word-end suffix. The tree's leaves hold (rank, place) of every adjacent pair, infinity where the pair can't merge, and each
 inner node the least of its two: the root is the leftmost pair of lowest rank. Merging it changes three leaves and the
 nodes above them, so a piece of n symbols takes n log n steps, also one of a million letters. Pieces repeat, so tasks keep
-what they gave; a table that is full is emptied, which changes time alone.
+what they gave, in tables of bounded size.
 
 Encoding and decoding are maps: nothing is shuffled, and a hot key or source means nothing to them.
 
@@ -32,53 +32,52 @@ from assayloom.llm.common import short_batches
 #: Texts without any other characters than these are lower-cased and split here, others by the file's own steps: for these,
 #: normal forms, letters and digits are the same in every version of Unicode.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
-#: Pieces that a task keeps with their ids, and the longest of them.
-KEPT, KEPT_CHARS = 400_000, 64
+#: Half of the pieces that a task keeps with their ids, and the longest of them.
+KEPT, KEPT_CHARS = 250_000, 64
 NEVER = 1 << 62
+BITS = 4
+FAN = 1 << BITS
 
 
-def merged(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """The symbols after all merges. pairs: (left, right) -> (rank, merged symbol); the lowest rank goes first, of equal
-    ranks the leftmost."""
-    n = len(symbols)
+def merged(symbols: list[int], pairs: dict[tuple[int, int], int], made: list[int]) -> list[int]:
+    """The symbols after all merges. pairs: (left, right) -> rank << 32; made: rank -> merged symbol. The lowest rank goes
+    first, of equal ranks the leftmost. A node of the tree is the least of FAN below it, so short pieces have a root alone."""
+    n, rank_of = len(symbols), pairs.get
     if n < 2:
         return symbols
-    after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-    width = 1 << (n - 2).bit_length()
-    tree = [NEVER] * (2 * width)
-
-    def leaf(i: int) -> int:
-        found = pairs.get((symbols[i], symbols[after[i]])) if after[i] >= 0 else None
-        return NEVER if found is None else found[0] << 32 | i
-
-    def update(i: int, key: int) -> None:
-        at = i + width
-        tree[at] = key
-        while at > 1:
-            at >>= 1
-            left, right = tree[2 * at], tree[2 * at + 1]
-            least = left if left < right else right
-            if tree[at] == least:
-                return
-            tree[at] = least
-
-    for i in range(n - 1):
-        tree[width + i] = leaf(i)
-    for at in range(width - 1, 0, -1):
-        tree[at] = min(tree[2 * at], tree[2 * at + 1])
-    while (root := tree[1]) != NEVER:
+    leaves = [rank_of(pair, NEVER) | i for i, pair in enumerate(zip(symbols, symbols[1:], strict=False))]
+    tree, level = [leaves], leaves
+    while len(level) > 1:
+        level = [min(level[at : at + FAN]) for at in range(0, len(level), FAN)]
+        tree.append(level)
+    top = tree[-1]
+    after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+    while (root := top[0]) < NEVER:
         i = root & 0xFFFFFFFF
         j = after[i]
-        symbols[i], symbols[j] = pairs[symbols[i], symbols[j]][1], -1
-        after[i] = after[j]
-        if after[j] >= 0:
-            before[after[j]] = i
-        if j < n - 1:
-            update(j, NEVER)
-        if i < n - 1:
-            update(i, leaf(i))
-        if before[i] >= 0:
-            update(before[i], leaf(before[i]))
+        k, h, new = after[j], before[i], made[root >> 32]
+        symbols[i], symbols[j] = new, -1
+        after[i] = k
+        # the pair at i is a new one, the pair at j is gone, and so is what stood before i
+        leaves[i] = NEVER
+        if k >= 0:
+            before[k] = i
+            leaves[i] = rank_of((new, symbols[k]), NEVER) | i
+            leaves[j] = NEVER
+        parents = {i >> BITS, j >> BITS} if j < n - 1 else {i >> BITS}
+        if h >= 0:
+            leaves[h] = rank_of((symbols[h], new), NEVER) | h
+            parents.add(h >> BITS)
+        if len(tree) == 1:  # two symbols have become one
+            break
+        for at in parents:
+            below = leaves
+            for level in tree[1:]:
+                least = min(below[at << BITS : at + 1 << BITS])
+                if level[at] == least:
+                    break
+                level[at] = least
+                below, at = level, at >> BITS
     return [s for s in symbols if s >= 0]
 
 
@@ -90,16 +89,21 @@ def byte_letters() -> list[str]:
 
 
 class Pieces(dict):
-    """Piece -> its ids, found when first asked for."""
+    """Piece -> its ids, found when first asked for. Once it is full it becomes the old half, from which what is asked for
+    again moves over; the old half before it goes."""
 
     def __init__(self, find) -> None:  # noqa: ANN001
         super().__init__()
         self.find = find
+        self.old: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.find(piece)
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.find(piece)
         if len(piece) <= KEPT_CHARS:
             if len(self) >= KEPT:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -121,7 +125,8 @@ class Bpe:
         self.suffix = model.get("end_of_word_suffix") or ""
         merges = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         of = self.vocabulary
-        self.pairs = {(of[a], of[b]): (rank, of[a + b]) for rank, (a, b) in reversed([*enumerate(merges)])}
+        self.pairs = {(of[a], of[b]): rank << 32 for rank, (a, b) in reversed([*enumerate(merges)])}
+        self.made = [of[a + b] for a, b in merges]
         self.added = {t["content"]: t["id"] for t in file["added_tokens"]}
         longest_first = sorted(self.added, key=len, reverse=True)
         self.split_added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
@@ -131,6 +136,7 @@ class Bpe:
         self.normalizer, self.pre_tokenizer = whole.normalizer, whole.pre_tokenizer
         self.decoder = whole.decoder
         self.by_letters = Pieces(self._of_letters)
+        self.by_piece = Pieces(self._of_piece)
         self.by_chunk = Pieces(self._of_chunk)
         self.pattern = self._plain_pattern(file)
         self.letters = str.maketrans({b: c for b, c in enumerate(byte_letters())})
@@ -151,12 +157,19 @@ class Bpe:
         return pattern if own["pattern"] == {"Regex": r"\s+"} and own["content"] == " " and not pattern.search(" \t\n\r") else None
 
     def _of_letters(self, piece: str) -> tuple[int, ...]:
-        symbols = [self.vocabulary.get(c) for c in piece[:-1]] + [self.vocabulary.get(piece[-1:] + self.suffix)] * bool(piece)
-        return tuple(merged([s for s in symbols if s is not None], self.pairs))
+        whole = self.vocabulary.get
+        symbols = [*map(whole, piece[:-1]), whole(piece[-1:] + self.suffix)] if piece else []
+        if None in symbols:
+            symbols = [s for s in symbols if s is not None]
+        return tuple(merged(symbols, self.pairs, self.made))
+
+    def _of_piece(self, piece: str) -> tuple[int, ...]:
+        return self._of_letters(piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters))
 
     def _of_chunk(self, chunk: str) -> tuple[int, ...]:
         """Of a lower-case run of plain characters without white space."""
-        return tuple(chain.from_iterable(self.by_letters[piece.encode().decode("latin-1").translate(self.letters)] for piece in self.pattern.findall(chunk)))
+        found = self.pattern.findall(chunk)
+        return self._of_piece(chunk) if found == [chunk] else tuple(chain.from_iterable(map(self.by_piece.__getitem__, found)))
 
     def _ids(self, text: str) -> list[int]:
         if self.pattern is not None and (text.isascii() or not PLAIN.search(text)) and "\x7f" not in text and not any(c in text for c in "\x0b\x0c\x1c\x1d\x1e\x1f"):

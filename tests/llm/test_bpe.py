@@ -43,7 +43,9 @@ def test_merges_by_definition():
                 pairs[pair] = (rank, n)
                 n += 1
         symbols = [r.randrange(6) for _ in range(r.randrange(0, 40))]
-        assert merged(list(symbols), pairs) == plain_merges(symbols, pairs)
+        made = [new for _, new in sorted(pairs.values())]
+        ranks = {p: at << 32 for at, p in enumerate(sorted(pairs, key=pairs.get))}
+        assert merged(list(symbols), ranks, made) == plain_merges(symbols, pairs)
 
 
 TEXTS = [
