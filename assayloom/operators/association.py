@@ -77,32 +77,59 @@ def linear_scan(long: DataFrame, outcome: str, covariates: list[str], least: int
     return moments.mapInPandas(solve, f"feature {dict(long.dtypes)['feature']}, n long, beta double, se double, t double, p double, r2 double")
 
 
-def logistic_scan(long: DataFrame, outcome: str, covariates: list[str], least: int = 30, bonferroni: int | None = None) -> DataFrame:
+def logistic_scan(long: DataFrame, outcome: str, covariates: list[str], least: int = 30, bonferroni: int | None = None, most_rounds: int = 25) -> DataFrame:
     """Per feature outcome ~ value + covariates by iteratively reweighted least squares: beta, se, z, p, adjusted p, odds
-    ratio and its 95% interval. A feature's complete rows are one group; features run in parallel."""
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf[outcome].to_numpy(float)
-        raw = pdf[["value", *covariates]].to_numpy(float)
-        spread = raw.std(0)
-        x = np.column_stack([np.ones(len(y)), (raw - raw.mean(0)) / np.where(spread > 0, spread, 1)])
-        b = np.zeros(x.shape[1])
-        for _ in range(25):
-            p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-            w = np.maximum(p * (1 - p), 1e-10)
-            h = x.T @ (x * w[:, None])
-            step = np.linalg.pinv(h, hermitian=True) @ (x.T @ (y - p))
-            b = b + step
-            if np.abs(step).max() < 1e-8:
-                break
-        scale = spread[0] if spread[0] > 0 else 1.0
-        beta, se = b[1] / scale, math.sqrt(max(np.linalg.pinv(h, hermitian=True)[1, 1], 0)) / scale
-        z = beta / se if se > 0 else float("nan")
-        return pd.DataFrame({"feature": [pdf["feature"].iloc[0]], "n": [len(y)], "beta": [beta], "se": [se], "z": [z], "p": [math.erfc(abs(z) / math.sqrt(2))]})
-
-    kind = dict(long.dtypes)["feature"]
-    rows = long.select("feature", outcome, "value", *covariates).dropna()
-    enough = rows.groupBy("feature").agg(F.count("*").alias("_n")).filter(F.col("_n") >= least).select("feature")
-    out = rows.join(enough, "feature", "left_semi").groupBy("feature").applyInPandas(fit, f"feature {kind}, n long, beta double, se double, z double, p double")
+    ratio and its 95% interval.
+
+    All features take their steps together: a round is one aggregate of weighted cross-products by feature, whose small
+    systems are solved a batch at a time. A feature that has settled drops out, and the rounds end when none is left.
+    """
+    from assayloom.operators.genetics import settled
+
+    kind, columns = dict(long.dtypes)["feature"], ["value", *covariates]
+    k = len(columns) + 1
+    rows = long.select("feature", F.col(outcome).cast("double").alias("_y"), *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)]).dropna()
+    facts = rows.groupBy("feature").agg(F.count("*").alias("n"), *[f(f"_c{i}").alias(f"_{m}{i}") for i in range(k - 1) for m, f in (("m", F.avg), ("s", F.stddev_pop))]).filter(F.col("n") >= least)
+    unit = lambda i: (F.col(f"_c{i}") - F.col(f"_m{i}")) / F.when(F.col(f"_s{i}") > 0, F.col(f"_s{i}")).otherwise(1.0)
+    x = settled(rows.join(facts, "feature").select("feature", "_y", *[unit(i).alias(f"_x{i + 1}") for i in range(k - 1)]))
+    xs = [F.lit(1.0), *[F.col(f"_x{i}") for i in range(1, k)]]
+    start = F.array(*[F.lit(0.0)] * k)
+    state = facts.select("feature", "n", F.when(F.col("_s0") > 0, F.col("_s0")).otherwise(1.0).alias("scale"), start.alias("b"), F.lit(None).cast("double").alias("se"), F.lit(False).alias("done"))
+
+    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            h, g = np.empty((len(b), k, k)), np.stack([b[f"g{i}"] for i in range(k)], -1)
+            for i in range(k):
+                for j in range(i, k):
+                    h[:, i, j] = h[:, j, i] = b[f"h{i}_{j}"]
+            inverse = np.linalg.pinv(h, hermitian=True)
+            move = np.einsum("nij,nj->ni", inverse, g)
+            after = np.stack(b["b"].to_list()) + move
+            yield pd.DataFrame({"feature": b["feature"], "n": b["n"], "scale": b["scale"], "b": list(after), "se": np.sqrt(np.maximum(inverse[:, 1, 1], 0)), "done": np.abs(move).max(1) < 1e-8})
+
+    state, finished = settled(state), None
+    for _ in range(most_rounds):
+        eta = F.greatest(F.least(sum((F.get("b", F.lit(i)) * c for i, c in enumerate(xs)), F.lit(0.0)), F.lit(30.0)), F.lit(-30.0))
+        p = 1 / (1 + F.exp(-F.col("_eta")))
+        fitted = x.join(state.select("feature", "b"), "feature").withColumn("_eta", eta).withColumn("_p", p).withColumn("_w", F.greatest(F.col("_p") * (1 - F.col("_p")), F.lit(1e-10)))
+        products = [F.sum(F.col("_w") * xs[i] * xs[j]).alias(f"h{i}_{j}") for i in range(k) for j in range(i, k)]
+        sums = fitted.groupBy("feature").agg(*products, *[F.sum(c * (F.col("_y") - F.col("_p"))).alias(f"g{i}") for i, c in enumerate(xs)])
+        stepped = sums.join(state.select("feature", "n", "scale", "b"), "feature")
+        state = settled(stepped.mapInPandas(step, f"feature {kind}, n long, scale double, b array<double>, se double, done boolean"))
+        ended = state.filter("done")
+        finished = ended if finished is None else finished.unionByName(ended)
+        state = state.filter("NOT done")
+        if state.isEmpty():
+            break
+    every = finished.unionByName(state)  # what hasn't settled is given as it stands
+    beta, se = F.get("b", F.lit(1)) / F.col("scale"), F.col("se") / F.col("scale")
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            z = np.where(b["se"] > 0, b["beta"] / b["se"].where(b["se"] > 0, 1.0), np.nan)
+            yield b.assign(z=z, p=[math.erfc(abs(v) / math.sqrt(2)) for v in z])
+
+    out = every.select("feature", "n", beta.alias("beta"), se.alias("se")).mapInPandas(judge, f"feature {kind}, n long, beta double, se double, z double, p double")
     m = F.lit(bonferroni) if bonferroni else F.count("p").over(Window.partitionBy())
     out = out.withColumns({"p_adj": benjamini_hochberg("p"), "bonf_sig": F.col("p") < 0.05 / m})
     bound = lambda s: F.exp(F.col("beta") + s * 1.96 * F.col("se"))

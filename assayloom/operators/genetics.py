@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -136,45 +138,119 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint() if named else df.cache()
 
 
-def greedy_unrelated(edges: DataFrame, missing: DataFrame) -> DataFrame:
-    """removed ids: in every component, the node with most relatives goes (ties: higher missing rate, then least ordinal)
-    until no pair is left. missing: id, missing_rate, ordinal. Exact per component, as removals don't reach another one."""
-    labels = component_labels(edges)
-    facts = missing.select("id", F.col("missing_rate").cast("double"), "ordinal")
-    rows = edges.join(labels, edges["id1"] == labels["node"]).select("component", "id1", "id2")
-    ends = facts.alias("a")
-    rows = rows.join(ends, rows["id1"] == F.col("a.id"), "left").select("component", "id1", "id2", F.col("missing_rate").alias("m1"), F.col("ordinal").alias("o1"))
-    rows = rows.join(facts.alias("b"), rows["id2"] == F.col("b.id"), "left").select("component", "id1", "id2", "m1", "o1", F.col("missing_rate").alias("m2"), F.col("ordinal").alias("o2"))
+def greedy_unrelated(edges: DataFrame, missing: DataFrame, group_edges: int = 20_000, most_rounds: int = 10_000) -> DataFrame:
+    """removed ids: the node with most relatives goes (ties: higher missing rate, then least ordinal, then least id) until no
+    pair is left. missing: id, missing_rate, ordinal; an unknown rate comes after all others, an unknown ordinal too.
+
+    A round takes out every node that outranks all its neighbours. Its neighbours only lose relatives until then and it
+    keeps its own, so one after another they would go in the same way: the outcome is that of single removals. Components
+    of up to `group_edges` edges are finished by single removals instead, each in a group of its own; larger ones go on in
+    rounds until they have fallen apart.
+    """
+    spark, kind = edges.sparkSession, dict(edges.dtypes)["id1"]
+    both = edges.select(F.col("id1").alias("a"), F.col("id2").alias("b")).filter("a <> b")
+    both = settled(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    facts = missing.groupBy("id").agg(F.max(F.coalesce(F.col("missing_rate").cast("double"), F.lit(-1.0))).alias("m"), F.min("ordinal").cast("double").alias("o"))
+    far = F.lit(float("inf"))
+    facts = settled(facts.select(F.col("id").alias("a"), "m", F.coalesce("o", far).alias("o")))
+    gone = spark.createDataFrame([], f"id {kind}")
 
     def prune(pdf: pd.DataFrame) -> pd.DataFrame:
         near: dict = {}
-        facts: dict = {}
-        for a, b, m1, o1, m2, o2 in pdf[["id1", "id2", "m1", "o1", "m2", "o2"]].itertuples(index=False):
-            if a != b:
-                near.setdefault(a, set()).add(b)
-                near.setdefault(b, set()).add(a)
-                facts[a], facts[b] = (m1, o1), (m2, o2)
-        gone = []
+        known: dict = {}
+        for a, b, m, o in pdf[["a", "b", "m", "o"]].itertuples(index=False):
+            near.setdefault(a, set()).add(b)
+            known[a] = (-1.0, float("inf")) if m != m else (m, o)
+        out = []
         while any(near.values()):
-            worst = min(near, key=lambda x: (-len(near[x]), -facts[x][0], facts[x][1]))
-            gone.append(worst)
+            worst = min(near, key=lambda x: (-len(near[x]), -known[x][0], known[x][1], x))
+            out.append(worst)
             for y in near.pop(worst):
                 near[y].discard(worst)
-        return pd.DataFrame({"id": gone})
-
-    kind = dict(edges.dtypes)["id1"]
-    return rows.groupBy("component").applyInPandas(prune, f"id {kind}")
-
-
-def correlations(long: DataFrame, features: DataFrame | None = None) -> DataFrame:
-    """f1 < f2, n, r: Pearson correlation of every pair of features over the samples that have both.
-
-    A sample's values meet in one array, so the pairs of a sample are made in place and summed map-side.
+        return pd.DataFrame({"id": out})
+
+    for round_ in range(most_rounds):
+        if both.isEmpty():
+            return gone
+        if round_ % 8 == 0:  # what has become small is finished here
+            labels = settled(component_labels(both.select(F.col("a").alias("id1"), F.col("b").alias("id2"))))
+            sizes = both.join(labels, both["a"] == labels["node"]).groupBy("component").count()
+            few = settled(labels.join(sizes.filter(F.col("count") <= 2 * group_edges), "component").select(F.col("node").alias("a"), "component"))
+            groups = both.join(few, "a").join(facts, "a", "left")
+            gone = settled(gone.unionByName(groups.groupBy("component").applyInPandas(prune, f"id {kind}")))
+            both = settled(both.join(few, "a", "left_anti"))
+            continue
+        rank = both.groupBy("a").agg(F.count("*").alias("d")).join(facts, "a", "left").select("a", F.struct("d", F.coalesce("m", F.lit(-1.0)).alias("m"), (-F.coalesce("o", far)).alias("o")).alias("r"))
+        # after degree, rate and ordinal the lesser id goes first
+        sides = both.join(rank, "a").join(rank.select(F.col("a").alias("b"), F.col("r").alias("q")), "b")
+        beaten = (F.col("q") > F.col("r")) | ((F.col("q") == F.col("r")) & (F.col("b") < F.col("a")))
+        first = settled(sides.groupBy("a").agg(F.max(beaten).alias("beaten")).filter("NOT beaten").select(F.col("a").alias("id")))
+        gone = settled(gone.unionByName(first))
+        both = settled(both.join(first, both["a"] == first["id"], "left_anti").join(first, F.col("b") == first["id"], "left_anti"))
+    raise RuntimeError(f"pairs are left after {most_rounds} rounds")
+
+
+def correlations(long: DataFrame, block: int = 256, strip: int = 16_384) -> DataFrame:
+    """f1 < f2, n, r, p: Pearson correlation of every pair of features over the samples that have both, and its two-sided
+    p-value by the t distribution (null under three samples).
+
+    A blocked matrix product: features are cut into blocks of about `block`, samples into strips of about `strip`; a task
+    multiplies two blocks of one strip, values and marks of what is there, and the strips' sums meet by pair. A value is
+    sent once a block, not once a feature, and no task holds more than a strip of two blocks.
     """
-    rows = long.filter("value IS NOT NULL").groupBy("sample").agg(F.sort_array(F.collect_list(F.struct("feature", "value"))).alias("v"))
-    first = rows.select("v", F.posexplode("v").alias("i", "a"))
-    pairs = first.select("a", F.explode(F.slice("v", F.col("i") + 2, F.greatest(F.size("v") - F.col("i") - 1, F.lit(0)))).alias("b"))
-    return pairs.groupBy(F.col("a.feature").alias("f1"), F.col("b.feature").alias("f2")).agg(F.count("*").alias("n"), F.corr("a.value", "b.value").alias("r"))
+    from assayloom.operators.association import t_two_sided
+
+    rows = long.filter("value IS NOT NULL").select("sample", "feature", F.col("value").cast("double").alias("value"))
+    facts = rows.agg(F.count_distinct("feature").alias("features"), F.count_distinct("sample").alias("samples")).head()
+    blocks, strips = max(1, -(-facts["features"] // block)), max(1, -(-facts["samples"] // strip))
+    means = rows.groupBy("feature").agg(F.avg("value").alias("_mean"))  # sums of centred values keep their digits
+    own = F.pmod(F.xxhash64("feature"), F.lit(blocks)).cast("int")
+    placed = rows.join(means, "feature").select("sample", "feature", (F.col("value") - F.col("_mean")).alias("value"), own.alias("own"), F.pmod(F.xxhash64("sample"), F.lit(strips)).cast("int").alias("strip"))
+    sent = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumns({"q": F.least("own", "other"), "r": F.greatest("own", "other")})
+    kind = dict(long.dtypes)["feature"]
+
+    def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
+        names, column = np.unique(pdf["feature"].to_numpy(), return_inverse=True)
+        samples, row = np.unique(pdf["sample"].to_numpy(), return_inverse=True)
+        x, there = np.zeros((len(samples), len(names))), np.zeros((len(samples), len(names)))
+        x[row, column], there[row, column] = pdf["value"].to_numpy(), 1.0
+        q, r = pdf["q"].iloc[0], pdf["r"].iloc[0]
+        side = np.zeros(len(names), int)
+        side[column] = pdf["own"].to_numpy()
+        left, right = np.flatnonzero(side == q), np.flatnonzero(side == r)
+        a, b, m, k = x[:, left], x[:, right], there[:, left], there[:, right]
+        i, j = np.meshgrid(left, right, indexing="ij")
+        # of two different blocks every pair, of a block with itself every pair once; the lesser name first
+        keep = names[i] < names[j] if q == r else np.ones(i.shape, bool)
+        swap = (names[i] > names[j])[keep]
+        sums = [s[keep] for s in (m.T @ k, a.T @ k, m.T @ b, (a * a).T @ k, m.T @ (b * b), a.T @ b)]
+        f, g = names[i][keep], names[j][keep]
+        turn = lambda u, v: (np.where(swap, v, u), np.where(swap, u, v))
+        (f1, f2), (x1, x2), (q1, q2) = turn(f, g), turn(sums[1], sums[2]), turn(sums[3], sums[4])
+        return pd.DataFrame({"f1": f1, "f2": f2, "n": sums[0].astype(np.int64), "x1": x1, "x2": x2, "q1": q1, "q2": q2, "c": sums[5]})
+
+    parts = sent.groupBy("strip", "q", "r").applyInPandas(multiply, f"f1 {kind}, f2 {kind}, n long, x1 double, x2 double, q1 double, q2 double, c double")
+    s = parts.groupBy("f1", "f2").agg(*[F.sum(c).alias(c) for c in ("n", "x1", "x2", "q1", "q2", "c")]).filter("n > 0")
+    n = F.col("n")
+    spread = F.sqrt((F.col("q1") - F.col("x1") * F.col("x1") / n) * (F.col("q2") - F.col("x2") * F.col("x2") / n))
+    r = F.when(spread > 1e-12 * F.sqrt(F.col("q1") * F.col("q2")), F.greatest(F.least((F.col("c") - F.col("x1") * F.col("x2") / n) / spread, F.lit(1.0)), F.lit(-1.0)))
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            df, r = b["n"].to_numpy(float) - 2, b["r"].to_numpy(float)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                t = r * np.sqrt(df / np.maximum(1 - r * r, 0))
+                known = np.isfinite(r) & (df > 0)
+                p = np.full(len(b), np.nan)
+                sure = known & np.isinf(t)
+                p[sure] = 0.0
+                known &= ~sure
+                if known.any():
+                    p[known] = t_two_sided(t[known], df[known])
+            yield b.assign(p=pd.Series(p, b.index).where(~np.isnan(p), None).astype(float))
+
+    out = s.select("f1", "f2", "n", r.alias("r")).mapInPandas(judge, f"f1 {kind}, f2 {kind}, n long, r double, p double")
+    return out.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("r", "p")})
 
 
 def correlation_groups(long: DataFrame, least: float = 0.80) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayloom.functions.blocks import block_pairs, distances, ranked_values
-from assayloom.functions.stats import MAD_SCALE, avg_rank, benjamini_hochberg, center_and_mad, over, with_scalars
+from assayloom.functions.stats import MAD_SCALE, avg_rank, benjamini_hochberg, center_and_mad, over, qnorm, with_scalars
 
 
 def fixed_basis_policy(long: DataFrame, share: float = 0.001, least_rows: int = 200, least_features: int = 50) -> DataFrame:
@@ -36,53 +36,12 @@ def whitened_distance(pairs: DataFrame, reference: DataFrame) -> DataFrame:
     return pairs.join(spread, "feature").groupBy("person").agg(F.sqrt(F.sum(d * d)).alias("distance"))
 
 
-def mahalanobis_distance(pairs: DataFrame, scores: DataFrame, ridge: float = 1e-6) -> DataFrame:
-    """person, distance of pairs (person, pc, x, y) under the covariance of scores (sample, pc, score), with a ridge. The
-    covariance is summed by Spark; its square, as wide as there are components, is inverted here."""
-    other = scores.select("sample", F.col("pc").alias("pc2"), F.col("score").alias("score2"))
-    cells = scores.join(other, "sample").groupBy("pc", "pc2").agg(F.covar_samp("score", "score2").alias("c")).collect()
-    pcs = sorted({r["pc"] for r in cells})
-    a = np.zeros((len(pcs), len(pcs)))
-    for r in cells:
-        a[pcs.index(r["pc"]), pcs.index(r["pc2"])] = r["c"]
-    inverse = np.linalg.inv(a + ridge * np.eye(len(pcs)))
-    rows = [(pcs[i], pcs[j], float(inverse[i, j])) for i in range(len(pcs)) for j in range(len(pcs))]
-    weights = F.broadcast(pairs.sparkSession.createDataFrame(rows, f"pc {dict(scores.dtypes)['pc']}, pc2 {dict(scores.dtypes)['pc']}, w double"))
-    d = pairs.select("person", "pc", (F.col("x") - F.col("y")).alias("d"))
-    d2 = d.select("person", F.col("pc").alias("pc2"), F.col("d").alias("d2"))
-    return d.join(weights, "pc").join(d2, ["person", "pc2"]).groupBy("person").agg(F.sqrt(F.sum(F.col("d") * F.col("w") * F.col("d2"))).alias("distance"))
-
-
 def noise_ratio(bridges: DataFrame, replicates: DataFrame) -> DataFrame:
     """bridge_median, noise_floor, ratio of two distance tables."""
     b, r = bridges.agg(F.median("distance").alias("bridge_median")), replicates.agg(F.median("distance").alias("noise_floor"))
     return with_scalars(b, r).withColumn("ratio", F.try_divide("bridge_median", "noise_floor"))
 
 
-def bootstrap_median(rows: DataFrame, value: str, resamples: int = 10_000, seed: int = 42) -> DataFrame:
-    """median, low, high: a percentile interval of the median over resamples of the (few) rows, drawn by hashes so that
-    every run gives the same ones. A resample is a group of its own."""
-    spark = rows.sparkSession
-    numbered = rows.filter(F.col(value).isNotNull()).agg(F.sort_array(F.collect_list(value)).alias("v"))  # bridge pairs: a few dozen
-    draws = with_scalars(spark.range(resamples), numbered)
-    n = F.size("v")
-    drawn = F.sort_array(F.transform(F.sequence(F.lit(1), n), lambda i: F.get(F.col("v"), F.pmod(F.xxhash64("id", i, F.lit(seed)), n).cast("int"))))
-    half = F.floor((n - 1) / 2).cast("int")
-    medians = draws.filter(n > 0).withColumn("s", drawn).select(((F.get("s", half) + F.get("s", F.floor(n / 2).cast("int"))) / 2).alias("m"))
-    interval = medians.agg(F.percentile("m", F.lit(0.025)).alias("low"), F.percentile("m", F.lit(0.975)).alias("high"))
-    return with_scalars(rows.agg(F.median(value).alias("median")), interval)
-
-
-def signed_rank(pairs: DataFrame, before: str, after: str) -> DataFrame:
-    """n, v, z, p (one-sided: after less than before) by the normal approximation with continuity; zeros are dropped."""
-    d = pairs.select((F.col(after) - F.col(before)).alias("d")).filter("d <> 0").withColumn("a", F.abs("d"))
-    ranked = ranked_values(d, "a", up=F.count_if(F.col("d") > 0))
-    out = ranked.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("up") * F.col("rank")), F.lit(0.0)).alias("v"))
-    n = F.col("n")
-    z = F.try_divide(F.col("v") - n * (n + 1) / 4 + 0.5, F.sqrt(n * (n + 1) * (2 * n + 1) / 24))
-    return out.withColumn("z", z).withColumn("p", normal_cdf(F.col("z")))
-
-
 def normal_cdf(z: Column) -> Column:
     """The standard normal distribution function (fixed rational approximation, absolute error below 1.5e-7)."""
     x = F.abs(z) / math.sqrt(2)
@@ -91,6 +50,14 @@ def normal_cdf(z: Column) -> Column:
     return F.when(z >= 0, (1 + erf) / 2).otherwise((1 - erf) / 2)
 
 
+def normal_cdf_sql(z: str) -> str:
+    """The same as DuckDB SQL; z is a column's name."""
+    t, square = f"(1 / (1 + 0.3275911::DOUBLE * abs({z}) / sqrt(2)))", f"exp(-{z} * {z} / 2)"
+    poly = reduce(lambda acc, c: f"({acc} * {t} + {c}::DOUBLE)", ("-1.453152027", "1.421413741", "-0.284496736", "0.254829592"), "1.061405429::DOUBLE")
+    erf = f"(1 - {poly} * {t} * {square})"
+    return f"CASE WHEN {z} >= 0 THEN (1 + {erf}) / 2 ELSE (1 - {erf}) / 2 END"
+
+
 def neighbours(scores: DataFrame, columns: list[str], k: int) -> DataFrame:
     """s, t, d, rank: the k nearest samples of every sample by distance, ties by sample id. Pairs of blocks of samples each
     give their k nearest, and the nearest of those are taken; samples with a missing score have and are none."""
@@ -232,33 +199,46 @@ def kpi_table(before: dict[str, float | None], after: dict[str, float | None], s
 
 
 def shapiro_w(rows: DataFrame, value: str, *by: str) -> DataFrame:
-    """by, n, w: Royston's approximation of the Shapiro-Wilk W for 3 to 5000 values a group, else null."""
-
-    def w(pdf: pd.DataFrame) -> pd.DataFrame:
-        from statistics import NormalDist
-
-        x = np.sort(pdf[value].dropna().to_numpy(float))
-        n = len(x)
-        out = {c: [pdf[c].iloc[0]] for c in by} | {"n": [n], "w": [None]}
-        if 3 <= n <= 5000 and x[-1] > x[0]:
-            m = np.array([NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-            c = m / math.sqrt((m * m).sum())
-            u = 1 / math.sqrt(n)
-            a = c.copy()
-            a[-1] = np.polyval([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, c[-1]], u) if n > 3 else math.sqrt(0.5)
-            if n > 5:
-                a[-2] = np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, c[-2]], u)
-                phi = ((m * m).sum() - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * a[-1] ** 2 - 2 * a[-2] ** 2)
-                a[2:-2], a[1] = m[2:-2] / math.sqrt(phi), -a[-2]
-            else:
-                phi = ((m * m).sum() - 2 * m[-1] ** 2) / (1 - 2 * a[-1] ** 2) if n > 3 else 1.0
-                a[1:-1] = m[1:-1] / math.sqrt(phi) if n > 3 else 0.0
-            a[0] = -a[-1]
-            out["w"] = [float((a @ x) ** 2 / ((x - x.mean()) ** 2).sum())]
-        return pd.DataFrame(out)
+    """by, n, w, p: Royston's approximation of the Shapiro-Wilk test for 3 to 5000 values a group, else null, also for a
+    constant group.
 
-    kinds = dict(rows.dtypes)
-    return rows.select(*by, value).groupBy(*by).applyInPandas(w, ", ".join([*(f"{c} {kinds[c]}" for c in by), "n long, w double"]))
+    Larger groups are counted and never sorted; the others, 5000 rows at most, are ranked, and a value's weight follows
+    from its rank and the group's count (fixed coefficients of the published approximation).
+    """
+    known = rows.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
+    sizes = rows.groupBy(*by).agg(F.count(value).alias("n"))
+    facts = known.groupBy(*by).agg(F.count("*").alias("_n"), F.avg("_x").alias("_mean"), F.min("_x").alias("_min"), F.max("_x").alias("_max")).filter("_n BETWEEN 3 AND 5000 AND _max > _min")
+    a, b = known.alias("a"), facts.alias("b")
+    placed = a.join(b, reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by], F.lit(True))).select(*[F.col(f"a.{c}").alias(c) for c in by], "_x", "_n", "_mean")
+    i, n = F.row_number().over(over(*by).orderBy("_x")), F.col("_n")
+    scored = placed.withColumn("_i", i).withColumn("_m", qnorm((F.col("_i") - 0.375) / (n + 0.25)))
+    every = over(*by)
+    scored = scored.withColumns({"_mm": F.sum(F.col("_m") * F.col("_m")).over(every), "_m1": F.max("_m").over(every), "_m2": F.max(F.when(F.col("_i") == n - 1, F.col("_m"))).over(every)})
+    u, norm = 1 / F.sqrt(n), F.sqrt("_mm")
+    poly = lambda cs, last: reduce(lambda acc, c: acc * u + c, cs[1:], F.lit(cs[0])) * u + last
+    top = F.when(n == 3, math.sqrt(0.5)).otherwise(poly((-2.706056, 4.434685, -2.071190, -0.147981, 0.221157), F.col("_m1") / norm))
+    second = F.when(n > 5, poly((-3.582633, 5.682633, -1.752461, -0.293762, 0.042981), F.col("_m2") / norm))
+    scored = scored.withColumns({"_top": top, "_second": second})
+    square = lambda c: F.col(c) * F.col(c)
+    few, many = (F.col("_mm") - 2 * square("_m1")) / (1 - 2 * square("_top")), (F.col("_mm") - 2 * square("_m1") - 2 * square("_m2")) / (1 - 2 * square("_top") - 2 * square("_second"))
+    edge = F.least(F.col("_i"), n + 1 - F.col("_i"))
+    inner = F.when(n == 3, 0.0).otherwise(F.col("_m") / F.sqrt(F.when(n > 5, many).otherwise(few)))
+    weight = F.when(edge == 1, F.signum("_m") * F.col("_top")).when((edge == 2) & (n > 5), F.signum("_m") * F.col("_second")).otherwise(inner)
+    sums = scored.withColumn("_a", weight).groupBy(*by).agg(F.sum(F.col("_a") * F.col("_x")).alias("_s"), F.sum((F.col("_x") - F.col("_mean")) * (F.col("_x") - F.col("_mean"))).alias("_ss"), F.first("_n").alias("_n"))
+    w = sums.select(*by, "_n", F.least(F.col("_s") * F.col("_s") / F.col("_ss"), F.lit(1.0)).alias("w"))
+    joined = sizes.alias("a").join(w.alias("b"), reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by], F.lit(True)), "left").select(*[F.col(f"a.{c}").alias(c) for c in by], "n", "w")
+    return joined.withColumn("p", shapiro_p(F.col("w"), F.col("n")))
+
+
+def shapiro_p(w: Column, n: Column) -> Column:
+    """The p-value of W among n values (fixed coefficients of the published approximation)."""
+    x, ln = F.log(1 - w), F.log(n.cast("double"))
+    poly = lambda v, *cs: reduce(lambda acc, c: acc * v + c, cs[1:], F.lit(cs[0]))
+    g = 0.459 * n - 2.273
+    small = (-F.log(g - x) - poly(n, -0.0006714, 0.025054, -0.39978, 0.5440)) / F.exp(poly(n, -0.0020322, 0.062767, -0.77857, 1.3822))
+    large = (x - poly(ln, 0.0038915, -0.083751, -0.31082, -1.5861)) / F.exp(poly(ln, 0.0030302, -0.082676, -0.4803))
+    three = F.greatest(6 / math.pi * (F.asin(F.sqrt(w)) - math.asin(math.sqrt(0.75))), F.lit(0.0))
+    return F.when(w.isNull(), None).when(n == 3, three).when((n <= 11) & (x >= g), 1e-99).otherwise(1 - normal_cdf(F.when(n <= 11, small).otherwise(large)))
 
 
 def genetic_distance(scores: DataFrame, columns: list[str]) -> DataFrame:
@@ -311,7 +291,7 @@ def age_association(fits: DataFrame, alpha: float = 0.05) -> DataFrame:
 
 
 def spearman(long: DataFrame) -> DataFrame:
-    """f1 < f2, n, rho: Pearson correlations of average ranks."""
+    """f1 < f2, n, rho, p: Pearson correlations of average ranks, with their p-values by the t distribution."""
     from assayloom.operators.genetics import correlations
 
     ranked = long.filter("value IS NOT NULL").select("sample", "feature", avg_rank("value", "feature").alias("value"))
@@ -320,8 +300,6 @@ def spearman(long: DataFrame) -> DataFrame:
 
 def qq_points(rows: DataFrame, value: str, *by: str) -> DataFrame:
     """by, i, theoretical, observed: normal quantiles at (i - 1/2) / n (3/8 and 1/4 shifted up to ten values)."""
-    from assayloom.functions.stats import qnorm
-
     known = rows.filter(F.col(value).isNotNull())
     i = F.row_number().over(Window.partitionBy(*by).orderBy(value))
     n = F.count("*").over(over(*by))
@@ -330,9 +308,13 @@ def qq_points(rows: DataFrame, value: str, *by: str) -> DataFrame:
 
 
 def paired_shift(pairs: DataFrame) -> DataFrame:
-    """n, mean_abs, median_abs, sd_abs, t of per-feature mean differences between x and y."""
-    per = pairs.groupBy("feature").agg((F.avg("x") - F.avg("y")).alias("d"))
-    return per.agg(F.count("d").alias("n"), F.avg(F.abs("d")).alias("mean_abs"), F.median(F.abs("d")).alias("median_abs"), F.stddev_samp(F.abs("d")).alias("sd_abs"), F.try_divide(F.avg("d") * F.sqrt(F.count("d")), F.stddev_samp("d")).alias("t"))
+    """n, mean_abs, median_abs, sd_abs, t of per-feature mean differences between x and y, and v, p of their signed ranks."""
+    from assayloom.operators.robust import signed_rank
+
+    means = pairs.groupBy("feature").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
+    ranks = signed_rank(means, "y", "x", "two-sided").select("v", "p")
+    per = means.select((F.col("x") - F.col("y")).alias("d"))
+    return with_scalars(per.agg(F.count("d").alias("n"), F.avg(F.abs("d")).alias("mean_abs"), F.median(F.abs("d")).alias("median_abs"), F.stddev_samp(F.abs("d")).alias("sd_abs"), F.try_divide(F.avg("d") * F.sqrt(F.count("d")), F.stddev_samp("d")).alias("t")), ranks)
 
 
 def kruskal(rows: DataFrame, value: str, group: str) -> DataFrame:

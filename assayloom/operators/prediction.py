@@ -9,10 +9,24 @@ from assayloom.functions.blocks import running
 from assayloom.functions.stats import avg_rank, with_scalars
 
 
+def hash_ranked(rows: DataFrame, key: str, label: str, seed: int, name: str) -> DataFrame:
+    """`rows` with their place, from 0, within their class in a hash order of the key (rows of equal keys by the key).
+
+    The hash's range is cut into 256 parts; a part of a class is ranked by itself and goes on from the parts before it, so
+    no task sees a whole class.
+    """
+    hashed = rows.withColumn("_h", F.xxhash64(key, F.lit(seed))).withColumn("_part", F.shiftright("_h", 56))
+    sizes = hashed.groupBy(F.col(label).alias("_l"), F.col("_part").alias("_p")).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_l").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_l", "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(label, "_part").orderBy("_h", key))
+    placed = hashed.withColumn("_own", own).join(F.broadcast(offsets), (F.col("_part") == F.col("_p")) & F.col(label).eqNullSafe(F.col("_l")))
+    return placed.withColumn(name, F.col("_before") + F.col("_own") - 1).drop("_h", "_part", "_l", "_p", "_before", "_own")
+
+
 def stratified_folds(rows: DataFrame, key: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
     """`rows` with fold 1..k, dealt within each class in a hash order of the key."""
-    order = Window.partitionBy(label).orderBy(F.xxhash64(key, F.lit(seed)), key)
-    return rows.withColumn("fold", (F.row_number().over(order) - 1) % k + 1)
+    return hash_ranked(rows, key, label, seed, "_place").withColumn("fold", F.col("_place") % k + 1).drop("_place")
 
 
 def class_weights(rows: DataFrame, label: str) -> DataFrame:
@@ -176,28 +190,16 @@ def probability(c: str) -> Column:
     return F.get(vector_to_array(c), F.lit(1))
 
 
-def elastic_net_cv(vectors: DataFrame, label: str, alphas: list[float], lambdas: list[float], folds: int = 5, seed: int = 42) -> DataFrame:
+def elastic_net_cv(vectors: DataFrame, label: str, alphas: list[float], strengths: int | list[float] = 30, folds: int = 5, inner: int = 5, seed: int = 42) -> DataFrame:
     """sample, label, fold, score: out-of-fold probabilities of the model whose mean AUC over inner folds is best."""
-    return elastic_net_folds(vectors, label, alphas, lambdas, folds, seed)[0]
+    return elastic_net_folds(vectors, label, alphas, strengths, folds, inner, seed)[0]
 
 
-def elastic_net_folds(vectors: DataFrame, label: str, alphas: list[float], lambdas: list[float], folds: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def elastic_net_folds(vectors: DataFrame, label: str, alphas: list[float], strengths: int | list[float] = 30, folds: int = 5, inner: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """The scores of `elastic_net_cv`, and fold, at (place in the vector), weight of every outer fold's model."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
-    rows = stratified_folds(vectors, "sample", label, folds, seed).join(F.broadcast(class_weights(vectors, label)), label).cache()
-    lr = LogisticRegression(labelCol=label, weightCol="weight", standardization=False, maxIter=100)
-    grid = ParamGridBuilder().addGrid(lr.elasticNetParam, alphas).addGrid(lr.regParam, lambdas).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol=label), numFolds=3, seed=seed, parallelism=4)
-    out, weights = None, []
-    for k in range(1, folds + 1):
-        model = cv.fit(rows.filter(F.col("fold") != k)).bestModel
-        weights += [(k, i, float(w)) for i, w in enumerate(model.coefficients.toArray())]
-        held = model.transform(rows.filter(F.col("fold") == k)).select("sample", label, "fold", probability("probability").alias("score"))
-        out = held if out is None else out.unionByName(held)
-    return out, vectors.sparkSession.createDataFrame(weights, "fold int, at int, weight double")
+    from assayloom.operators.netpath import nested
+
+    return nested(vectors, label, alphas, strengths, folds, inner, seed)[:2]
 
 
 def top_features(fits: DataFrame, most: int = 20, least: int = 5) -> list:
@@ -246,26 +248,49 @@ def label_accuracy(long: DataFrame, people: DataFrame, label: str, names: list,
     return fitted.filter("predicted IS NOT NULL").agg(F.avg((F.col("predicted") == F.col(label)).cast("int")).alias("accuracy"))
 
 
-def model_zoo(vectors: DataFrame, label: str, trees: int = 50, seed: int = 42) -> DataFrame:
-    """sample, label, model, score of the zoo on its training rows and their mean: elastic net, ridge, lasso, forest,
-    boosted trees, perceptron."""
+def model_zoo(vectors: DataFrame, label: str, folds: int = 5, trees: int = 300, boosts: int = 100, layers: tuple[int, ...] = (128, 64), seed: int = 42, at_once: int = 4) -> DataFrame:
+    """sample, label, fold, model, score: every row scored by models that were fitted to the other folds, and their mean as
+    "ensemble": elastic net, ridge, lasso, forest, boosted trees, perceptron. Vectors are standardised by each fold's
+    training rows; rows weigh in by their class, where the kind of model takes weights."""
+    from multiprocessing.pool import ThreadPool
+
     from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
+    from pyspark.ml.feature import StandardScaler
+
+    from assayloom.operators.genetics import settled
 
-    width = len(vectors.select("features").head()["features"])
+    known = vectors.filter(F.col(label).isNotNull())
+    width = len(known.select("features").head()["features"])
+    net = lambda a: LogisticRegression(labelCol=label, weightCol="_w", elasticNetParam=a, regParam=0.01, standardization=False)
     zoo = {
-        "enet": LogisticRegression(labelCol=label, elasticNetParam=0.5, regParam=0.01),
-        "ridge": LogisticRegression(labelCol=label, elasticNetParam=0.0, regParam=0.01),
-        "lasso": LogisticRegression(labelCol=label, elasticNetParam=1.0, regParam=0.01),
-        "forest": RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed),
-        "boost": GBTClassifier(labelCol=label, maxDepth=4, maxIter=10, stepSize=0.05, seed=seed),
-        "mlp": MultilayerPerceptronClassifier(labelCol=label, layers=[width, 16, 8, 2], maxIter=40, seed=seed),
+        "enet": net(0.5),
+        "ridge": net(0.0),
+        "lasso": net(1.0),
+        "forest": RandomForestClassifier(labelCol=label, numTrees=trees, featureSubsetStrategy="sqrt", seed=seed),
+        "boost": GBTClassifier(labelCol=label, weightCol="_w", maxDepth=4, maxIter=boosts, stepSize=0.05, subsamplingRate=0.7, minInstancesPerNode=5, seed=seed),
+        "mlp": MultilayerPerceptronClassifier(labelCol=label, layers=[width, *layers, 2], maxIter=30, blockSize=64, seed=seed),
     }
-    rows = vectors.cache()
-    scores = [m.fit(rows).transform(rows).select("sample", label, F.lit(n).alias("model"), probability("probability").alias("score")) for n, m in zoo.items()]
-    out = scores[0]
-    for s in scores[1:]:
-        out = out.unionByName(s)
-    mean = out.groupBy("sample", label).agg(F.avg("score").alias("score")).select("sample", label, F.lit("ensemble").alias("model"), "score")
+    dealt = settled(stratified_folds(known, "sample", label, folds, seed))
+
+    def out_of_fold(job: tuple[int, str]) -> DataFrame:
+        fold, name = job
+        train, held = sets[fold]
+        return zoo[name].fit(train).transform(held).select("sample", label, F.lit(fold).alias("fold"), F.lit(name).alias("model"), probability("probability").alias("score"))
+
+    sets = {}
+    for fold in range(1, folds + 1):
+        rest = dealt.filter(F.col("fold") != fold)
+        scaler = StandardScaler(inputCol="features", outputCol="_z", withMean=True).fit(rest)
+        scale = lambda df, scaler=scaler: scaler.transform(df).drop("features").withColumnRenamed("_z", "features")
+        train = rest.join(F.broadcast(class_weights(rest, label).withColumnRenamed("weight", "_w")), label)
+        sets[fold] = settled(scale(train)), scale(dealt.filter(F.col("fold") == fold))
+    with ThreadPool(at_once) as pool:
+        parts = pool.map(out_of_fold, [(fold, name) for fold in sets for name in zoo], chunksize=1)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    out = settled(out)
+    mean = out.groupBy("sample", label, "fold").agg(F.avg("score").alias("score")).select("sample", label, "fold", F.lit("ensemble").alias("model"), "score")
     return out.unionByName(mean)
 
 

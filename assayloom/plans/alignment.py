@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayloom.operators import association
+from assayloom.functions.stats import qnorm_sql
+from assayloom.operators import association, robust
 from assayloom.operators import harmonisation as h
 from assayloom.operators.pca import pca
 from assayloom.plans.harmony import COV, PAIRS, SCAN, pairs, with_covariates
-from assayloom.plans.registry import M, matrix, query, rounded, table
+from assayloom.plans.registry import M, correlation_p_sql, matrix, query, rounded, table
 
 
 @query(f"""WITH {PAIRS}, r AS (SELECT feature, median(value) AS med FROM m GROUP BY 1), s AS (SELECT feature, 1.4826::DOUBLE * median(abs(value - med)) AS mad FROM m JOIN r USING (feature) GROUP BY 1)
@@ -26,10 +27,11 @@ def noise_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {PAIRS}, d AS (SELECT avg(y) - avg(x) AS d FROM p GROUP BY person), k AS (SELECT d, rank() OVER (ORDER BY abs(d)) + (count(*) OVER (PARTITION BY abs(d)) - 1) / 2.0::DOUBLE AS r FROM d WHERE d <> 0),
-    s AS (SELECT count(*) AS n, coalesce(sum(r) FILTER (d > 0), 0) AS v FROM k) SELECT n, v, round((v - n * (n + 1) / 4 + 0.5) / sqrt(n * (n + 1) * (2 * n + 1) / 24), 6) AS z FROM s""")
+    s AS (SELECT count(*) AS n, coalesce(sum(r) FILTER (d > 0), 0) AS v FROM k), t AS (SELECT n, v, (v - n * (n + 1) / 4 + 0.5) / sqrt(n * (n + 1) * (2 * n + 1) / 24) AS z FROM s)
+    SELECT n, v, round(z, 6) AS z, round({h.normal_cdf_sql("z")}, 5) AS p FROM t""")
 def signed_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = pairs(spark, sf_dir).groupBy("person").agg(F.avg("x").alias("b"), F.avg("y").alias("a"))
-    return rounded(h.signed_rank(means, "b", "a").drop("p"), "z")
+    return rounded(rounded(robust.signed_rank(means, "b", "a", exact_below=0), "z"), "p", digits=5)
 
 
 @query(f"""WITH {COV}, k AS (SELECT feature, value AS y, flag::INT::DOUBLE AS a, (sample % 3 = 0)::INT::DOUBLE AS b FROM x),
@@ -48,15 +50,18 @@ def genetic_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(h.genetic_distance(s, ["a", "b"]), "distance")
 
 
-@query(f"""WITH {M}, r AS (SELECT sample, feature, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0::DOUBLE AS r FROM m)
-    SELECT a.feature AS f1, b.feature AS f2, count(*) AS n, round(corr(a.r, b.r), 6) AS rho FROM r a JOIN r b USING (sample) WHERE a.feature < b.feature GROUP BY ALL""")
+@query(f"""WITH {M}, r AS (SELECT sample, feature, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0::DOUBLE AS r FROM m),
+    c AS (SELECT a.feature AS f1, b.feature AS f2, count(*) AS n, corr(a.r, b.r) AS rho FROM r a JOIN r b USING (sample) WHERE a.feature < b.feature GROUP BY ALL) SELECT f1, f2, n, round(rho, 6) AS rho, round({correlation_p_sql("rho", "n")}, 6) AS p FROM c""")
 def spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(h.spearman(matrix(spark, sf_dir)), "rho")
+    return rounded(h.spearman(matrix(spark, sf_dir)), "rho", "p")
 
 
-@query(f"""WITH {PAIRS}, d AS (SELECT avg(x) - avg(y) AS d FROM p GROUP BY feature) SELECT count(d) AS n, round(avg(abs(d)), 6) AS mean_abs, round(median(abs(d)), 6) AS median_abs, round(stddev_samp(abs(d)), 6) AS sd_abs, round(avg(d) * sqrt(count(d)) / stddev_samp(d), 5) AS t FROM d""")
+@query(f"""WITH {PAIRS}, d AS (SELECT avg(x) - avg(y) AS d FROM p GROUP BY feature), k AS (SELECT d, rank() OVER (ORDER BY abs(d)) AS r FROM d WHERE d <> 0), s AS (SELECT count(*) AS n, sum(r) FILTER (d > 0)::DOUBLE AS v FROM k),
+    z AS (SELECT v, (v - n * (n + 1) / 4 - 0.5 * sign(v - n * (n + 1) / 4)) / sqrt(n * (n + 1) * (2 * n + 1) / 24) AS z FROM s), w AS (SELECT v, -abs(z) AS z FROM z)
+    SELECT count(d) AS n, round(avg(abs(d)), 6) AS mean_abs, round(median(abs(d)), 6) AS median_abs, round(stddev_samp(abs(d)), 6) AS sd_abs, round(avg(d) * sqrt(count(d)) / stddev_samp(d), 5) AS t,
+           any_value(v) AS v, round(any_value(2 * {h.normal_cdf_sql("z")}), 5) AS p FROM d, w""")
 def paired_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rounded(h.paired_shift(pairs(spark, sf_dir)), "mean_abs", "median_abs", "sd_abs"), "t", digits=5)
+    return rounded(rounded(h.paired_shift(pairs(spark, sf_dir)), "mean_abs", "median_abs", "sd_abs"), "t", "p", digits=5)
 
 
 @query("""WITH r AS (SELECT p_brand, rank() OVER (ORDER BY p_retailprice) + (count(*) OVER (PARTITION BY p_retailprice) - 1) / 2.0::DOUBLE AS r FROM part), g AS (SELECT p_brand, sum(r) AS s, count(*) AS n FROM r GROUP BY 1)
@@ -93,22 +98,46 @@ def lisi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.lisi(_scores(spark, sf_dir), AXES, "batch")
 
 
+def _moved(p: DataFrame) -> DataFrame:
+    """The pairs once y has been brought to x by the median gap of each feature."""
+    gaps = p.groupBy("feature").agg(F.median(F.col("x") - F.col("y")).alias("_gap"))
+    return p.join(gaps, "feature").withColumn("y", F.col("y") + F.col("_gap")).drop("_gap")
+
+
 @query(None)
 def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return h.bootstrap_median(association.pair_distance(pairs(spark, sf_dir)), "distance")
+    """The pairs' distances after the median gaps are taken out, against those before."""
+    p = pairs(spark, sf_dir)
+    both = association.pair_distance(p).withColumnRenamed("distance", "before").join(association.pair_distance(_moved(p)).withColumnRenamed("distance", "after"), "person")
+    return robust.log_ratio_interval(both, "before", "after")
+
+
+def _on_components(basis, p: DataFrame) -> DataFrame:  # noqa: ANN001
+    """person, pc, x, y: both sides of pairs on a basis."""
+    side = lambda c: association.project(p.select(F.col("person").alias("sample"), "feature", F.col(c).alias("value")), basis.loadings).select(F.col("sample").alias("person"), "pc", F.col("score").alias(c))
+    return side("x").join(side("y"), ["person", "pc"])
 
 
 @query(None)
 def mahalanobis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs on the components of the whole matrix, under the covariance of all samples' scores."""
-    basis, both = pca(matrix(spark, sf_dir), 10), pairs(spark, sf_dir)
-    side = lambda c: association.project(both.select(F.col("person").alias("sample"), "feature", F.col(c).alias("value")), basis.loadings).select(F.col("sample").alias("person"), "pc", F.col("score").alias(c))
-    return h.mahalanobis_distance(side("x").join(side("y"), ["person", "pc"]), basis.scores)
+    """Pairs on the components of the whole matrix, under the robust covariance of all samples' scores."""
+    basis = pca(matrix(spark, sf_dir), 10)
+    return robust.mahalanobis_distance(_on_components(basis, pairs(spark, sf_dir)), basis.scores)
 
 
-@query(None)
+POLY = lambda cs, last: f"((((({cs[0]} * u + {cs[1]}) * u + {cs[2]}) * u + {cs[3]}) * u + {cs[4]}) * u + {last})"
+
+
+@query(f"""WITH {M}, i AS (SELECT feature, value AS x, row_number() OVER (PARTITION BY feature ORDER BY value) AS i, count(*) OVER (PARTITION BY feature) AS n FROM m), q AS (SELECT *, (i - 0.375::DOUBLE) / (n + 0.25::DOUBLE) AS q FROM i),
+    k AS (SELECT feature, x, i, n, {qnorm_sql("q")} AS m FROM q), s AS (SELECT feature, any_value(n) AS n, avg(x) AS mean, sum(m * m) AS mm, max(m) AS m1, max(m) FILTER (i = n - 1) AS m2, 1 / sqrt(any_value(n)) AS u FROM k GROUP BY 1),
+    e AS (SELECT *, {POLY(("-2.706056::DOUBLE", "4.434685::DOUBLE", "-2.071190::DOUBLE", "-0.147981::DOUBLE", "0.221157::DOUBLE"), "m1 / sqrt(mm)")} AS a1, {POLY(("-3.582633::DOUBLE", "5.682633::DOUBLE", "-1.752461::DOUBLE", "-0.293762::DOUBLE", "0.042981::DOUBLE"), "m2 / sqrt(mm)")} AS a2 FROM s),
+    f AS (SELECT *, sqrt((mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)) AS phi FROM e),
+    w AS (SELECT feature, any_value(f.n) AS n, sum(x * CASE WHEN i = 1 THEN -a1 WHEN i = 2 THEN -a2 WHEN i = f.n THEN a1 WHEN i = f.n - 1 THEN a2 ELSE m / phi END) AS s, sum((x - mean) * (x - mean)) AS ss FROM k JOIN f USING (feature) GROUP BY 1),
+    v AS (SELECT feature, n, s * s / ss AS w, ln(n) AS l FROM w),
+    z AS (SELECT feature, n, w, (ln(1 - w) - (((0.0038915::DOUBLE * l - 0.083751::DOUBLE) * l - 0.31082::DOUBLE) * l - 1.5861::DOUBLE)) / exp((0.0030302::DOUBLE * l - 0.082676::DOUBLE) * l - 0.4803::DOUBLE) AS z FROM v)
+    SELECT feature, n, round(w, 6) AS w, round(1 - ({h.normal_cdf_sql("z")}), 5) AS p FROM z""")
 def shapiro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return h.shapiro_w(matrix(spark, sf_dir), "value", "feature")
+    return rounded(rounded(h.shapiro_w(matrix(spark, sf_dir), "value", "feature"), "w"), "p", digits=5)
 
 
 @query(None)

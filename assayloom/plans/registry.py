@@ -41,3 +41,9 @@ M = "m AS (SELECT vec_id AS sample, unnest(range(0, 64))::INT AS feature, unnest
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Doubles to `digits` places, negative zero as zero: sums differ in their last bits with the order of rows."""
     return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in columns})
+
+
+def correlation_p_sql(r: str, n: str) -> str:
+    """DuckDB SQL of the two-sided p of a correlation over an even number n of rows, by the t distribution's finite sum."""
+    terms = f"list_transform(range(0, ({n} // 2 - 1)::BIGINT), lambda k: exp(lgamma(k + 0.5::DOUBLE) - lgamma(k + 1.0::DOUBLE) - 0.5::DOUBLE * ln(pi()) + k * ln(1 - {r} * {r})))"
+    return f"(1 - abs({r}) * list_sum({terms}))"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assayloom.functions.stats import avg_rank
 from assayloom.operators import association, genetics, identity, prediction
-from assayloom.plans.registry import M, matrix, query, rounded, table
+from assayloom.plans.registry import M, correlation_p_sql, matrix, query, rounded, table
 from assayloom.sources import tables
 
 CELLS = "c AS (SELECT user_id AS sample, event_type AS feature, avg(value) AS value FROM events GROUP BY ALL)"
@@ -253,22 +253,23 @@ def related_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return genetics.component_labels(edges(spark, sf_dir))
 
 
-@query(f"WITH {EDGES} SELECT 0::BIGINT AS pairs_left, true AS some_removed")
+@query(f"""WITH RECURSIVE {EDGES}, b AS (SELECT id1 AS a, id2 AS b FROM e UNION SELECT id2, id1 FROM e),
+    g AS (SELECT 0 AS i, []::BIGINT[] AS gone UNION ALL SELECT g.i + 1, list_append(g.gone, w.a) FROM g, LATERAL (
+        SELECT a FROM (SELECT b.a, count(*) AS n FROM b WHERE NOT list_contains(g.gone, b.a) AND NOT list_contains(g.gone, b.b) GROUP BY b.a) ORDER BY n DESC, a % 7 DESC, a LIMIT 1) w)
+    SELECT unnest(gone) AS id FROM (SELECT gone FROM g ORDER BY i DESC LIMIT 1)""")
 def unrelated_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The invariant of the greedy pruning: no pair of relatives is left. Which nodes go is tested on small graphs."""
-    e = edges(spark, sf_dir)
+    """The suppliers that go; the SQL takes them out one after another."""
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") % 7 / 10.0).alias("missing_rate"), F.col("s_suppkey").alias("ordinal"))
-    gone = genetics.greedy_unrelated(e, s).cache()
-    left = e.join(gone.withColumnRenamed("id", "id1"), "id1", "left_anti").join(gone.withColumnRenamed("id", "id2"), "id2", "left_anti")
-    return left.agg(F.count("*").alias("pairs_left")).crossJoin(gone.agg((F.count("*") > 0).alias("some_removed")))
+    return genetics.greedy_unrelated(edges(spark, sf_dir), s)
 
 
 CORR = f"{M}, x AS (SELECT sample, feature, value FROM m)"
 
 
-@query(f"WITH {CORR} SELECT a.feature AS f1, b.feature AS f2, count(*) AS n, round(corr(a.value, b.value), 6) AS r FROM x a JOIN x b USING (sample) WHERE a.feature < b.feature GROUP BY ALL")
+@query(f"""WITH {CORR}, c AS (SELECT a.feature AS f1, b.feature AS f2, count(*) AS n, corr(a.value, b.value) AS r FROM x a JOIN x b USING (sample) WHERE a.feature < b.feature GROUP BY ALL)
+    SELECT f1, f2, n, round(r, 6) AS r, round({correlation_p_sql("r", "n")}, 6) AS p FROM c""")
 def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(genetics.correlations(matrix(spark, sf_dir)), "r")
+    return rounded(genetics.correlations(matrix(spark, sf_dir)), "r", "p")
 
 
 @query(f"""WITH RECURSIVE {CORR}, c AS (SELECT a.feature AS f1, b.feature AS f2, corr(a.value, b.value) AS r FROM x a JOIN x b USING (sample) WHERE a.feature < b.feature GROUP BY ALL),
@@ -366,16 +367,20 @@ def detection_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(prediction.detection_metrics(truth, c.filter("c_acctbal < 1000").select(F.col("c_custkey").alias("sample"))), "rate")
 
 
+ALPHAS = [i / 10 for i in range(11)]
+
+
 @query(None)
 def enet_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five by five folds, eleven mixings, thirty strengths."""
     v = prediction.wide_vectors(matrix(spark, sf_dir), "grp").withColumn("label", (F.col("grp") < 5).cast("int"))
-    return prediction.elastic_net_cv(v.select("sample", "label", "features"), "label", [0.5], [0.01, 0.1], folds=2)
+    return prediction.elastic_net_cv(v.select("sample", "label", "features"), "label", ALPHAS)
 
 
 @query(None)
 def model_zoo(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = prediction.wide_vectors(matrix(spark, sf_dir), "grp").withColumn("label", (F.col("grp") < 5).cast("int"))
-    return prediction.model_zoo(v.select("sample", "label", "features"), "label", trees=20)
+    return prediction.model_zoo(v.select("sample", "label", "features"), "label")
 
 
 @query(None)
