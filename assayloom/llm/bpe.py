@@ -33,7 +33,7 @@ from assayloom.llm.common import short_batches
 #: normal forms, letters and digits are the same in every version of Unicode.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
 #: Half of the pieces that a task keeps with their ids, and the longest of them.
-KEPT, KEPT_CHARS = 250_000, 64
+KEPT, KEPT_CHARS = 200_000, 64
 NEVER = 1 << 62
 BITS = 4
 FAN = 1 << BITS
