@@ -14,13 +14,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import scanned, text_or_empty
+from assayloom.llm.common import bound, scanned, text_or_empty
 
 #: Role -> opening and closing control string. Any other role is a [ROLE] block that carries its name.
 MARKS = {"user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>"), "system": ("[SYS]", "[/SYS]")}
 ROLE_OPEN, ROLE_TEXT, ROLE_CLOSE, NEXT = "[ROLE]", "[TEXT]", "[/ROLE]", "[NEXT]"
 #: A control string inside a text, or a backslash: each gets a backslash in front.
 CONTROL = r"(\\|\[/?(?:INST|SYS|ROLE)\]|\[(?:TEXT|NEXT)\]|</?s>)"
+#: Code points of the pieces that a formatted text is cut into for reading.
+CUT = 1024
 BLOCK = r"(?s)\[INST\] .*? \[/INST\]|\[SYS\] .*? \[/SYS\]|<s> .*? </s>|\[ROLE\] .*? \[/ROLE\]"
 
 
@@ -99,5 +101,13 @@ def read_chats(formatted: DataFrame) -> DataFrame:
         return F.transform(F.split(body, r" \[NEXT\] ", -1), lambda s: F.struct(role.alias("role"), unescape(s).alias("text")))
 
     turns = F.flatten(F.transform(F.regexp_extract_all("formatted", F.lit(BLOCK), F.lit(0)), turns_of))
-    loss = F.concat_ws("", F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["end"] - s["start"]))))
+    # the text is cut once; a span is then taken from the few cuts that it lies in, not from the whole text
+    cuts = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+
+    def under(cuts: Column, s: Column) -> Column:
+        first = F.floor(s["start"] / CUT).cast("int")
+        many = F.greatest(F.floor((s["end"] - 1) / CUT).cast("int") - first + 1, F.lit(1))
+        return F.substring(F.array_join(F.slice(cuts, first + 1, many), ""), s["start"] - first * CUT + 1, s["end"] - s["start"])
+
+    loss = bound(cuts, lambda c: F.concat_ws("", F.transform("loss_spans", lambda s: unescape(under(c, s)))))
     return formatted.select("conv_id", "formatted", "loss_spans", turns.alias("turns"), loss.alias("loss_text"))

@@ -63,6 +63,13 @@ def keyed(docs: DataFrame, whole: bool = False) -> DataFrame:
     return docs.select(*own, *[F.struct(*docs.columns).alias("row")] * whole)
 
 
+def others(df: DataFrame, *names: str) -> list[str]:
+    """The columns of df that have none of these names, compared as the session compares names."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
+    same = (lambda c: c) if exact else str.lower
+    return [c for c in df.columns if same(c) not in set(map(same, names))]
+
+
 def utf8(text: Column) -> Column:
     return F.encode(text_or_empty(text), "UTF-8")
 

@@ -33,9 +33,9 @@ BASE = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: Wider forms for candidates: spelled-out signs in addresses, spaced dots, other card marks, numbers without a plus.
+#: Wider forms for candidates, from the start of a run on as well: spelled-out signs in addresses, spaced dots, other card marks, numbers without a plus.
 WIDE = {
-    "email": r"[A-Za-z0-9._%+-]++ ?(?:@|\[at\]|\(at\)) ?[A-Za-z0-9-]++(?: ?(?:\.|\[dot\]|\(dot\)) ?[A-Za-z0-9-]++)++",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?(?:@|\[at\]|\(at\)) ?[A-Za-z0-9-]++(?: ?(?:\.|\[dot\]|\(dot\)) ?[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9.])[0-9]{1,3}+(?:(?:\.|\[\.\])[0-9]{1,3}+){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}([ ./-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])",
     "phone": r"(?<![0-9+(])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
@@ -47,9 +47,9 @@ NEEDS = {
     "card": lambda t: t.rlike(r"[0-9][ ./-]?[0-9]"),
     "phone": lambda t: t.contains("+") | t.rlike(r"[0-9]{4}"),
 }
-#: The strict form of each kind, for a labeler.
+#: The strict form of each kind, for a labeler. Repeated groups are possessive: others go as deep as the span is long.
 FORM = {
-    "email": r"^[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*(?:@| ?[\[(]at[\])] ?)(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.| ?[\[(]dot[\])] ?))+[A-Za-z]{2,24}$",
+    "email": r"^[A-Za-z0-9_%+-]++(?:\.[A-Za-z0-9_%+-]++)*+(?:@| ?[\[(]at[\])] ?)(?:[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+(?:\.| ?[\[(]dot[\])] ?))++[A-Za-z]{2,24}$",
     "ip": r"^(?:0|[1-9][0-9]{0,2})(?:\[?\.\]?(?:0|[1-9][0-9]{0,2})){3}$",
     "card": r"^(?:[0-9]{13,19}|[0-9]{4}([ ./-]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[0-9]{3}[ -]?[0-9]{6}[ -]?[0-9]{5})$",
     "phone": r"^(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}$",
@@ -140,7 +140,7 @@ def votes(kind: str, s: Column, before: Column, after: Column, suffixes: tuple[s
     """Each labeler's vote, in the order of LABELERS: 1 for, -1 against, 0 none."""
     sign = lambda c: F.when(c, 1).otherwise(-1)
     clean = F.regexp_replace(s, r"[\[\]]", "")
-    suffix = F.lower(F.regexp_extract(s, r"([A-Za-z0-9-]+)$", 1))
+    suffix = F.lower(F.regexp_extract(s, r"(?<![A-Za-z0-9-])([A-Za-z0-9-]++)$", 1))
 
     def issued(number: Column) -> Column:
         first = F.substring(number, 1, 4).cast("int")

@@ -21,7 +21,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import written
+from assayloom.llm.common import others, written
 
 CELL_BITS = 14
 CELLS = 1 << CELL_BITS
@@ -100,5 +100,5 @@ def assign(df: DataFrame, key: Column, order: list[Column], shards: int, vnodes:
     segments = spark.createDataFrame(rows, "at int, start long, stop long, shard int, base long")
     on = (F.col("cell") == F.col("at")) & (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("stop"))
     out = ranks(placed).join(F.broadcast(segments), on)
-    kept = [F.col("row")[c].alias(c) for c in df.columns if c not in ("shard", "slot")]
+    kept = [F.col("row")[c].alias(c) for c in others(df, "shard", "slot")]
     return out.select(*kept, "shard", (F.col("base") + F.col("rank") - F.col("start")).alias("slot"))

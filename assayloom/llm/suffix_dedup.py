@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import short_batches, text_or_empty, written
+from assayloom.llm.common import keyed, short_batches, written
 
 LENGTH, WINDOW, GRAM = 200, 150, 16
 REACH, HEAD = LENGTH - WINDOW + 1, 40
@@ -430,11 +430,10 @@ def oversized_ranges(rows: DataFrame) -> DataFrame:
 
 
 def removed_ranges(docs: DataFrame, broadcast: int = BROADCAST_HASHES) -> tuple[DataFrame, DataFrame]:
-    """(texts, ranges): texts are rows (id, mark, text), ranges rows (id, mark, spans array<struct<start,end>>)."""
+    """(texts, ranges): texts are rows (doc_id, id, mark, text), ranges rows (id, mark, spans array<struct<start,end>>)."""
     spark = docs.sparkSession
     short_batches(spark)
-    body = text_or_empty(F.col("text"))
-    texts = docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64(body).alias("mark"), body.alias("text"))
+    texts = keyed(docs)
     hashes = written(anchor_hashes(texts).filter("n > 1"), "anchor-hashes")
     size = hashes.agg(F.count("*").alias("hashes"), F.coalesce(F.sum("n"), F.lit(0)).alias("anchors")).head()
     if size["hashes"] <= broadcast:
@@ -448,7 +447,7 @@ def removed_ranges(docs: DataFrame, broadcast: int = BROADCAST_HASHES) -> tuple[
     parts = max(spark.sparkContext.defaultParallelism, -(-size["anchors"] * (LENGTH + WINDOW) // RANGE_BYTES))
     shared = spark.sparkContext.broadcast((repeated, bounds(texts, parts)))
     runs = sorted_runs(known, shared)
-    result = written(merge_ranges(runs.repartition(parts, "part")), "context-ranges")
+    result = written(merge_ranges(runs.repartitionById(parts, "part")), "context-ranges")
     settled = result.filter("strings IS NULL").select("k1", "k2", "least", "most")
     ranges = settled.unionByName(oversized_ranges(result)).groupBy("k1", "k2").agg(F.min("least").alias("least"), F.max("most").alias("most"))
     ranges = written(ranges, "ranges")  # so that the join below has nothing but its two shuffles, and a hot context can be split
@@ -475,8 +474,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 whole = b"".join(kept)
                 for column, v in zip(out, (len(data), len(data) - len(whole), n, whole), strict=True):
                     column.append(v)
-            yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = texts.join(ranges, ["id", "mark"], "left").select("id", "text", "spans")
-    out = joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
+    joined = texts.join(ranges, ["id", "mark"], "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "spans")
+    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

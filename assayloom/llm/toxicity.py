@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import short_batches, written
+from assayloom.llm.common import others, short_batches, written
 
 #: Signs and the letters they may stand for (fixed values).
 LOOKS = {
@@ -279,9 +279,8 @@ def logistic(z: Iterable[float]) -> np.ndarray:
 
 def score(docs: DataFrame, model: np.ndarray, weights: dict[str, float], bias: float) -> DataFrame:
     """`docs` with score, from 0 to 1."""
-    names = docs.columns
-    schema = docs.drop(*[c for c in names if c == "score"]).schema.add("score", "double")
-    keep = [c for c in names if c != "score"]
+    keep = others(docs, "score")
+    schema = docs.select(*keep).schema.add("score", "double")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(model, set(weights))

@@ -84,6 +84,8 @@ def frames(data: bytes) -> Iterator[bytes]:
         magic = struct.unpack_from("<I", data, at)[0] if at + 8 <= len(data) else 0
         if 0x184D2A50 <= magic <= 0x184D2A5F:
             at += 8 + struct.unpack_from("<I", data, at + 4)[0]
+            if at > len(data):
+                raise WarcError("a skippable frame is cut off")
             continue
         one, parts = opener.decompressobj(), []
         try:

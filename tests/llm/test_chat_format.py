@@ -47,3 +47,16 @@ def test_thousands_of_turns(spark):
     """Time in proportion to the turns, of one role or of changing ones."""
     rows = [(1, i, "user", f"a{i}") for i in range(20_000)] + [(2, i, ROLES[i % 4], f"b{i}") for i in range(20_000)]
     check(spark, rows)
+
+
+def test_long_turns(spark):
+    """Reading 16,000 turns of 300 characters takes seconds, not minutes."""
+    import time
+
+    rows = [(1, i, ROLES[i % 2], f"{i} " + "é🙂x" * 100) for i in range(16_000)]
+    df = format_chats(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)).cache()
+    df.count()
+    start = time.time()
+    got = read_chats(df).head()
+    assert time.time() - start < 20
+    assert got["loss_text"] == "".join(t for _, _, r, t in rows if r == "assistant") and len(got["turns"]) == 16_000

@@ -120,3 +120,23 @@ def test_added_spans_on_planted_data(spark):
 def test_many_matches_in_one_text(spark):
     texts = ["1.2.3.4 " * 2_000]
     assert spans(spark, texts)[0]["b"] == base(texts[0])
+
+
+def test_very_long_spans(spark):
+    """Dots without number and runs of a million letters: in proportion to the text, without a stack that overflows."""
+    import time
+
+    dotted, letters = "a." * 500_000 + "a@b.com", "x" * 1_000_000 + " me@site.org"
+    hosts, run = "q@" + "h-1." * 250_000 + "org", "b" * 1_000_000 + "@c.net"
+    spans(spark, ["warm@up.com"])
+    start = time.time()
+    got = spans(spark, [dotted, letters, hosts, run])
+    assert time.time() - start < 60
+    assert [got[i]["b"] for i in range(4)] == [f"email:0:{len(dotted)}", f"email:1000001:{len(letters)}", f"email:0:{len(hosts)}", f"email:0:{len(run)}"]
+
+
+def test_strict_form(spark):
+    texts = ["a@b.com", "a.b@c-d.org", ".a@b.com", "a..b@c.com", "a@-b.com", "a@b-.com", "a@b--c.com", "a [at] b [dot] com", "a@b.c", "a@b.c1", "a_%+-@x.yz", "a@b.com.", "a@b..com", "a.@b.com"]
+    want = [True, True, False, False, False, False, True, True, False, False, True, False, False, False]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("f", F.col("t").rlike(p.FORM["email"])).collect()
+    assert [r["f"] for r in sorted(rows)] == want

@@ -86,3 +86,9 @@ def test_query_columns(spark, tmp_path, docs):
 def test_empty_and_null(none, nulls):
     assert placed(none.select("doc_id", "text")) == []
     assert len(placed(nulls.select("doc_id", "text"))) == 3
+
+
+def test_names_in_another_case(spark):
+    df = spark.range(50).selectExpr("id AS doc_id", "'x' AS Shard", "1 AS SLOT")
+    out = s.assign(df, df["doc_id"], [df["doc_id"]], shards=3)
+    assert out.columns == ["doc_id", "shard", "slot"] and out.select("shard").distinct().count() == 3

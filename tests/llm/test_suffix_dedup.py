@@ -54,3 +54,11 @@ def test_merge_keeps_order_and_prefixes():
 @pytest.mark.parametrize("a,b,start,n", [(b"", b"", 0, 0), (b"x" * 40 + b"a", b"x" * 40 + b"b", 0, 40), (b"abc", b"abcd", 1, 3)])
 def test_common(a, b, start, n):
     assert suffix_dedup.common(a, b, start) == n
+
+
+def test_least_id_is_no_null(spark):
+    repeated = hashlib.sha512(b"x").hexdigest() * 2 + hashlib.sha512(b"y").hexdigest()
+    repeated = repeated[:300]
+    rows = [(-(1 << 63), "p" + repeated, 1), (None, "q" + repeated, 2), (None, "alone", 3), (0, "r" + repeated, 4), (0, "alone two", 5)]
+    got = suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string, ID int")).collect()
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"]) for r in got) == sorted([(str(-(1 << 63)), 301, 300), ("None", 301, 300), ("None", 5, 0), ("0", 301, 300), ("0", 9, 0)])

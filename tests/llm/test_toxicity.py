@@ -115,3 +115,9 @@ def test_repeated_ids_and_odd_columns(spark, corpus):
     both = docs.unionByName(more).select("*", *[F.lit("x").alias(c) for c in ("toxic", "words", "mark", "first")])
     a, b = ({(r["doc_id"], r["text"]): r["score"] for r in t.toxicity(x, labels).collect()} for x in (both, both.repartition(7)))
     assert a == b and len(a) == 611
+
+
+def test_score_in_another_case(spark):
+    docs = spark.createDataFrame([(1, "some words", 5.0)], "doc_id long, text string, Score double")
+    out = t.toxicity(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert out.columns == ["doc_id", "text", "score"] and 0 <= out.select("score").head()[0] <= 1

@@ -58,3 +58,13 @@ def test_cut_archive():
         list(w.frames(data[:-3]))
     with pytest.raises(w.WarcError):
         list(w.frames(data[:20]))
+
+
+def test_cut_skippable_frame():
+    import struct
+
+    whole = w.archive_bytes([b"one record"])
+    inner = whole + struct.pack("<II", 0x184D2A51, 4) + b"abcd"
+    assert list(w.frames(inner)) == [b"one record"]
+    with pytest.raises(w.WarcError):
+        list(w.frames(inner[:-1]))
