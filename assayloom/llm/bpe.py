@@ -18,9 +18,9 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,9 @@ from assayloom.llm.common import short_batches
 #: normal forms, letters and digits are the same in every version of Unicode.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
 #: Half of the pieces that a task keeps with their ids, and the longest of them.
-KEPT, KEPT_CHARS = 200_000, 64
+KEPT, KEPT_CHARS = 300_000, 64
+#: ASCII characters outside PLAIN.
+BARE = [chr(c) for c in (*range(9), 11, 12, *range(14, 32), 127)]
 NEVER = 1 << 62
 BITS = 4
 FAN = 1 << BITS
@@ -41,18 +43,19 @@ FAN = 1 << BITS
 
 def merged(symbols: list[int], pairs: dict[tuple[int, int], int], made: list[int]) -> list[int]:
     """The symbols after all merges. pairs: (left, right) -> rank << 32; made: rank -> merged symbol. The lowest rank goes
-    first, of equal ranks the leftmost. A node of the tree is the least of FAN below it, so short pieces have a root alone."""
+    first, of equal ranks the leftmost. A node of the tree is the least of FAN below it; up to FAN
+    pairs have a root alone."""
     n, rank_of = len(symbols), pairs.get
     if n < 2:
         return symbols
     leaves = [rank_of(pair, NEVER) | i for i, pair in enumerate(zip(symbols, symbols[1:], strict=False))]
-    tree, level = [leaves], leaves
-    while len(level) > 1:
+    tree, level, alone = [leaves], leaves, n - 1 <= FAN
+    while len(level) > 1 and not alone:
         level = [min(level[at : at + FAN]) for at in range(0, len(level), FAN)]
         tree.append(level)
     top = tree[-1]
     after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-    while (root := top[0]) < NEVER:
+    while (root := min(leaves) if alone else top[0]) < NEVER:
         i = root & 0xFFFFFFFF
         j = after[i]
         k, h, new = after[j], before[i], made[root >> 32]
@@ -64,13 +67,11 @@ def merged(symbols: list[int], pairs: dict[tuple[int, int], int], made: list[int
             before[k] = i
             leaves[i] = rank_of((new, symbols[k]), NEVER) | i
             leaves[j] = NEVER
-        parents = {i >> BITS, j >> BITS} if j < n - 1 else {i >> BITS}
         if h >= 0:
             leaves[h] = rank_of((symbols[h], new), NEVER) | h
-            parents.add(h >> BITS)
-        if len(tree) == 1:  # two symbols have become one
-            break
-        for at in parents:
+        if alone:
+            continue
+        for at in {x >> BITS for x in (i, j, h) if 0 <= x < n - 1}:
             below = leaves
             for level in tree[1:]:
                 least = min(below[at << BITS : at + 1 << BITS])
@@ -89,15 +90,15 @@ def byte_letters() -> list[str]:
 
 
 class Pieces(dict):
-    """Piece -> its ids, found when first asked for. Once it is full it becomes the old half, from which what is asked for
+    """Piece -> its ids as 32-bit bytes, found when first asked for. Once it is full it becomes the old half, from which what is asked for
     again moves over; the old half before it goes."""
 
     def __init__(self, find) -> None:  # noqa: ANN001
         super().__init__()
         self.find = find
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
             ids = self.find(piece)
@@ -156,35 +157,33 @@ class Bpe:
         pattern = regex.compile(cut[0]["pattern"]["Regex"])
         return pattern if own["pattern"] == {"Regex": r"\s+"} and own["content"] == " " and not pattern.search(" \t\n\r") else None
 
-    def _of_letters(self, piece: str) -> tuple[int, ...]:
+    def _of_letters(self, piece: str) -> bytes:
         whole = self.vocabulary.get
         symbols = [*map(whole, piece[:-1]), whole(piece[-1:] + self.suffix)] if piece else []
         if None in symbols:
             symbols = [s for s in symbols if s is not None]
-        return tuple(merged(symbols, self.pairs, self.made))
+        return array("i", merged(symbols, self.pairs, self.made)).tobytes()
 
-    def _of_piece(self, piece: str) -> tuple[int, ...]:
+    def _of_piece(self, piece: str) -> bytes:
         return self._of_letters(piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters))
 
-    def _of_chunk(self, chunk: str) -> tuple[int, ...]:
+    def _of_chunk(self, chunk: str) -> bytes:
         """Of a lower-case run of plain characters without white space."""
         found = self.pattern.findall(chunk)
-        return self._of_piece(chunk) if found == [chunk] else tuple(chain.from_iterable(map(self.by_piece.__getitem__, found)))
+        return self._of_piece(chunk) if found == [chunk] else b"".join(map(self.by_piece.__getitem__, found))
 
-    def _ids(self, text: str) -> list[int]:
-        if self.pattern is not None and (text.isascii() or not PLAIN.search(text)) and "\x7f" not in text and not any(c in text for c in "\x0b\x0c\x1c\x1d\x1e\x1f"):
-            return [*chain.from_iterable(map(self.by_chunk.__getitem__, text.lower().split()))]
+    def _ids(self, text: str) -> bytes:
+        if self.pattern is not None and (text.isascii() or not PLAIN.search(text)) and not any(c in text for c in BARE):
+            return b"".join(map(self.by_chunk.__getitem__, text.lower().split()))
         normal = self.normalizer.normalize_str(text) if self.normalizer else text
         cut = [p for p, _ in self.pre_tokenizer.pre_tokenize_str(normal)] if self.pre_tokenizer else [normal]
-        return [*chain.from_iterable(map(self.by_letters.__getitem__, cut))]
+        return b"".join(map(self.by_letters.__getitem__, cut))
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if self.split_added is None or not any(t in text for t in self.added):
-            return self._ids(text)
-        out: list[int] = []
-        for part in self.split_added.split(text):
-            out += [self.added[part]] if part in self.added else self._ids(part)
-        return out
+            return np.frombuffer(self._ids(text), np.int32)
+        parts = [array("i", [self.added[p]]).tobytes() if p in self.added else self._ids(p) for p in self.split_added.split(text)]
+        return np.frombuffer(b"".join(parts), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         """The names of the known ids through the file's decoder; without one, joined by a space."""
@@ -208,7 +207,7 @@ def encoded(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = bpe(tokenizer)
         for b in batches:
-            lists = [np.array(own.encode(x.as_py()), np.int32) for x in b.column("text")]
+            lists = [own.encode(x) for x in b.column("text").to_pylist()]
             ends = np.cumsum([0, *map(len, lists)])
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *lists])))
             yield pa.RecordBatch.from_arrays([b.column("row"), ids], names=["row", "ids"])
