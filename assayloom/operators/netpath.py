@@ -56,9 +56,9 @@ def summed(rows: DataFrame, work) -> np.ndarray:  # noqa: ANN001
     return parts.treeReduce(np.add) if parts.getNumPartitions() > TREE else parts.reduce(np.add)
 
 
-def packed(vectors: DataFrame, label: str, folds: int, inner: int, seed: int) -> Strips:
+def packed(vectors: DataFrame, label: str, folds: int, inner: int, seed: int, balanced: bool = True) -> Strips:
     """Strips of vectors (sample, label 0/1, features) with outer folds 1..folds by class (0 folds: none held out) and inner
-    ones 1..inner by a hash."""
+    ones 1..inner by a hash. `balanced`: both classes weigh the same, else every row does."""
     from pyspark.ml.functions import vector_to_array
 
     from assayloom.operators.prediction import stratified_folds
@@ -102,7 +102,7 @@ def packed(vectors: DataFrame, label: str, folds: int, inner: int, seed: int) ->
         var = (s[width:] - size * m * m) / max(size - 1, 1)
         mean.append(m)
         scale.append(np.where(var > 1e-24, np.sqrt(np.maximum(var, 0)), 1.0))
-        weight.append(np.where(own > 0, 0.5 * size / np.maximum(own, 1), 1.0))
+        weight.append(np.where((own > 0) & balanced, 0.5 * size / np.maximum(own, 1), 1.0))
         by_inner = (n[kept] * weight[-1]).sum((0, 2))
         total.append([by_inner.sum(), *(by_inner.sum() - by_inner[1:])])
         turn = np.zeros((1 + width, 1 + width))
@@ -187,8 +187,8 @@ class Paths:
 
 
 def paths(s: Strips, alphas: list[float], strengths: int | list[float], inner: int, least: float = 1e-3, moves: int = 3) -> Paths:
-    """Every mixing's path in every outer fold, judged by the inner folds. strengths: how many, from the one that leaves no
-    weight down to `least` of it by equal factors; or the strengths themselves."""
+    """Every mixing's path in every outer fold, judged by the inner folds. strengths: how many, by equal factors
+    from below the one that leaves no weight down to `least` of it; or the strengths themselves."""
     alpha = np.repeat(np.array(alphas, float), inner)
     held = np.tile(np.arange(1, inner + 1), len(alphas))
     per = s.total[:, held]
@@ -197,7 +197,7 @@ def paths(s: Strips, alphas: list[float], strengths: int | list[float], inner: i
     if isinstance(strengths, int):
         g0, _ = one_pass(s, np.zeros((len(s.outers), 1 + s.width, 1)), np.zeros(1, int))
         top = np.abs(g0[:, 1:, 0]).max(1) / s.total[:, 0]
-        grid = top[:, None, None] / np.maximum(np.array(alphas), 1e-3)[None, :, None] * np.geomspace(1, least, strengths)
+        grid = top[:, None, None] / np.maximum(np.array(alphas), 1e-3)[None, :, None] * np.geomspace(1, least, strengths + 1)[1:]
     else:
         grid = np.broadcast_to(np.array(sorted(strengths, reverse=True)), (len(s.outers), len(alphas), len(strengths)))
     mean, error, best, near = [], [], np.full((len(s.outers), len(alphas)), -1.0), np.zeros((len(s.outers), len(alphas), 1 + s.width))
@@ -283,14 +283,14 @@ def nested(vectors: DataFrame, label: str, alphas: list[float], strengths: int |
     return rows.mapInPandas(score, f"sample {kinds['sample']}, {label} {kinds[label]}, fold int, score double"), weights, chosen
 
 
-def one_error(vectors: DataFrame, label: str, alpha: float, strengths: int | list[float] = 30, inner: int = 5, seed: int = 42) -> tuple[float, np.ndarray, float]:
-    """The strongest strength whose mean area is within one standard error of the best, and the model of all rows there:
-    (strength, weights, intercept) in the vectors' own units."""
-    s = packed(vectors, label, 0, inner, seed)
+def one_error(vectors: DataFrame, label: str, alpha: float, strengths: int | list[float] = 30, inner: int = 5, seed: int = 42, errors: float = 1.0, balanced: bool = True) -> tuple[float, np.ndarray, float]:
+    """The strongest strength whose mean area is within `errors` standard errors of the best (0: the best itself), and the
+    model of all rows there: (strength, weights, intercept) in the vectors' own units."""
+    s = packed(vectors, label, 0, inner, seed, balanced)
     found = paths(s, [alpha], strengths, inner)
     auc, error = found.auc[0, 0], found.error[0, 0]
     best = int(np.argmax(auc))
-    at = int(np.argmax(auc >= auc[best] - error[best]))
+    at = int(np.argmax(auc >= auc[best] - errors * error[best]))
     w = settled_models(s, np.array([alpha]), found.strength[:, 0, at], found.near[:, 0])[0]
     own = w[1:] / s.scale[0]
     return float(found.strength[0, 0, at]), own, float(w[0] - own @ s.mean[0])

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayloom.functions.stats import inverse_normal
-from assayloom.operators import association, genetics, identity, normalize, pca, prediction, qc
+from assayloom.operators import association, genetics, identity, normalize, pca, prediction, qc, variants
 from assayloom.sources import tables
 
 Tables = dict[str, DataFrame]
@@ -52,28 +52,20 @@ def label_check(t: Tables, s: tables.Settings) -> Tables:
     """Samples whose recorded label (labels: sample, label 0/1 or null) the out-of-fold elastic net contradicts."""
     known = t["labels"].filter("label IS NOT NULL").select("sample", "label")
     vectors = prediction.complete_vectors(t["long"]).join(known, "sample")
-    scored = genetics.settled(prediction.elastic_net_cv(vectors, "label", list(s.alphas), list(s.strengths), s.folds))
+    scored = genetics.settled(prediction.elastic_net_cv(vectors, "label", list(s.alphas), s.strengths if isinstance(s.strengths, int) else list(s.strengths), s.folds, s.inner_folds))
     out = prediction.mismatch(scored, "score", "label", prediction.youden(scored).head()["threshold"])
     return {"label_stats": out, "label": out.filter("outlier").select("sample")}
 
 
-def _moved(long: DataFrame, errors: DataFrame) -> DataFrame:
-    """Measurements under the samples that errors (sample, source) give them to."""
-    to = errors.select(F.col("source").alias("sample"), F.col("sample").alias("_to"))
-    return long.join(to, "sample").drop("sample").withColumnRenamed("_to", "sample")
-
-
 def _consistency(long: DataFrame, genotypes: DataFrame) -> DataFrame:
     return genetics.genotype_sample_stats(genetics.genotype_z(long.join(genotypes, ["sample", "feature"])))
 
 
 def training(t: Tables, s: tables.Settings) -> Tables:
-    """How many sd the genotype cut-off lies over the mean, from samples whose measurements were passed round (training:
-    sample, feature, variant, dosage, beta)."""
-    people = t["long"].join(t["training"], ["sample", "feature"]).select("sample").distinct().withColumn("label", F.lit(0))
-    errors = genetics.settled(prediction.inject_errors(people, s.injected).filter("category < 2"))
-    stats = _consistency(_moved(t["long"], errors), t["training"]).join(errors.select("sample", F.col("category").alias("label")), "sample")
-    return {"trained": prediction.trained_k(genetics.settled(stats.filter("mean_abs_z IS NOT NULL")), "mean_abs_z", "label")}
+    """Variants that cohorts of passed-round measurements choose, and how many sd the genotype cut-off lies over the mean
+    (training: sample, feature, variant, dosage, beta)."""
+    chosen, cuts = variants.trained_variants(t["long"], t["training"], s.injected, s.cohorts, s.folds, s.variant_frequency)
+    return {"variants": chosen, "trained": cuts}
 
 
 def _cut(t: Tables) -> float:
@@ -82,9 +74,16 @@ def _cut(t: Tables) -> float:
     return k if k is not None and k > 0 else 4.0
 
 
+def _agreed(t: Tables) -> DataFrame:
+    """The genotypes of the variants that training agreed on; of all where there was none or it chose none."""
+    if "variants" not in t or t["variants"].isEmpty():
+        return t["genotypes"]
+    return t["genotypes"].join(t["variants"].select("variant"), "variant", "left_semi")
+
+
 def genotype(t: Tables, s: tables.Settings) -> Tables:
     """Samples whose values don't go with their dosages (genotypes: sample, feature, variant, dosage, beta)."""
-    out = genetics.genotype_flags(_consistency(t["long"], t["genotypes"]), _cut(t))
+    out = genetics.genotype_flags(_consistency(t["long"], _agreed(t)), _cut(t))
     return {"genotype_stats": out, "genotype": out.filter("is_outlier").select("sample")}
 
 
@@ -93,7 +92,7 @@ def provenance(t: Tables, s: tables.Settings) -> Tables:
     category 0 gives the false alarms."""
     people = t["label_stats"].select("sample", "label")
     errors = genetics.settled(prediction.inject_errors(people, s.injected))
-    by_value = genetics.genotype_flags(_consistency(_moved(t["long"], errors), t["genotypes"]), _cut(t)).filter("is_outlier").select("sample")
+    by_value = genetics.genotype_flags(_consistency(variants.moved(t["long"], errors), _agreed(t)), _cut(t)).filter("is_outlier").select("sample")
     scores = t["label_stats"].select(F.col("sample").alias("source"), "score")
     by_label = errors.join(scores, "source").filter((F.col("score") >= 0.5).cast("int") != F.col("new_label")).select("sample")
     return {"injected": errors, "provenance": prediction.detection_metrics(errors.select("sample", "category"), by_value.unionByName(by_label))}
@@ -162,7 +161,7 @@ STEPS: tuple[tuple[str, Step], ...] = (
     ("training", training), ("genotype", genotype), ("provenance", provenance), ("flags", flags), ("scale", scale), ("bridge", bridge), ("agreement", agreement), ("covariates", adjust), ("people", people), ("kinship", kinship), ("ranks", ranks),
 )
 #: Tables that several later steps read: computed once, in the session's checkpoint folder.
-SETTLED = {"long", "pca", "technical", "zscore", "label", "trained", "genotype", "clean", "normal", "persons", "related"}
+SETTLED = {"long", "pca", "technical", "zscore", "label", "trained", "variants", "genotype", "clean", "normal", "persons", "related"}
 #: Steps that run only where the tables are given.
 NEEDS = {
     "label": ("labels",), "training": ("training",), "genotype": ("genotypes",), "provenance": ("genotypes", "labels"), "bridge": ("reference",),

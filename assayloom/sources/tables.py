@@ -30,8 +30,11 @@ class Settings:
     least_bridges: int = 10
     kinship: float = 0.0884
     alphas: tuple[float, ...] = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
-    strengths: tuple[float, ...] = (0.001, 0.01, 0.1)
+    strengths: int | tuple[float, ...] = 30
     folds: int = 5
+    inner_folds: int = 5
+    cohorts: int = 5
+    variant_frequency: float = 0.5
     injected: int = 50
     extra: dict = field(default_factory=dict)
 

@@ -63,7 +63,7 @@ def test_all_steps(spark):
             "edges": make([("p2", "p4", 0.25), ("p2", "p6", 0.25), ("p10", "p12", 0.01)], "id1 string, id2 string, kinship double"),
         }
 
-    plan = StudyPlan(Settings.of({"alphas": (0.5,), "strengths": (0.01,), "folds": 2, "injected": 3}))
+    plan = StudyPlan(Settings.of({"alphas": (0.5,), "strengths": (0.1,), "folds": 2, "inner_folds": 2, "injected": 3, "cohorts": 2}))
     given = one("a", 0.0)
     labels = spark.createDataFrame([(f"a{i}", i % 2 if i != 9 else 0) for i in range(23)] + [("a23", None), ("gone", 1)], "sample string, label int")
     t = plan.run(given | {"labels": labels, "training": given["genotypes"]}, last="flags")
