@@ -150,9 +150,7 @@ def greedy_unrelated(edges: DataFrame, missing: DataFrame, group_edges: int = 20
     spark, kind = edges.sparkSession, dict(edges.dtypes)["id1"]
     both = edges.select(F.col("id1").alias("a"), F.col("id2").alias("b")).filter("a <> b")
     both = settled(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    facts = missing.groupBy("id").agg(F.max(F.coalesce(F.col("missing_rate").cast("double"), F.lit(-1.0))).alias("m"), F.min("ordinal").cast("double").alias("o"))
-    far = F.lit(float("inf"))
-    facts = settled(facts.select(F.col("id").alias("a"), "m", F.coalesce("o", far).alias("o")))
+    facts = settled(missing.groupBy(F.col("id").alias("a")).agg(F.max(F.coalesce(F.col("missing_rate").cast("double"), F.lit(-1.0))).alias("m"), F.min("ordinal").alias("o")))
     gone = spark.createDataFrame([], f"id {kind}")
 
     def prune(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -160,10 +158,11 @@ def greedy_unrelated(edges: DataFrame, missing: DataFrame, group_edges: int = 20
         known: dict = {}
         for a, b, m, o in pdf[["a", "b", "m", "o"]].itertuples(index=False):
             near.setdefault(a, set()).add(b)
-            known[a] = (-1.0, float("inf")) if m != m else (m, o)
+            unknown = o is None or o != o
+            known[a] = (1.0 if m is None or m != m else -m, unknown, 0 if unknown else o)
         out = []
         while any(near.values()):
-            worst = min(near, key=lambda x: (-len(near[x]), -known[x][0], known[x][1], x))
+            worst = min(near, key=lambda x: (-len(near[x]), *known[x], x))
             out.append(worst)
             for y in near.pop(worst):
                 near[y].discard(worst)
@@ -180,10 +179,10 @@ def greedy_unrelated(edges: DataFrame, missing: DataFrame, group_edges: int = 20
             gone = settled(gone.unionByName(groups.groupBy("component").applyInPandas(prune, f"id {kind}")))
             both = settled(both.join(few, "a", "left_anti"))
             continue
-        rank = both.groupBy("a").agg(F.count("*").alias("d")).join(facts, "a", "left").select("a", F.struct("d", F.coalesce("m", F.lit(-1.0)).alias("m"), (-F.coalesce("o", far)).alias("o")).alias("r"))
-        # after degree, rate and ordinal the lesser id goes first
-        sides = both.join(rank, "a").join(rank.select(F.col("a").alias("b"), F.col("r").alias("q")), "b")
-        beaten = (F.col("q") > F.col("r")) | ((F.col("q") == F.col("r")) & (F.col("b") < F.col("a")))
+        high, low = F.struct("d", F.coalesce("m", F.lit(-1.0)).alias("m")), F.struct(F.col("o").isNull().alias("u"), "o", "a")
+        rank = both.groupBy("a").agg(F.count("*").alias("d")).join(facts, "a", "left").select("a", high.alias("high"), low.alias("low"))
+        sides = both.join(rank, "a").join(rank.select(F.col("a").alias("b"), F.col("high").alias("high_b"), F.col("low").alias("low_b")), "b")
+        beaten = (F.col("high_b") > F.col("high")) | ((F.col("high_b") == F.col("high")) & (F.col("low_b") < F.col("low")))
         first = settled(sides.groupBy("a").agg(F.max(beaten).alias("beaten")).filter("NOT beaten").select(F.col("a").alias("id")))
         gone = settled(gone.unionByName(first))
         both = settled(both.join(first, both["a"] == first["id"], "left_anti").join(first, F.col("b") == first["id"], "left_anti"))

@@ -347,6 +347,24 @@ def trained_k(scored: DataFrame, value: str, label: str) -> DataFrame:
     return out.select(F.try_divide(F.col("_c") - F.col("_m"), "_s").alias("k"), F.try_divide(F.col("_c") - F.col("median"), "mad").alias("k_mad"))
 
 
+def model_importance(vectors: DataFrame, label: str, kind: str, top: int = 20, trees: int = 300, seed: int = 42) -> DataFrame:
+    """feature (place in the vector), weight, size of a model of all rows, the `top` largest: of an elastic net ("enet", "ridge",
+    "lasso") its coefficients, of a "forest" or "boost" the share of the splits' gain."""
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+
+    from assayloom.operators.netpath import one_error
+
+    mixing = {"enet": 0.5, "ridge": 0.0, "lasso": 1.0}
+    if kind in mixing:
+        found = one_error(vectors, label, mixing[kind], seed=seed)[1]
+    else:
+        models = {"forest": lambda: RandomForestClassifier(labelCol=label, numTrees=trees, featureSubsetStrategy="sqrt", seed=seed), "boost": lambda: GBTClassifier(labelCol=label, maxDepth=4, maxIter=100, stepSize=0.05, subsamplingRate=0.7, seed=seed)}
+        if kind not in models:
+            raise ValueError(f"no importances for {kind}; there are {', '.join([*mixing, *models])}")
+        found = models[kind]().fit(vectors.filter(F.col(label).isNotNull())).featureImportances.toArray()
+    return importance(vectors.sparkSession.createDataFrame([(i, float(w)) for i, w in enumerate(found)], "feature int, weight double"), top)
+
+
 def importance(weights: DataFrame, top: int = 20) -> DataFrame:
     """The `top` rows of (feature, weight) by size."""
     return weights.withColumn("size", F.abs("weight")).orderBy(F.desc("size"), "feature").limit(top)

@@ -140,10 +140,13 @@ def shapiro(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rounded(h.shapiro_w(matrix(spark, sf_dir), "value", "feature"), "w"), "p", digits=5)
 
 
-@query(None)
+@query(f"""WITH r AS (SELECT c_custkey % 4 AS category, c_acctbal AS v FROM customer), k AS (SELECT unnest([1, 2, 3])::BIGINT AS a),
+    x AS (SELECT a, category, rank() OVER (PARTITION BY a ORDER BY v) + (count(*) OVER (PARTITION BY a, v) - 1) / 2.0::DOUBLE AS rk FROM k JOIN r ON category = 0 OR category = a),
+    s AS (SELECT a, count(*) FILTER (category <> 0)::DOUBLE AS n, count(*) FILTER (category = 0)::DOUBLE AS m, sum(rk) FILTER (category <> 0) AS s FROM x GROUP BY a), z AS (SELECT a, n, (s - n * (n + 1) / 2 - n * m / 2) / sqrt(n * m * (n + m + 1) / 12) AS z FROM s), w AS (SELECT *, abs(z) AS az FROM z)
+    SELECT a AS category, n::BIGINT AS n, round(z, 6) AS z, round(2 * (1 - ({h.normal_cdf_sql("az")})), 5) AS p FROM w""")
 def error_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 4).alias("category"), "c_acctbal")
-    return h.error_shift(c, "c_acctbal", "category")
+    return rounded(rounded(h.error_shift(c, "c_acctbal", "category"), "z"), "p", digits=5)
 
 
 @query(f"""WITH {M}, s AS (SELECT sample, count(*) FILTER (abs(value) > 0.25) AS hits, max(abs(value)) AS top FROM m GROUP BY 1)
@@ -161,3 +164,33 @@ def cohort_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.withColumn("running", F.sum("n").over(Window.partitionBy("segment").orderBy("month")))
 
 
+
+
+def halves(spark: SparkSession, sf_dir: str):  # noqa: ANN201
+    """The matrix as two batches of one population: even vectors in A, odd ones in B shifted and stretched by feature; every
+    tenth vector of A has a noisy copy in B (its bridge), and every tenth from the fifth on one in A (its replicate)."""
+    from assayloom.operators.kpi import Batches
+
+    m = matrix(spark, sf_dir).select("sample", "feature", "value", F.when(F.col("grp") < 5, 1).otherwise(0).alias("label"))
+    wobble = lambda seed: (F.pmod(F.xxhash64("sample", "feature", F.lit(seed)), F.lit(2001)) / 1000.0 - 1.0) * 0.02
+    copy = lambda at, batch, seed: m.filter(f"sample % 20 = {at}").select(F.lit(batch).alias("batch"), (F.col("sample") + 10_000_000 * (seed + 1)).alias("sample"), "feature", (F.col("value") + wobble(seed)).alias("value"), "label")
+    own = m.select(F.when(F.col("sample") % 2 == 0, "A").otherwise("B").alias("batch"), "sample", "feature", "value", "label")
+    rows = own.unionByName(copy(0, "B", 0)).unionByName(copy(10, "A", 1))
+    shift = F.when(F.col("batch") == "B", F.col("value") * (1 + F.col("feature") % 3 * 0.1) + 0.05 * (F.col("feature") % 5 - 1)).otherwise(F.col("value"))
+    before = rows.withColumn("value", shift).drop("label")
+    # the bridges' median gap of each feature is taken out of B
+    bridges = m.filter("sample % 20 = 0").select("sample").distinct().select(F.col("sample").cast("string").alias("person"), F.col("sample").alias("first"), (F.col("sample") + 10_000_000).alias("second"))
+    from assayloom.operators.kpi import sides
+
+    gaps = sides(before, bridges, "feature", "value").groupBy("feature").agg(F.median(F.col("x") - F.col("y")).alias("_gap"))
+    after = before.join(gaps, "feature").withColumn("value", F.when(F.col("batch") == "B", F.col("value") + F.col("_gap")).otherwise(F.col("value"))).drop("_gap")
+    replicates = m.filter("sample % 20 = 10").select("sample").distinct().select(F.col("sample").alias("first"), (F.col("sample") + 20_000_000).alias("second"))
+    return Batches(before, after, bridges, replicates, rows.select("sample", "label").distinct(), "A", "B")
+
+
+@query(None)
+def alignment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All measures of the KPI table, none given."""
+    from assayloom.operators import kpi
+
+    return rounded(kpi.alignment_report(halves(spark, sf_dir)), "pre", "post")

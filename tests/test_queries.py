@@ -5,11 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from assayloom.plans import alignment, harmony, people, quality, registry, relations, reports, tables  # noqa: F401
+from assayloom.plans import alignment, harmony, inputs, models, people, quality, registry, relations, reports, tables  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"enet_cv", "model_zoo"}
+SLOW = {"enet_cv", "model_zoo", "net_importance"}
 
 
 @pytest.fixture(scope="module")
