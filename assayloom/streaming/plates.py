@@ -19,10 +19,10 @@ def frozen_limits(plates: DataFrame, value: str = "mean_value", k: float = 5.0)
     return r["median"] - k * r["mad"], r["median"] + k * r["mad"]
 
 
-def plate_windows(stream: DataFrame, limits: tuple[float, float], at: str = "ts", window: str = "1 hour", late: str = "2 hours") -> DataFrame:
+def plate_windows(stream: DataFrame, limits: tuple[float, float], at: str = "ts", window: str = "1 hour", late: str | None = "2 hours") -> DataFrame:
     """plate, start, end, n, mean_value, outlier of a stream (ts, plate, value): rows later than the watermark are left out,
-    and a window's row comes once it is closed."""
-    means = stream.withWatermark(at, late).groupBy(F.window(at, window), "plate").agg(F.count("value").alias("n"), F.avg("value").alias("mean_value"))
+    and a window's row comes once it is closed. late: None where the stream has its watermark already."""
+    means = (stream if late is None else stream.withWatermark(at, late)).groupBy(F.window(at, window), "plate").agg(F.count("value").alias("n"), F.avg("value").alias("mean_value"))
     outside = (F.col("mean_value") < limits[0]) | (F.col("mean_value") > limits[1])
     return means.select("plate", F.col("window.start").alias("start"), F.col("window.end").alias("end"), "n", "mean_value", outside.alias("outlier"))
 
@@ -36,10 +36,10 @@ def measured_once(stream: DataFrame, keys: tuple[str, ...] = ("plate", "sample")
 PROGRESS = "plate string, n long, mean_value double, outlier boolean, closed boolean"
 
 
-def plate_progress(stream: DataFrame, limits: tuple[float, float], gap: str = "1 hour", at: str = "ts", late: str = "2 hours") -> DataFrame:
+def plate_progress(stream: DataFrame, limits: tuple[float, float], gap: str = "1 hour", at: str = "ts", late: str | None = "2 hours") -> DataFrame:
     """PROGRESS rows of a stream (ts, plate, value): a plate's count and mean so far whenever it gets values, and once more,
     closed, when the watermark is `gap` past its last value; its state is dropped then. Rows behind the watermark are left
-    out, null values aren't counted."""
+    out, null values aren't counted. late: None where the stream has its watermark already."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     wait = int(pd.Timedelta(gap).total_seconds() * 1000)
@@ -63,20 +63,10 @@ def plate_progress(stream: DataFrame, limits: tuple[float, float], gap: str = "1
         state.setTimeoutTimestamp(max(last + wait, state.getCurrentWatermarkMs() + 1))
         yield row(key[0], n, total, False)
 
-    rows = stream.withWatermark(at, late).select("plate", at, F.col("value").cast("double").alias("value"))
-    return rows.groupBy("plate").applyInPandasWithState(update, PROGRESS, "n long, total double, last long", "update", GroupStateTimeout.EventTimeTimeout)
+    rows = (stream if late is None else stream.withWatermark(at, late)).select("plate", at, F.col("value").cast("double").alias("value"))
+    return rows.groupBy("plate").applyInPandasWithState(update, PROGRESS, "n long, total double, last long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def follow(stream: DataFrame, target: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Write what has come in to Parquet files and stop; the next call with the same checkpoint goes on where this one was.
-
-    Rows of `mode` "update" carry the batch that they came in as `batch`, so that the latest of a plate can be told.
-    """
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if mode == "append":
-        return writer.outputMode("append").format("parquet").option("path", target).start()
-
-    def write(df: DataFrame, batch: int) -> None:
-        df.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{target}/part={batch}")
-
-    return writer.outputMode(mode).foreachBatch(write).start()
+def follow(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Write what has come in to Parquet files and stop; the next call with the same checkpoint goes on where this one was."""
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode("append").format("parquet").option("path", target).start()

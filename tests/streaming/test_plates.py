@@ -27,11 +27,11 @@ LATE = [(at(1, 1), "a", "late", 1000.0), (at(12, 0), "c", "c2", 11.0)]  # behind
 def feed(spark, tmp_path):
     """Writes files one after another and follows them, a new stream from the same checkpoint each time."""
 
-    def send(transform, mode="append"):
+    def send(transform):
         def one(n, data):
             rows(spark, data).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
             stream = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
-            q = plates.follow(transform(stream), f"{tmp_path}/out", f"{tmp_path}/checkpoint", mode)
+            q = plates.follow(transform(stream), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
             assert q.awaitTermination(120)
 
         for n, data in enumerate((FIRST, AGAIN + SECOND, LATE)):
@@ -44,7 +44,7 @@ def feed(spark, tmp_path):
 def test_windows_after_restarts(spark, feed):
     def transform(stream):
         once = plates.measured_once(stream, late="2 hours")
-        return plates.plate_windows(once, LIMITS, late="2 hours")
+        return plates.plate_windows(once, LIMITS, late=None)
 
     got = {(r["plate"], r["start"].hour): (r["n"], r["mean_value"], r["outlier"]) for r in feed(transform).collect()}
     batch = rows(spark, FIRST + SECOND + LATE[1:]).dropDuplicates(["plate", "sample"])
@@ -54,9 +54,9 @@ def test_windows_after_restarts(spark, feed):
 
 
 def test_progress_after_restarts(spark, feed):
-    out = feed(lambda s: plates.plate_progress(plates.measured_once(s, late="2 hours"), LIMITS, "1 hour"), "update")
+    out = feed(lambda s: plates.plate_progress(plates.measured_once(s, late="2 hours"), LIMITS, "1 hour", late=None))
     last = {}
-    for r in sorted(out.collect(), key=lambda r: (r["batch"], r["closed"])):
+    for r in sorted(out.collect(), key=lambda r: (r["n"], r["closed"])):
         last[r["plate"]] = (r["n"], r["mean_value"], r["outlier"], r["closed"])
     assert last["a"] == (3, 10.0, False, True) and last["b"] == (4, 25.5, True, True)
     assert last["c"][0] == 2 or last["c"] == (1, 11.0, False, False)
