@@ -12,13 +12,18 @@ from pyspark.sql import functions as F
 
 def block_pairs(rows: DataFrame, work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, most: int = 2000) -> DataFrame:
     """`work` on every two blocks of `rows` (one row a sample), itself included: rows of the first against those of the second.
-    Samples are dealt into blocks of about `most` by a hash, and a task holds two blocks at any number of samples."""
+    Samples are dealt into blocks of about `most` by a hash, and a task holds two blocks at any number of samples. Two blocks
+    meet once and are worked on both ways there."""
     blocks = max(1, -(-rows.count() // most))
-    block = F.pmod(F.xxhash64("sample"), F.lit(blocks))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.select(*[F.col(c).alias(c) for c in rows.columns]).withColumn("_q", block.cast("int")).withColumn("_r", every)
-    right = rows.select(*[F.col(c).alias(c) for c in rows.columns]).withColumn("_r", block.cast("int")).withColumn("_q", every)
-    return left.groupBy("_q", "_r").cogroup(right.groupBy("_q", "_r")).applyInPandas(work, schema)
+    block = F.pmod(F.xxhash64("sample"), F.lit(blocks)).cast("int")
+    own = rows.select(*[F.col(c).alias(c) for c in rows.columns], block.alias("_b"))
+    left = own.withColumnRenamed("_b", "_q").withColumn("_r", F.explode(F.sequence(F.col("_q"), F.lit(blocks - 1))))
+    right = own.withColumnRenamed("_b", "_r").withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_r"))))
+
+    def both_ways(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return work(a, b) if key[0] == key[1] else pd.concat([work(a, b), work(b, a)])
+
+    return left.groupBy("_q", "_r").cogroup(right.groupBy("_q", "_r")).applyInPandas(both_ways, schema)
 
 
 def distances(a: pd.DataFrame, b: pd.DataFrame, columns: list[str]) -> np.ndarray:

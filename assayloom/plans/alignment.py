@@ -10,7 +10,7 @@ from assayloom.operators import association, robust
 from assayloom.operators import harmonisation as h
 from assayloom.operators.pca import pca
 from assayloom.plans.harmony import COV, PAIRS, SCAN, pairs, with_covariates
-from assayloom.plans.registry import M, correlation_p_sql, matrix, query, rounded, table
+from assayloom.plans.registry import M, correlation_p_sql, matrix, projections, projections_sql, query, rounded, table
 
 
 @query(f"""WITH {PAIRS}, r AS (SELECT feature, median(value) AS med FROM m GROUP BY 1), s AS (SELECT feature, 1.4826::DOUBLE * median(abs(value - med)) AS mad FROM m JOIN r USING (feature) GROUP BY 1)
@@ -43,11 +43,10 @@ def variance_decomposition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(h.variance_decomposition(rows, "a", "b"), "first_share", "second_share", "residual_share")
 
 
-@query(f"""WITH {M}, s AS (SELECT sample, max(value) FILTER (feature = 0) AS a, max(value) FILTER (feature = 1) AS b FROM m GROUP BY 1), c AS (SELECT median(a) AS ma, median(b) AS mb FROM s)
+@query(f"""WITH {M}, s AS (SELECT sample, {projections_sql("ab")} FROM m GROUP BY 1), c AS (SELECT median(a) AS ma, median(b) AS mb FROM s)
     SELECT sample, round(sqrt((a - ma) * (a - ma) + (b - mb) * (b - mb)), 6) AS distance FROM s, c""")
 def genetic_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = matrix(spark, sf_dir).groupBy("sample").agg(*[F.max(F.when(F.col("feature") == i, F.col("value"))).alias(c) for i, c in enumerate("ab")])
-    return rounded(h.genetic_distance(s, ["a", "b"]), "distance")
+    return rounded(h.genetic_distance(projections(matrix(spark, sf_dir), "ab"), ["a", "b"]), "distance")
 
 
 @query(f"""WITH {M}, r AS (SELECT sample, feature, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0::DOUBLE AS r FROM m),

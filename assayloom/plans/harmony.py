@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from assayloom.functions.stats import benjamini_hochberg, inverse_normal, qnorm_sql, r_squared_by
 from assayloom.operators import association as a
 from assayloom.operators import normalize as n
-from assayloom.plans.registry import M, matrix, query, rounded, table
+from assayloom.plans.registry import M, matrix, projections, projections_sql, query, rounded, table
 
 #: Two batches of users by event type: even users are in the first half of time alone, odd ones in the second, every fifth in both.
 BATCH = """b AS (SELECT CASE WHEN event_id < (SELECT max(event_id) FROM events) / 2 THEN 1 ELSE 2 END AS batch, user_id AS person, event_type AS feature, value FROM events),
@@ -225,13 +225,14 @@ def distribution_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(a.moments(matrix(spark, sf_dir), "value", "feature"), "mean", "sd", "skew", "kurt", "kurt_plain")
 
 
-@query(f"""WITH {M}, s AS (SELECT sample, grp % 2 AS g, max(value) FILTER (feature = 0) AS a, max(value) FILTER (feature = 1) AS b FROM m GROUP BY ALL),
+@query(f"""WITH {M}, s AS (SELECT sample, any_value(grp) % 2 AS g, {projections_sql("ab")} FROM m GROUP BY sample),
     d AS (SELECT p.sample AS s, p.g AS own, q.g AS other, avg(sqrt((p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b))) AS d FROM s p JOIN s q ON p.sample <> q.sample GROUP BY ALL),
     k AS (SELECT s, max(d) FILTER (own = other) AS a, min(d) FILTER (own <> other) AS b FROM d GROUP BY 1)
     SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM k""")
 def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On two scores of the whole matrix."""
     m = matrix(spark, sf_dir)
-    s = m.groupBy("sample", (F.col("grp") % 2).alias("g")).agg(*[F.max(F.when(F.col("feature") == i, F.col("value"))).alias(c) for i, c in enumerate("ab")])
+    s = projections(m, "ab").join(m.select("sample", (F.col("grp") % 2).alias("g")).distinct(), "sample")
     return rounded(a.silhouette(s, ["a", "b"], "g"), "silhouette")
 
 

@@ -38,6 +38,16 @@ def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 M = "m AS (SELECT vec_id AS sample, unnest(range(0, 64))::INT AS feature, unnest(embedding)::DOUBLE AS value, label AS grp FROM embeddings)"
 
 
+def projections(m: DataFrame, names: str) -> DataFrame:
+    """sample and a column for each letter: the sample's values times fixed weights of all features, summed."""
+    return m.groupBy("sample").agg(*[F.sum(F.col("value") * F.cos(F.col("feature") * float(k))).alias(c) for k, c in enumerate(names, 1)])
+
+
+def projections_sql(names: str) -> str:
+    """The same as a DuckDB select list over rows grouped by sample."""
+    return ", ".join(f"sum(value * cos(feature * {k}::DOUBLE)) AS {c}" for k, c in enumerate(names, 1))
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Doubles to `digits` places, negative zero as zero: sums differ in their last bits with the order of rows."""
     return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in columns})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assayloom.operators import association, harmonisation, identity, normalize, prediction
 from assayloom.plans.harmony import COV, PAIRS, SCAN, pairs, with_covariates
-from assayloom.plans.registry import M, matrix, query, rounded, table
+from assayloom.plans.registry import M, matrix, projections, projections_sql, query, rounded, table
 from assayloom.plans.relations import SCORED, scored
 from assayloom.plans.tables import GAPS, gaps
 
@@ -86,12 +86,13 @@ def person_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.person_components(scores, o.drop("o_totalprice"), o.filter("o_totalprice > 200000"))
 
 
-@query(f"""WITH {GAPS}, c AS (SELECT feature, median(value) AS med FROM g GROUP BY 1), s AS (SELECT sample, feature, coalesce(value, med) AS v FROM g JOIN c USING (feature) WHERE feature < 4)
-    SELECT x.sample AS a, y.sample AS b, round(sqrt(sum((x.v - y.v) * (x.v - y.v))), 6) AS distance FROM s x JOIN s y ON y.sample = x.sample + 1 AND y.feature = x.feature GROUP BY ALL""")
+@query(f"""WITH {M}, k AS (SELECT sample, {projections_sql("abcd")} FROM m GROUP BY 1), g AS (SELECT sample, CASE WHEN sample % 17 > 0 THEN a END AS a, b, c, d FROM k), e AS (SELECT median(a) AS ma FROM g), s AS (SELECT sample, coalesce(a, ma) AS a, b, c, d FROM g, e)
+    SELECT x.sample AS a, y.sample AS b, round(sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b) + (x.c - y.c) * (x.c - y.c) + (x.d - y.d) * (x.d - y.d)), 6) AS distance FROM s x JOIN s y ON y.sample = x.sample + 1""")
 def genetic_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = gaps(spark, sf_dir).groupBy("sample").agg(*[F.max(F.when(F.col("feature") == i, F.col("value"))).alias(f"pc{i}") for i in range(4)])
+    """On four scores of the whole matrix, of which one has gaps."""
+    s = projections(matrix(spark, sf_dir), "abcd").withColumn("a", F.when(F.col("sample") % 17 > 0, F.col("a"))).withColumnsRenamed({c: f"pc_{c}" for c in "abcd"})
     asked = s.select(F.col("sample").alias("a"), (F.col("sample") + 1).alias("b"))
-    return rounded(harmonisation.genetic_pair_distance(s, [f"pc{i}" for i in range(4)], asked), "distance")
+    return rounded(harmonisation.genetic_pair_distance(s, [f"pc_{c}" for c in "abcd"], asked), "distance")
 
 
 @query(f"""WITH {SCORED}, c AS (SELECT score, count(*) FILTER (label = 1) AS p, count(*) FILTER (label <> 1) AS n FROM s GROUP BY 1),
@@ -116,4 +117,5 @@ def top_predictor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = matrix(spark, sf_dir)
     people = m.select("sample", (F.col("sample") % 2).alias("batch"), (F.col("grp") < 5).cast("int").alias("label")).distinct()
-    return prediction.label_accuracy(m, people, "label", list(range(20)))
+    fits = association.linear_scan(m.join(people, "sample"), "label", []).withColumn("significant", F.col("p").isNotNull())
+    return prediction.label_accuracy(m, people, "label", prediction.top_features(fits))

@@ -9,7 +9,7 @@ from assayloom.functions.stats import zscore
 from assayloom.operators import association, prediction
 from assayloom.plans.harmony import COV, with_covariates
 from assayloom.plans.quality import ZS
-from assayloom.plans.registry import M, matrix, query, rounded, table
+from assayloom.plans.registry import M, correlation_p_sql, matrix, projections, projections_sql, query, rounded, table
 
 GAPS = f"{M}, g AS (SELECT sample, feature, CASE WHEN (sample + feature) % 17 > 0 THEN value END AS value FROM m)"
 
@@ -51,16 +51,18 @@ def outliers_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(association.outliers_by_group(flagged, groups, 10), "pct")
 
 
-@query(f"""WITH {M}, s AS (SELECT sample, feature % 3 AS pc, sum(value) AS score FROM m GROUP BY ALL) SELECT pc, m.feature, round(corr(value, score), 6) AS r FROM m JOIN s USING (sample) GROUP BY ALL""")
+@query(f"""WITH {M}, k AS (SELECT sample, {projections_sql("abc")} FROM m GROUP BY 1), s AS (SELECT sample, 1 AS pc, a AS score FROM k UNION ALL SELECT sample, 2, b FROM k UNION ALL SELECT sample, 3, c FROM k)
+    SELECT pc, m.feature, round(corr(value, score), 6) AS r FROM m JOIN s USING (sample) GROUP BY ALL""")
 def component_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against three scores of the whole matrix."""
     m = matrix(spark, sf_dir)
-    scores = m.groupBy("sample", (F.col("feature") % 3).alias("pc")).agg(F.sum("value").alias("score"))
+    scores = projections(m, "abc").unpivot("sample", ["a", "b", "c"], "_c", "score").select("sample", (F.ascii("_c") - 96).alias("pc"), "score")
     return rounded(association.component_effects(m, scores), "r")
 
 
-@query(f"WITH {COV} SELECT feature, count(value) FILTER (age IS NOT NULL) AS n, round(corr(value, age), 6) AS r FROM x GROUP BY 1")
+@query(f"""WITH {COV}, c AS (SELECT feature, count(value) FILTER (age IS NOT NULL) AS n, corr(value, age) AS r FROM x GROUP BY 1) SELECT feature, n, round(r, 6) AS r, round({correlation_p_sql("r", "n")}, 6) AS p FROM c""")
 def correlation_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(association.correlation_test(with_covariates(spark, sf_dir), "age").select("feature", "n", "r"), "r")
+    return rounded(association.correlation_test(with_covariates(spark, sf_dir), "age").select("feature", "n", "r", "p"), "r", "p")
 
 
 @query(f"WITH {ZS}, j AS (SELECT value, z FROM m JOIN z USING (sample, feature)) SELECT regr_count(z, value)::BIGINT AS n, round(regr_slope(z, value), 6) AS slope, round(regr_r2(z, value), 6) AS r2 FROM j")
