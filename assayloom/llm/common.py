@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import urllib.parse
 import uuid
 from collections.abc import Callable
 
@@ -30,14 +31,36 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Paths of the tables that `written` has made, in their order, for whoever runs operators one after another and knows when
+#: a table isn't read any more.
+MADE: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder, read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = shared_path(spark, name)
+    MADE.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, paths: list[str], reader: DataFrame) -> list[str]:
+    """Delete the tables at `paths`, but for those that `reader` reads; the paths that stay."""
+    in_use = [urllib.parse.urlsplit(f).path for f in reader.inputFiles()]
+    stay = []
+    for path in paths:
+        folder = urllib.parse.urlsplit(path).path.rstrip("/") + "/"
+        if any(f.startswith(folder) for f in in_use):
+            stay.append(path)
+        else:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            if path in MADE:
+                MADE.remove(path)
+    return stay
+
+
 def short_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Have Spark hand texts to Python in batches of so many rows, so that a batch of long texts stays small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -50,7 +50,27 @@ def test_run_and_empty(spark, folder, tmp_path):
 
 
 def test_registration():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries()) == list(range(1, 14))
     assert oracle_sql().keys() <= queries().keys()
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and json.dumps([n for n, _ in corpus_pipeline.STAGES])
     assert public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_intermediate_tables_go(spark, folder):
+    """After a run only its last stage's tables are left, and a table that is still read stays."""
+    import glob
+    import os
+
+    from assayloom.llm import common
+
+    common.MADE.clear()
+    corpus_pipeline.LEFT.clear()
+    out = corpus_pipeline.run(spark, folder)
+    there = [p for p in common.MADE if os.path.isdir(p)]
+    assert there == common.MADE and any("stage-packing" in p for p in there) and not any("near-cop" in p or "stage-toxicity" in p for p in there)
+    assert out.count() > 100
+    kept = common.written(spark.range(3), "kept")
+    gone = common.written(spark.range(3), "gone")
+    paths = common.MADE[-2:]
+    assert common.removed(spark, paths, kept) == paths[:1]
+    assert kept.count() == 3 and glob.glob(paths[0] + "/*") and not os.path.exists(paths[1]) and gone is not None
