@@ -1,6 +1,9 @@
 """The corpus pipeline: toxic documents go, one document of each group of near copies stays, documents with benchmark
 passages go, personal data is replaced, and what is left is packed into training sequences.
 
+A stage's result is written before the next one starts, as `run` does: the next one begins by deleting the intermediate
+tables of the stages before it, but for those that its own input reads, so disk holds one stage's tables at a time.
+
 Every stage takes all its predecessor kept, and all but the last return the columns of its input in their order. Further
 columns go along, also those whose names operators use; nulls, ties, repeated rows and empty tables are defined at each
 stage and its operator.
@@ -8,10 +11,13 @@ stage and its operator.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayloom.llm.common import keyed, small, table, written
+from assayloom.llm.common import MADE, keyed, removed, small, table, written
 from assayloom.llm.jaccard_join import BROADCAST_ROWS, groups
 from assayloom.llm.packing import pack
 from assayloom.llm.phrase_index import decontaminated
@@ -69,12 +75,31 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048)
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Intermediate tables that the stages so far have left.
+LEFT: list[str] = []
+
+
+def tidy(stage: Stage) -> Stage:
+    """The stage, which first deletes what the stages before it have left."""
+
+    @wraps(stage)
+    def one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        LEFT[:] = removed(spark, LEFT, docs)
+        before = len(MADE)
+        out = stage(spark, docs, sf_dir)
+        LEFT.extend(MADE[before:])
+        return out
+
+    return one
+
+
 STAGES = [
-    ("toxicity", without_toxic),
-    ("near_copies", without_near_copies),
-    ("decontamination", without_benchmark),
-    ("personal_data", without_personal_data),
-    ("packing", packed),
+    ("toxicity", tidy(without_toxic)),
+    ("near_copies", tidy(without_near_copies)),
+    ("decontamination", tidy(without_benchmark)),
+    ("personal_data", tidy(without_personal_data)),
+    ("packing", tidy(packed)),
 ]
 
 #: No stage but the benchmark's is within SQL's reach; tests hold the pipeline against brute force.
@@ -82,7 +107,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, read = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        out = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        LEFT.extend(read)  # the stage's input, which isn't needed any more
+        docs, read = out, MADE[-1:]
     return docs
