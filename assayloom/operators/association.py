@@ -169,6 +169,16 @@ def pair_agreement(pairs: DataFrame, least: int = 25) -> DataFrame:
     return agg.filter(F.col("n") >= least).select("person", "n", icc.alias("icc"), ccc.alias("ccc"))
 
 
+def mean_correlation(before: DataFrame, after: DataFrame) -> DataFrame:
+    """stage, n, r: the correlation over people of their mean values in the two batches, before and after; means over the
+    features that both samples of a pair have."""
+    def of(pairs: DataFrame, stage: str) -> DataFrame:
+        means = pairs.filter("x IS NOT NULL AND y IS NOT NULL").groupBy("person").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
+        return means.agg(F.count("*").alias("n"), F.corr("x", "y").alias("r")).select(F.lit(stage).alias("stage"), "n", "r")
+
+    return of(before, "before").unionByName(of(after, "after"))
+
+
 def pair_distance(pairs: DataFrame) -> DataFrame:
     """person, distance: Euclidean over features (x, y)."""
     return pairs.groupBy("person").agg(F.sqrt(F.sum((F.col("x") - F.col("y")) * (F.col("x") - F.col("y")))).alias("distance"))

@@ -198,6 +198,23 @@ def spread_reduction(before: DataFrame, after: DataFrame) -> DataFrame:
     return out.withColumn("pct_reduction", F.try_divide((F.col("before") - F.col("after")) * 100, "before"))
 
 
+def median_gap(both: DataFrame) -> DataFrame:
+    """gap: the mean over features of the distance between two batches' medians (batch, feature, value)."""
+    medians = both.groupBy("feature", "batch").agg(F.median("value").alias("m"))
+    per = medians.groupBy("feature").agg((F.max("m") - F.min("m")).alias("gap"), F.count("m").alias("n")).filter("n >= 2")
+    return per.agg(F.avg("gap").alias("gap"))
+
+
+def method_choice(before: DataFrame, after: dict[str, DataFrame], order: tuple[str, ...] = ("bridge", "median", "combat")) -> DataFrame:
+    """method, gap_before, gap_after, pct_reduction, chosen: how much each method closes the gap between two batches' medians;
+    the largest reduction is chosen, of equal ones the first in `order`."""
+    spark, first = before.sparkSession, median_gap(before).head()["gap"]
+    rows = [(m, first, median_gap(df).head()["gap"]) for m, df in after.items()]
+    cut = {m: 100 * (a - b) / a if a and b is not None else 0.0 for m, a, b in rows}
+    best = fallback(cut, order)
+    return spark.createDataFrame([(m, a, b, cut[m], m == best) for m, a, b in rows], "method string, gap_before double, gap_after double, pct_reduction double, chosen boolean")
+
+
 def fallback(results: dict[str, float], order: tuple[str, ...] = ("bridge", "combat", "median")) -> str:
     """The method with the largest reduction; ties and absences go by `order`."""
     return max((m for m in order if m in results), key=lambda m: (results[m], -order.index(m)))

@@ -53,3 +53,20 @@ def pca(long: DataFrame, k: int) -> Basis:
     variance = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(values[order])], "pc int, variance double")
     scores = z.join(F.broadcast(loadings.select("feature", "pc", "loading")), "feature").groupBy("sample", "pc").agg(F.sum(F.col("z") * F.col("loading")).alias("score"))
     return Basis(scores, loadings, variance)
+
+
+def complete_enough(long: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of samples that have more than a share `least` of all features."""
+    features = long.select("feature").distinct().count()
+    kept = long.groupBy("sample").agg(F.count("value").alias("_n")).filter(F.col("_n") > least * features).select("sample")
+    return long.join(kept, "sample", "left_semi")
+
+
+def batch_pca(both: DataFrame, bridges: DataFrame, k: int = 10, least: float = 0.5) -> tuple[DataFrame, Basis]:
+    """(samples, basis) of two batches together (batch, sample, feature, value): components of the samples that are complete
+    enough, missing values as medians; samples are rows sample, batch, sample_type, which is bridge_<batch> for those in
+    `bridges` (sample) and regular for others."""
+    kept = complete_enough(both, least)
+    own = kept.select("sample", "batch").distinct().join(bridges.select("sample", F.lit(True).alias("_b")).distinct(), "sample", "left")
+    kind = F.when(F.col("_b"), F.concat(F.lit("bridge_"), F.col("batch").cast("string"))).otherwise("regular")
+    return own.select("sample", "batch", kind.alias("sample_type")), pca(kept.select("sample", "feature", "value"), k)

@@ -119,6 +119,14 @@ def outlier_cascade(scores: DataFrame, long: DataFrame, pcs: tuple[str, str, str
     return out.select("sample", "row_median", "row_iqr", *flags, reduce(lambda a, b: a | b, map(F.col, flags)).alias("is_outlier"))
 
 
+def spread_outliers(long: DataFrame, k: float = 5.0) -> DataFrame:
+    """sample, iqr, is_outlier: samples whose interquartile range lies outside mean -+ k sd of all samples'."""
+    rows = long.groupBy("sample").agg((F.percentile("value", F.lit(0.75)) - F.percentile("value", F.lit(0.25))).alias("iqr"))
+    limits = rows.agg(F.avg("iqr").alias("_m"), F.stddev_samp("iqr").alias("_s"))
+    outside = F.abs(F.col("iqr") - F.col("_m")) > F.col("_s") * k
+    return with_scalars(rows, limits).select("sample", "iqr", F.coalesce(outside, F.lit(False)).alias("is_outlier"))
+
+
 def generic_outliers(scores: DataFrame, columns: list[str], k: float = 3.0) -> DataFrame:
     """sample, outlier_score (columns outside mean +- k sd), is_outlier."""
     limits = scores.agg(*[f(c).alias(f"_{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_samp))])

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from assayloom.functions.stats import inverse_normal, qnorm_sql
 from assayloom.operators import harmonisation as h
-from assayloom.operators import netpath, normalize, prediction
+from assayloom.operators import association, netpath, normalize, prediction, qc
 from assayloom.plans.alignment import AXES, _scores
-from assayloom.plans.harmony import COV, with_covariates
+from assayloom.plans.harmony import COV, PAIRS, pairs, with_covariates
 from assayloom.plans.registry import M, matrix, query, rounded
 from assayloom.plans.relations import ALPHAS, SCORED, scored
 from assayloom.plans.study import StudyPlan
@@ -84,3 +84,63 @@ def study(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = StudyPlan().run({"measurements": m, "mapping": m.select("sample").distinct().withColumn("person", F.concat(F.lit("p"), "sample"))})
     out = made["ranked"].groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean_value"))
     return rounded(out.select(F.col("feature").cast("int").alias("feature"), "n", "mean_value"), "mean_value", digits=4)
+
+
+TWO = f"{M}, w AS (SELECT sample, feature, sample % 2 AS batch, CASE WHEN (sample * 7 + feature * 5) % 64 < 40 OR sample % 9 > 0 THEN value + sample % 2 * 0.05::DOUBLE * (feature % 4) END AS value FROM m)"
+
+
+def two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even and odd vectors as two batches, the odd ones shifted by feature; every ninth sample has gaps."""
+    f, s = F.col("feature"), F.col("sample")
+    value = F.when((((s * 7 + f * 5) % 64) < 40) | (s % 9 > 0), F.col("value") + (s % 2) * 0.05 * (f % 4))
+    return matrix(spark, sf_dir).select("sample", "feature", (s % 2).alias("batch"), value.alias("value"))
+
+
+@query(f"""WITH {TWO}, k AS (SELECT sample, any_value(batch) AS batch FROM w GROUP BY sample HAVING count(value) > 0.65 * 64) SELECT sample, batch, CASE WHEN sample % 20 < 2 THEN 'bridge_' || batch ELSE 'regular' END AS sample_type FROM k""")
+def batch_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples that the components of both batches stand on."""
+    from assayloom.operators.pca import batch_pca
+
+    both = two_batches(spark, sf_dir)
+    return batch_pca(both, both.filter("sample % 20 < 2").select("sample").distinct(), 4, 0.65)[0]
+
+
+@query(None)
+def batch_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.operators.pca import batch_pca
+
+    both = two_batches(spark, sf_dir)
+    samples, basis = batch_pca(both, both.filter("sample % 20 < 2").select("sample").distinct(), 4)
+    return rounded(basis.scores.join(samples, "sample"), "score")
+
+
+GAP = lambda t: f"(SELECT avg(g) AS g FROM (SELECT feature, max(v) - min(v) AS g FROM (SELECT feature, batch, median(value) AS v FROM {t} GROUP BY ALL) GROUP BY 1))"
+
+
+@query(f"""WITH {TWO}, c AS (SELECT feature, median(value) FILTER (batch = 1) - median(value) FILTER (batch = 0) AS d FROM w WHERE sample % 20 < 2 GROUP BY 1), o AS (SELECT feature, median(value) FILTER (batch = 1) - median(value) FILTER (batch = 0) AS d FROM w GROUP BY 1),
+    e AS (SELECT feature, batch, avg(value) AS b FROM w GROUP BY ALL), h AS (SELECT feature, avg(value) AS a FROM w GROUP BY 1),
+    x AS (SELECT feature, batch, CASE WHEN batch = 1 THEN value - d ELSE value END AS value FROM w JOIN c USING (feature)), y AS (SELECT feature, batch, CASE WHEN batch = 1 THEN value - d ELSE value END AS value FROM w JOIN o USING (feature)), z AS (SELECT w.feature, w.batch, value - b + a AS value FROM w JOIN e ON e.feature = w.feature AND e.batch = w.batch JOIN h ON h.feature = w.feature),
+    r AS (SELECT 'bridge' AS method, {GAP("w")} AS p, {GAP("x")} AS q UNION ALL SELECT 'median', {GAP("w")}, {GAP("y")} UNION ALL SELECT 'mean', {GAP("w")}, {GAP("z")})
+    SELECT method, round(p, 6) AS gap_before, round(q, 6) AS gap_after, round(100 * (p - q) / p, 4) AS pct_reduction, method = 'median' AS chosen FROM r""")
+def method_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shifts by the bridges' medians, by all samples' medians, and by batch means."""
+    both = two_batches(spark, sf_dir)
+    some = both.filter("sample % 20 < 2")
+    gaps = some.groupBy("feature").agg((F.median(F.when(F.col("batch") == 1, F.col("value"))) - F.median(F.when(F.col("batch") == 0, F.col("value")))).alias("_d"))
+    bridge = both.join(gaps, "feature").withColumn("value", F.when(F.col("batch") == 1, F.col("value") - F.col("_d")).otherwise(F.col("value"))).drop("_d")
+    out = normalize.method_choice(both, {"bridge": bridge, "median": normalize.batch_median_shift(both, 0), "mean": normalize.batch_residualise(both)}, ("bridge", "median", "mean"))
+    return rounded(rounded(out, "gap_before", "gap_after"), "pct_reduction", digits=4)
+
+
+@query(f"""WITH {M}, r AS (SELECT sample, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM m GROUP BY 1), l AS (SELECT avg(iqr) AS m, stddev_samp(iqr) AS s FROM r) SELECT sample, round(iqr, 6) AS iqr, abs(iqr - m) > 2 * s AS is_outlier FROM r, l""")
+def spread_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(qc.spread_outliers(matrix(spark, sf_dir), 2.0), "iqr")
+
+
+@query(f"""WITH {PAIRS}, g AS (SELECT feature, median(x - y) AS g FROM p GROUP BY 1), q AS (SELECT person, x, y, y + g AS z FROM p JOIN g USING (feature)), k AS (SELECT person, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM q GROUP BY 1)
+    SELECT 'before' AS stage, count(*) AS n, round(corr(x, y), 6) AS r FROM k UNION ALL SELECT 'after', count(*), round(corr(x, z), 6) FROM k""")
+def mean_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from assayloom.plans.alignment import _moved
+
+    p = pairs(spark, sf_dir)
+    return rounded(association.mean_correlation(p, _moved(p)), "r")
