@@ -133,15 +133,18 @@ def inject_errors(people: DataFrame, per_category: int, seed: int = 42) -> DataF
     In a hash order: the first `per_category` of each label trade measurements in a ring (category 1), the next flip
     their label (2), the next of one label trade with those of the other (3); the rest are clean.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("sample", F.lit(seed)), "sample")
-    placed = people.withColumn("_r", F.row_number().over(order)).withColumn("category", F.when(F.col("_r") <= 3 * per_category, F.ceil(F.col("_r") / per_category).cast("int")).otherwise(0))
-    slot = (F.col("_r") - 1) % per_category
-    ring = Window.partitionBy("label", "category").orderBy("_r")
+    r = F.col("_place") + 1
+    placed = hash_ranked(people.select("sample", "label"), "sample", "label", seed, "_place")
+    placed = placed.withColumn("category", F.when(r <= 3 * per_category, F.ceil(r / per_category).cast("int")).otherwise(0))
+    traded = placed.filter("category > 0")  # a few by design; the clean rows are in no window
+    ring = Window.partitionBy("label", "category").orderBy("_place")
     nxt = F.coalesce(F.lead("sample").over(ring), F.first("sample").over(ring))
-    across = Window.partitionBy("category", slot).orderBy("label").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    across = Window.partitionBy("category", F.col("_place") % per_category).orderBy("label").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     other = F.when(F.col("label") == F.min("label").over(across), F.last("sample").over(across)).otherwise(F.first("sample").over(across))
     source = F.when(F.col("category") == 1, nxt).when(F.col("category") == 3, other).otherwise(F.col("sample"))
-    return placed.select("sample", "category", source.alias("source"), F.when(F.col("category") == 2, 1 - F.col("label")).otherwise(F.col("label")).alias("new_label"))
+    new = F.when(F.col("category") == 2, 1 - F.col("label")).otherwise(F.col("label"))
+    wrong = traded.select("sample", "category", source.alias("source"), new.alias("new_label"))
+    return wrong.unionByName(placed.filter("category = 0").select("sample", "category", F.col("sample").alias("source"), F.col("label").alias("new_label")))
 
 
 def detection_metrics(truth: DataFrame, flagged: DataFrame) -> DataFrame:
