@@ -63,17 +63,19 @@ def genotype_sample_stats(scored: DataFrame) -> DataFrame:
     )
 
 
-def genotype_flags(stats: DataFrame, k: float = 4.0, least_residuals: int = 10) -> DataFrame:
-    """Flags over population cut-offs rounded to one decimal: mean + k sd, or median + k * 1.4826 * MAD."""
+def genotype_flags(stats: DataFrame, k: float = 4.0, least_residuals: int = 10, least: int = 5) -> DataFrame:
+    """Flags over population cut-offs rounded to one decimal: mean + k sd, or median + k * 1.4826 * MAD. A measure that fewer
+    than `least` samples have sets no cut-off and flags nobody."""
     mean = stats.agg(F.round(F.avg("mean_abs_z") + F.stddev_samp("mean_abs_z") * k, 1).alias("_mean"))
     median = center_and_mad(stats, "median_abs_z").select(F.round(F.col("median") + F.col("mad") * k, 1).alias("_median"))
     residual = center_and_mad(stats, "median_abs_residual").select(F.round(F.col("median") + F.col("mad") * k, 1).alias("_residual"))
-    out = with_scalars(with_scalars(with_scalars(stats, mean), median), residual)
-    over_mean = F.coalesce(F.col("mean_abs_z") > F.col("_mean"), F.lit(False))
-    over_median = F.coalesce(F.col("median_abs_z") > F.col("_median"), F.lit(False))
-    over_residual = F.coalesce((F.col("median_abs_residual") > F.col("_residual")) & (F.col("n_residuals") >= least_residuals), F.lit(False))
+    known = stats.agg(*[(F.count(c) >= least).alias(f"_k_{c}") for c in ("mean_abs_z", "median_abs_z", "median_abs_residual")])
+    out = with_scalars(with_scalars(with_scalars(with_scalars(stats, mean), median), residual), known)
+    over_mean = F.coalesce((F.col("mean_abs_z") > F.col("_mean")) & F.col("_k_mean_abs_z"), F.lit(False))
+    over_median = F.coalesce((F.col("median_abs_z") > F.col("_median")) & F.col("_k_median_abs_z"), F.lit(False))
+    over_residual = F.coalesce((F.col("median_abs_residual") > F.col("_residual")) & (F.col("n_residuals") >= least_residuals) & F.col("_k_median_abs_residual"), F.lit(False))
     flagged = out.withColumns({"outlier_mean": over_mean, "outlier_median": over_median, "outlier_residual": over_residual})
-    return flagged.withColumn("is_outlier", over_mean | over_median | over_residual).drop("_mean", "_median", "_residual")
+    return flagged.withColumn("is_outlier", over_mean | over_median | over_residual).drop("_mean", "_median", "_residual", "_k_mean_abs_z", "_k_median_abs_z", "_k_median_abs_residual")
 
 
 def rank_percentile(value: str, *by: str) -> Column:

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from assayloom.operators import variants
+from assayloom.operators import genetics, variants
 
 
 @pytest.fixture(scope="module")
@@ -44,3 +44,9 @@ def test_no_choice_without_both_classes(spark, study):
     one = long.filter("feature = 'f0'"), genotypes.filter("feature = 'f0'")
     chosen, cuts = variants.trained_variants(*one, 5, cohorts=1)
     assert chosen.count() == 0 and cuts.head()["k"] is None
+
+
+def test_few_samples_set_no_cut_off(spark):
+    rows = lambda n: spark.createDataFrame([(i, 100.0 if i == 0 else 1.0 + i / 100, 1.0, 1.0, 20) for i in range(n)], "sample int, mean_abs_z double, median_abs_z double, median_abs_residual double, n_residuals int")
+    flagged = lambda n: [r["sample"] for r in genetics.genotype_flags(rows(n), k=1.0).filter("is_outlier").collect()]
+    assert flagged(4) == [] and flagged(6) == [0]
