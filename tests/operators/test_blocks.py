@@ -78,3 +78,14 @@ def test_kruskal_and_signed_rank_with_ties(spark):
 
     got = robust.signed_rank(spark.createDataFrame(rows, "v double, g int").withColumn("z", F.lit(4.0)), "z", "v").head()
     assert (got["n"], got["v"]) == (len(d), d.abs().rank()[d > 0].sum())
+
+
+def test_blocks_of_a_table_joined_with_itself(spark):
+    m = spark.range(40).select(F.col("id").alias("sample"), (F.col("id") * 7 % 40).cast("double").alias("v"), (F.col("id") % 2).alias("g"))
+    scores = m.groupBy("sample").agg(F.sum("v").alias("a")).join(m.select("sample", "g").distinct(), "sample")
+    place = {i: i * 7 % 40 for i in range(40)}
+    got = {r["s"]: r["t"] for r in h.neighbours(scores, ["a"], 1).collect()}
+    assert got == {i: min((j for j in place if j != i), key=lambda j: (abs(place[i] - place[j]), j)) for i in place}
+    assert a.silhouette(scores, ["a"], "g").head()[0] is not None
+    assert 0 <= h.kbet_acceptance(scores, ["a"], "g").head()[0] <= 1
+    assert 1 <= h.lisi(scores, ["a"], "g").head()[0] <= 2
