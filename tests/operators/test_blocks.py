@@ -89,3 +89,21 @@ def test_blocks_of_a_table_joined_with_itself(spark):
     assert a.silhouette(scores, ["a"], "g").head()[0] is not None
     assert 0 <= h.kbet_acceptance(scores, ["a"], "g").head()[0] <= 1
     assert 1 <= h.lisi(scores, ["a"], "g").head()[0] <= 2
+
+
+def test_pair_ranks_with_gaps_and_copies(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    x, y = r.integers(0, 3, (2, 40, 5)).astype(float)
+    y[7] = y[8]  # a copy ties
+    x[r.random((40, 5)) < 0.2] = np.nan
+    y[r.random((40, 5)) < 0.2] = np.nan
+    y[5] = np.nan
+    many = a.fold_blocks
+    monkeypatch.setattr(a, "fold_blocks", lambda *args, groups: many(*args[:-1], 3, groups=2, chunk=7))
+    long = lambda t, people: spark.createDataFrame([(f"p{i}", f"f{j}", float(t[i, j])) for i in people for j in range(5)], "person string, feature string, value double").replace(float("nan"), None)
+    got = {q["query"]: (q["rank"], q["margin"]) for q in a.true_pair_rank(long(x, range(0, 40, 2)), long(y, range(40))).collect()}
+    gap = x[:, None] - y[None]
+    d = np.where((~np.isnan(gap)).any(2), np.nansum(gap * gap, 2), np.inf)
+    want = {f"p{i}": (1 + (d[i] < d[i, i]).sum(), np.sqrt(d[i, i]) - np.sqrt(np.delete(d[i], i).min())) for i in range(0, 40, 2) if np.isfinite(d[i, i])}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(abs(got[k][1] - want[k][1]) < 1e-12 for k in want)
