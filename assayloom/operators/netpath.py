@@ -1,16 +1,17 @@
 """Logistic elastic nets along a path of strengths, for all folds and mixings at once (survey I5, I6).
 
 Rows are packed into strips of a matrix once. A pass over the strips gives, for every model together, the gradient on its
-training rows and the scores of its held-out ones, binned; what comes to the driver is as wide as features times models and
-doesn't grow with rows. Between passes all models move by coordinate descent on one shared square of cross-products, a
+training rows and, at the end of a step of the path, the area under the curve of its held-out ones from binned scores. What
+comes to the driver is as wide as features times models, once a pass, and doesn't grow with rows or strips. Between passes all models move by coordinate descent on one shared square of cross-products, a
 quarter of which is never below a logistic loss's curvature, so each move lowers every model's loss. Strengths go from the
 strongest down, each from the solution before it. What is chosen is then fitted to the end with its own curvature.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,8 +23,6 @@ from assayloom.operators.genetics import settled
 
 #: Bins of held-out probabilities from which areas under the curve are read.
 BINS = 4096
-#: Partial sums of more strips than this are added in a tree.
-TREE = 64
 
 
 @dataclass
@@ -40,20 +39,30 @@ class Strips:
     square: np.ndarray  # outer, 1 + feature, 1 + feature: cross-products of all rows in the outer fold's units
 
 
-def summed(rows: DataFrame, work) -> np.ndarray:  # noqa: ANN001
-    """The sum over all strips of the arrays that work(x, y, outer, inner) gives."""
+def summed(rows: DataFrame, work: Callable, finish: Callable = lambda key, total: total) -> dict[int, np.ndarray]:
+    """key -> finish(key, the sum over all strips of the arrays that work(x, y, outer, inner) gives under that key).
 
-    def part(strips: Iterator) -> Iterator[np.ndarray]:
-        total = None
+    Sums are made and finished in tasks, a key in one, so the driver gets one finished array a key and none a strip. Floats
+    are added in the order of the strips, which makes a sum the same in every run.
+    """
+
+    def part(index: int, strips: Iterator) -> Iterator[tuple[int, list]]:
+        total: dict = {}
         for s in strips:
             y, outer, inner = (np.frombuffer(s[c], np.int8).astype(np.int64) for c in ("y", "outer", "inner"))
-            out = work(np.frombuffer(s["x"]).reshape(len(y), -1), y, outer, inner)
-            total = out if total is None else total + out
-        if total is not None:
-            yield total
+            for key, out in work(np.frombuffer(s["x"]).reshape(len(y), -1), y, outer, inner).items():
+                total[key] = total[key] + out if key in total else out
+        return iter([(key, [(index, out)]) for key, out in total.items()])
+
+    def joined(a: list, b: list) -> list:
+        return [(0, a[0][1] + b[0][1])] if a[0][1].dtype.kind == "i" else a + b
+
+    def added(pair: tuple[int, list]) -> tuple[int, np.ndarray]:
+        key, parts = pair
+        return key, finish(key, reduce(np.add, [x for _, x in sorted(parts, key=lambda p: p[0])]))
 
-    parts = rows.rdd.mapPartitions(part)
-    return parts.treeReduce(np.add) if parts.getNumPartitions() > TREE else parts.reduce(np.add)
+    parts = rows.rdd.mapPartitionsWithIndex(part)
+    return parts.reduceByKey(joined, min(parts.getNumPartitions(), 32)).map(added).collectAsMap()
 
 
 def packed(vectors: DataFrame, label: str, folds: int, inner: int, seed: int, balanced: bool = True) -> Strips:
@@ -80,16 +89,16 @@ def packed(vectors: DataFrame, label: str, folds: int, inner: int, seed: int, ba
         raise ValueError("no labelled rows")
     width, cells = first["n"], (folds + 1) * (inner + 1) * 2
 
-    def count(x: np.ndarray, y: np.ndarray, outer: np.ndarray, inner_of: np.ndarray) -> np.ndarray:
+    def count(x: np.ndarray, y: np.ndarray, outer: np.ndarray, inner_of: np.ndarray) -> dict[int, np.ndarray]:
         cell = (outer * (inner + 1) + inner_of) * 2 + y
         n = np.bincount(cell, minlength=cells)
         sums = np.zeros((cells, 2 * width))
         np.add.at(sums, cell, np.hstack([x, x * x]))
         wide = np.hstack([np.ones((len(y), 1)), x])
         squares = [wide[y == c].T @ wide[y == c] for c in (0, 1)]
-        return np.concatenate([n, sums.ravel(), *(s.ravel() for s in squares)])
+        return {0: np.concatenate([n, sums.ravel(), *(s.ravel() for s in squares)])}
 
-    facts = summed(strips, count)
+    facts = summed(strips, count)[0]
     n = facts[:cells].reshape(folds + 1, inner + 1, 2)
     sums = facts[cells : cells * (1 + 2 * width)].reshape(folds + 1, inner + 1, 2, 2 * width)
     squares = facts[cells * (1 + 2 * width) :].reshape(2, 1 + width, 1 + width)
@@ -111,36 +120,43 @@ def packed(vectors: DataFrame, label: str, folds: int, inner: int, seed: int, ba
     return Strips(strips, width, outers, *map(np.array, (mean, scale, weight, total, square)))
 
 
-def one_pass(s: Strips, b: np.ndarray, held: np.ndarray, curved: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Gradients (outer, 1 + feature, model) of models b at their training rows, and how many held-out rows of each class fall
-    into each bin of probability (outer, model, class, bin). held: the inner fold that a model leaves out, 0 for none. With
-    `curved`, for one model an outer fold, its curvature in place of the bins."""
+def one_pass(s: Strips, b: np.ndarray, held: np.ndarray, curved: bool = False, judged: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """Gradients (outer, 1 + feature, model) of models b at their training rows; if `judged`, the areas under the curve (outer,
+    model) of held-out rows, counted by class and bin of probability; with `curved`, for one model an outer fold, its curvature.
+    held: the inner fold that a model leaves out, 0 for none. Bins are summed and read in tasks and don't come to the driver."""
     spark = s.rows.sparkSession
     sent = spark.sparkContext.broadcast((b, s.mean, s.scale, s.weight, s.outers, held))
-    models, wide = b.shape[2], 1 + s.width
+    models, wide, outers = b.shape[2], 1 + s.width, len(s.outers)
+    keys = models + 2  # of an outer fold: gradient, curvature, a model's bins
 
-    def work(x: np.ndarray, y: np.ndarray, outer: np.ndarray, inner: np.ndarray) -> np.ndarray:
+    def work(x: np.ndarray, y: np.ndarray, outer: np.ndarray, inner: np.ndarray) -> dict[int, np.ndarray]:
         b, mean, scale, weight, outers, held = sent.value
-        out = []
+        out = {}
         for k, o in enumerate(outers):
             mine = outer != o if o else np.ones(len(y), bool)
             z = np.hstack([np.ones((mine.sum(), 1)), (x[mine] - mean[k]) / scale[k]])
             c, label, fold = weight[k][y[mine]][:, None], y[mine][:, None], inner[mine][:, None]
             p = 1 / (1 + np.exp(-np.clip(z @ b[k], -30, 30)))
             away = fold == held[None]
-            out.append((z.T @ np.where(away, 0.0, c * (p - label))).ravel())
+            out[k * keys] = z.T @ np.where(away, 0.0, c * (p - label))
             if curved:
-                out.append((z.T @ (z * (c * p * (1 - p)))).ravel())
-            else:
-                i, m = np.nonzero(away)
-                at = (m * 2 + label[i, 0]) * BINS + np.minimum((p[i, m] * BINS).astype(np.int64), BINS - 1)
-                out.append(np.bincount(at, minlength=models * 2 * BINS).astype(float))
-        return np.concatenate(out)
-
-    flat = summed(s.rows, work).reshape(len(s.outers), -1)
+                out[k * keys + 1] = z.T @ (z * (c * p * (1 - p)))
+            if judged:
+                for m in range(models):
+                    i = np.flatnonzero(away[:, m])
+                    at = label[i, 0] * BINS + np.minimum((p[i, m] * BINS).astype(np.int64), BINS - 1)
+                    out[k * keys + 2 + m] = np.bincount(at, minlength=2 * BINS)
+        return out
+
+    def finish(key: int, total: np.ndarray) -> np.ndarray:
+        return auc_of(total.reshape(2, BINS)) if key % keys > 1 else total
+
+    found = summed(s.rows, work, finish)
     sent.destroy()
-    g, rest = flat[:, : wide * models], flat[:, wide * models :]
-    return g.reshape(-1, wide, models), rest.reshape(-1, wide, wide) if curved else rest.reshape(-1, models, 2, BINS)
+    g = np.stack([found[k * keys] for k in range(outers)])
+    if curved:
+        return g, np.stack([found[k * keys + 1] for k in range(outers)])
+    return g, np.array([[found[k * keys + 2 + m] for m in range(models)] for k in range(outers)]) if judged else None
 
 
 def descend(b: np.ndarray, g: np.ndarray, square: np.ndarray, per: np.ndarray, alpha: np.ndarray, strength: np.ndarray, sweeps: int, tolerance: float) -> np.ndarray:
@@ -203,14 +219,14 @@ def paths(s: Strips, alphas: list[float], strengths: int | list[float], inner: i
     mean, error, best, near = [], [], np.full((len(s.outers), len(alphas)), -1.0), np.zeros((len(s.outers), len(alphas), 1 + s.width))
     for at in range(grid.shape[2]):
         strength = np.repeat(grid[:, :, at], inner, 1)
-        bins = None
-        for _ in range(moves):
+        for move in range(1, moves + 1):
             after = descend(b, g, s.square / 4, per, alpha, strength, 50, 1e-4)
             moved, b = np.abs(after - b).max(), after
-            g, bins = one_pass(s, b, held)
-            if moved < 1e-3:
+            last = moved < 1e-3 or move == moves
+            g, auc = one_pass(s, b, held, judged=last)
+            if last:
                 break
-        auc = auc_of(bins).reshape(len(s.outers), len(alphas), inner)
+        auc = auc.reshape(len(s.outers), len(alphas), inner)
         mean.append(auc.mean(2))
         error.append(auc.std(2, ddof=1) / np.sqrt(inner) if inner > 1 else np.zeros(auc.shape[:2]))
         better = mean[-1] > best

@@ -254,3 +254,18 @@ def test_folds_by_parts(spark):
     for _, g in order.groupby("y"):
         g = g.sort_values("place")
         assert g["h"].is_monotonic_increasing and g["place"].tolist() == [*range(len(g))]
+
+
+def test_areas_are_made_in_tasks(spark):
+    x, y, v = labelled(spark)
+    held, b = np.array([1, 2]), np.random.default_rng(1).normal(size=(2, 9, 2))
+    s = netpath.packed(v, "label", 2, 2, 42)
+    got = []
+    for n in (1, 7):
+        s.rows = s.rows.repartition(n)
+        g, auc = netpath.one_pass(s, b, held, judged=True)
+        got.append((g, auc))
+        assert g.shape == (2, 9, 2) and auc.shape == (2, 2)  # bins of scores stay in the tasks
+        assert netpath.one_pass(s, b, held)[1] is None
+    assert np.allclose(got[0][0], got[1][0]) and (got[0][1] == got[1][1]).all()
+    assert 0 <= got[0][1].min() <= got[0][1].max() <= 1
