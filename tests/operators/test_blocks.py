@@ -107,3 +107,17 @@ def test_pair_ranks_with_gaps_and_copies(spark, monkeypatch):
     want = {f"p{i}": (1 + (d[i] < d[i, i]).sum(), np.sqrt(d[i, i]) - np.sqrt(np.delete(d[i], i).min())) for i in range(0, 40, 2) if np.isfinite(d[i, i])}
     assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
     assert all(abs(got[k][1] - want[k][1]) < 1e-12 for k in want)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 9, 300])
+def test_quantiles_and_normal_ranks_by_ranges(spark, n):
+    from assayloom.functions.stats import inverse_normal
+
+    r = np.random.default_rng(n)
+    x = r.integers(0, 25, n) / 4
+    df = spark.createDataFrame([(i, i % 2, float(v) if i % 11 else None) for i, v in enumerate(x)], "i int, g int, v double")
+    known = [v for i, v in enumerate(x) if i % 11]
+    got = blocks.quantiles(df, "v", low=0.1, mid=0.5).head()
+    assert (got["low"], got["mid"]) == (pytest.approx(tuple(np.quantile(known, [0.1, 0.5]))) if known else (None, None))
+    want = {q["i"]: q["w"] for q in df.select("i", inverse_normal("v", "g").alias("w")).collect()}
+    assert {q["i"]: q["v"] for q in blocks.normal_ranks(df, "v", "g", parts=4).collect()} == want
