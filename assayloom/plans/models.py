@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayloom.functions.stats import inverse_normal, qnorm_sql
+from assayloom.functions.blocks import normal_ranks
+from assayloom.functions.stats import qnorm_sql
 from assayloom.operators import harmonisation as h
 from assayloom.operators import association, netpath, normalize, prediction, qc
 from assayloom.plans.alignment import AXES, _scores
@@ -26,7 +27,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def residual_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values without the covariate's part, ranked anew."""
     left = normalize.covariate_residualise(with_covariates(spark, sf_dir), "age")
-    return rounded(left.select("sample", "feature", inverse_normal("value", "feature").alias("value")), "value")
+    return rounded(normal_ranks(left.select("sample", "feature", "value"), "value", "feature"), "value")
 
 
 @query(None)

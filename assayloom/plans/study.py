@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayloom.functions.stats import inverse_normal
+from assayloom.functions.blocks import normal_ranks
 from assayloom.operators import association, genetics, identity, normalize, pca, prediction, qc, variants
 from assayloom.sources import tables
 
@@ -152,8 +152,7 @@ def kinship(t: Tables, s: tables.Settings) -> Tables:
 
 
 def ranks(t: Tables, s: tables.Settings) -> Tables:
-    out = t["persons"].select(F.col("person").alias("sample"), "feature", inverse_normal("value", "feature").alias("value"))
-    return {"ranked": out}
+    return {"ranked": normal_ranks(t["persons"].select(F.col("person").alias("sample"), "feature", "value"), "value", "feature")}
 
 
 STEPS: tuple[tuple[str, Step], ...] = (
