@@ -121,3 +121,32 @@ def test_quantiles_and_normal_ranks_by_ranges(spark, n):
     assert (got["low"], got["mid"]) == (pytest.approx(tuple(np.quantile(known, [0.1, 0.5]))) if known else (None, None))
     want = {q["i"]: q["w"] for q in df.select("i", inverse_normal("v", "g").alias("w")).collect()}
     assert {q["i"]: q["v"] for q in blocks.normal_ranks(df, "v", "g", parts=4).collect()} == want
+
+
+def test_all_measures_of_mixing_from_one_pass(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    x = r.integers(0, 7, (140, 2)).astype(float)  # copies and equal distances
+    batch = r.integers(0, 3, 140)
+    df = spark.createDataFrame([(f"s{i:03}", f"b{batch[i]}", float(x[i, 0]), float(x[i, 1])) for i in range(140)] + [("gap", "b0", None, 1.0)], "sample string, g string, a double, b double")
+    many, passes = blocks.block_pairs, []
+    monkeypatch.setattr(h, "block_pairs", lambda rows, work, schema: passes.append(schema) or many(rows, work, schema, most=23))
+    got = h.mixing(df, ["a", "b"], "g").head()
+    assert len(passes) == 1 and "t " not in passes[0]  # one pass, and no neighbours stored
+    assert got["silhouette"] == pytest.approx(a.silhouette(df, ["a", "b"], "g").head()[0], abs=1e-12)
+    assert got["acceptance"] == pytest.approx(h.kbet_acceptance(df, ["a", "b"], "g").head()[0], abs=1e-12)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    index = []
+    for i in range(140):
+        near = sorted((d[i, j], j) for j in range(140) if j != i)[:90]
+        q, low, high, beta = np.array([e for e, _ in near]) ** 2, 0.0, np.inf, 1.0
+        for _ in range(60):
+            w = np.exp(-(q - q.min()) * beta)
+            w /= w.sum()
+            over = -(w * np.log(np.maximum(w, 1e-300))).sum() - np.log(30)
+            if abs(over) < 1e-5:
+                break
+            low, high = (beta, high) if over > 0 else (low, beta)
+            beta = beta * 2 if over > 0 and high == np.inf else (low + high) / 2
+        index.append(1 / (pd.Series(w).groupby(batch[[j for _, j in near]]).sum() ** 2).sum())
+    assert got["median_lisi"] == pytest.approx(np.median(index), abs=1e-9)
+    assert h.mixing(df.limit(0), ["a", "b"], "g").head().asDict() == {"silhouette": None, "acceptance": None, "median_lisi": None}
