@@ -77,10 +77,42 @@ def batch_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(h.batch_auc(rows, "batch"), "auc")
 
 
-@query(f"WITH {M}, s AS (SELECT count(DISTINCT sample) AS n FROM m), f AS (SELECT feature FROM m GROUP BY 1) SELECT feature, n, 0.0::DOUBLE AS mean_value FROM f, s")
+#: The first four axes of the features' correlation, as rows (k, v): the matrix is squared until one axis is left of it (gaps of
+#: one in 10^8 between eigenvalues are told apart), that axis is taken out, and so on.
+AXES_SQL = """y AS (SELECT sample, feature, (x - avg(x) OVER w) / stddev_samp(x) OVER w AS z FROM (SELECT sample, feature, coalesce(value, median(value) OVER (PARTITION BY feature), 0) AS x FROM l) WINDOW w AS (PARTITION BY feature) QUALIFY stddev_samp(x) OVER w > 0),
+    yp AS (SELECT sample, z, dense_rank() OVER (ORDER BY feature) AS i FROM y),
+    cc AS (SELECT a.i, b.i AS j, sum(a.z * b.z) / (count(*) - 1) AS x FROM yp a JOIN yp b USING (sample) GROUP BY ALL),
+    c0 AS (SELECT list(r ORDER BY i) AS c FROM (SELECT i, list(x ORDER BY j) AS r FROM cc GROUP BY i)),
+    e AS (SELECT 1 AS k, 0 AS step, c, c AS s, NULL::DOUBLE[] AS v FROM c0
+        UNION ALL SELECT CASE WHEN step < 32 THEN k ELSE k + 1 END, CASE WHEN step < 32 THEN step + 1 ELSE 0 END, c2, CASE WHEN step < 32 THEN list_transform(s, lambda a: list_transform(s, lambda b: list_dot_product(a, b) / (t * t))) ELSE c2 END, CASE WHEN step = 32 THEN u END
+        FROM (SELECT *, CASE WHEN step < 32 THEN c ELSE list_transform(range(1, len(c) + 1), lambda i: list_transform(range(1, len(c) + 1), lambda j: c[i][j] - root * u[i] * u[j])) END AS c2
+            FROM (SELECT *, list_dot_product(u, list_transform(c, lambda r: list_dot_product(r, u))) AS root
+                FROM (SELECT *, list_transform(top, lambda x: x / sqrt(list_dot_product(top, top))) AS u
+                    FROM (SELECT *, list_sum(diag) AS t, s[list_position(diag, list_max(diag))] AS top FROM (SELECT *, list_transform(range(1, len(s) + 1), lambda i: s[i][i]) AS diag FROM e WHERE k <= 4))))))"""
+
+
+@query(f"""WITH RECURSIVE {M}, w AS (SELECT count(DISTINCT feature) AS w FROM m),
+    l AS (SELECT m.* FROM m SEMI JOIN (SELECT sample FROM m, w GROUP BY sample, w HAVING (w - count(value)) / w <= 0.1::DOUBLE) USING (sample)), lw AS (SELECT count(DISTINCT feature) AS w FROM l),
+    {AXES_SQL},
+    g AS (SELECT sample, sum(z * v[i]) FILTER (k = 1) AS p1, sum(z * v[i]) FILTER (k = 2) AS p2, sum(z * v[i]) FILTER (k = 3) AS p3, sum(z * v[i]) FILTER (k = 4) AS p4 FROM yp, (SELECT k - 1 AS k, v FROM e WHERE v IS NOT NULL) GROUP BY sample),
+    r AS (SELECT sample, median(value) AS med, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr, avg(value) AS mean, stddev_samp(value) AS sd, count(value) AS n FROM l GROUP BY sample),
+    k0 AS (SELECT * FROM g JOIN r USING (sample)),
+    k1 AS (SELECT * FROM k0, (SELECT avg(p1) AS m1, stddev_samp(p1) AS s1, avg(p2) AS m2, stddev_samp(p2) AS s2 FROM k0) WHERE NOT coalesce(abs(p1 - m1) > 5 * s1 OR abs(p2 - m2) > 5 * s2, false)),
+    k2 AS (SELECT * FROM k1, (SELECT avg(p3) AS m3, stddev_samp(p3) AS s3, avg(p4) AS m4, stddev_samp(p4) AS s4 FROM k1) WHERE NOT coalesce(abs(p3 - m3) > 5 * s3 OR abs(p4 - m4) > 5 * s4, false)),
+    k3 AS (SELECT * FROM k2, (SELECT avg(med) AS mm, stddev_samp(med) AS sm FROM k2) WHERE NOT coalesce(abs(med - mm) > 5 * sm, false)),
+    k4 AS (SELECT * FROM k3, (SELECT avg(iqr) AS mi, stddev_samp(iqr) AS si FROM k3) WHERE NOT coalesce(abs(iqr - mi) > 5 * si, false)),
+    tc AS (SELECT median(mean) AS cm, median(sd) AS cs FROM r), td AS (SELECT median(abs(mean - cm)) * 1.4826::DOUBLE AS dm, median(abs(sd - cs)) * 1.4826::DOUBLE AS ds FROM r, tc),
+    tech AS (SELECT sample FROM r, tc, td, lw WHERE coalesce(abs(mean - cm) > dm * 5, false) OR coalesce(sd > cs + ds * 4, false) OR 1 - n / w > 0.05::DOUBLE),
+    ext AS (SELECT sample FROM (SELECT sample, CASE WHEN count(value) OVER f >= 3 AND stddev_samp(value) OVER f > 0 THEN abs(value - avg(value) OVER f) / stddev_samp(value) OVER f ELSE 0 END AS z FROM l WINDOW f AS (PARTITION BY feature)), lw GROUP BY sample, w HAVING count(*) FILTER (z > 4) / w > 0.1::DOUBLE),
+    gone AS (SELECT sample FROM k0 ANTI JOIN k4 USING (sample) UNION SELECT sample FROM tech UNION SELECT sample FROM ext),
+    clean AS (SELECT * FROM l ANTI JOIN gone USING (sample)),
+    fm AS (SELECT feature, median(value) AS f FROM clean GROUP BY 1), fa AS (SELECT median(f) AS a FROM fm),
+    nv AS (SELECT feature, value * least(greatest(coalesce(a / nullif(f, 0), 1), 0.1::DOUBLE), 10) AS value FROM clean JOIN fm USING (feature), fa),
+    rk AS (SELECT feature, value, count(value) OVER (PARTITION BY feature) AS n, (rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0::DOUBLE - 0.5::DOUBLE) / count(value) OVER (PARTITION BY feature) AS p FROM nv WHERE value IS NOT NULL)
+    SELECT feature, count(*) AS n, round(avg(CASE WHEN n < 3 THEN value ELSE {qnorm_sql("p")} END), 4) + 0.0::DOUBLE AS mean_value FROM rk GROUP BY 1""")
 def study(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The study's steps from measurements to ranks for the matrix; the ranks are balanced over all samples that stay, and
-    none has to go."""
+    """The study's steps from measurements to ranks for the matrix; the ranks are balanced over all samples that stay: those
+    that no step flags for missing values, their mean or sd, extreme values, or the components and row spreads."""
     m = matrix(spark, sf_dir).select(F.col("sample").cast("string").alias("sample"), F.col("feature").cast("string").alias("feature"), "value")
     made = StudyPlan().run({"measurements": m, "mapping": m.select("sample").distinct().withColumn("person", F.concat(F.lit("p"), "sample"))})
     out = made["ranked"].groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean_value"))

@@ -152,3 +152,20 @@ def test_far_candidates_and_kpi(spark):
     kpi = {r["metric"]: r["pass"] for r in h.kpi_table({"icc": 0.5, "noise_ratio": 3.0, "other": 1.0}, {"icc": 0.95, "noise_ratio": 2.5, "other": 2.0, "lisi": 1.0}, spark).collect()}
     assert list(kpi)[:2] == ["euclidean", "mahalanobis"] and len(kpi) == len(h.TARGETS) + 1
     assert {n: kpi[n] for n in ("icc", "noise_ratio", "other", "lisi", "p", "euclidean")} == {"icc": "PASS", "noise_ratio": "WARN", "other": None, "lisi": "FAIL", "p": "FAIL", "euclidean": None}
+
+
+def test_study_agrees_with_its_sql_where_samples_go(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from assayloom.plans import models, registry
+
+    r = np.random.default_rng(31)
+    x = r.normal(size=(150, 64)) * 0.1 + r.normal(size=(150, 1)) * 0.05
+    x[7] += 2 * np.sign(r.normal(size=64))  # far out on a component
+    x[20] += 1.5  # a mean far off
+    rows = [(i, v.astype(np.float32).tolist(), i % 10) for i, v in enumerate(x)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted(tuple(q) for q in models.study(spark, str(tmp_path)).select("feature", "n", "mean_value").collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = sorted(con.execute(registry.SQL["study"]).fetchall())
+    assert got == want and len(got) == 64 and {n for _, n, _ in got} < {*range(140, 149)}
