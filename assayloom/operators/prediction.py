@@ -251,6 +251,18 @@ def label_accuracy(long: DataFrame, people: DataFrame, label: str, names: list,
     return fitted.filter("predicted IS NOT NULL").agg(F.avg((F.col("predicted") == F.col(label)).cast("int")).alias("accuracy"))
 
 
+def spread(rows: DataFrame, key: str = "sample", least: int = 2000, tasks: int = 24, most: int = 100_000) -> DataFrame:
+    """`rows`, settled, dealt by a hash of the key over as many partitions as their number asks for: `tasks` of them, fewer where
+    that gives under `least` rows each, more where over `most`. Passes of a fit are short and many, and small tables are
+    otherwise merged into one partition, that is one task. The same rows give the same partitions on any cluster."""
+    from assayloom.operators.genetics import settled
+
+    rows = settled(rows)
+    n = rows.count()
+    parts = max(1, min(-(-n // least), max(tasks, -(-n // most))))
+    return settled(rows.repartition(parts, key).sortWithinPartitions(key))
+
+
 def model_zoo(vectors: DataFrame, label: str, folds: int = 5, trees: int = 300, boosts: int = 100, layers: tuple[int, ...] = (128, 64), seed: int = 42, at_once: int = 4) -> DataFrame:
     """sample, label, fold, model, score: every row scored by models that were fitted to the other folds, and their mean as
     "ensemble": elastic net, ridge, lasso, forest, boosted trees, perceptron. Vectors are standardised by each fold's
@@ -273,7 +285,7 @@ def model_zoo(vectors: DataFrame, label: str, folds: int = 5, trees: int = 300,
         "boost": GBTClassifier(labelCol=label, weightCol="_w", maxDepth=4, maxIter=boosts, stepSize=0.05, subsamplingRate=0.7, minInstancesPerNode=5, seed=seed),
         "mlp": MultilayerPerceptronClassifier(labelCol=label, layers=[width, *layers, 2], maxIter=30, blockSize=64, seed=seed),
     }
-    dealt = settled(stratified_folds(known, "sample", label, folds, seed))
+    dealt = spread(stratified_folds(known, "sample", label, folds, seed))
 
     def out_of_fold(job: tuple[int, str]) -> DataFrame:
         fold, name = job
@@ -364,7 +376,8 @@ def model_importance(vectors: DataFrame, label: str, kind: str, top: int = 20, t
         models = {"forest": lambda: RandomForestClassifier(labelCol=label, numTrees=trees, featureSubsetStrategy="sqrt", seed=seed), "boost": lambda: GBTClassifier(labelCol=label, maxDepth=4, maxIter=100, stepSize=0.05, subsamplingRate=0.7, seed=seed)}
         if kind not in models:
             raise ValueError(f"no importances for {kind}; there are {', '.join([*mixing, *models])}")
-        found = models[kind]().fit(vectors.filter(F.col(label).isNotNull())).featureImportances.toArray()
+        known = vectors.filter(F.col(label).isNotNull())
+        found = models[kind]().fit(spread(known) if "sample" in known.columns else known).featureImportances.toArray()
     return importance(vectors.sparkSession.createDataFrame([(i, float(w)) for i, w in enumerate(found)], "feature int, weight double"), top)
 
 
