@@ -8,8 +8,6 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.functions.stats import over
-
 
 @dataclass
 class Basis:
@@ -21,15 +19,10 @@ class Basis:
 
 
 def imputed(long: DataFrame) -> DataFrame:
-    """Missing values as the feature's exact median, 0 where it has none."""
-    return long.withColumn("value", F.coalesce("value", F.median("value").over(over("feature")), F.lit(0.0)))
-
-
-def standardised(long: DataFrame) -> DataFrame:
-    """center, scale (n - 1) and z of each feature; features without spread go."""
-    w = over("feature")
-    out = long.withColumns({"center": F.avg("value").over(w), "scale": F.stddev_samp("value").over(w)}).filter("scale > 0")
-    return out.withColumn("z", (F.col("value") - F.col("center")) / F.col("scale"))
+    """Missing values as the feature's exact median, 0 where it has none. Only features with a gap need theirs."""
+    gaps = long.groupBy("feature").agg(F.count_if(F.col("value").isNull()).alias("_n")).filter("_n > 0").select("feature")
+    medians = long.join(F.broadcast(gaps), "feature", "left_semi").groupBy("feature").agg(F.median("value").alias("_median"))
+    return long.join(F.broadcast(medians), "feature", "left").withColumn("value", F.coalesce("value", "_median", F.lit(0.0))).drop("_median")
 
 
 def pca(long: DataFrame, k: int) -> Basis:
@@ -39,15 +32,18 @@ def pca(long: DataFrame, k: int) -> Basis:
     from pyspark.ml.stat import Correlation
 
     spark = long.sparkSession
-    z = standardised(imputed(long.select("sample", "feature", "value")))
-    facts = {r["feature"]: (r["center"], r["scale"]) for r in z.select("feature", "center", "scale").distinct().collect()}
+    filled, kind = imputed(long.select("sample", "feature", "value")), dict(long.dtypes)["feature"]
+    # features without spread go
+    known = filled.groupBy("feature").agg(F.avg("value").alias("center"), F.stddev_samp("value").alias("scale")).filter("scale > 0").collect()
+    facts = {r["feature"]: (r["center"], r["scale"]) for r in known}
+    units = spark.createDataFrame([tuple(r) for r in known], f"feature {kind}, center double, scale double")
+    z = filled.join(F.broadcast(units), "feature").withColumn("z", (F.col("value") - F.col("center")) / F.col("scale"))
     features = sorted(facts)
     vectors = z.groupBy("sample").agg(F.transform(F.sort_array(F.collect_list(F.struct("feature", "z"))), lambda x: x["z"]).alias("v"))
     matrix = Correlation.corr(vectors.select(array_to_vector("v").alias("v")), "v").head()[0].toArray()
     values, axes = np.linalg.eigh(matrix)
     order = np.argsort(values)[::-1][:k]
     axes = axes[:, order] * np.sign(axes[np.abs(axes[:, order]).argmax(0), order])
-    kind = dict(long.dtypes)["feature"]
     rows = [(f, pc + 1, *map(float, facts[f]), float(axes[i, pc])) for i, f in enumerate(features) for pc in range(len(order))]
     loadings = spark.createDataFrame(rows, f"feature {kind}, pc int, center double, scale double, loading double")
     variance = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(values[order])], "pc int, variance double")

@@ -218,6 +218,8 @@ def top_predictor(long: DataFrame, people: DataFrame, label: str, names: list, c
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
+    from assayloom.operators.genetics import settled
+
     if not names:
         seen = people.select("sample", label).join(long.select("sample").distinct(), "sample", "left_semi")
         return seen.select("sample", label, F.lit(None).cast("double").alias("probability"), F.lit(None).cast("int").alias("predicted"), F.lit(False).alias("mismatch"))
@@ -229,6 +231,7 @@ def top_predictor(long: DataFrame, people: DataFrame, label: str, names: list, c
     for c in covariates:
         ready = ready & F.col(c).isNotNull()
     whole = rows.filter(ready).select("sample", F.col("_y").alias(label), array_to_vector(F.concat("_v", F.array(*[F.col(c).cast("double") for c in covariates]).cast("array<double>"))).alias("features"))
+    whole = settled(whole)  # the fit and the prediction read it several times
     rows = rows.select("sample", F.col("_y").alias(label))
     model = LogisticRegression(labelCol=label, regParam=0.0, maxIter=200, tol=1e-10).fit(whole.filter(F.col(label).isNotNull()))
     fitted = model.transform(whole).select("sample", probability("probability").alias("probability"))
@@ -241,13 +244,14 @@ def label_accuracy(long: DataFrame, people: DataFrame, label: str, names: list,
     where a batch has under `least_batch` labelled samples or one class, or under `least` complete rows are left.
     people: sample, batch, label."""
     known = people.filter(F.col(label).isNotNull())
-    full = long.filter(F.col("feature").isin(names) & F.col("value").isNotNull()).groupBy("sample").agg(F.count("*").alias("_n")).filter(F.col("_n") == len(names)).select("sample")
-    seen = known.join(long.select("sample").distinct(), "sample", "left_semi").join(full.withColumn("_f", F.lit(True)), "sample", "left")
+    named = F.col("feature").isin(names)
+    full = long.groupBy("sample").agg(F.count_if(named & F.col("value").isNotNull()).alias("_n"))
+    seen = known.join(full, "sample").withColumn("_f", F.when(F.col("_n") == len(names), True))
     per = seen.groupBy("batch").agg(F.count("*").alias("n"), F.count("_f").alias("whole"), F.count_distinct(F.when(F.col("_f"), F.col(label))).alias("classes"))
     facts = per.agg(F.min("n").alias("n"), F.min("classes").alias("classes"), F.sum("whole").alias("whole")).head()
     if facts["n"] is None or facts["n"] < least_batch or facts["classes"] < 2 or facts["whole"] < least:
         return long.sparkSession.createDataFrame([(None,)], "accuracy double")
-    fitted = top_predictor(long, known.select("sample", label), label, names, ())
+    fitted = top_predictor(long.filter(named), known.select("sample", label), label, names, ())
     return fitted.filter("predicted IS NOT NULL").agg(F.avg((F.col("predicted") == F.col(label)).cast("int")).alias("accuracy"))
 
 

@@ -150,3 +150,33 @@ def test_all_measures_of_mixing_from_one_pass(spark, monkeypatch):
         index.append(1 / (pd.Series(w).groupby(batch[[j for _, j in near]]).sum() ** 2).sum())
     assert got["median_lisi"] == pytest.approx(np.median(index), abs=1e-9)
     assert h.mixing(df.limit(0), ["a", "b"], "g").head().asDict() == {"silhouette": None, "acceptance": None, "median_lisi": None}
+
+
+@pytest.mark.parametrize("kind, k", [("normal", 12), ("grid", 12), ("grid", 500), ("far", 12), ("copies", 12), ("normal", 0)])
+def test_products_give_the_distances(kind, k):
+    r = np.random.default_rng(11)
+    n = 420
+    x = {"grid": r.integers(0, 5, (n, 3)).astype(float), "far": r.normal(size=(n, 3)) * 1e-3 + 1e6}.get(kind, r.normal(size=(n, 3)))
+    if kind == "copies":
+        x[::2] = x[0]
+    own = r.permutation(n)
+    own = np.array([f"s{v:03}" for v in own], object) if kind == "copies" else own
+    codes = r.integers(-1, 3, n)  # some without a label
+    block = slice(0, 150)
+    near, sums = blocks.Nearest(own[block], k), blocks.LabelSums(150)
+    products, taken = blocks.Products(own[block], x[block], near, sums), []
+    take = near.take
+    near.take = lambda row, *more: taken.append(len(row)) or take(row, *more)
+    for start in range(0, n, 70):
+        chunk = slice(start, start + 70)
+        products.add(own[chunk], x[chunk], codes[chunk], tile=1000)
+    d = blocks.distances(pd.DataFrame(x[block], columns=list("abc")), pd.DataFrame(x, columns=list("abc")), list("abc"))
+    same = own[block][:, None] == own[None]
+    want = blocks.LabelSums(150)
+    want.add(d.copy(), codes, same)
+    assert (sums.n == want.n).all() and np.allclose(sums.d, want.d, rtol=1e-12, atol=0)
+    row, far, name, mark, rank = near.settle()
+    best = [sorted((d[i, j], own[j], codes[j]) for j in range(n) if not same[i, j])[:k] for i in range(150)]
+    assert list(zip(far, name, mark, strict=True)) == [t for b in best for t in b]  # to the last bit, ties by id
+    assert list(zip(row, rank, strict=True)) == [(i, j) for i in range(150) for j in range(len(best[i]))]
+    assert k > n or kind != "normal" or sum(taken) < 150 * n / 4  # all others are decided by products

@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from assayloom.operators import kpi
 from assayloom.operators.kpi import Batches, alignment_report
 from assayloom.operators.harmonisation import TARGETS
 
@@ -34,3 +35,27 @@ def test_every_measure_from_data(spark):
     assert got["silhouette"]["post"] < got["silhouette"]["pre"] and got["batch_auc"]["post"] < got["batch_auc"]["pre"]
     assert got["kbet"]["post"] > got["kbet"]["pre"] and got["lisi"]["post"] > got["lisi"]["pre"]
     assert got["batch_variance"]["post"] < 0.05 < got["batch_variance"]["pre"] and got["label_accuracy"]["post"] > 0.7
+
+
+def test_cells_are_stored_by_sample(spark):
+    rows = [("A", "s1", "f1", 1.0), ("A", "s1", "f2", None), ("B", "s2", "f2", 3.0)]
+    stored = kpi.packed(spark.createDataFrame(rows, "batch string, sample string, feature string, value double").repartition(3))
+    assert stored.count() == 2
+    assert sorted(map(tuple, kpi.cells(stored, "batch").select("batch", "sample", "feature", "value").collect())) == rows
+    assert kpi.few(stored, 1) is stored and kpi.few(stored, 2) is not stored
+
+
+def test_each_side_is_read_once_for_its_scores_and_bridges(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    cells = [(b, f"{b}{i}", f"f{j}", float(r.normal())) for b in "AB" for i in range(60) for j in range(5)]
+    long = spark.createDataFrame(cells, "batch string, sample string, feature string, value double").cache()
+    pairs = spark.createDataFrame([(f"p{i}", f"A{i}", f"B{i}") for i in range(20)], "person string, first string, second string")
+    twice = spark.createDataFrame([(f"A{i}", f"A{i + 1}") for i in range(30, 40, 2)], "first string, second string")
+    labels = spark.createDataFrame([(f"{b}{i}", i % 2) for b in "AB" for i in range(60)], "sample string, label int")
+    calls = []
+    for module, name in ((kpi.association, "project"), (kpi, "sides"), (kpi.h, "mads")):
+        f = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, f=f, name=name: calls.append(name) or f(*a))
+    got = {x["metric"]: x for x in kpi.alignment_report(Batches(long, long, pairs, twice, labels, "A", "B"), components=3, top=3).collect()}
+    assert all(got[m]["pre"] == got[m]["post"] for m in ("euclidean", "rank1", "silhouette", "kbet", "lisi"))
+    assert (calls.count("project"), calls.count("sides"), calls.count("mads")) == (2, 5, 1)
